@@ -41,8 +41,9 @@ TYPE_NAMES = {
     "BF": "BYTE",
 }
 
-# Fixed value: a credential word, a separator and the secret after it.
-CREDENTIAL_PATTERN = r"(?i)\b(password|token|secret|key|credential)\b[=:\s]+\S+"
+# Fixed value: a credential word, a separator and the secret after it (letters of any script
+# count as word characters).
+CREDENTIAL_PATTERN = r"(?iU)\b(password|token|secret|key|credential)\b[=:\s]+\S+"
 
 
 def normalize_name(name: Column) -> Column:

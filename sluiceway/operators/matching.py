@@ -186,12 +186,14 @@ def best_match(
     wanted = wanted.filter(F.col("key") != "")
     sizes = wanted.agg(F.sort_array(F.collect_set(F.length("key")))).scalar()
 
-    shown = items.select(F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"))
+    shown = items.select(
+        F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"), sizes.alias("sizes")
+    )
     low = F.lower("name")
     words = F.regexp_extract_all(low, F.lit("([a-z0-9]+)"), F.lit(1))
     pieces = F.flatten(
         F.transform(
-            F.filter(sizes, lambda n: n <= F.length(low)),
+            F.filter("sizes", lambda n: n <= F.length(low)),
             lambda n: F.transform(
                 F.sequence(F.lit(1), F.length(low) - n + 1), lambda i: F.substring(low, i, n)
             ),

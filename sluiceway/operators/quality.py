@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sluiceway.functions.text import seconds_between
 from sluiceway.operators.joins import orphan_keys
 from sluiceway.operators.profiling import value_counts
+from sluiceway.runtime import metadata_frame
 
 # Fixed value: a plausible mail address.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
@@ -85,8 +86,10 @@ def _result(test: str, column: str, failures: DataFrame) -> DataFrame:
 
 def test_unique(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column, how many values occur more than once (nulls ignored); one scan for all."""
-    listed = df.sparkSession.createDataFrame(
-        [(str(i), c) for i, c in enumerate(columns)], "_column string, column_name string"
+    listed = metadata_frame(
+        df.sparkSession,
+        [(str(i), c) for i, c in enumerate(columns)],
+        "_column string, column_name string",
     )
     repeated = value_counts(df, columns).groupBy("_column").agg(
         F.count_if(F.col("_rows") > 1).alias("n")

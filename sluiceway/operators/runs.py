@@ -110,6 +110,7 @@ def runtime_stats(
     max_history: int = 50,
     tiebreak: list[str] = (),
     only: str | None = None,
+    digits: int = 2,
 ) -> DataFrame:
     """Runtime profile per model over its newest ``max_history`` runs, slowest mean first.
 
@@ -141,11 +142,11 @@ def runtime_stats(
     shaped = grouped.select(model, "h", ranked.alias("r"), half.alias("half"))
     return shaped.select(
         F.col(model).alias("model_name"),
-        F.round(mean(times), 2).alias("average_seconds"),
-        F.round(median, 2).alias("median_seconds"),
-        F.round(F.get(F.col("r"), F.lit(0)), 2).alias("min_seconds"),
-        F.round(F.element_at("r", -1), 2).alias("max_seconds"),
-        F.round(F.element_at(F.col("r"), p95_place), 2).alias("p95_seconds"),
+        F.round(mean(times), digits).alias("average_seconds"),
+        F.round(median, digits).alias("median_seconds"),
+        F.round(F.get(F.col("r"), F.lit(0)), digits).alias("min_seconds"),
+        F.round(F.element_at("r", -1), digits).alias("max_seconds"),
+        F.round(F.element_at(F.col("r"), p95_place), digits).alias("p95_seconds"),
         n.cast("bigint").alias("run_count"),
         F.element_at("h", -1)["t"].alias("last_run"),
         F.element_at("h", -1)["state"].alias("last_status"),

@@ -10,7 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # A side is broadcast only when its plan proves it is at most this big.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -55,3 +58,12 @@ def small_enough(df: DataFrame, limit: int = BROADCAST_MAX_BYTES) -> bool:
     filters, so parquet input is allowed a tenth of the limit to cover decompression.
     """
     return plan_bytes(df) * 10 <= limit
+
+
+def metadata_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A frame of catalog facts (never table data), held by the plan itself."""
+    schema = T.StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)

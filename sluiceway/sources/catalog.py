@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.text import humanize_name
 from sluiceway.operators.profiling import column_statistics
+from sluiceway.runtime import metadata_frame
 
 # Kinds of real tables (with and without a primary index).
 TABLE_KINDS = ("T", "O")
@@ -69,7 +70,7 @@ def catalog_snapshot(
                     f.name in keys.get(table, []),
                 )
             )
-    out = spark.createDataFrame(rows, _ROW).withColumn("database_name", F.lit(database))
+    out = metadata_frame(spark, rows, _ROW).withColumn("database_name", F.lit(database))
     described = humanize_name(F.col("column_name"), F.col("type_code"))
     return out.withColumn("description", F.coalesce("description", described))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators import conflict as k
 from sluiceway.operators import quality as q
+from sluiceway.runtime import metadata_frame
 from sluiceway.workload.registry import Tables, query, ts
 
 # Orders with planted faults: no status on urgent ones, no customer above 400 000,
@@ -175,7 +176,8 @@ _CATALOG = [
 )
 def derived_tests(t: Tables):
     """Tests follow from the catalog, then run over the tables."""
-    catalog = t.spark.createDataFrame(
+    catalog = metadata_frame(
+        t.spark,
         _CATALOG,
         "table_name string, column_name string, is_primary_key boolean, nullable boolean, "
         "ref_table string, ref_column string",
