@@ -26,24 +26,28 @@ def edit_ratio(a: Column, b: Column) -> Column:
     )
 
 
-def fuzzy_token_score(keyword: Column, target: Column) -> Column:
-    """Similarity of a keyword to a name between 0 and 1.
+def _near(a: Column, b: Column) -> Column:
+    """Similarity of two texts, or 0 where their lengths alone rule out ``SIMILAR_FROM``."""
+    shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    return F.when(shorter < longer * (SIMILAR_FROM - 0.01), F.lit(0.0)).otherwise(edit_ratio(a, b))
 
-    Exact beats whole word beats word prefix beats spelling similarity; NULL counts as
-    empty and scores 0. The edit distances are computed only for rows that reach that tier.
-    """
-    kw = F.lower(F.trim(F.coalesce(keyword, F.lit(""))))
-    name = F.lower(F.trim(F.coalesce(target, F.lit(""))))
-    words = F.split(name, TOKEN_SEPARATORS)
-    closest = F.greatest(
-        F.array_max(F.transform(words, lambda w: edit_ratio(kw, w))),
-        edit_ratio(kw, name),
+
+def clean(text: Column) -> Column:
+    return F.lower(F.trim(F.coalesce(text, F.lit(""))))
+
+
+def words_of(name: Column) -> Column:
+    return F.split(name, TOKEN_SEPARATORS)
+
+
+def score_clean(kw: Column, name: Column, words: Column) -> Column:
+    """The token score of texts that are already ``clean``, with the words of the name."""
+    ratios = F.transform(F.array_append(words, name), lambda w: _near(kw, w))
+    graded = F.transform(
+        F.filter(ratios, lambda r: r >= SIMILAR_FROM),
+        lambda r: F.lit(SIMILAR_BASE)
+        + F.lit(SIMILAR_SPAN) * ((r - F.lit(SIMILAR_FROM)) / F.lit(SIMILAR_SPAN)),
     )
-    graded = F.when(
-        closest >= SIMILAR_FROM,
-        F.lit(SIMILAR_BASE)
-        + F.lit(SIMILAR_SPAN) * ((closest - F.lit(SIMILAR_FROM)) / F.lit(SIMILAR_SPAN)),
-    ).otherwise(F.lit(0.0))
     return (
         F.when((kw == "") | (name == ""), F.lit(0.0))
         .when(kw == name, F.lit(EXACT))
@@ -52,10 +56,21 @@ def fuzzy_token_score(keyword: Column, target: Column) -> Column:
             (F.length(kw) >= PREFIX_MIN_LEN) & F.exists(words, lambda w: F.startswith(w, kw)),
             F.lit(TOKEN_PREFIX),
         )
-        .otherwise(graded)
+        .otherwise(F.coalesce(F.array_max(graded), F.lit(0.0)))
     )
 
 
+def fuzzy_token_score(keyword: Column, target: Column) -> Column:
+    """Similarity of a keyword to a name between 0 and 1.
+
+    Exact beats whole word beats word prefix beats spelling similarity; NULL counts as
+    empty and scores 0. Edit distances are computed only for rows that reach that tier and
+    only between texts of similar length.
+    """
+    name = clean(target)
+    return score_clean(clean(keyword), name, words_of(name))
+
+
 def name_similarity(target: Column, name: Column) -> Column:
     """The better of plain spelling similarity and the token score."""
     spelled = edit_ratio(F.lower(target), F.lower(name))

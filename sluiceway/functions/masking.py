@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,7 @@ _CAMEL_EDGE = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _WORD_GAP = re.compile(r"[_\-]+")
 
 
+@lru_cache(maxsize=65536)
 def is_secret_key(key: str) -> bool:
     """True for ``dbPassword`` or ``my-api_key``; false for ``token_url`` or ``primary_key``."""
     words = _WORD_GAP.sub(" ", _CAMEL_EDGE.sub("_", key)).strip().lower()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.joins import small_side
-from sluiceway.runtime import settle
+from sluiceway.runtime import settle_counted
 
 
 def co_access(
@@ -59,14 +59,14 @@ def lineage_closure(
             .join(seen, "node", "left_anti")
             .withColumn("depth", F.lit(depth))
         )
-        settled = settle(found, "closure")
-        if settled.isEmpty():
+        settled, count = settle_counted(found, "closure")
+        if not count:
             break
         rounds.append(settled)
         frontier = settled.select("node")
         seen = seen.unionByName(frontier)
     if not rounds:
-        return spark.createDataFrame([], steps.select("node").schema.add("depth", "int"))
+        return frontier.withColumn("depth", F.lit(0)).filter(F.lit(False))
     out = rounds[0]
     for r in rounds[1:]:
         out = out.unionByName(r)

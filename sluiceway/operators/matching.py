@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.fuzzy import fuzzy_token_score, name_similarity
+from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
 from sluiceway.runtime import small_enough
 
 # Words that carry no intent.
@@ -53,27 +53,42 @@ def _text(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")) if column in df.columns else F.lit("")
 
 
-def _fuzzy_part(df: DataFrame, part: str, keyword: Column) -> Column:
-    if part in _LISTS:
-        scores = F.transform(F.col(part), lambda c: fuzzy_token_score(keyword, c.cast("string")))
-        return F.coalesce(F.array_max(scores), F.lit(0.0))
-    return fuzzy_token_score(keyword, _text(df, part))
+def _texts(df: DataFrame, part: str) -> Column:
+    """The texts of a part, cleaned and split into words once per row."""
+    texts = F.col(part) if part in _LISTS else F.array(F.col(part))
+    names = F.transform(F.coalesce(texts, F.array()), lambda x: clean(x.cast("string")))
+    return F.transform(names, lambda t: F.struct(t.alias("name"), words_of(t).alias("words")))
 
 
 def rank_by_keywords(items: DataFrame, keywords: list[str], output: str = "score") -> DataFrame:
-    """Weighted fuzzy score over name, namespace, description, best column and best tag."""
+    """Weighted fuzzy score over name, namespace, description, best column and best tag.
+
+    The expression has the same size for any number of keywords.
+    """
     parts = [p for p in FUZZY_WEIGHTS if p in items.columns]
     if not keywords or not parts:
         return items.withColumn(output, F.lit(0.0))
-    words = F.array(*[F.lit(k) for k in keywords])
+    weighted = F.array(
+        *[
+            F.struct(F.lit(FUZZY_WEIGHTS[p]).alias("weight"), _texts(items, p).alias("texts"))
+            for p in parts
+        ]
+    )
 
-    def score(keyword: Column) -> Column:
-        return reduce(
-            lambda a, b: a + b, [_fuzzy_part(items, p, keyword) * FUZZY_WEIGHTS[p] for p in parts]
+    def score(kw: Column, part: Column) -> Column:
+        best = F.array_max(
+            F.transform(part["texts"], lambda t: score_clean(kw, t["name"], t["words"]))
         )
+        return F.coalesce(best, F.lit(0.0)) * part["weight"]
 
-    total = F.aggregate(words, F.lit(0.0).cast("double"), lambda acc, k: acc + score(k))
-    return items.withColumn(output, total)
+    pairs = F.flatten(
+        F.transform(
+            F.array(*[F.lit(k.strip().lower()) for k in keywords]),
+            lambda k: F.transform("_parts", lambda p: score(k, p)),
+        )
+    )
+    total = F.aggregate(pairs, F.lit(0.0).cast("double"), lambda a, b: a + b)
+    return items.withColumn("_parts", weighted).withColumn(output, total).drop("_parts")
 
 
 def substring_score(items: DataFrame, keywords: list[str], output: str = "score") -> DataFrame:
@@ -147,7 +162,6 @@ def select_for_intent(
     limit: int | None = None,
 ) -> DataFrame:
     """Items that match the keywords and pass the policy, best first, with their sync mode."""
-    ranked = rank_by_keywords(catalog, keywords).filter(F.col("score") > 0)
     namespace = F.lower(F.coalesce("namespace", F.lit("")))
     keep = F.col("name").isNotNull()
     if disallowed_names:
@@ -156,15 +170,20 @@ def select_for_intent(
         keep = keep & ((namespace == "") | namespace.isin([n.lower() for n in allowed_namespaces]))
     if disallowed_namespaces:
         keep = keep & ~namespace.isin([n.lower() for n in disallowed_namespaces])
-    chosen = ranked.filter(keep)
+    chosen = catalog.filter(keep)
     if max_sensitivity.lower() in ("low", "medium"):
         flagged = flag_sensitive(chosen, restricted_markers)
         chosen = flagged.filter(~F.col("restricted")).drop("restricted")
     modes = F.transform("supported_sync_modes", lambda m: F.lower(m))
     incremental = F.coalesce(F.array_contains(modes, "incremental"), F.lit(False))
-    out = chosen.withColumn(
+    ranked = rank_by_keywords(chosen, keywords, "_score").withColumn(
         "sync_mode", F.when(incremental, "incremental").otherwise("full_refresh")
-    ).orderBy(F.desc("score"), "name", "namespace")
+    )
+    # Dropping zero scores by ``inline`` keeps the score from being computed again in a
+    # filter below the projection.
+    hit = F.filter(F.array(F.struct(F.col("_score").alias("score"))), lambda x: x["score"] > 0)
+    out = ranked.select(*catalog.columns, "sync_mode", F.inline(hit))
+    out = out.orderBy(F.desc("score"), "name", "namespace")
     return out.limit(limit) if limit else out
 
 
@@ -189,6 +208,7 @@ def best_match(
     shown = items.select(
         F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"), sizes.alias("sizes")
     )
+    shown = shown.filter(F.col("id").isNotNull() & (F.col("name") != ""))
     low = F.lower("name")
     words = F.regexp_extract_all(low, F.lit("([a-z0-9]+)"), F.lit(1))
     pieces = F.flatten(
@@ -212,9 +232,7 @@ def best_match(
         keyed(F.array_distinct(words), _ANY_WORD),
         keyed(F.array_distinct(pieces), _INSIDE),
     )
-    exploded = shown.filter(F.col("name") != "").select(
-        "id", "name", F.inline(entries)
-    )
+    exploded = shown.select("id", "name", F.inline(entries))
     if small_enough(wanted):
         exploded = exploded.join(F.broadcast(wanted), "key", "left_semi")
     length = F.length("name")

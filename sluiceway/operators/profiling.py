@@ -8,46 +8,56 @@ from pyspark.sql import types as T
 
 from sluiceway.operators.sampling import sample_rows
 
-# Longer values are compared by digest, so a distinct count never shuffles long texts.
-_PLAIN_KEY_CHARS = 64
-
 _NUMBERS = T.NumericType
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
-def _key(field: T.StructField) -> Column:
-    """Text that is equal exactly when two values of the column are equal."""
+_TEXTS = (T.StringType, T.CharType, T.VarcharType)
+_ONE_WORD = (
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.BooleanType,
+    *_TIMES,
+)
+
+
+def _keys(field: T.StructField) -> tuple[Column, Column]:
+    """Two 64-bit words that are equal exactly when two values of the column are.
+
+    The hash of a value of at most eight bytes is one-to-one, so one word is exact (and -0.0
+    equals 0.0). Anything longer gets two hashes of different seed, 128 bits together.
+    """
     v = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return (v + F.lit(0.0)).cast("string")  # -0.0 equals 0.0
-    if isinstance(field.dataType, T.BinaryType):
-        return F.sha2(v, 256)
-    if isinstance(field.dataType, (T.ArrayType, T.StructType)):
-        return F.sha2(F.to_json(v), 256)
-    if isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType)):
-        long = F.length(v) > _PLAIN_KEY_CHARS
-        return F.when(long, F.concat(F.lit("#"), F.sha2(v.cast("binary"), 256))).otherwise(
-            F.concat(F.lit("="), v)
-        )
-    return v.cast("string")
+    if isinstance(field.dataType, _ONE_WORD):
+        return F.when(v.isNotNull(), F.xxhash64(v)), F.lit(0).cast("bigint")
+    if not isinstance(field.dataType, (*_TEXTS, T.BinaryType, T.DecimalType)):
+        v = F.to_json(v, {"ignoreNullFields": "false"})
+    return F.when(v.isNotNull(), F.xxhash64(v)), F.xxhash64(F.lit(1), v)
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column position as text, value key, rows), nulls left out.
+    """(column position, value key, rows), nulls left out.
 
-    All columns share one scan and one shuffle; equal values are merged before it, so a
-    value held by a third of the rows costs one record per task.
+    All columns share one scan and one shuffle of a few bytes per distinct value, however
+    long the texts; equal values are merged before it, so a value held by a third of the
+    rows costs one record per task.
     """
-    fields = [df.schema[c] for c in (columns or df.columns)]
-    keys = [_key(f).alias(str(i)) for i, f in enumerate(fields)]
-    long = df.select(*keys).unpivot([], [str(i) for i in range(len(fields))], "_column", "_key")
-    return long.filter(F.col("_key").isNotNull()).groupBy("_column", "_key").agg(
+    entries = []
+    for i, name in enumerate(columns or df.columns):
+        first, second = _keys(df.schema[name])
+        entries.append(
+            F.struct(F.lit(i).alias("_column"), first.alias("_key"), second.alias("_key2"))
+        )
+    long = df.select(F.inline(F.array(*entries)))
+    return long.filter(F.col("_key").isNotNull()).groupBy("_column", "_key", "_key2").agg(
         F.count(F.lit(1)).alias("_rows")
     )
 
 
 def _name_of(columns: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_column").cast("int") + 1)
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_column") + 1)
 
 
 def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -123,7 +133,7 @@ def profile_table(
     for i, f in enumerate(fields):
         v = F.col(f"`{f.name}`")
         number = isinstance(f.dataType, _NUMBERS)
-        text = isinstance(f.dataType, (T.StringType, T.CharType, T.VarcharType))
+        text = isinstance(f.dataType, _TEXTS)
         time = isinstance(f.dataType, _TIMES)
         named = {"non_null_count": F.count(v)}
         if number:

@@ -88,8 +88,8 @@ def test_unique(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column, how many values occur more than once (nulls ignored); one scan for all."""
     listed = metadata_frame(
         df.sparkSession,
-        [(str(i), c) for i, c in enumerate(columns)],
-        "_column string, column_name string",
+        list(enumerate(columns)),
+        "_column int, column_name string",
     )
     repeated = value_counts(df, columns).groupBy("_column").agg(
         F.count_if(F.col("_rows") > 1).alias("n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.operators.latest import newest_n
@@ -115,60 +115,61 @@ def runtime_stats(
     """Runtime profile per model over its newest ``max_history`` runs, slowest mean first.
 
     Mean, median, range, 95th percentile (the value at place ``int(0.95 n)`` of the sorted
-    runs), last run and trend, all exact. A model never holds more than ``max_history``
-    values, so they fit one array. ``only`` keeps models whose name contains it.
+    runs), last run and trend, all exact. Each map task passes on at most ``max_history``
+    runs per model; the rest works within that one partitioning. ``only`` keeps models whose
+    name contains it.
     """
     runs = df.filter(F.col(seconds).isNotNull())
     if only:
         runs = runs.filter(F.contains(F.lower(model), F.lit(only.lower())))
     kept = newest_n(runs, [model], time, max_history, tiebreak)
-    entry = F.struct(
-        F.col(time).alias("t"),
-        *[F.col(t).alias(f"b{i}") for i, t in enumerate(tiebreak)],
-        F.col(seconds).cast("double").alias("s"),
+    per_model = Window.partitionBy(model)
+    by_time = per_model.orderBy(F.asc(time), *[F.asc(t) for t in tiebreak])
+    s = F.col(seconds).cast("double")
+    placed = kept.select(
+        F.col(model).alias("model_name"),
+        F.col(time).alias("time"),
         F.col(status).alias("state"),
+        s.alias("s"),
+        F.count(F.lit(1)).over(per_model).alias("n"),
+        F.row_number().over(by_time).alias("turn"),
+        F.row_number().over(per_model.orderBy(s)).alias("rank"),
     )
-    grouped = kept.groupBy(model).agg(F.sort_array(F.collect_list(entry)).alias("h"))
-    n, half = F.size("h"), F.floor(F.size("h") / 2).cast("int")
-    times = F.transform("h", lambda x: x["s"])
-    ranked = F.sort_array(times)
-
-    def mean(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0).cast("double"), lambda a, b: a + b) / F.size(values)
-
-    p95_place = F.least(F.floor(n * 0.95).cast("int") + 1, n)
-    odd = F.get(F.col("r"), F.col("half"))
-    median = F.when(n % 2 == 0, (F.get(F.col("r"), F.col("half") - 1) + odd) / 2).otherwise(odd)
-    shaped = grouped.select(model, "h", ranked.alias("r"), half.alias("half"))
-    return shaped.select(
-        F.col(model).alias("model_name"),
-        F.round(mean(times), digits).alias("average_seconds"),
-        F.round(median, digits).alias("median_seconds"),
-        F.round(F.get(F.col("r"), F.lit(0)), digits).alias("min_seconds"),
-        F.round(F.element_at("r", -1), digits).alias("max_seconds"),
-        F.round(F.element_at(F.col("r"), p95_place), digits).alias("p95_seconds"),
-        n.cast("bigint").alias("run_count"),
-        F.element_at("h", -1)["t"].alias("last_run"),
-        F.element_at("h", -1)["state"].alias("last_status"),
-        trend_of(times).alias("trend"),
+    n, turn, rank, s = F.col("n"), F.col("turn"), F.col("rank"), F.col("s")
+    half = F.floor(n / 2)
+    middle = (rank == F.floor((n + 1) / 2)) | (rank == half + 1)
+    p95_place = F.least(F.floor(n * 0.95) + 1, n)
+    stats = placed.groupBy("model_name").agg(
+        F.avg(s).alias("mean"),
+        F.avg(F.when(middle, s)).alias("median"),
+        F.min(s).alias("lo"),
+        F.max(s).alias("hi"),
+        F.max(F.when(rank == p95_place, s)).alias("p95"),
+        F.count(F.lit(1)).alias("run_count"),
+        F.max("time").alias("last_run"),
+        F.max_by("state", "turn").alias("last_status"),
+        F.avg(F.when(turn <= half, s)).alias("early"),
+        F.avg(F.when(turn > half, s)).alias("late"),
+    )
+    return stats.select(
+        "model_name",
+        F.round("mean", digits).alias("average_seconds"),
+        F.round("median", digits).alias("median_seconds"),
+        F.round("lo", digits).alias("min_seconds"),
+        F.round("hi", digits).alias("max_seconds"),
+        F.round("p95", digits).alias("p95_seconds"),
+        "run_count",
+        "last_run",
+        "last_status",
+        trend(F.col("run_count"), F.col("early"), F.col("late")).alias("trend"),
     ).orderBy(F.desc("average_seconds"), "model_name")
 
 
-def trend_of(times: Column) -> Column:
-    """Compare the mean of the later half of the runs with the earlier one."""
-    n = F.size(times)
-    half = F.floor(n / 2).cast("int")
-
-    def mean(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0).cast("double"), lambda a, b: a + b) / F.size(values)
-
-    enough = n >= TREND_MIN_RUNS
-    early = mean(F.slice(times, F.lit(1), F.when(enough, half).otherwise(F.lit(1))))
-    late = mean(F.slice(times, F.when(enough, half + 1).otherwise(F.lit(1)), n))
-    change = F.when(early > 0, (late - early) / early)
+def trend(run_count: Column, early: Column, late: Column) -> Column:
+    """Compare the mean of the later half of the runs with that of the earlier half."""
+    change = F.when((run_count >= TREND_MIN_RUNS) & (early > 0), (late - early) / early)
     return (
-        F.when(~enough | change.isNull(), "stable")
-        .when(change > TREND_CHANGE, "degrading")
+        F.when(change > TREND_CHANGE, "degrading")
         .when(change < -TREND_CHANGE, "improving")
         .otherwise("stable")
     )

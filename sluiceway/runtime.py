@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -26,9 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="sluiceway-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="sluiceway-")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
@@ -36,14 +41,15 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def settle_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` as a table in the shared folder; return it as read back, and its rows.
 
-    Cuts the lineage of iterative plans; the files outlive any executor.
+    Cuts the lineage of iterative plans; the files outlive any executor. The rows are
+    counted while they are written.
     """
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path, counted = new_dir(df.sparkSession, label), Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -51,13 +57,19 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Steps whose output can be many times what Catalyst estimates from their input.
+_WIDENING = ("Generate", "MapIn", "FlatMap", "Expand", "Join Cross")
+
+
 def small_enough(df: DataFrame, limit: int = BROADCAST_MAX_BYTES) -> bool:
     """True when the plan estimate proves that ``df`` fits a broadcast.
 
     For a plan over files the estimate starts from file bytes and does not shrink with
-    filters, so parquet input is allowed a tenth of the limit to cover decompression.
+    filters, so parquet input is allowed a tenth of the limit to cover decompression. Plans
+    with steps that multiply rows prove nothing.
     """
-    return plan_bytes(df) * 10 <= limit
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(step in plan for step in _WIDENING) and plan_bytes(df) * 10 <= limit
 
 
 def metadata_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:

@@ -16,9 +16,12 @@ HEAD_LINES = 21
 HEAD_CHARS = 8192
 SAMPLE_HEAD_ROWS = 1000
 
-# Accepted date spellings.
-DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d-M-yyyy")
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Accepted date spellings and what they look like.
+DATE_FORMATS = {
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+}
 
 # Bounds of inferred text widths.
 DEFAULT_WIDTH, MIN_WIDTH, MAX_WIDTH, WIDTH_MARGIN = 255, 50, 64000, 1.5
@@ -132,97 +135,94 @@ def _filled(column: str) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
+def _date_as(text: Column, fmt: str) -> Column:
+    """Parse only what looks right: a failed parse is far dearer than a pattern."""
+    return F.when(F.rlike(F.trim(text), F.lit(DATE_FORMATS[fmt])), F.try_to_date(F.trim(text), fmt))
+
+
 def parse_date(text: Column) -> Column:
-    return F.coalesce(*[F.try_to_date(F.trim(text), f) for f in DATE_FORMATS])
+    return F.coalesce(*[_date_as(text, f) for f in DATE_FORMATS])
 
 
 def infer_schema(df: DataFrame) -> DataFrame:
     """One row per column of an all-text frame: type, null and distinct counts, width, samples.
 
     Blank text counts as null. A type is given only when every value parses. Whole table:
-    one scan folds all parse counts into a single row, a second one counts distinct values.
+    one pass over (column, text) pairs folds all parse counts into a row per column before
+    any shuffle, a second pass counts distinct values.
     """
-    measured = []
-    for i, name in enumerate(df.columns):
-        v = _filled(name)
-        as_int = v.try_cast("bigint")
-        measured += [
-            F.count(v).alias(f"n_{i}"),
-            F.count(as_int).alias(f"ints_{i}"),
-            F.min(as_int).alias(f"lo_{i}"),
-            F.max(as_int).alias(f"hi_{i}"),
-            F.count_if(F.rlike(v, F.lit(_NUMBER))).alias(f"nums_{i}"),
-            F.count_if(F.lower(F.trim(v)).isin("true", "false")).alias(f"bools_{i}"),
-            F.max(F.length(v)).alias(f"width_{i}"),
-            *[
-                F.count(F.try_to_date(F.trim(v), f)).alias(f"date{j}_{i}")
-                for j, f in enumerate(DATE_FORMATS)
-            ],
-        ]
-    totals = df.agg(F.count(F.lit(1)).alias("rows"), *measured)
-
-    def verdict(i: int) -> Column:
-        n, lo, hi = F.col(f"n_{i}"), F.col(f"lo_{i}"), F.col(f"hi_{i}")
-        width = F.least(F.floor(F.col(f"width_{i}") * WIDTH_MARGIN), F.lit(MAX_WIDTH))
-        one_date = [F.col(f"date{j}_{i}") == n for j in range(len(DATE_FORMATS))]
-        return (
-            F.when(n == 0, F.lit(f"VARCHAR({DEFAULT_WIDTH})"))
-            .when(
-                F.col(f"ints_{i}") == n,
-                F.when((lo >= -128) & (hi <= 127), "BYTEINT")
-                .when((lo >= -32768) & (hi <= 32767), "SMALLINT")
-                .when((lo >= -2147483648) & (hi <= 2147483647), "INTEGER")
-                .otherwise("BIGINT"),
-            )
-            .when(F.col(f"nums_{i}") == n, "DECIMAL(15,2)")
-            .when(F.col(f"bools_{i}") == n, "BYTEINT")
-            .when(one_date[0] | one_date[1] | one_date[2], "DATE")
-            .otherwise(
-                F.concat(F.lit("VARCHAR("), F.greatest(width, F.lit(MIN_WIDTH)).cast("string"), F.lit(")"))
-            )
-        )
-
-    per_column = totals.select(
+    names = df.columns
+    filled = df.select(*[_filled(c).alias(c) for c in names])
+    pairs = filled.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(i + 1).alias("position"),
-                        F.lit(name).alias("column_name"),
-                        verdict(i).alias("inferred_type"),
-                        (F.col("rows") - F.col(f"n_{i}")).alias("null_count"),
-                        F.col(f"width_{i}").alias("width"),
-                    )
-                    for i, name in enumerate(df.columns)
+                    F.struct(F.lit(i + 1).alias("position"), F.col(f"`{c}`").alias("v"))
+                    for i, c in enumerate(names)
                 ]
             )
         )
     )
-    head = df.limit(SAMPLE_HEAD_ROWS).agg(
-        *[F.slice(F.collect_list(_filled(c)), 1, 5).alias(f"s_{i}") for i, c in enumerate(df.columns)]
+    v, n = F.col("v"), F.col("n")
+    as_int = v.try_cast("bigint")
+    formats = list(enumerate(DATE_FORMATS))
+    counted = pairs.groupBy("position").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(v).alias("n"),
+        F.count(as_int).alias("ints"),
+        F.min(as_int).alias("lo"),
+        F.max(as_int).alias("hi"),
+        F.count_if(F.rlike(v, F.lit(_NUMBER))).alias("numbers"),
+        F.count(v.try_cast("decimal(15,2)")).alias("decimals"),
+        F.count_if(F.lower(F.trim(v)).isin("true", "false")).alias("flags"),
+        F.max(F.length(v)).alias("width"),
+        *[F.count(_date_as(v, f)).alias(f"dates_{i}") for i, f in formats],
+    )
+    lo, hi = F.col("lo"), F.col("hi")
+    integer = (
+        F.when((lo >= -128) & (hi <= 127), "BYTEINT")
+        .when((lo >= -32768) & (hi <= 32767), "SMALLINT")
+        .when((lo >= -2147483648) & (hi <= 2147483647), "INTEGER")
+        .otherwise("BIGINT")
+    )
+    width = F.least(F.floor(F.col("width") * WIDTH_MARGIN), F.lit(MAX_WIDTH))
+    text = F.concat(
+        F.lit("VARCHAR("), F.greatest(width, F.lit(MIN_WIDTH)).cast("string"), F.lit(")")
     )
-    samples = head.select(
+    verdict = F.when(n == 0, F.lit(f"VARCHAR({DEFAULT_WIDTH})")).when(F.col("ints") == n, integer)
+    number = F.when(F.col("decimals") == n, "DECIMAL(15,2)").otherwise("FLOAT")
+    verdict = verdict.when(F.col("numbers") == n, number).when(F.col("flags") == n, "BYTEINT")
+    for i, _ in formats:
+        verdict = verdict.when(F.col(f"dates_{i}") == n, "DATE")
+    # The samples are the first values of a bounded head.
+    head = filled.limit(SAMPLE_HEAD_ROWS).agg(
+        *[F.slice(F.collect_list(f"`{c}`"), 1, 5).alias(f"s_{i}") for i, c in enumerate(names, 1)]
+    )
+    listed = head.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i + 1).alias("position"), F.col(f"s_{i}").alias("samples"))
-                    for i in range(len(df.columns))
+                    F.struct(
+                        F.lit(i).alias("position"),
+                        F.lit(c).alias("column_name"),
+                        F.col(f"s_{i}").alias("samples"),
+                    )
+                    for i, c in enumerate(names, 1)
                 ]
             )
         )
     )
-    distinct = distinct_counts(df.select(*[_filled(c).alias(c) for c in df.columns]))
-    is_text = F.col("inferred_type").startswith("VARCHAR")
+    none = F.lit(0).cast("bigint")
     return (
-        per_column.join(distinct, "column_name", "left")
-        .join(samples, "position", "left")
+        listed.join(counted.withColumn("inferred_type", verdict.otherwise(text)), "position", "left")
+        .join(distinct_counts(filled), "column_name", "left")
         .select(
             "position",
             "column_name",
-            "inferred_type",
-            "null_count",
-            F.coalesce("distinct_count", F.lit(0).cast("bigint")).alias("unique_count"),
-            F.when(is_text, F.col("width")).alias("max_length"),
+            F.coalesce("inferred_type", F.lit(f"VARCHAR({DEFAULT_WIDTH})")).alias("inferred_type"),
+            F.coalesce(F.col("rows") - n, none).alias("null_count"),
+            F.coalesce("distinct_count", none).alias("unique_count"),
+            F.when(F.col("inferred_type").startswith("VARCHAR"), F.col("width")).alias("max_length"),
             "samples",
         )
     )

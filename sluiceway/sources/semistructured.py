@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 
 def unpack_raw(df: DataFrame, schema: T.StructType | str, column: str = "_data") -> DataFrame:
-    """Typed columns from a JSON text column; unparseable text gives nulls and is kept in ``_bad``."""
-    parsed = F.from_json(F.col(column), schema, {"mode": "PERMISSIVE"})
-    readable = F.try_parse_json(F.col(column)).isNotNull()
-    out = df.withColumn("_parsed", parsed).withColumn(
-        "_bad", F.when(~readable, F.col(column))
-    )
-    return out.drop(column).select("*", "_parsed.*").drop("_parsed")
+    """Typed columns from a JSON text column; text that does not fit gives nulls, kept in ``_bad``."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.from_json(F.col(column), full, {"columnNameOfCorruptRecord": "_bad"})
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, parsed.alias("_parsed")).select(*rest, "_parsed.*")
 
 
 def unpack_open(df: DataFrame, paths: dict[str, tuple[str, str]], column: str = "_data") -> DataFrame:

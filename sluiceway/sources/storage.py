@@ -42,6 +42,7 @@ def publish_files(spark: SparkSession, staged: str, target: str) -> None:
         return
     for f in data_files(spark, staged):
         move(spark, f, f"{target}/{f.rsplit('/', 1)[-1]}")
+    remove(spark, staged)
 
 
 def swap_in(df: DataFrame, path: str, backup_path: str | None = None) -> None:

@@ -31,42 +31,34 @@ def load_append(
 
     ``checked`` comes from ``cast_to_schema``. Rows that did not convert land in
     ``<path>_et``; rows repeating a key (all but the first by ``order``) in ``<path>_uv``.
-    The input is read, converted and written once, split by outcome; the good part is
-    published only if no more than ``error_limit`` rows failed.
+    The good rows are written beside the table while all outcomes are counted, and moved in
+    only if no more than ``error_limit`` rows failed. A load without failures reads its
+    input once.
     """
     spark = checked.sparkSession
     bad = F.size("_errors") > 0
+    outcome, rows = F.when(bad, "et"), checked
     if keys:
-        good = checked.filter(~bad)
-        flagged = mark_unique_violations(good, keys, order or keys)
-        outcome = F.when(F.col("_repeat"), "uv").otherwise("good")
-        rows = flagged.withColumn("_outcome", outcome).drop("_repeat").unionByName(
-            checked.filter(bad).withColumn("_outcome", F.lit("et"))
-        )
-    else:
-        rows = checked.withColumn("_outcome", F.when(bad, "et").otherwise("good"))
-    counted = Observation()
-    rows = rows.observe(
-        counted,
-        F.count_if(F.col("_outcome") == "good").alias("good"),
-        F.count_if(F.col("_outcome") == "et").alias("et"),
-        F.count_if(F.col("_outcome") == "uv").alias("uv"),
-    )
+        rows = mark_unique_violations(checked, keys, order or keys, among=~bad)
+        outcome = outcome.when(F.col("_repeat"), "uv")
+    rows = rows.withColumn("_outcome", outcome.otherwise("good")).drop("_repeat")
+    outcomes, counted = ("good", "et", "uv"), Observation()
     staged = f"{path.rstrip('/')}__load_{uuid.uuid4().hex}"
-    clean = rows.filter("_outcome = 'good'").drop("_errors", "_raw", "_outcome").schema
-    rows.write.partitionBy("_outcome").parquet(staged)
-    result = {k: int(v) for k, v in counted.get.items()}
+    (
+        rows.observe(counted, *[F.count_if(F.col("_outcome") == o).alias(o) for o in outcomes])
+        .filter("_outcome = 'good'")
+        .drop("_errors", "_raw", "_outcome")
+        .write.parquet(staged)
+    )
+    result = {o: int(counted.get[o]) for o in outcomes}
     for part in ("et", "uv"):
         if result[part]:
-            storage.publish_files(spark, f"{staged}/_outcome={part}", f"{path.rstrip('/')}_{part}")
+            failed = rows.filter(F.col("_outcome") == part).drop("_outcome")
+            failed.write.mode("append").parquet(f"{path.rstrip('/')}_{part}")
     if result["et"] + result["uv"] > error_limit:
         storage.remove(spark, staged)
         raise TooManyRejects(f"{result['et'] + result['uv']} rows failed, limit {error_limit}")
-    if result["good"]:
-        storage.publish_files(spark, f"{staged}/_outcome=good", path)
-    elif not storage.exists(spark, path):
-        spark.createDataFrame([], clean).write.parquet(path)
-    storage.remove(spark, staged)
+    storage.publish_files(spark, staged, path)
     return result
 
 

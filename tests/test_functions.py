@@ -1,0 +1,229 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluiceway.functions import fuzzy, masking, text
+
+
+def column(spark, values, name="v"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def test_normalize_name(spark):
+    names = {
+        "Customer Name": "customer_name",
+        "__A--b..C__": "a_b_c",
+        "already_fine": "already_fine",
+        "É x": "x",
+        "": "",
+    }
+    df = column(spark, names).select("v", text.normalize_name(F.col("v")).alias("n"))
+    assert {r.v: r.n for r in df.collect()} == names
+
+
+@pytest.mark.parametrize(
+    "name, code, shown",
+    [
+        ("customer_id", "I", "Customer Id (INTEGER)"),
+        ("custName", "CV", "Cust Name (VARCHAR)"),
+        ("CREATED_AT", "TS", "Created At (TIMESTAMP)"),
+        ("x", "??", "X (??)"),
+    ],
+)
+def test_humanize_name(spark, name, code, shown):
+    df = spark.createDataFrame([(name, code)], "n string, c string")
+    assert df.select(text.humanize_name(F.col("n"), F.col("c"))).collect()[0][0] == shown
+
+
+def test_hash_key_depends_on_order_and_nulls(spark):
+    df = spark.sql("SELECT 'a' AS a, 'b' AS b, cast(null AS string) AS n")
+    h = df.select(
+        text.hash_key(F.col("a"), F.col("b")),
+        text.hash_key(F.col("b"), F.col("a")),
+        text.hash_key(F.col("a"), F.col("n")),
+    ).collect()[0]
+    assert len(set(h)) == 3
+
+
+def test_request_id(spark):
+    df = spark.sql("SELECT 'job' AS n, 'k1' AS k")
+    # sha256 of "job:k1"
+    import hashlib
+
+    want = hashlib.sha256(b"job:k1").hexdigest()[:16]
+    assert df.select(text.request_id(F.col("n"), F.col("k"))).collect()[0][0] == want
+
+
+def test_safe_cast(spark):
+    df = column(spark, ["2024-01-31 10:00:00", "nonsense", None, "2024-13-01"])
+    got = df.select(text.safe_cast_ts(F.col("v")).cast("timestamp_ntz").cast("string")).collect()
+    assert [r[0] for r in got] == ["2024-01-31 10:00:00", None, None, None]
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("password=abc rest", "password=***REDACTED*** rest"),
+        ("My Token: abc def", "My Token=***REDACTED*** def"),
+        ("SECRET   abc", "SECRET=***REDACTED***"),
+        ("the key is", "the key=***REDACTED***"),
+        ("monkey business", "monkey business"),
+        ("keys are fine", "keys are fine"),
+        ("my_password=abc", "my_password=abc"),
+        ("ékey=1", "ékey=1"),
+        ("password", "password"),
+        ("a credential:x, token=y", "a credential=***REDACTED*** token=***REDACTED***"),
+    ],
+)
+def test_redact_text(spark, before, after):
+    assert column(spark, [before]).select(text.redact_text(F.col("v"))).collect()[0][0] == after
+
+
+@pytest.mark.parametrize(
+    "key, secret",
+    [
+        ("password", True),
+        ("db_password", True),
+        ("dbPassword", True),
+        ("access-token", True),
+        ("accessToken", True),
+        ("api_key", True),
+        ("myApiKey", True),
+        ("apikey", True),
+        ("jdbc_url", True),
+        ("database_url", True),
+        ("connectionString", True),
+        ("connection_configuration", True),
+        ("credentials", True),
+        ("client_credential", True),
+        ("primary_key", False),
+        ("key", False),
+        ("token_url", False),
+        ("secrets_manager", False),
+        ("passwords", False),
+        ("url", False),
+        ("mytoken", False),
+        ("", False),
+    ],
+)
+def test_secret_keys(key, secret):
+    assert masking.is_secret_key(key) is secret
+
+
+DOCUMENT = {
+    "user": "bob",
+    "password": {"any": ["thing"]},
+    "nested": [{"api_key": 5, "rows": [[{"accessToken": "x"}], 1]}],
+    "extra": '{"token": "t", "keep": 1}',
+    "more": {"extra": "user:pw"},
+    "text": '{"private_key": "p", "note": "n"}',
+    "broken": '{"password": ',
+    "primary_key": "id",
+    "none": None,
+}
+
+
+def test_redact_json_at_any_depth(spark):
+    got = column(spark, [json.dumps(DOCUMENT)]).select(masking.redact_json("v")).collect()[0][0]
+    m = text.MASK
+    assert json.loads(got) == {
+        "user": "bob",
+        "password": m,
+        "nested": [{"api_key": m, "rows": [[{"accessToken": m}], 1]}],
+        "extra": json.dumps({"token": m, "keep": 1}),
+        "more": {"extra": m},
+        "text": json.dumps({"private_key": m, "note": "n"}),
+        "broken": '{"password": ',
+        "primary_key": "id",
+        "none": None,
+    }
+
+
+def test_redact_json_leaves_other_text(spark):
+    values = ["plain password", "{not json token", None, "", '{"a":1}', "[]", '{"tok\\u0065n": 1}']
+    got = [r[0] for r in column(spark, values).select(masking.redact_json("v")).collect()]
+    assert got[:6] == values[:6]
+    assert json.loads(got[6]) == {"token": text.MASK}
+
+
+def test_redact_json_of_known_schema(spark):
+    schema = T.StructType.fromDDL(
+        "id int, db_password string, logins array<struct<apiKey: string, n: int>>, m map<string, string>"
+    )
+    doc = '{"id":1,"db_password":"x","logins":[{"apiKey":"y","n":2},{"n":3}],"m":{"my_token":"z","o":"k"}}'
+    df = masking.redact_json_known(column(spark, [doc, "{}"]), "v", schema)
+    first, second = [json.loads(r[0]) for r in df.collect()]
+    m = text.MASK
+    assert first == {
+        "id": 1,
+        "db_password": m,
+        "logins": [{"apiKey": m, "n": 2}, {"n": 3}],
+        "m": {"my_token": m, "o": "k"},
+    }
+    assert second == {}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def plain_score(keyword, target):
+    """The score written out by hand, to compare with."""
+    import re
+
+    k, t = (keyword or "").lower().strip(), (target or "").lower().strip()
+    if not k or not t:
+        return 0.0
+    words = re.split(r"[_\-\s.]+", t)
+    if k == t:
+        return 1.0
+    if k in words:
+        return 0.95
+    if len(k) >= 3 and any(w.startswith(k) for w in words):
+        return 0.85
+    best = max(1 - distance(k, w) / max(len(k), len(w)) for w in [*words, t])
+    return 0.5 + 0.3 * ((best - 0.7) / 0.3) if best >= 0.7 else 0.0
+
+
+def test_fuzzy_score_against_plain_python(spark):
+    keywords = ["customer", "custmer", "ord", "or", "Nation ", "", None, "order_items", "a", "zz"]
+    targets = [
+        "customer",
+        "Customers",
+        "dim_customer",
+        "customer-order.items",
+        "national_id",
+        "nation",
+        "orders",
+        "order items",
+        "_order_",
+        "",
+        None,
+        "a",
+        "été",
+        "x" * 60,
+    ]
+    df = spark.createDataFrame(
+        [(k, t) for k in keywords for t in targets], "k string, t string"
+    ).withColumn("s", fuzzy.fuzzy_token_score(F.col("k"), F.col("t")))
+    for r in df.collect():
+        assert r.s == pytest.approx(plain_score(r.k, r.t), abs=1e-12), (r.k, r.t)
+
+
+def test_similarity_takes_the_better_score(spark):
+    df = spark.createDataFrame([("abcd", "abxy"), ("cat", "black_cat")], "a string, b string")
+    got = [r[0] for r in df.select(fuzzy.name_similarity(F.col("a"), F.col("b"))).collect()]
+    assert got == [0.5, 0.95]
+
+
+def test_seconds_between(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-03-02 00:00:01.5' AS b, timestamp_ntz'2024-03-01 00:00:00' AS a")
+    assert df.select(text.seconds_between(F.col("b"), F.col("a"))).collect()[0][0] == 86401.5
