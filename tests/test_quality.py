@@ -311,7 +311,7 @@ def test_catalog_search_and_listing(spark, rows):
     )
     assert [r.table_name for r in catalog_search(tables, "ORDER").collect()] == ["Orders", "order_items"]
     assert [r.table_name for r in catalog_search(tables, "order", "comment").collect()] == ["Orders", "customers"]
-    assert [r.table_name for r in catalog_search(tables, "o_d", database="db").collect()] == []
+    assert [r.table_name for r in catalog_search(tables, "o_d", database="db").collect()] == ["Orders"]
     assert [r.table_name for r in catalog_search(tables, "", limit=1).collect()] == ["Orders"]
     with pytest.raises(ValueError):
         catalog_search(tables, "x", "rows")
