@@ -52,9 +52,27 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small_enough(df) else df
 
 
+# Copies of one key that may remain on the key side of a semi or anti join.
+KEY_SALTS = 64
+
+
+def key_side(df: DataFrame, on: list[str]) -> DataFrame:
+    """The keys of ``df`` as the right side of a semi or anti join.
+
+    Broadcast if provably small. Otherwise repeats are merged per key and salt, which caps a
+    hot key at a few copies and, unlike a plain distinct, leaves the join an exchange of its
+    own on this side: that is what lets adaptive execution split hot keys of the other side.
+    """
+    keys = df.select(*on)
+    if small_enough(keys):
+        return F.broadcast(keys)
+    salted = keys.withColumn("_salt", F.spark_partition_id() % KEY_SALTS)
+    return salted.groupBy(*on, "_salt").agg(F.count(F.lit(1)).alias("_n")).select(*on)
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
-    return df.join(small_side(keys.select(*on)), on, "left_semi")
+    return df.join(key_side(keys, on), on, "left_semi")
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -72,9 +90,10 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """The child rows themselves; runtime skew handling splits hot keys of the row side."""
+    """The child rows themselves; adaptive execution splits hot keys of the row side."""
     parents = parent.select(F.col(parent_column).alias(column))
-    return child.filter(F.col(column).isNotNull()).join(small_side(parents), column, "left_anti")
+    children = child.filter(F.col(column).isNotNull())
+    return children.join(key_side(parents, [column]), column, "left_anti")
 
 
 def one_row(**summaries: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Newest rows per key.
 
-Both functions filter on ``row_number``, which lets Spark cut every key down to its first
+All functions filter on ``row_number``, which lets Spark cut every key down to its first
 rows inside each map task (WindowGroupLimit) before the shuffle: a key that holds a third
 of the table sends a few rows per task.
 """
@@ -11,17 +11,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+def placed_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+    """The first ``n`` rows per key with their ``_place``."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    return df.withColumn("_place", place).filter(F.col("_place") <= n)
+
+
+def newest_first(cursor: str, tiebreak: list[str] = ()) -> list[Column]:
+    return [F.desc_nulls_last(c) for c in (cursor, *tiebreak)]
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
+    return placed_per_key(df, keys, order, n).drop("_place")
 
 
 def keep_latest(df: DataFrame, keys: list[str], cursor: str, tiebreak: list[str] = ()) -> DataFrame:
     """One row per key: the newest by ``cursor``, then by ``tiebreak`` (highest wins)."""
-    return first_per_key(df, keys, [F.desc_nulls_last(c) for c in (cursor, *tiebreak)])
+    return first_per_key(df, keys, newest_first(cursor, tiebreak))
 
 
 def newest_n(
     df: DataFrame, keys: list[str], cursor: str, n: int, tiebreak: list[str] = ()
 ) -> DataFrame:
-    return first_per_key(df, keys, [F.desc_nulls_last(c) for c in (cursor, *tiebreak)], n)
+    return first_per_key(df, keys, newest_first(cursor, tiebreak), n)

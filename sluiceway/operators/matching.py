@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
-from sluiceway.runtime import small_enough
+from sluiceway.runtime import BROADCAST_MAX_BYTES
 
 # Words that carry no intent.
 STOP_WORDS = (
@@ -118,13 +118,10 @@ def keywords_of(text: Column, extra: dict[str, list[str]] | None = None) -> Colu
         F.split(F.lower(text), "[^a-zA-Z0-9_]+"),
         lambda w: (F.length(w) > 2) & ~w.isin(STOP_WORDS),
     )
-    widened = F.transform(
-        words,
-        lambda w: F.concat(
-            F.array(w), F.coalesce(F.try_element_at(lookup, w), F.array().cast("array<string>"))
-        ),
-    )
-    return F.array_distinct(F.flatten(widened))
+    found = F.array_distinct(words)
+    bases = F.array_intersect(found, F.array(*[F.lit(k) for k in synonyms]))
+    more = F.flatten(F.transform(bases, lambda w: F.element_at(lookup, w)))
+    return F.array_union(found, more)
 
 
 def expand_keywords(
@@ -196,48 +193,43 @@ def best_match(
 ) -> DataFrame:
     """Best item per needle: whole name, first word, any word, then substring.
 
-    Ties go to the shorter name, then to the smaller id. Every name is expanded into the
-    keys it can be found by (itself, its words, its substrings as long as some needle); each
-    key keeps only its best item before the shuffle, so the join is one-to-one however many
-    names share a word, and no pairs are formed.
+    Ties go to the shorter name, then to the smaller id. Every name is expanded into its
+    substrings of the lengths that needles have; each substring keeps only its best item
+    before the shuffle, so the join is one-to-one however many names share a word, and no
+    pairs are formed.
     """
     wanted = needles.select(F.lower(F.trim(F.col(needle))).alias("key")).distinct()
     wanted = wanted.filter(F.col("key") != "")
-    sizes = wanted.agg(F.sort_array(F.collect_set(F.length("key")))).scalar()
-
-    shown = items.select(
-        F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"), sizes.alias("sizes")
-    )
+    # One look at the needles: their lengths, and whether they provably fit a broadcast.
+    length = F.length("key")
+    about = wanted.agg(
+        F.sort_array(F.collect_set(length)).alias("sizes"),
+        F.coalesce(F.sum(length * 4 + 64), F.lit(0)).alias("bytes"),
+    ).first()
+    sizes, count = about["sizes"] or [1], len(about["sizes"] or [1])
+
+    shown = items.select(F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"))
     shown = shown.filter(F.col("id").isNotNull() & (F.col("name") != ""))
-    low = F.lower("name")
-    words = F.regexp_extract_all(low, F.lit("([a-z0-9]+)"), F.lit(1))
-    pieces = F.flatten(
-        F.transform(
-            F.filter("sizes", lambda n: n <= F.length(low)),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(low) - n + 1), lambda i: F.substring(low, i, n)
-            ),
-        )
+    each, low = F.col("each"), F.col("low")
+    start = F.floor(each / count).cast("int") + 1
+    size = F.get(F.array(*[F.lit(n) for n in sizes]), F.pmod(each, F.lit(count)))
+    pieces = (
+        shown.select("id", F.length("name").alias("long"), F.lower("name").alias("low"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.length("low") * count - 1)).alias("each"))
+        .select("id", "long", "low", F.substring(low, start, size).alias("key"))
     )
-
-    def keyed(keys: Column, score: int) -> Column:
-        return F.transform(
-            F.coalesce(keys, F.array().cast("array<string>")),
-            lambda k: F.struct(k.alias("key"), F.lit(score).alias("score")),
-        )
-
-    entries = F.concat(
-        keyed(F.array(low), _EXACT),
-        keyed(F.slice(words, 1, 1), _FIRST_WORD),
-        keyed(F.array_distinct(words), _ANY_WORD),
-        keyed(F.array_distinct(pieces), _INSIDE),
+    if about["bytes"] <= BROADCAST_MAX_BYTES:
+        pieces = pieces.join(F.broadcast(wanted), "key", "left_semi")
+    # A whole name and each of its words are substrings too, so every tier is among these.
+    key, words = F.col("key"), F.regexp_extract_all("low", F.lit("([a-z0-9]+)"), F.lit(1))
+    score = (
+        F.when(key == F.col("low"), _EXACT)
+        .when(key == F.get(words, F.lit(0)), _FIRST_WORD)
+        .when(F.array_contains(words, key), _ANY_WORD)
+        .otherwise(_INSIDE)
     )
-    exploded = shown.select("id", "name", F.inline(entries))
-    if small_enough(wanted):
-        exploded = exploded.join(F.broadcast(wanted), "key", "left_semi")
-    length = F.length("name")
-    place = F.struct((-F.col("score")).alias("s"), length.alias("l"), F.col("id").alias("i"))
-    best = exploded.groupBy("key").agg(F.min(place).alias("p"))
+    place = F.struct((-score).alias("s"), F.col("long").alias("l"), F.col("id").alias("i"))
+    best = pieces.groupBy("key").agg(F.min(place).alias("p"))
     found = wanted.join(best, "key")
     names = shown.select(F.col("id").alias("_id"), "name")
     return (

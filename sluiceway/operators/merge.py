@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.text import request_id
-from sluiceway.operators.joins import small_side
+from sluiceway.operators.joins import key_side
 from sluiceway.operators.latest import keep_latest
 
 STRATEGIES = ("append", "merge", "delete+insert")
@@ -128,13 +128,13 @@ def merge_rows(
     Only the batch is ranked. If its keys provably fit a broadcast the target is not shuffled.
     """
     fresh = _one_per_key(batch, keys, cursor)
-    kept = tgt.join(small_side(batch.select(*keys).distinct()), keys, "left_anti")
+    kept = tgt.join(key_side(batch, keys), keys, "left_anti")
     return kept.unionByName(fresh)
 
 
 def delete_insert(tgt: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Drop target rows whose key is in the batch, add the whole batch, repeats included."""
-    kept = tgt.join(small_side(batch.select(*keys).distinct()), keys, "left_anti")
+    kept = tgt.join(key_side(batch, keys), keys, "left_anti")
     return kept.unionByName(batch)
 
 

@@ -69,6 +69,11 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return counted.select(_name_of(columns).alias("column_name"), "distinct_count")
 
 
+def per_column(df: DataFrame) -> DataFrame:
+    """A frame of one row per column is as small as the schema, so it may be broadcast."""
+    return F.broadcast(df)
+
+
 def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part * 100.0 / whole, 2)).otherwise(F.lit(0.0))
 
@@ -104,7 +109,7 @@ def column_statistics(
     ]
     out = totals.select(F.inline(F.array(*rows)))
     if not approximate:
-        out = out.join(distinct_counts(df, columns), "column_name", "left")
+        out = out.join(per_column(distinct_counts(df, columns)), "column_name", "left")
     total, filled = F.col("total_rows"), F.col("non_null_count")
     distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
     return out.select(
@@ -182,7 +187,7 @@ def profile_table(
     out = df.agg(*measures).select(F.inline(F.array(*rows)))
     if approximate:
         return out
-    counted = distinct_counts(df)
+    counted = per_column(distinct_counts(df))
     zero = F.lit(0).cast("bigint")
     return out.join(counted, "column_name", "left").withColumn(
         "distinct_count", F.coalesce("distinct_count", zero)

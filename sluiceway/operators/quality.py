@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.text import seconds_between
 from sluiceway.operators.joins import orphan_keys
-from sluiceway.operators.profiling import value_counts
+from sluiceway.operators.profiling import per_column, value_counts
 from sluiceway.runtime import metadata_frame
 
 # Fixed value: a plausible mail address.
@@ -95,7 +95,7 @@ def test_unique(df: DataFrame, columns: list[str]) -> DataFrame:
         F.count_if(F.col("_rows") > 1).alias("n")
     )
     failures = F.coalesce("n", F.lit(0).cast("bigint"))
-    return listed.join(repeated, "_column", "left").select(
+    return listed.join(per_column(repeated), "_column", "left").select(
         F.lit("unique").alias("test"),
         "column_name",
         failures.alias("failures"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.operators.latest import newest_n
+from sluiceway.operators.latest import newest_first, newest_n, placed_per_key
 
 # Relative change of the mean that counts as a trend, and the runs it needs.
 TREND_CHANGE = 0.15
@@ -122,17 +122,17 @@ def runtime_stats(
     runs = df.filter(F.col(seconds).isNotNull())
     if only:
         runs = runs.filter(F.contains(F.lower(model), F.lit(only.lower())))
-    kept = newest_n(runs, [model], time, max_history, tiebreak)
+    kept = placed_per_key(runs, [model], newest_first(time, tiebreak), max_history)
     per_model = Window.partitionBy(model)
-    by_time = per_model.orderBy(F.asc(time), *[F.asc(t) for t in tiebreak])
     s = F.col(seconds).cast("double")
+    n = F.count(F.lit(1)).over(per_model)
     placed = kept.select(
         F.col(model).alias("model_name"),
         F.col(time).alias("time"),
         F.col(status).alias("state"),
         s.alias("s"),
-        F.count(F.lit(1)).over(per_model).alias("n"),
-        F.row_number().over(by_time).alias("turn"),
+        n.alias("n"),
+        (n - F.col("_place") + 1).alias("turn"),
         F.row_number().over(per_model.orderBy(s)).alias("rank"),
     )
     n, turn, rank, s = F.col("n"), F.col("turn"), F.col("rank"), F.col("s")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.operators.profiling import distinct_counts
+from sluiceway.operators.profiling import distinct_counts, per_column
 
 # The separators looked for and how much of a file is looked at.
 SEPARATORS = ",|\t;"
@@ -214,8 +214,10 @@ def infer_schema(df: DataFrame) -> DataFrame:
     )
     none = F.lit(0).cast("bigint")
     return (
-        listed.join(counted.withColumn("inferred_type", verdict.otherwise(text)), "position", "left")
-        .join(distinct_counts(filled), "column_name", "left")
+        listed.join(
+            per_column(counted.withColumn("inferred_type", verdict.otherwise(text))), "position", "left"
+        )
+        .join(per_column(distinct_counts(filled)), "column_name", "left")
         .select(
             "position",
             "column_name",

@@ -51,10 +51,10 @@ def load_append(
         .write.parquet(staged)
     )
     result = {o: int(counted.get[o]) for o in outcomes}
-    for part in ("et", "uv"):
+    failed = {"et": checked.filter(bad), "uv": rows.filter("_outcome = 'uv'").drop("_outcome")}
+    for part, df in failed.items():
         if result[part]:
-            failed = rows.filter(F.col("_outcome") == part).drop("_outcome")
-            failed.write.mode("append").parquet(f"{path.rstrip('/')}_{part}")
+            df.write.mode("append").parquet(f"{path.rstrip('/')}_{part}")
     if result["et"] + result["uv"] > error_limit:
         storage.remove(spark, staged)
         raise TooManyRejects(f"{result['et'] + result['uv']} rows failed, limit {error_limit}")
