@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
@@ -130,6 +130,13 @@ def expand_keywords(
     return df.withColumn(output, keywords_of(F.col(column), extra))
 
 
+def intent_keywords(
+    spark: SparkSession, prompt: str, extra: dict[str, list[str]] | None = None
+) -> list[str]:
+    """The keywords of one request, as the list that the ranking functions take."""
+    return spark.range(1).select(keywords_of(F.lit(prompt), extra)).first()[0]
+
+
 def suggest(names: DataFrame, target: str, k: int = 5, column: str = "name") -> DataFrame:
     """The ``k`` names closest to a target; each task passes on only its own best."""
     scored = names.select(
@@ -151,6 +158,7 @@ def flag_sensitive(catalog: DataFrame, extra_markers: list[str] = ()) -> DataFra
 def select_for_intent(
     catalog: DataFrame,
     keywords: list[str],
+    schemas: list[str] = (),
     disallowed_names: list[str] = (),
     allowed_namespaces: list[str] = (),
     disallowed_namespaces: list[str] = (),
@@ -161,6 +169,8 @@ def select_for_intent(
     """Items that match the keywords and pass the policy, best first, with their sync mode."""
     namespace = F.lower(F.coalesce("namespace", F.lit("")))
     keep = F.col("name").isNotNull()
+    if schemas:
+        keep = keep & ((namespace == "") | F.col("namespace").isin(list(schemas)))
     if disallowed_names:
         keep = keep & ~F.lower("name").isin([n.lower() for n in disallowed_names])
     if allowed_namespaces:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,12 @@ from sluiceway.operators.joins import key_side
 from sluiceway.operators.latest import keep_latest
 
 STRATEGIES = ("append", "merge", "delete+insert")
+SYNC_MODES = (
+    "full_refresh_overwrite",
+    "full_refresh_append",
+    "incremental_append",
+    "incremental_deduped_history",
+)
 DEDUP_MODES = ("append_dedup", "deduped_history", "overwrite_dedup")
 
 
@@ -168,20 +175,32 @@ def sync_rows(
     cursor: str | None = None,
     keys: list[str] | None = None,
     tiebreak: list[str] = (),
+    target_is_deduped: bool = False,
 ) -> DataFrame:
-    """Target state after one sync run in the given mode (see ``resolve_sync_mode``)."""
+    """Target state after one sync run in the given mode (see ``resolve_sync_mode``).
+
+    ``target_is_deduped`` says that deduplicating syncs alone have written the target. Then
+    only the new rows are ranked, and the target is not even shuffled if their keys provably
+    fit a broadcast.
+    """
+    if mode not in SYNC_MODES:
+        raise ValueError(f"the sync mode is one of {SYNC_MODES}")
+    dedup = mode == "incremental_deduped_history"
+    if dedup and not keys:
+        raise ValueError("deduplication needs keys")
     if mode == "full_refresh_overwrite" or tgt is None:
-        return keep_latest(src, keys, cursor, tiebreak) if mode.endswith("deduped_history") else src
+        return keep_latest(src, keys, check_cursor(src, cursor), tiebreak) if dedup else src
     if mode == "full_refresh_append":
         return tgt.unionByName(src)
     new = rows_after(src, tgt, cursor)
-    if mode == "incremental_append":
+    if not dedup:
         return tgt.unionByName(new)
-    if mode == "incremental_deduped_history":
-        if not keys:
-            raise ValueError("deduplication needs keys")
+    if not target_is_deduped:
         return keep_latest(tgt.unionByName(new), keys, cursor, tiebreak)
-    raise ValueError(f"unknown sync mode {mode}")
+    newest = keep_latest(new, keys, cursor, tiebreak)
+    came = key_side(new, keys).select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return tgt.join(came, same, "left_anti").unionByName(newest)
 
 
 def upsert_log(log: DataFrame, new: DataFrame, keys: list[str], written: str) -> DataFrame:

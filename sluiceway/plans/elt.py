@@ -18,6 +18,7 @@ def sync(
     cursor: str | None = None,
     keys: list[str] | None = None,
     tiebreak: list[str] = (),
+    target_is_deduped: bool = False,
 ) -> DataFrame:
     """Bring the table at ``path`` up to date with ``src`` and return it.
 
@@ -30,7 +31,7 @@ def sync(
         new = src if mode == "full_refresh_append" else rows_after(src, old, cursor)
         new.write.mode("append").parquet(path)
     else:
-        storage.swap_in(sync_rows(src, old, mode, cursor, keys, tiebreak), path)
+        storage.swap_in(sync_rows(src, old, mode, cursor, keys, tiebreak, target_is_deduped), path)
     return spark.read.parquet(path)
 
 

@@ -50,6 +50,18 @@ def sync_incremental_deduped(t: Tables):
     )
 
 
+@query(
+    """SELECT * FROM events QUALIFY row_number() OVER
+       (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+)
+def sync_into_deduped_target(t: Tables):
+    old = keep_latest(loaded_events(t), ["user_id"], "ts", ["event_id"])
+    mode = m.resolve_sync_mode("incremental", "overwrite_dedup")
+    return m.sync_rows(
+        t.events, old, mode, "ts", ["user_id"], ["event_id"], target_is_deduped=True
+    )
+
+
 @query(f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM {_OLD})")
 def new_events_by_cursor(t: Tables):
     return m.rows_after(t.events, loaded_events(t), "TS")

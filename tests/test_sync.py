@@ -104,6 +104,16 @@ def test_small_batches_do_not_shuffle_the_target(spark):
     assert out.count() == 1000
 
 
+def test_deduped_target_gives_the_same_state(spark, rows):
+    ddl = "k int, t int, v string"
+    old = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (None, 1, "n")], ddl)
+    src = spark.createDataFrame([(1, 1, "a"), (2, 3, "c"), (2, 4, "d"), (3, 4, "e"), (None, 5, "m")], ddl)
+    mode, how = "incremental_deduped_history", {"cursor": "t", "keys": ["k"], "tiebreak": ["v"]}
+    want = [(None, 5, "m"), (1, 1, "a"), (2, 4, "d"), (3, 4, "e")]
+    assert rows(m.sync_rows(src, old, mode, **how)) == want
+    assert rows(m.sync_rows(src, old, mode, **how, target_is_deduped=True)) == want
+
+
 def test_schema_changes(spark, rows):
     old = spark.createDataFrame([(1, "a")], "k int, gone string")
     new = spark.createDataFrame([(2, 5)], "k int, came int")
@@ -325,6 +335,7 @@ def test_keywords(spark):
         ["customer", "customers", "client", "clients", "account", "accounts", "user", "users", "party", "order_items", "lines"]
     )
     assert second is None and third == []
+    assert mt.intent_keywords(spark, "Move orders to the warehouse") == ["orders", "warehouse"]
 
 
 @pytest.fixture(scope="module")
@@ -361,6 +372,7 @@ def test_intent_selection(streams):
 
     assert names() == [("customers", "incremental"), ("orders", "full_refresh")]
     assert names(limit=1) == [("customers", "incremental")]
+    assert names(schemas=["shop"]) == [("orders", "full_refresh")]
     assert names(max_sensitivity="low") == [("orders", "full_refresh")]
     assert names(disallowed_names=["ORDERS"]) == [("customers", "incremental")]
     assert names(allowed_namespaces=["Shop"]) == [("orders", "full_refresh")]
