@@ -61,11 +61,6 @@ def humanize_name(name: Column, type_code: Column) -> Column:
     return F.concat(F.initcap(words), F.lit(" ("), friendly, F.lit(")"))
 
 
-def hash_key(*columns: Column) -> Column:
-    """64-bit surrogate hash over several columns (null-safe, order matters)."""
-    return F.xxhash64(*columns)
-
-
 def request_id(name: Column, key: Column) -> Column:
     """Deterministic id: the first 16 hex digits of sha256 over ``name:key``."""
     return F.substring(F.sha2(F.concat_ws(":", name, key), 256), 1, 16)

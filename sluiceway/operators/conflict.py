@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluiceway.functions.keys import row_hash
 from sluiceway.operators.latest import first_per_key, keep_latest
 
 # Hot keys are spread over this many groups before the final ranking.
@@ -33,16 +35,18 @@ def resolve_source_priority(
 
 def merge_coalesce(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Per key and column the first non-null value in ``order``; merged before the shuffle."""
-    rank = F.struct(*order)
+    values = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(
-        *[
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c)
-            for c in df.columns
-            if c not in keys
-        ]
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), _rank(df, order, c))).alias(c) for c in values]
     )
 
 
+def _rank(df: DataFrame, order: list[str], value: str) -> Column:
+    """The order columns, ties broken by the value itself."""
+    sortable = not isinstance(df.schema[value].dataType, (T.MapType, T.VariantType))
+    return F.struct(*order, *([value] if sortable and value not in order else []))
+
+
 def resolve_rules(df: DataFrame, keys: list[str], rules: list[dict]) -> DataFrame:
     """Per-field rules: ``{"field", "strategy", "order_by"}``.
 
@@ -56,7 +60,7 @@ def resolve_rules(df: DataFrame, keys: list[str], rules: list[dict]) -> DataFram
             out.append(getattr(F, strategy)(field).alias(field))
             continue
         by = rule["order_by"]
-        rank = F.struct(*by) if isinstance(by, list) else F.col(by)
+        rank = _rank(df, by if isinstance(by, list) else [by], field)
         if strategy not in ("max_by", "min_by"):
             raise ValueError(f"unknown strategy {strategy}")
         out.append(getattr(F, strategy)(F.col(field), rank).alias(field))
@@ -74,9 +78,7 @@ def mark_unique_violations(
     Ties are broken by all columns, so any row chosen among the rest is an equal copy.
     """
     among = F.lit(True) if among is None else among
-    sortable = [F.col(c).asc_nulls_last() for c in order] + [
-        F.xxhash64(*[c for c in df.columns if c not in keys]).asc()
-    ]
+    sortable = _total_order(df, order)
     salted = df.withColumn("_among", among).withColumn("_salt", F.spark_partition_id() % SALTS)
     near = Window.partitionBy(*keys, "_among", "_salt").orderBy(*sortable)
     won = F.when(F.row_number().over(near) == 1, F.lit(-1)).otherwise(F.col("_salt"))
@@ -86,6 +88,10 @@ def mark_unique_violations(
     return round_two.withColumn("_repeat", F.col("_among") & ~first).drop("_salt", "_among")
 
 
+def _total_order(df: DataFrame, order: list[str]) -> list[Column]:
+    return [*[F.col(c).asc_nulls_last() for c in order], row_hash(df).asc()]
+
+
 def split_unique_violations(
     df: DataFrame, keys: list[str], order: list[str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -93,10 +99,7 @@ def split_unique_violations(
 
     The kept side needs no ranking of the losers, so it takes the cheaper path.
     """
-    sortable = [F.col(c).asc_nulls_last() for c in order] + [
-        F.xxhash64(*[c for c in df.columns if c not in keys]).asc()
-    ]
-    kept = first_per_key(df, keys, sortable)
+    kept = first_per_key(df, keys, _total_order(df, order))
     return kept, mark_unique_violations(df, keys, order).filter("_repeat").drop("_repeat")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import flat
 from sluiceway.operators.sampling import sample_rows
 
 _NUMBERS = T.NumericType
@@ -32,8 +33,7 @@ def _keys(field: T.StructField) -> tuple[Column, Column]:
     v = F.col(f"`{field.name}`")
     if isinstance(field.dataType, _ONE_WORD):
         return F.when(v.isNotNull(), F.xxhash64(v)), F.lit(0).cast("bigint")
-    if not isinstance(field.dataType, (*_TEXTS, T.BinaryType, T.DecimalType)):
-        v = F.to_json(v, {"ignoreNullFields": "false"})
+    v = flat(field)
     return F.when(v.isNotNull(), F.xxhash64(v)), F.xxhash64(F.lit(1), v)
 
 

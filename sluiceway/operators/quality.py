@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.functions.keys import row_hash
 from sluiceway.functions.text import seconds_between
 from sluiceway.operators.joins import orphan_keys
 from sluiceway.operators.profiling import per_column, value_counts
@@ -275,7 +276,7 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _fingerprint(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(38,0)")
+    return row_hash(df).cast("decimal(38,0)")
 
 
 def reconcile(src: DataFrame, tgt: DataFrame, keys: list[str] | None = None) -> DataFrame:

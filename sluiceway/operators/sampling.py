@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` random rows (all rows if there are fewer).
 
-    Each task keeps its own ``n`` best draws, so only those reach the final step.
+    Each task keeps its own ``n`` best draws, so only those reach the final step, which is
+    one task: meant for samples that one task can hold. For a share of a huge table use
+    ``sample_fraction``.
     """
     if n < 1:
         raise ValueError("the sample size must be at least 1")

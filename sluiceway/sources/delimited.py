@@ -144,14 +144,15 @@ def parse_date(text: Column) -> Column:
     return F.coalesce(*[_date_as(text, f) for f in DATE_FORMATS])
 
 
-def infer_schema(df: DataFrame) -> DataFrame:
+def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     """One row per column of an all-text frame: type, null and distinct counts, width, samples.
 
-    Blank text counts as null. A type is given only when every value parses. Whole table:
-    one pass over (column, text) pairs folds all parse counts into a row per column before
+    Blank text counts as null. A type is given only when every value parses. Looks at the
+    whole table unless ``sample_rows`` limits it to a head of the file: one pass over (column, text) pairs folds all parse counts into a row per column before
     any shuffle, a second pass counts distinct values.
     """
     names = df.columns
+    df = df.limit(sample_rows) if sample_rows else df
     filled = df.select(*[_filled(c).alias(c) for c in names])
     pairs = filled.select(
         F.inline(

@@ -49,15 +49,19 @@ def swap_in(df: DataFrame, path: str, backup_path: str | None = None) -> None:
     """Make ``df`` the new content of the table at ``path``.
 
     The rows are written beside the table first, so ``df`` may read the table it replaces.
-    With ``backup_path`` the old files are moved there, which copies nothing.
+    The old files are moved to ``backup_path``, or aside and removed last: at no moment is
+    there neither an old nor a new complete copy.
     """
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    staged = f"{path.rstrip('/')}__new_{mark}"
     df.write.parquet(staged)
-    if exists(spark, path):
-        if backup_path:
-            remove(spark, backup_path)
-            move(spark, path, backup_path)
-        else:
-            remove(spark, path)
+    if not exists(spark, path):
+        move(spark, staged, path)
+        return
+    aside = backup_path or f"{path.rstrip('/')}__old_{mark}"
+    if backup_path:
+        remove(spark, backup_path)
+    move(spark, path, aside)
     move(spark, staged, path)
+    if not backup_path:
+        remove(spark, aside)

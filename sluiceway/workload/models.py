@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sluiceway.functions.text import hash_key, normalize_name, safe_cast_ts
+from sluiceway.functions.keys import hash_key
+from sluiceway.functions.text import normalize_name, safe_cast_ts
 from sluiceway.operators import joins as j
 from sluiceway.operators import marts
 from sluiceway.operators import staging as st

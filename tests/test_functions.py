@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions import fuzzy, masking, text
+from sluiceway.functions import fuzzy, keys, masking, text
 
 
 def column(spark, values, name="v"):
@@ -40,11 +40,13 @@ def test_humanize_name(spark, name, code, shown):
 def test_hash_key_depends_on_order_and_nulls(spark):
     df = spark.sql("SELECT 'a' AS a, 'b' AS b, cast(null AS string) AS n")
     h = df.select(
-        text.hash_key(F.col("a"), F.col("b")),
-        text.hash_key(F.col("b"), F.col("a")),
-        text.hash_key(F.col("a"), F.col("n")),
+        keys.hash_key(F.col("a"), F.col("b")),
+        keys.hash_key(F.col("b"), F.col("a")),
+        keys.hash_key(F.col("a"), F.col("n")),
+        keys.hash_key(F.col("n"), F.col("a")),
+        keys.hash_key(F.col("a")),
     ).collect()[0]
-    assert len(set(h)) == 3
+    assert len(set(h)) == 5
 
 
 def test_request_id(spark):

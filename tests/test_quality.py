@@ -116,6 +116,14 @@ def test_reconcile_whole(people):
     assert q.reconcile(people.filter("false"), people.filter("false")).collect()[0].matched
 
 
+def test_reconcile_sees_moved_nulls(spark):
+    ddl = "a int, b int, l array<int>"
+    one = spark.createDataFrame([(None, 1, [1, None])], ddl)
+    for other in [(1, None, [1, None]), (None, 1, [None, 1]), (None, 1, [1])]:
+        assert not q.reconcile(one, spark.createDataFrame([other], ddl)).collect()[0].matched
+    assert q.reconcile(one, one).collect()[0].matched
+
+
 def test_reconcile_by_key(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (5, "x"), (5, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d"), (None, "n"), (5, "y"), (5, "x")], "k int, v string")
@@ -193,6 +201,15 @@ def test_coalesce_and_rules(records, rows):
         k.resolve_rules(records, ["customer_id"], [{"field": "email", "strategy": "vote", "order_by": "source"}])
 
 
+def test_equal_order_values_give_stable_results(spark, rows):
+    df = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, None, 5)], "k int, v string, t int")
+    for parts in (1, 3):
+        spread = df.repartition(parts)
+        assert rows(k.merge_coalesce(spread, ["k"], ["t"]), "v") == [("a",)]
+        rules = [{"field": "v", "strategy": "max_by", "order_by": "t"}]
+        assert rows(k.resolve_rules(spread, ["k"], rules), "v") == [("b",)]
+
+
 def test_conflict_log(records):
     log = k.conflict_log(records, "customers", ["customer_id"], "latest", dt.datetime(2025, 1, 1)).collect()
     assert [(r.record_keys, r.resolution_strategy) for r in log] == [('{"customer_id":1}', "latest")]

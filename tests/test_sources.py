@@ -121,6 +121,12 @@ def test_inferred_types(spark):
     assert found["flag"].samples == ["true", "FALSE"]
 
 
+def test_inference_of_a_head(spark):
+    df = spark.createDataFrame([("1",), ("2",), ("x",)], "a string").coalesce(1)
+    assert d.infer_schema(df, sample_rows=2).collect()[0].inferred_type == "BYTEINT"
+    assert d.infer_schema(df).collect()[0].inferred_type == "VARCHAR(50)"
+
+
 def test_inference_of_no_rows(spark):
     found = d.infer_schema(spark.createDataFrame([], "a string, b string")).collect()
     assert sorted((r.column_name, r.inferred_type, r.null_count) for r in found) == [
