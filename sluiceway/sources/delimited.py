@@ -26,6 +26,7 @@ DATE_FORMATS = {
 # Bounds of inferred text widths.
 DEFAULT_WIDTH, MIN_WIDTH, MAX_WIDTH, WIDTH_MARGIN = 255, 50, 64000, 1.5
 
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -165,7 +166,7 @@ def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
         )
     )
     v, n = F.col("v"), F.col("n")
-    as_int = v.try_cast("bigint")
+    as_int = F.when(F.rlike(v, F.lit(_INTEGER)), v.try_cast("bigint"))
     formats = list(enumerate(DATE_FORMATS))
     counted = pairs.groupBy("position").agg(
         F.count(F.lit(1)).alias("rows"),
