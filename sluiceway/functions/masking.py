@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.text import MASK
 
+# The helpers below travel to the workers with the UDF, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A key is secret when its last word is one of these ...
 SECRET_LAST_WORDS = ("password", "secret", "token", "credential", "credentials")
 # ... or when its last words are one of these.
@@ -40,11 +44,20 @@ _CAMEL_EDGE = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _WORD_GAP = re.compile(r"[_\-]+")
 
 
-@lru_cache(maxsize=65536)
+# Keys repeat from document to document; each worker remembers what it decided.
+_DECIDED: dict[str, bool] = {}
+_DECIDED_MAX = 65536
+
+
 def is_secret_key(key: str) -> bool:
     """True for ``dbPassword`` or ``my-api_key``; false for ``token_url`` or ``primary_key``."""
-    words = _WORD_GAP.sub(" ", _CAMEL_EDGE.sub("_", key)).strip().lower()
-    return bool(_SECRET_KEY.search(words))
+    secret = _DECIDED.get(key)
+    if secret is None:
+        words = _WORD_GAP.sub(" ", _CAMEL_EDGE.sub("_", key)).strip().lower()
+        secret = bool(_SECRET_KEY.search(words))
+        if len(_DECIDED) < _DECIDED_MAX:
+            _DECIDED[key] = secret
+    return secret
 
 
 def mask_fields(schema: T.DataType, value: Column) -> Column:

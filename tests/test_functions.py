@@ -229,3 +229,23 @@ def test_similarity_takes_the_better_score(spark):
 def test_seconds_between(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-03-02 00:00:01.5' AS b, timestamp_ntz'2024-03-01 00:00:00' AS a")
     assert df.select(text.seconds_between(F.col("b"), F.col("a"))).collect()[0][0] == 86401.5
+
+
+def test_workers_need_no_package(spark, tmp_path):
+    """The masking UDF works where executors cannot import this package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "udf.pkl"
+    blob.write_bytes(cloudpickle.dumps(masking.redact_json.func))
+    code = (
+        f"import pandas as pd, pickle; f = pickle.load(open({str(blob)!r}, 'rb')); "
+        "print(f(pd.Series(['{\"db_password\": 1}'])).iloc[0])"
+    )
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", code], cwd=Path("/"), capture_output=True, text=True, timeout=60
+    )
+    assert done.stdout.strip() == '{"db_password": "***REDACTED***"}', done.stderr
