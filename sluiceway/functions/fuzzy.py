@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sluiceway.functions.text import strip
+
 # The score tiers and the similarity at which the last tier starts.
 EXACT = 1.0
 TOKEN = 0.95
@@ -33,7 +35,7 @@ def _near(a: Column, b: Column) -> Column:
 
 
 def clean(text: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    return F.lower(strip(F.coalesce(text, F.lit(""))))
 
 
 def words_of(name: Column) -> Column:

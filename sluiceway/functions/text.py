@@ -46,6 +46,15 @@ TYPE_NAMES = {
 CREDENTIAL_PATTERN = r"(?iU)\b(password|token|secret|key|credential)\b[=:\s]+\S+"
 
 
+# Fixed value: what counts as blank at the ends of a text.
+BLANKS = " \t\n\r\x0b\x0c"
+
+
+def strip(text: Column) -> Column:
+    """Without blanks of any kind at the ends (plain ``trim`` takes spaces only)."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def normalize_name(name: Column) -> Column:
     """Lower-case identifier: runs of other characters become one underscore, none at the ends."""
     collapsed = F.regexp_replace(F.lower(name), r"[^a-z0-9]+", "_")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,13 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small_enough(df) else df
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; keeps the key columns of the left side."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    return left.join(renamed, reduce(and_, same), how).drop(*[f"_same_{k}" for k in keys])
+
+
 # Copies of one key that may remain on the key side of a semi or anti join.
 KEY_SALTS = 64
 

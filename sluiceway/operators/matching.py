@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
+from sluiceway.functions.text import strip
 from sluiceway.runtime import BROADCAST_MAX_BYTES
 
 # Words that carry no intent.
 STOP_WORDS = (
-    "sync transfer move load ingest data table tables stream streams from to into and or the a an "
-    "of on last year month week"
-).split()
+    "sync", "transfer", "move", "load", "ingest", "data", "table", "tables", "stream", "streams",
+    "from", "to", "into", "and", "or", "the", "a", "an", "of", "on",
+    "last", "year", "month", "week",
+)
 
 # Words added to a request that names the first word.
 SYNONYMS = {
@@ -38,9 +40,9 @@ SYNONYMS = {
 
 # Column-name parts that mark personal or payment data.
 SENSITIVE_MARKERS = (
-    "email ssn social_security phone mobile dob birth address credit card pan tax tin national_id "
-    "passport"
-).split()
+    "email", "ssn", "social_security", "phone", "mobile", "dob", "birth", "address",
+    "credit", "card", "pan", "tax", "tin", "national_id", "passport",
+)
 
 # Weights of the matched parts, fuzzy and substring form.
 FUZZY_WEIGHTS = {"name": 4.0, "namespace": 2.0, "description": 2.0, "columns": 1.0, "tags": 1.0}
@@ -116,7 +118,7 @@ def keywords_of(text: Column, extra: dict[str, list[str]] | None = None) -> Colu
     )
     words = F.filter(
         F.split(F.lower(text), "[^a-zA-Z0-9_]+"),
-        lambda w: (F.length(w) > 2) & ~w.isin(STOP_WORDS),
+        lambda w: (F.length(w) > 2) & ~w.isin(list(STOP_WORDS)),
     )
     found = F.array_distinct(words)
     bases = F.array_intersect(found, F.array(*[F.lit(k) for k in synonyms]))
@@ -208,7 +210,7 @@ def best_match(
     before the shuffle, so the join is one-to-one however many names share a word, and no
     pairs are formed.
     """
-    wanted = needles.select(F.lower(F.trim(F.col(needle))).alias("key")).distinct()
+    wanted = needles.select(F.lower(strip(F.col(needle))).alias("key")).distinct()
     wanted = wanted.filter(F.col("key") != "")
     # One look at the needles: their lengths, and whether they provably fit a broadcast.
     length = F.length("key")
@@ -218,7 +220,7 @@ def best_match(
     ).first()
     sizes, count = about["sizes"] or [1], len(about["sizes"] or [1])
 
-    shown = items.select(F.col(item_id).alias("id"), F.trim(F.col(name)).alias("name"))
+    shown = items.select(F.col(item_id).alias("id"), strip(F.col(name)).alias("name"))
     shown = shown.filter(F.col("id").isNotNull() & (F.col("name") != ""))
     each, low = F.col("each"), F.col("low")
     start = F.floor(each / count).cast("int") + 1

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.text import request_id
-from sluiceway.operators.joins import key_side
+from sluiceway.operators.joins import join_same, key_side
 from sluiceway.operators.latest import keep_latest
 
 STRATEGIES = ("append", "merge", "delete+insert")
@@ -198,9 +197,7 @@ def sync_rows(
     if not target_is_deduped:
         return keep_latest(tgt.unionByName(new), keys, cursor, tiebreak)
     newest = keep_latest(new, keys, cursor, tiebreak)
-    came = key_side(new, keys).select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
-    return tgt.join(came, same, "left_anti").unionByName(newest)
+    return join_same(tgt, key_side(new, keys), keys, "left_anti").unionByName(newest)
 
 
 def upsert_log(log: DataFrame, new: DataFrame, keys: list[str], written: str) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway.operators.joins import join_same
 from sluiceway.operators.latest import newest_first, newest_n, placed_per_key
 
 # Relative change of the mean that counts as a trend, and the runs it needs.
@@ -98,7 +99,7 @@ def recent_sync_stats(
         F.round(done * 100.0 / F.count(F.lit(1)), 2).alias("success_rate"),
     )
     total = df.groupBy(*group).agg(F.count(F.lit(1)).alias("total_syncs"))
-    return total.join(recent, group)
+    return join_same(total, recent, group)
 
 
 def runtime_stats(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.text import strip
 from sluiceway.operators.profiling import distinct_counts, per_column
 
 # The separators looked for and how much of a file is looked at.
@@ -133,12 +134,12 @@ def export_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tr
 
 def _filled(column: str) -> Column:
     text = F.col(f"`{column}`")
-    return F.when(F.trim(text) != "", text)
+    return F.when(strip(text) != "", text)
 
 
 def _date_as(text: Column, fmt: str) -> Column:
     """Parse only what looks right: a failed parse is far dearer than a pattern."""
-    return F.when(F.rlike(F.trim(text), F.lit(DATE_FORMATS[fmt])), F.try_to_date(F.trim(text), fmt))
+    return F.when(F.rlike(strip(text), F.lit(DATE_FORMATS[fmt])), F.try_to_date(strip(text), fmt))
 
 
 def parse_date(text: Column) -> Column:
@@ -176,7 +177,7 @@ def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
         F.max(as_int).alias("hi"),
         F.count_if(F.rlike(v, F.lit(_NUMBER))).alias("numbers"),
         F.count(v.try_cast("decimal(15,2)")).alias("decimals"),
-        F.count_if(F.lower(F.trim(v)).isin("true", "false")).alias("flags"),
+        F.count_if(F.lower(strip(v)).isin("true", "false")).alias("flags"),
         F.max(F.length(v)).alias("width"),
         *[F.count(_date_as(v, f)).alias(f"dates_{i}") for i, f in formats],
     )
@@ -257,7 +258,7 @@ def typed_schema(inferred: DataFrame) -> dict[str, str]:
 
 def cast_text(text: Column, spark_type: str) -> Column:
     """Typed value of a text cell, NULL where it does not convert."""
-    v = F.when(F.trim(text) != "", F.trim(text))
+    v = F.when(strip(text) != "", strip(text))
     if spark_type == "string":
         return text
     if spark_type == "date":
@@ -278,7 +279,7 @@ def cast_to_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """
     typed = {c: cast_text(F.col(f"`{c}`"), t) for c, t in schema.items()}
     failed = [
-        F.when((F.trim(F.col(f"`{c}`")) != "") & typed[c].isNull(), F.lit(c)) for c in schema
+        F.when((strip(F.col(f"`{c}`")) != "") & typed[c].isNull(), F.lit(c)) for c in schema
     ]
     errors = F.filter(F.array(*failed), lambda x: x.isNotNull())
     raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in schema]))

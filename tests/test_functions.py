@@ -196,7 +196,7 @@ def plain_score(keyword, target):
 
 
 def test_fuzzy_score_against_plain_python(spark):
-    keywords = ["customer", "custmer", "ord", "or", "Nation ", "", None, "order_items", "a", "zz"]
+    keywords = ["customer", "custmer", "ord", "or", "Nation \t", "", None, "order_items", "a", "zz"]
     targets = [
         "customer",
         "Customers",

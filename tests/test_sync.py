@@ -300,6 +300,12 @@ def test_run_filters_and_rates(spark, rows):
     ]
 
 
+def test_jobs_without_a_group_are_counted_too(spark, rows):
+    df = spark.createDataFrame([(None, 1, "succeeded"), (None, 2, "failed"), ("c", 1, "failed")], "g string, t int, s string")
+    stats = runs.recent_sync_stats(df, ["g"], "t", "s", 1)
+    assert rows(stats, "g", "total_syncs", "recent_syncs", "success_rate") == [(None, 2, 1, 0.0), ("c", 1, 1, 0.0)]
+
+
 def test_co_access_counts(spark, rows):
     log = spark.createDataFrame(
         [(1, "x"), (1, "x"), (1, "a"), (1, "b"), (2, "x"), (2, "a"), (2, "a"), (3, "a"), (3, "b")], "q int, o string"
