@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, exact_dedup
+from sluiceway.llm import bpe, exact_dedup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +44,9 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.tokenized(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query()
+def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"), mixing.five_two_one, share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
