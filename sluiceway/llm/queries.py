@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, exact_dedup, mixing
+from sluiceway.llm import bpe, decision_list, exact_dedup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), mixing.five_two_one, share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query()
+def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    return decision_list.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
