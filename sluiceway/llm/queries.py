@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, mixing
+from sluiceway.llm import bpe, decision_list, exact_dedup, licenses, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,8 @@ def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("detections")
