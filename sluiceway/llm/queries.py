@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, licenses, mixing
+from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +60,9 @@ def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).drop("detections")
+
+
+@query()
+def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
