@@ -78,6 +78,9 @@ class DigestIndex:
         groups = batch.groupBy("digest").agg(
             F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("copies")
         )
+        # Settled, since Spark would otherwise move the anti-join below the fold, and a large
+        # group of copies would meet the index row by row.
+        groups = settle(groups, "digest-groups")
         fresh = groups.join(self.bucketed().select("digest").hint("merge"), "digest", "left_anti")
         (
             fresh.repartition(self.buckets, "digest")
