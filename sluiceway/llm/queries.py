@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing
+from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,21 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     found = language.identify(table(spark, folder, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha1(coalesce(html, '')) AS payload_digest, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest
+      FROM pages
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+    FROM p
+    """
+)
+def op6_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.archive_and_read(table(spark, folder, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
