@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, warc
+from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, pii, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,8 @@ def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     read = warc.archive_and_read(table(spark, folder, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
