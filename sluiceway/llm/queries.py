@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, pii, warc
+from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, ngram_join, pii, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op6_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
+
+
+@query()
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents"))
