@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, decision_list, exact_dedup, language, licenses, mixing, ngram_join, pii, warc
+from sluiceway.llm import (
+    bpe,
+    decision_list,
+    exact_dedup,
+    language,
+    licenses,
+    mixing,
+    ngram_join,
+    pii,
+    substring_dedup,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +105,8 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_prefix_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
