@@ -9,9 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.runtime import small_enough
-
-
 @dataclass(frozen=True)
 class Join:
     """One step of a chain: a named frame, its condition and the join type."""
@@ -49,11 +46,6 @@ def join_chain(
     return out.select(*[F.expr(c) for c in columns]) if columns else out
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only if the plan proves that the frame fits; else leave it to Spark."""
-    return F.broadcast(df) if small_enough(df) else df
-
-
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on equal keys where null equals null; keeps the key columns of the left side."""
     renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
@@ -61,21 +53,16 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(renamed, reduce(and_, same), how).drop(*[f"_same_{k}" for k in keys])
 
 
-# Copies of one key that may remain on the key side of a semi or anti join.
-KEY_SALTS = 64
-
-
 def key_side(df: DataFrame, on: list[str]) -> DataFrame:
     """The keys of ``df`` as the right side of a semi or anti join.
 
-    Broadcast if provably small. Otherwise repeats are merged per key and salt, which caps a
-    hot key at a few copies and, unlike a plain distinct, leaves the join an exchange of its
-    own on this side: that is what lets adaptive execution split hot keys of the other side.
+    Repeats are merged per key and share of the input, as many shares as the session shuffles to.
+    Unlike a plain distinct this leaves the join an exchange of its own on this side: that is
+    what lets adaptive execution split hot keys of the other side, or broadcast this one when its
+    real size turns out small.
     """
-    keys = df.select(*on)
-    if small_enough(keys):
-        return F.broadcast(keys)
-    salted = keys.withColumn("_salt", F.spark_partition_id() % KEY_SALTS)
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.select(*on).withColumn("_salt", F.spark_partition_id() % shares)
     return salted.groupBy(*on, "_salt").agg(F.count(F.lit(1)).alias("_n")).select(*on)
 
 
@@ -95,7 +82,7 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     parents = parent.select(F.col(parent_column).alias("key"))
-    return counted.join(small_side(parents), "key", "left_anti")
+    return counted.join(parents, "key", "left_anti")
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

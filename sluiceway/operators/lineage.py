@@ -5,31 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.operators.joins import small_side
-from sluiceway.runtime import settle_counted
+from sluiceway.runtime import new_dir, settle
 
 
-def co_access(
-    log: DataFrame, query: str, item: str, target, limit: int | None = 50
-) -> DataFrame:
+def co_access(log: DataFrame, query: str, item: str, target, limit: int | None = None) -> DataFrame:
     """Objects used in the same queries as ``target``, most used first.
 
     ``log_rows`` counts each log row of such a query once; ``pair_rows`` counts it once per
-    log row of the target in that query. Both come from rows counted per (query, object)
-    before the join, so no pairs are formed.
+    log row of the target in that query. The target's rows are filtered at the scan and counted per
+    query; that small table, one row per query, meets the log, so no pairs are formed, and its known
+    size lets Spark broadcast it instead of shuffling the log.
     """
-    used = log.groupBy(F.col(query).alias("_q"), F.col(item).alias("_o")).agg(
-        F.count(F.lit(1)).alias("_n")
+    hits = (
+        log.filter(F.col(item) == F.lit(target))
+        .groupBy(F.col(query).alias("_q"))
+        .agg(F.count(F.lit(1)).alias("_hits"))
+    )
+    others = log.filter(F.col(item) != F.lit(target)).select(
+        F.col(query).alias("_q"), F.col(item).alias("object")
     )
-    hits = used.filter(F.col("_o") == F.lit(target)).select("_q", F.col("_n").alias("_hits"))
-    others = used.filter(F.col("_o") != F.lit(target))
     counted = (
-        others.join(hits, "_q")
-        .groupBy(F.col("_o").alias("object"))
-        .agg(
-            F.sum("_n").alias("log_rows"),
-            F.sum(F.col("_n") * F.col("_hits")).alias("pair_rows"),
-        )
+        others.join(settle(hits, "co-access"), "_q")
+        .groupBy("object")
+        .agg(F.count(F.lit(1)).alias("log_rows"), F.sum("_hits").alias("pair_rows"))
         .orderBy(F.desc("log_rows"), "object")
     )
     return counted.limit(limit) if limit else counted
@@ -40,34 +38,35 @@ def lineage_closure(
 ) -> DataFrame:
     """All nodes reachable from ``node`` with their depth: (node, depth).
 
-    ``edges`` has ``parent`` and ``child``; upstream walks from child to parent. Each round
-    joins only the newly found nodes and drops known ones; its result is written to the
-    shared folder, which keeps plans flat and survives lost executors.
+    ``edges`` has ``parent`` and ``child``; upstream walks from child to parent. The distinct edges
+    are settled once. Each round joins only the newly found nodes and drops known ones; its
+    result joins the nodes seen so far as one more folder of the same table, which keeps plans
+    flat and survives lost executors.
     """
     start, reach = ("child", "parent") if direction == "upstream" else ("parent", "child")
-    steps = edges.select(F.col(start).alias("node"), F.col(reach).alias("next"))
     spark = edges.sparkSession
-    kind = steps.schema["node"].dataType
-    frontier = spark.range(1).select(F.lit(node).cast(kind).alias("node"))
-    seen, rounds, depth = frontier, [], 0
+    steps = settle(
+        edges.select(F.col(start).alias("node"), F.col(reach).alias("next")).distinct(), "edges"
+    )
+    kind = steps.schema["node"].dataType.simpleString()
+    path = new_dir(spark, "closure")
+
+    def found(depth: int | None = None) -> DataFrame:
+        reader = spark.read.schema(f"node {kind}, depth int").option("basePath", path)
+        return reader.parquet(path if depth is None else f"{path}/depth={depth}")
+
+    first = spark.range(1).select(F.lit(node).cast(kind).alias("node"))
+    first.write.parquet(f"{path}/depth=0")
+    depth = 0
     while max_depth is None or depth < max_depth:
-        depth += 1
-        found = (
-            steps.join(small_side(frontier), "node", "left_semi")
+        new = (
+            steps.join(found(depth).select("node"), "node", "left_semi")
             .select(F.col("next").alias("node"))
             .distinct()
-            .join(seen, "node", "left_anti")
-            .withColumn("depth", F.lit(depth))
+            .join(found().select("node"), "node", "left_anti")
         )
-        settled, count = settle_counted(found, "closure")
-        if not count:
+        depth += 1
+        new.write.parquet(f"{path}/depth={depth}")
+        if found(depth).isEmpty():
             break
-        rounds.append(settled)
-        frontier = settled.select("node")
-        seen = seen.unionByName(frontier)
-    if not rounds:
-        return frontier.withColumn("depth", F.lit(0)).filter(F.lit(False))
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.unionByName(r)
-    return out
+    return found().filter("depth > 0")

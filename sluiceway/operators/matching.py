@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
 from sluiceway.functions.text import strip
-from sluiceway.runtime import BROADCAST_MAX_BYTES
+from sluiceway.runtime import settle
 
 # Words that carry no intent.
 STOP_WORDS = (
@@ -205,51 +205,46 @@ def best_match(
 ) -> DataFrame:
     """Best item per needle: whole name, first word, any word, then substring.
 
-    Ties go to the shorter name, then to the smaller id. Every name is expanded into its
-    substrings of the lengths that needles have; each substring keeps only its best item
-    before the shuffle, so the join is one-to-one however many names share a word, and no
-    pairs are formed.
+    Ties go to the shorter name, then to the smaller id. Whole names and words are looked up by
+    equality. Only for needles that these leave over are names expanded into their substrings
+    of the lengths that those needles have, and only substrings that are such a needle go on. Each key
+    keeps its best item before the shuffle, so joins are one-to-one however many names share a
+    word, and no pairs are formed.
     """
-    wanted = needles.select(F.lower(strip(F.col(needle))).alias("key")).distinct()
+    wanted = settle(needles.select(F.lower(strip(F.col(needle))).alias("key")).distinct(), "needles")
     wanted = wanted.filter(F.col("key") != "")
-    # One look at the needles: their lengths, and whether they provably fit a broadcast.
-    length = F.length("key")
-    about = wanted.agg(
-        F.sort_array(F.collect_set(length)).alias("sizes"),
-        F.coalesce(F.sum(length * 4 + 64), F.lit(0)).alias("bytes"),
-    ).first()
-    sizes, count = about["sizes"] or [1], len(about["sizes"] or [1])
-
     shown = items.select(F.col(item_id).alias("id"), strip(F.col(name)).alias("name"))
     shown = shown.filter(F.col("id").isNotNull() & (F.col("name") != ""))
-    each, low = F.col("each"), F.col("low")
-    start = F.floor(each / count).cast("int") + 1
-    size = F.get(F.array(*[F.lit(n) for n in sizes]), F.pmod(each, F.lit(count)))
-    pieces = (
-        shown.select("id", F.length("name").alias("long"), F.lower("name").alias("low"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.length("low") * count - 1)).alias("each"))
-        .select("id", "long", "low", F.substring(low, start, size).alias("key"))
-    )
-    if about["bytes"] <= BROADCAST_MAX_BYTES:
-        pieces = pieces.join(F.broadcast(wanted), "key", "left_semi")
-    # A whole name and each of its words are substrings too, so every tier is among these.
-    key, words = F.col("key"), F.regexp_extract_all("low", F.lit("([a-z0-9]+)"), F.lit(1))
-    score = (
-        F.when(key == F.col("low"), _EXACT)
-        .when(key == F.get(words, F.lit(0)), _FIRST_WORD)
-        .when(F.array_contains(words, key), _ANY_WORD)
-        .otherwise(_INSIDE)
-    )
-    place = F.struct((-score).alias("s"), F.col("long").alias("l"), F.col("id").alias("i"))
-    best = pieces.groupBy("key").agg(F.min(place).alias("p"))
-    found = wanted.join(best, "key")
+    named = shown.select("id", F.length("name").alias("long"), F.lower("name").alias("low"))
+
+    def scored(key: Column, score: int) -> Column:
+        return F.struct(key.alias("key"), F.lit(score).alias("score"))
+
+    words = F.regexp_extract_all("low", F.lit("([a-z0-9]+)"), F.lit(1))
+    later = F.transform(F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda w: scored(w, _ANY_WORD))
+    first = F.when(F.size("words") > 0, F.array(scored(F.get("words", F.lit(0)), _FIRST_WORD)))
+    none = F.slice(F.array(scored(F.lit(""), 0)), 1, 0)
+    keys = F.concat(F.array(scored(F.col("low"), _EXACT)), F.coalesce(first, none), later)
+    by_word = named.withColumn("words", words).select("id", "long", F.inline(keys))
+    found = settle(_best_items(by_word, wanted), "found-by-word")
+    left = settle(wanted.join(found, "key", "left_anti"), "needles-left")
+    # Bounded by the longest name: a longer needle lies inside none.
+    longest = named.agg(F.max(F.length("low"))).first()[0] or 0
+    sizes = [r.n for r in left.select(F.length("key").alias("n")).filter(F.col("n") <= longest).distinct().collect()]
+    if sizes:
+        lengths = F.array(*[F.lit(n) for n in sorted(sizes)])
+        spans = named.select("*", F.explode(F.filter(lengths, lambda n: n <= F.length("low"))).alias("n"))
+        starts = spans.select("*", F.explode(F.sequence(F.lit(1), F.length("low") - F.col("n") + 1)).alias("at"))
+        pieces = starts.select("id", "long", F.substring("low", F.col("at"), F.col("n")).alias("key"))
+        found = found.unionByName(_best_items(pieces.withColumn("score", F.lit(_INSIDE)), left))
     names = shown.select(F.col("id").alias("_id"), "name")
-    return (
-        found.join(names, F.col("p.i") == F.col("_id"))
-        .select(
-            F.col("key").alias("needle"),
-            F.col("_id").alias("id"),
-            "name",
-            (-F.col("p.s")).alias("score"),
-        )
+    return found.join(names, F.col("p.i") == F.col("_id")).select(
+        F.col("key").alias("needle"), F.col("_id").alias("id"), "name", (-F.col("p.s")).alias("score")
     )
+
+
+def _best_items(keys: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, p): the best place among ``keys`` (id, long, key, score) for every wanted key."""
+    place = F.struct((-F.col("score")).alias("s"), F.col("long").alias("l"), F.col("id").alias("i"))
+    hits = keys.join(wanted, "key", "left_semi")
+    return hits.groupBy("key").agg(F.min(place).alias("p"))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.text import request_id
-from sluiceway.operators.joins import join_same, key_side
-from sluiceway.operators.latest import keep_latest
+from sluiceway.operators.joins import key_side
+from sluiceway.operators.latest import keep_latest, placed_per_key
 
 STRATEGIES = ("append", "merge", "delete+insert")
 SYNC_MODES = (
@@ -19,16 +22,24 @@ SYNC_MODES = (
     "incremental_append",
     "incremental_deduped_history",
 )
-DEDUP_MODES = ("append_dedup", "deduped_history", "overwrite_dedup")
+
+# What a source and a destination mode mean together; "*" is any other mode.
+SYNC_MODE_OF = {
+    ("incremental", "append_dedup"): "incremental_deduped_history",
+    ("incremental", "deduped_history"): "incremental_deduped_history",
+    ("incremental", "overwrite_dedup"): "incremental_deduped_history",
+    ("incremental", "*"): "incremental_append",
+    ("*", "append"): "full_refresh_append",
+    ("*", "*"): "full_refresh_overwrite",
+}
 
 
 def resolve_sync_mode(source_mode: str | None, dest_mode: str | None) -> str:
-    """One of the four sync modes from a source and a destination mode."""
-    read = (source_mode or "full_refresh").lower()
-    write = (dest_mode or "append").lower()
-    if read == "incremental":
-        return "incremental_" + ("deduped_history" if write in DEDUP_MODES else "append")
-    return "full_refresh_" + ("append" if write == "append" else "overwrite")
+    """The sync mode of a pair of modes in any case; missing ones are full refresh and append."""
+    pair = (source_mode or "full_refresh").lower(), (dest_mode or "append").lower()
+    known = [s for s, _ in SYNC_MODE_OF]
+    source = pair[0] if pair[0] in known else "*"
+    return SYNC_MODE_OF.get((source, pair[1]), SYNC_MODE_OF[source, "*"])
 
 
 class CursorError(ValueError):
@@ -44,17 +55,28 @@ def check_cursor(df: DataFrame, cursor: str | None) -> str:
     return names[cursor.lower()]
 
 
+def _mark(column: Column, kind: T.DataType) -> Column:
+    """The cursor as a value that reaches the driver unchanged in every time zone."""
+    return F.unix_micros(column) if isinstance(kind, T.TimestampType) else column
+
+
 def literal_of(value, kind: T.DataType) -> Column:
-    """A constant of exactly this type, whatever the session time zone."""
-    return F.lit(str(value)).cast(kind)
+    """The constant of type ``kind`` that ``_mark`` gave."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.TimestampNTZType):
+        seconds = decimal.Decimal(value.second * 10**6 + value.microsecond).scaleb(-6)
+        parts = (value.year, value.month, value.day, value.hour, value.minute)
+        return F.make_timestamp_ntz(*map(F.lit, parts), F.lit(seconds).cast("decimal(16,6)"))
+    return F.lit(value).cast(kind)
 
 
-def high_water_mark(tgt: DataFrame, cursor: str):
-    """Largest cursor in the target, one value brought to the driver.
+def high_water_mark(tgt: DataFrame, cursor: str, kind: T.DataType):
+    """Largest cursor in the target, one value brought to the driver; timestamps as microseconds.
 
     As a literal it prunes partitions and parquet row groups of the source.
     """
-    return tgt.agg(F.max(cursor)).first()[0]
+    return tgt.agg(F.max(_mark(F.col(cursor).cast(kind), kind))).first()[0]
 
 
 def rows_after(
@@ -63,15 +85,19 @@ def rows_after(
     """Source rows beyond the target's last cursor; all rows if the target holds none.
 
     Strictly beyond, so a replay adds nothing. ``lookback`` reads a stretch again to catch
-    late rows; use it with a merge, which absorbs the repeats.
+    late rows; use it with a merge, which absorbs the repeats. The result does not depend on the
+    time zone of the session or of the process.
     """
     cursor = check_cursor(src, cursor)
-    last = high_water_mark(tgt, cursor)
+    kind = src.schema[cursor].dataType
+    last = high_water_mark(tgt, cursor, kind)
     if last is None:
         return src
     if lookback is not None:
+        if isinstance(kind, T.TimestampType):
+            lookback = lookback // dt.timedelta(microseconds=1)
         last = last - lookback
-    return src.filter(F.col(cursor) > literal_of(last, src.schema[cursor].dataType))
+    return src.filter(F.col(cursor) > literal_of(last, kind))
 
 
 def evolve(tgt: DataFrame, new: DataFrame, on_schema_change: str = "fail") -> tuple[DataFrame, DataFrame]:
@@ -110,16 +136,22 @@ def evolve(tgt: DataFrame, new: DataFrame, on_schema_change: str = "fail") -> tu
     return shaped(tgt, fields, known), shaped(new, fields, came)
 
 
-def _one_per_key(batch: DataFrame, keys: list[str], cursor: str | None) -> DataFrame:
-    """Newest row per key; rows with a null key match nothing and all stay."""
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    rest = [c for c in batch.columns if c not in keys and c != cursor]
-    order = cursor or rest[0] if (cursor or rest) else keys[0]
-    tiebreak = [c for c in rest if c != order and _orderable(batch.schema[c].dataType)]
-    latest = keep_latest(batch.filter(complete), keys, order, tiebreak)
-    return latest.unionByName(batch.filter(~complete))
+def newest_per_key(
+    df: DataFrame, keys: list[str], cursor: str | None, tiebreak: list[str] = ()
+) -> DataFrame:
+    """The newest row per key; rows with a null in their key match nothing, so all of them stay.
+
+    Such rows are dealt out by a number of their own, so they never meet in one task. Without a
+    cursor nothing says which of two rows is newer: a repeated key is an error then.
+    """
+    incomplete = reduce(or_, [F.col(k).isNull() for k in keys])
+    alone = df.withColumn("_alone", F.when(incomplete, F.monotonically_increasing_id()))
+    if cursor is not None:
+        return keep_latest(alone, [*keys, "_alone"], cursor, tiebreak).drop("_alone")
+    two = placed_per_key(alone, [*keys, "_alone"], [F.lit(1)], 2)
+    refused = F.raise_error(F.lit(f"a key of {keys} is repeated, and no cursor tells which row is newer"))
+    once = F.when(F.col("_place") > 1, refused.cast("boolean")).otherwise(F.lit(True))
+    return two.filter(once).drop("_place", "_alone")
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -131,9 +163,13 @@ def merge_rows(
 ) -> DataFrame:
     """Update matching keys, insert new ones; one row per key of the batch wins.
 
-    Only the batch is ranked. If its keys provably fit a broadcast the target is not shuffled.
+    Only the batch is ranked. Rows with a null key match nothing: they are inserted. Ties of the
+    cursor go to the largest other values.
     """
-    fresh = _one_per_key(batch, keys, cursor)
+    rest = [c for c in batch.columns if c not in keys and c != cursor]
+    fresh = newest_per_key(
+        batch, keys, cursor, [c for c in rest if _orderable(batch.schema[c].dataType)]
+    )
     kept = tgt.join(key_side(batch, keys), keys, "left_anti")
     return kept.unionByName(fresh)
 
@@ -179,8 +215,7 @@ def sync_rows(
     """Target state after one sync run in the given mode (see ``resolve_sync_mode``).
 
     ``target_is_deduped`` says that deduplicating syncs alone have written the target. Then
-    only the new rows are ranked, and the target is not even shuffled if their keys provably
-    fit a broadcast.
+    only the new rows are ranked. Rows with a null key match nothing and all stay, as in a merge.
     """
     if mode not in SYNC_MODES:
         raise ValueError(f"the sync mode is one of {SYNC_MODES}")
@@ -188,16 +223,16 @@ def sync_rows(
     if dedup and not keys:
         raise ValueError("deduplication needs keys")
     if mode == "full_refresh_overwrite" or tgt is None:
-        return keep_latest(src, keys, check_cursor(src, cursor), tiebreak) if dedup else src
+        return newest_per_key(src, keys, check_cursor(src, cursor), tiebreak) if dedup else src
     if mode == "full_refresh_append":
         return tgt.unionByName(src)
     new = rows_after(src, tgt, cursor)
     if not dedup:
         return tgt.unionByName(new)
     if not target_is_deduped:
-        return keep_latest(tgt.unionByName(new), keys, cursor, tiebreak)
-    newest = keep_latest(new, keys, cursor, tiebreak)
-    return join_same(tgt, key_side(new, keys), keys, "left_anti").unionByName(newest)
+        return newest_per_key(tgt.unionByName(new), keys, cursor, tiebreak)
+    newest = newest_per_key(new, keys, cursor, tiebreak)
+    return tgt.join(key_side(new, keys), keys, "left_anti").unionByName(newest)
 
 
 def upsert_log(log: DataFrame, new: DataFrame, keys: list[str], written: str) -> DataFrame:

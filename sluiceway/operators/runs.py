@@ -25,10 +25,10 @@ def filter_runs(
     status: str | None = None,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
-    limit: int = 100,
+    limit: int | None = None,
     tiebreak: str = "execution_id",
 ) -> DataFrame:
-    """Newest runs matching the given filters; the date range is closed."""
+    """Runs matching the given filters, newest first; the date range is closed."""
     out = df
     if name:
         out = out.filter(F.col("pipeline_name") == name)
@@ -38,7 +38,8 @@ def filter_runs(
         out = out.filter(F.col("start_time") >= _moment(start))
     if end:
         out = out.filter(F.col("start_time") <= _moment(end))
-    return out.orderBy(F.desc("start_time"), F.asc(tiebreak)).limit(limit)
+    out = out.orderBy(F.desc("start_time"), F.asc(tiebreak))
+    return out.limit(limit) if limit else out
 
 
 def state_counts(df: DataFrame, group: list[str], state: str) -> DataFrame:

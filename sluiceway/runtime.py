@@ -1,4 +1,4 @@
-"""Session facts the operators rely on: the shared scratch folder and size checks.
+"""Session facts the operators rely on: the shared scratch folder and tables settled in it.
 
 Nothing here starts a session. Intermediate tables and checkpoints go to the folder the
 cluster names in ``spark.checkpoint.dir``; only a local session without that setting gets
@@ -7,6 +7,8 @@ a temporary folder of its own.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -17,10 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A side is broadcast only when its plan proves it is at most this big.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Root of the scratch folder that every executor can reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,7 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 @cache
 def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="sluiceway-")
+    """Only for a local session without the setting; removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="sluiceway-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
@@ -41,6 +42,13 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: its size is known, and it outlives any executor."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` as a table in the shared folder; return it as read back, and its rows.
 
@@ -52,26 +60,6 @@ def settle_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-# Steps whose output can be many times what Catalyst estimates from their input.
-_WIDENING = ("Generate", "MapIn", "FlatMap", "Expand", "Join Cross")
-
-
-def small_enough(df: DataFrame, limit: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when the plan estimate proves that ``df`` fits a broadcast.
-
-    For a plan over files the estimate starts from file bytes and does not shrink with
-    filters, so parquet input is allowed a tenth of the limit to cover decompression. Plans
-    with steps that multiply rows prove nothing.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return not any(step in plan for step in _WIDENING) and plan_bytes(df) * 10 <= limit
-
-
 def metadata_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A frame of catalog facts (never table data), held by the plan itself."""
     schema = T.StructType.fromDDL(ddl)

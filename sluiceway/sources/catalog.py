@@ -94,18 +94,18 @@ def catalog_search(
     term: str,
     scope: str = "tables",
     database: str | None = None,
-    limit: int = 100,
+    limit: int | None = None,
 ) -> DataFrame:
     """Tables, columns or comments containing a term (case-blind; ``%`` and ``_`` stay wildcards)."""
     found = catalog.filter(F.col("database_name") == database) if database else catalog
     if scope == "columns":
         cols = ["database_name", "table_name", "column_name", "data_type", "description"]
-        return (
+        out = (
             found.filter(_contains(F.col("column_name"), term))
             .select(*cols)
             .orderBy("database_name", "table_name", "column_name")
-            .limit(limit)
         )
+        return out.limit(limit) if limit else out
     if scope == "tables":
         hit = _contains(F.col("table_name"), term) & F.col("table_kind").isin(*TABLE_KINDS)
     elif scope == "comment":
@@ -113,7 +113,8 @@ def catalog_search(
     else:
         raise ValueError("scope is tables, columns or comment")
     cols = ["database_name", "table_name", "table_kind", "description"]
-    return found.filter(hit).select(*cols).orderBy("database_name", "table_name").limit(limit)
+    out = found.filter(hit).select(*cols).orderBy("database_name", "table_name")
+    return out.limit(limit) if limit else out
 
 
 def list_tables(

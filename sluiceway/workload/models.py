@@ -44,19 +44,25 @@ def staged_orders(t: Tables):
        GROUP BY 1, 2"""
 )
 def customer_orders_fact(t: Tables):
+    """Orders are folded per customer and status first, so a customer with many costs no task more."""
+    folded = marts.fact(
+        staged_orders(t),
+        ["customer_id", "status"],
+        {"orders": "count(order_id)", "spent": "sum(o_totalprice)"},
+    )
     joined = j.join_chain(
         staged_customers(t),
         "c",
-        [j.Join(staged_orders(t), "o", "c.customer_id = o.customer_id")],
-        ["c.customer_id", "c.segment", "o.status", "o.order_id", "o.o_totalprice"],
+        [j.Join(folded, "o", "c.customer_id = o.customer_id")],
+        ["c.customer_id", "c.segment", "o.status", "o.orders", "o.spent"],
     )
     return marts.fact(
         joined,
         ["segment", "status"],
         {
-            "order_count": "count(order_id)",
+            "order_count": "coalesce(sum(orders), 0)",
             "customer_count": "count(distinct customer_id)",
-            "total_spent": "round(sum(o_totalprice), 2)",
+            "total_spent": "round(sum(spent), 2)",
         },
     )
 

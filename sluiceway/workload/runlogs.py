@@ -127,7 +127,7 @@ def run_log_totals(t: Tables):
 )
 def suppliers_used_together(t: Tables):
     """Order lines as an access log: which suppliers share orders with supplier 7."""
-    return li.co_access(t.lineitem, "l_orderkey", "l_suppkey", 7)
+    return li.co_access(t.lineitem, "l_orderkey", "l_suppkey", 7, limit=50)
 
 
 @query(
@@ -135,7 +135,7 @@ def suppliers_used_together(t: Tables):
        ON l1.l_orderkey = l2.l_orderkey WHERE l1.l_partkey = 42 AND l2.l_partkey <> 42 GROUP BY 1"""
 )
 def parts_used_together(t: Tables):
-    return li.co_access(t.lineitem, "l_orderkey", "l_partkey", 42, limit=None).drop("log_rows")
+    return li.co_access(t.lineitem, "l_orderkey", "l_partkey", 42).drop("log_rows")
 
 
 _EDGES = """(SELECT 'r' || n_regionkey AS parent, 'n' || n_nationkey AS child FROM nation

@@ -67,6 +67,13 @@ def new_events_by_cursor(t: Tables):
     return m.rows_after(t.events, loaded_events(t), "TS")
 
 
+@query(f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM {_OLD})")
+def new_events_by_instant(t: Tables):
+    """The same cursor as an instant, whose clock time depends on the session's zone."""
+    now, old = (df.withColumn("ts", F.col("ts").cast("timestamp")) for df in (t.events, loaded_events(t)))
+    return m.rows_after(now, old, "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query(
     f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM {_OLD}) - INTERVAL 6 HOUR"
 )

@@ -25,7 +25,7 @@ def read_columns(text):
     [
         ("customer_orders_fact", {"c_custkey", "c_mktsegment", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"}),
         ("product_dimension", {"p_brand", "p_type"}),
-        ("suppliers_used_together", {"l_orderkey", "l_suppkey"}),
+        ("suppliers_used_together", {"l_orderkey", "l_suppkey", "_q", "_hits"}),
         ("orphaned_part_keys", {"l_partkey", "p_partkey", "p_size"}),
         ("row_count_in_bounds", set()),
     ],
@@ -88,9 +88,8 @@ def test_small_batch_is_broadcast_and_target_not_shuffled(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_large_key_sides_leave_an_exchange_for_skew_splitting(spark, monkeypatch):
+def test_large_key_sides_leave_an_exchange_for_skew_splitting(spark):
     """Both inputs of the join sort straight from an exchange of their own."""
-    monkeypatch.setattr(joins, "small_enough", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_custkey")
@@ -100,3 +99,14 @@ def test_large_key_sides_leave_an_exchange_for_skew_splitting(spark, monkeypatch
         assert kept.count() == rows.filter("o_custkey < 50").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_co_access_does_not_shuffle_the_log(spark):
+    text = plan(spark, "suppliers_used_together")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "hashpartitioning(l_orderkey" not in text
+
+
+def test_orders_are_folded_before_the_join(spark):
+    text = plan(spark, "customer_orders_fact")
+    assert re.search(r"partial_(count|sum)\(o_", text) or re.search(r"partial_sum\(o_totalprice", text)

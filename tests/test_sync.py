@@ -60,6 +60,39 @@ def test_cursor_filter_reaches_the_scan(spark, target):
     assert out.count() == 1
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "UTC"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_cursor_loses_no_rows_in_any_zone(spark, zone, kind):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        def at(*moments):
+            texts = spark.createDataFrame([(i, t) for i, t in enumerate(moments)], "id int, t string")
+            return texts.select("id", F.col("t").cast(kind).alias("ts"))
+
+        tgt = at("2024-03-10 10:00:00", "2024-03-10 12:00:00.000001")
+        src = at("2024-03-10 10:00:00", "2024-03-10 12:00:00.000001", "2024-03-10 12:00:00.000002", "2024-11-03 01:30:00")
+        assert sorted(r.id for r in m.rows_after(src, tgt, "ts").collect()) == [2, 3]
+        back = dt.timedelta(microseconds=1)
+        assert sorted(r.id for r in m.rows_after(src, tgt, "ts", back).collect()) == [1, 2, 3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cursors_of_other_types(spark):
+    for kind, low, high in (("decimal(12,3)", "1.001", "1.002"), ("date", "2024-01-01", "2024-01-02"), ("double", "1.5", "2.5"), ("string", "a", "b")):
+        src = spark.createDataFrame([(low,), (high,)], "t string").select(F.col("t").cast(kind).alias("c"))
+        tgt = src.limit(1)
+        assert m.rows_after(src, tgt, "c").count() == 1
+
+
+def test_repeated_keys_without_a_cursor_are_refused(target, batch):
+    with pytest.raises(Exception, match="no cursor tells"):
+        m.merge_rows(target, batch, ["k"]).collect()
+    once = batch.filter("t IN (30, 40, 50)")
+    assert m.merge_rows(target, once, ["k"]).count() == 6
+
+
 def test_merge(target, batch, rows):
     out = m.incremental(batch, target, "merge", cursor="t", unique_key=["k"])
     assert rows(out) == [
@@ -109,7 +142,8 @@ def test_deduped_target_gives_the_same_state(spark, rows):
     old = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (None, 1, "n")], ddl)
     src = spark.createDataFrame([(1, 1, "a"), (2, 3, "c"), (2, 4, "d"), (3, 4, "e"), (None, 5, "m")], ddl)
     mode, how = "incremental_deduped_history", {"cursor": "t", "keys": ["k"], "tiebreak": ["v"]}
-    want = [(None, 5, "m"), (1, 1, "a"), (2, 4, "d"), (3, 4, "e")]
+    # Null keys match nothing, as in a merge.
+    want = [(None, 1, "n"), (None, 5, "m"), (1, 1, "a"), (2, 4, "d"), (3, 4, "e")]
     assert rows(m.sync_rows(src, old, mode, **how)) == want
     assert rows(m.sync_rows(src, old, mode, **how, target_is_deduped=True)) == want
 
