@@ -34,12 +34,13 @@ SECRET_ENDINGS = (
     "connectionstring",
     "jdbc url",
 )
-# Keys whose text value is masked unless it is itself a JSON document.
+# Fixed value: keys whose text value is masked unless it is itself a JSON document.
 EMBEDDED_KEYS = ("extra",)
 
 _SECRET_KEY = re.compile(
     r"(?:^| )(?:" + "|".join(SECRET_LAST_WORDS + SECRET_ENDINGS) + r")$"
 )
+# Where the words of a key part.
 _CAMEL_EDGE = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _WORD_GAP = re.compile(r"[_\-]+")
 
@@ -64,7 +65,7 @@ def mask_fields(schema: T.DataType, value: Column) -> Column:
     """Rebuild a struct/array/map value of known schema with its secret fields masked.
 
     Secret fields, and fields known to embed secrets, become the mask text whatever their
-    type was. Other text fields are taken as plain text, not as embedded JSON.
+    type was. Other text that is itself a JSON document is masked inside, see ``mask_embedded``.
     """
     if isinstance(schema, T.StructType):
         fields = []
@@ -80,9 +81,9 @@ def mask_fields(schema: T.DataType, value: Column) -> Column:
         if not isinstance(schema.valueType, T.StringType):
             raise TypeError("maps need string values here; use redact_json for open documents")
         return F.transform_values(
-            value, lambda k, v: F.when(_secret_key_column(k), F.lit(MASK)).otherwise(v)
+            value, lambda k, v: F.when(_secret_key_column(k), F.lit(MASK)).otherwise(mask_embedded(v))
         )
-    return value
+    return mask_embedded(value) if isinstance(schema, T.StringType) else value
 
 
 def _secret_key_column(key: Column) -> Column:
@@ -91,37 +92,167 @@ def _secret_key_column(key: Column) -> Column:
     return F.rlike(words, F.lit(_SECRET_KEY.pattern))
 
 
+def _key_pattern() -> str:
+    """The rule of ``is_secret_key`` for a key as it stands in a document, before its colon."""
+    gap, edge = r"(?:[_\- ]+|(?<=[a-z0-9])(?=[A-Z]))", r"(?:[_\- ]|(?<=[a-z0-9])(?=[A-Z]))"
+    endings = "|".join(w.replace(" ", gap) for w in (*SECRET_LAST_WORDS, *SECRET_ENDINGS))
+    return rf'"(?:(?:[^"\\\\]*{edge})?(?i:{endings})|(?i:{"|".join(EMBEDDED_KEYS)}))[_\- ]*"\s*:\s*'
+
+
+def mask_embedded(text: Column) -> Column:
+    """Text that is a JSON document with its secret fields masked; other text stays.
+
+    Secret values that are no single text, number or word, and documents within such documents, can't be
+    cut out by a pattern: then the whole text is masked.
+    """
+    key = _key_pattern()
+    plain = rf'({key})(?:"(?:[^"\\\\]|\\\\.)*"|[^\s"{{}}\[\],]+)'
+    cut = F.regexp_replace(text, plain, f'$1"{MASK}"')
+    looks = F.rlike(text, F.lit(r"^\s*[{\[]"))
+    nested = F.rlike(text, F.lit(rf"{key}[{{\[]")) | F.rlike(text, F.lit(r'\\"'))
+    suspect = F.rlike(text, F.lit("(?i)" + "|".join((*SECRET_LAST_WORDS, *EMBEDDED_KEYS, "key", "configuration", "url", "string"))))
+    return F.when(looks & suspect, F.when(nested, F.lit(MASK)).otherwise(cut)).otherwise(text)
+
+
+def _has_unknown(schema: T.DataType, text: Column) -> Column:
+    """True if JSON ``text`` holds fields that ``schema`` does not name."""
+    none = F.lit(False)
+    if isinstance(schema, T.StructType):
+        known = F.array(*[F.lit(f.name) for f in schema.fields])
+        found = F.size(F.array_except(F.json_object_keys(text), known)) > 0
+        for f in schema.fields:
+            if isinstance(f.dataType, (T.StructType, T.ArrayType)):
+                found = F.coalesce(found, none) | _has_unknown(
+                    f.dataType, F.get_json_object(text, f"$['{f.name}']")
+                )
+        return F.coalesce(found, none)
+    if isinstance(schema, T.ArrayType) and isinstance(schema.elementType, (T.StructType, T.ArrayType)):
+        parts = F.from_json(text, "array<string>")
+        return F.coalesce(F.exists(parts, lambda e: _has_unknown(schema.elementType, e)), none)
+    return none
+
+
 def redact_json_known(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Mask a JSON text column whose schema is known, entirely inside the JVM."""
-    parsed = F.from_json(F.col(column), schema)
-    return df.withColumn(column, F.to_json(mask_fields(schema, parsed)))
+    """Mask a JSON text column whose schema is known, entirely inside the JVM.
 
+    Every field of the schema is written, null if it is absent. Text that is no JSON stays as it is.
+    A document with fields that the schema does not name is refused, since its secrets could not be
+    told: use ``redact_json`` for open documents.
+    """
+    text = F.col(column)
+    parsed = F.from_json(text, schema)
+    masked = F.to_json(mask_fields(schema, parsed), {"ignoreNullFields": "false"})
+    refused = F.raise_error(F.lit(f"{column} holds fields outside the given schema; use redact_json"))
+    return df.withColumn(
+        column,
+        F.when(F.try_parse_json(text).isNull(), text)
+        .when(_has_unknown(schema, text), refused.cast("string"))
+        .otherwise(masked),
+    )
 
-def _masked(node):
-    if isinstance(node, dict):
-        return {k: _masked_value(k, v) for k, v in node.items()}
-    if isinstance(node, list):
-        return [_masked(v) for v in node]
-    if isinstance(node, str) and node.lstrip()[:1] in ("{", "["):
-        return _masked_document(node, otherwise=node)
-    return node
 
+_TOKEN = re.compile(
+    r"[ \t\n\r]*(?:(?P<mark>[{}\[\],:])"
+    r'|(?P<text>"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")'
+    r"|(?P<word>-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?![\w.])|(?:true|false|null|NaN|-?Infinity)(?!\w)))"
+)
+_END = re.compile(r"[ \t\n\r]*\Z")
+# Documents within documents deeper than this are masked as a whole.
+_DEEPEST = 20
 
-def _masked_value(key: str, value):
-    if is_secret_key(key):
-        return MASK
-    if key.lower() in EMBEDDED_KEYS and isinstance(value, str):
-        if value.lstrip()[:1] in ("{", "["):
-            return _masked_document(value, otherwise=MASK)
-        return MASK if value.strip() else value
-    return _masked(value)
 
+def _said(token: str) -> str:
+    return json.loads(token) if "\\" in token else token[1:-1]
 
-def _masked_document(text: str, otherwise: str) -> str:
-    try:
-        return json.dumps(_masked(json.loads(text)))
-    except ValueError:
-        return otherwise
+
+def mask_document(text: str, depth: int = 0) -> str | None:
+    """The document with its secret values replaced, all else as it stood; None if it is no JSON.
+
+    One pass over the tokens with a stack of its own, so no depth of nesting is too deep.
+    """
+    pieces, done, at = [], 0, 0
+    stack: list[str] = []  # what is open: "{" or "["
+    keys: list[str | None] = []  # the key that each open container stands under
+    key: str | None = None
+    hidden: tuple[int, int] | None = None  # (start of the hidden value, depth where it ends)
+    want = "value"
+
+    def replace(start: int, end: int, by: str) -> None:
+        nonlocal done
+        pieces.append(text[done:start])
+        pieces.append(by)
+        done = end
+
+    mask = json.dumps(MASK)
+    while want != "end":
+        m = _TOKEN.match(text, at)
+        if not m:
+            return None
+        kind, token, at = m.lastgroup, m.group(m.lastgroup), m.end()
+        start = at - len(token)
+        closes = kind == "mark" and token in "}]"
+        if closes:
+            if not stack or (stack[-1] == "{") != (token == "}") or want not in ("next", "first", "key or end"):
+                return None
+            if want == "key or end" and token != "}" or want == "first" and token != "]":
+                return None
+            stack.pop()
+            key = keys.pop()
+            if hidden and len(stack) == hidden[1]:
+                replace(hidden[0], at, mask)
+                hidden = None
+        elif want in ("key", "key or end"):
+            if kind != "text":
+                return None
+            key, want = _said(token), "colon"
+            continue
+        elif want == "colon":
+            if token != ":":
+                return None
+            want = "value"
+            continue
+        elif want == "next":
+            if token != ",":
+                return None
+            want = "key" if stack[-1] == "{" else "value"
+            key = key if stack[-1] == "{" else None
+            continue
+        elif kind == "mark":
+            if token not in "{[" or (not stack and at != start + 1):
+                return None
+            if hidden is None and key is not None and is_secret_key(key):
+                hidden = (start, len(stack))
+            stack.append(token)
+            keys.append(key)
+            key, want = None, "key or end" if token == "{" else "first"
+            continue
+        else:
+            if not stack:
+                return None
+            if hidden is None:
+                secret = key is not None and is_secret_key(key)
+                by = mask if secret else _masked_text(key, token, depth) if kind == "text" else None
+                if by is not None:
+                    replace(start, at, by)
+        want = "next" if stack else "end"
+    if not _END.match(text, at):
+        return None
+    return "".join([*pieces, text[done:]])
+
+
+def _masked_text(key: str | None, token: str, depth: int) -> str | None:
+    """What a text value becomes, as a JSON token; None to leave it."""
+    known = key is not None and key.lower() in EMBEDDED_KEYS
+    said = _said(token)
+    if said.lstrip()[:1] in ("{", "["):
+        inner = MASK if depth >= _DEEPEST else mask_document(said, depth + 1)
+        if inner is None:
+            return json.dumps(MASK) if known else None
+        if inner == said:
+            return None
+        made = json.dumps(inner, ensure_ascii=False)
+        return made if made.isprintable() else json.dumps(inner)
+    return json.dumps(MASK) if known and said.strip() else None
 
 
 _SUSPECT = re.compile(
@@ -133,14 +264,18 @@ _SUSPECT = re.compile(
 def _mask_text(text: str) -> str:
     if not (_SUSPECT.search(text) or "\\u" in text):
         return text
-    return _masked(text)
+    try:
+        masked = mask_document(text)
+    except Exception:  # one hostile document must not end the job, nor be shown
+        return MASK
+    return text if masked is None else masked
 
 
 @F.pandas_udf(T.StringType())
 def redact_json(documents: pd.Series) -> pd.Series:
     """Mask JSON text of open schema, at any depth; only this column travels to Python.
 
-    Text that is no JSON object or array stays as it is. Documents without any word that
-    could make a key secret skip the parser.
+    Only masked values change; all other text stays as it stood. Text that is no JSON object or
+    array stays as it is. Documents without any word that could make a key secret skip the parser.
     """
     return documents.map(_mask_text, na_action="ignore")

@@ -10,10 +10,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.keys import row_hash
 from sluiceway.operators.latest import first_per_key, keep_latest
-
-# Hot keys are spread over this many groups before the final ranking.
-SALTS = 64
-
+from sluiceway.runtime import settle
 
 def find_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
@@ -72,20 +69,27 @@ def mark_unique_violations(
 ) -> DataFrame:
     """Add ``_repeat``: true for all but the first row of each key (nulls count as equal).
 
-    Ranked in two rounds. The first round ranks each key within the salt of the input
-    partition, which splits hot keys and groups of copies; only the winners, at most one
-    per salt, meet in the second round, while the losers stay spread over the salts.
-    Ties are broken by all columns, so any row chosen among the rest is an equal copy.
+    The rows are settled with a number each. The first row per key is a minimum over the order, a
+    hash of the row and its number, combined before the shuffle; what comes back to the rows is
+    the set of winning numbers, joined by number, so no key's size matters. Ties are broken by all
+    columns, so any row chosen among the rest is an equal copy.
     """
-    among = F.lit(True) if among is None else among
-    sortable = _total_order(df, order)
-    salted = df.withColumn("_among", among).withColumn("_salt", F.spark_partition_id() % SALTS)
-    near = Window.partitionBy(*keys, "_among", "_salt").orderBy(*sortable)
-    won = F.when(F.row_number().over(near) == 1, F.lit(-1)).otherwise(F.col("_salt"))
-    round_two = salted.withColumn("_salt", won)
-    far = Window.partitionBy(*keys, "_among", "_salt").orderBy(*sortable)
-    first = (F.col("_salt") == -1) & (F.row_number().over(far) == 1)
-    return round_two.withColumn("_repeat", F.col("_among") & ~first).drop("_salt", "_among")
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    chosen = rows.filter(among) if among is not None else rows
+    winners = first_rows(chosen, df, keys, order).select(F.col("_row").alias("_winner"))
+    marked = rows.join(winners, F.col("_row") == F.col("_winner"), "left")
+    considered = F.coalesce(among, F.lit(False)) if among is not None else F.lit(True)
+    return marked.withColumn("_repeat", considered & F.col("_winner").isNull()).drop("_row", "_winner")
+
+
+def first_rows(rows: DataFrame, df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """(keys, _row) of the first row per key among numbered ``rows`` of ``df``'s columns."""
+    by_order = [part for c in order for part in (F.col(c).isNull(), F.col(c))]
+    place = F.struct(
+        *[v.alias(f"o{i}") for i, v in enumerate(by_order)], row_hash(df).alias("h"), F.col("_row").alias("r")
+    )
+    first = rows.groupBy(*keys).agg(F.min(place).alias("_first"))
+    return first.select(*keys, F.col("_first.r").alias("_row"))
 
 
 def _total_order(df: DataFrame, order: list[str]) -> list[Column]:

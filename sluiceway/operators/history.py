@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.operators.latest import one_per_key
+
 OPEN = ("valid_from", "valid_to")
 
 
@@ -20,7 +22,7 @@ def snapshot(
     check_cols: list[str] | None = None,
     as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """History after comparing it with the current rows (one per key).
+    """History after comparing it with the current rows (one per key; a repeated key is refused).
 
     ``timestamp`` makes a version when ``updated_at`` is newer, ``check`` when any of
     ``check_cols`` (default all) differs, null-safe, dated ``as_of``. Unchanged keys keep
@@ -28,7 +30,7 @@ def snapshot(
     Versions already closed pass through without a shuffle.
     """
     start = _start(strategy, updated_at, as_of)
-    first = current.select(
+    first = one_per_key(current, key).select(
         "*", start.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to")
     )
     if history is None:
@@ -76,9 +78,9 @@ def _start(strategy: str, updated_at: str | None, as_of: dt.datetime | None) ->
 
 
 def version_id(key: list[str]) -> Column:
-    """Stable id of a version: digest over key and start."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
-    return F.md5(F.concat_ws("|", *parts, F.col("valid_from").cast("string")))
+    """Stable id of a version: digest over key and start, which no other key can spell."""
+    named = F.struct(*[F.col(k) for k in key], "valid_from")
+    return F.md5(F.to_json(named, {"ignoreNullFields": "false"}))
 
 
 def as_of_time(history: DataFrame, moment: Column) -> DataFrame:

@@ -34,3 +34,11 @@ def newest_n(
     df: DataFrame, keys: list[str], cursor: str, n: int, tiebreak: list[str] = ()
 ) -> DataFrame:
     return first_per_key(df, keys, newest_first(cursor, tiebreak), n)
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows themselves; a repeated key (nulls count as equal) is an error."""
+    two = placed_per_key(df, keys, [F.lit(1)], 2)
+    refused = F.raise_error(F.lit(f"a key of {keys} is repeated")).cast("boolean")
+    once = F.when(F.col("_place") > 1, refused).otherwise(F.lit(True))
+    return two.filter(once).drop("_place")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.text import request_id
 from sluiceway.operators.joins import key_side
-from sluiceway.operators.latest import keep_latest, placed_per_key
+from sluiceway.operators.latest import keep_latest, one_per_key
 
 STRATEGIES = ("append", "merge", "delete+insert")
 SYNC_MODES = (
@@ -148,10 +148,7 @@ def newest_per_key(
     alone = df.withColumn("_alone", F.when(incomplete, F.monotonically_increasing_id()))
     if cursor is not None:
         return keep_latest(alone, [*keys, "_alone"], cursor, tiebreak).drop("_alone")
-    two = placed_per_key(alone, [*keys, "_alone"], [F.lit(1)], 2)
-    refused = F.raise_error(F.lit(f"a key of {keys} is repeated, and no cursor tells which row is newer"))
-    once = F.when(F.col("_place") > 1, refused.cast("boolean")).otherwise(F.lit(True))
-    return two.filter(once).drop("_place", "_alone")
+    return one_per_key(alone, [*keys, "_alone"]).drop("_alone")
 
 
 def _orderable(kind: T.DataType) -> bool:

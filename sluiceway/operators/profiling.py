@@ -38,7 +38,7 @@ def _keys(field: T.StructField) -> tuple[Column, Column]:
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column position, value key, rows), nulls left out.
+    """(column position, value key, rows); the key of nulls is null.
 
     All columns share one scan and one shuffle of a few bytes per distinct value, however
     long the texts; equal values are merged before it, so a value held by a third of the
@@ -51,9 +51,7 @@ def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             F.struct(F.lit(i).alias("_column"), first.alias("_key"), second.alias("_key2"))
         )
     long = df.select(F.inline(F.array(*entries)))
-    return long.filter(F.col("_key").isNotNull()).groupBy("_column", "_key", "_key2").agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
+    return long.groupBy("_column", "_key", "_key2").agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def _name_of(columns: list[str]) -> Column:
@@ -63,9 +61,8 @@ def _name_of(columns: list[str]) -> Column:
 def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column_name, distinct_count); a column without any value has no row."""
     columns = columns or df.columns
-    counted = value_counts(df, columns).groupBy("_column").agg(
-        F.count(F.lit(1)).alias("distinct_count")
-    )
+    counted = value_counts(df, columns).filter(F.col("_key").isNotNull())
+    counted = counted.groupBy("_column").agg(F.count(F.lit(1)).alias("distinct_count"))
     return counted.select(_name_of(columns).alias("column_name"), "distinct_count")
 
 
@@ -87,31 +84,46 @@ def column_statistics(
 ) -> DataFrame:
     """Row, null and distinct counts with their percentages (two decimals, 0 on no rows).
 
-    ``approximate`` trades the exact distinct counts, and their shuffle, for sketches.
+    One scan: rows, filled rows and distinct values of all columns are folded from the counts per
+    value. ``approximate`` trades the exact distinct counts, and their shuffle, for sketches.
     """
     df = sample_rows(df, sample, seed) if sample else df
     columns = columns or df.columns
-    sketches = [F.approx_count_distinct(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(columns)]
-    totals = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(f"`{c}`").alias(f"n_{i}") for i, c in enumerate(columns)],
-        *(sketches if approximate else []),
-    )
-    rows = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(c).alias("column_name"),
-            F.col("rows").alias("total_rows"),
-            F.col(f"n_{i}").alias("non_null_count"),
-            *([F.col(f"d_{i}").alias("distinct_count")] if approximate else []),
+    names = [F.struct(F.lit(i).alias("_column"), F.lit(c).alias("column_name")) for i, c in enumerate(columns)]
+    listed = df.sparkSession.range(1).select(F.inline(F.array(*names)))
+    if approximate:
+        measured = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(f"`{c}`").alias(f"n_{i}") for i, c in enumerate(columns)],
+            *[F.approx_count_distinct(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(columns)],
         )
-        for i, c in enumerate(columns)
-    ]
-    out = totals.select(F.inline(F.array(*rows)))
-    if not approximate:
-        out = out.join(per_column(distinct_counts(df, columns)), "column_name", "left")
+        rows = [
+            F.struct(
+                F.lit(i).alias("_column"),
+                F.col("rows").alias("total_rows"),
+                F.col(f"n_{i}").alias("non_null_count"),
+                F.col(f"d_{i}").alias("distinct_count"),
+            )
+            for i in range(len(columns))
+        ]
+        counted = measured.select(F.inline(F.array(*rows)))
+    else:
+        filled = F.col("_key").isNotNull()
+        counted = value_counts(df, columns).groupBy("_column").agg(
+            F.sum("_rows").alias("total_rows"),
+            F.sum(F.when(filled, F.col("_rows")).otherwise(0)).alias("non_null_count"),
+            F.count_if(filled).alias("distinct_count"),
+        )
+    out = listed.join(per_column(counted), "_column", "left").select(
+        (F.col("_column") + 1).alias("position"),
+        "column_name",
+        *[
+            F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+            for c in ("total_rows", "non_null_count", "distinct_count")
+        ],
+    )
     total, filled = F.col("total_rows"), F.col("non_null_count")
-    distinct = F.coalesce("distinct_count", F.lit(0).cast("bigint"))
+    distinct = F.col("distinct_count")
     return out.select(
         "position",
         "column_name",

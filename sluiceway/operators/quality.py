@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.functions.keys import row_hash
 from sluiceway.functions.text import seconds_between
@@ -92,7 +93,7 @@ def test_unique(df: DataFrame, columns: list[str]) -> DataFrame:
         list(enumerate(columns)),
         "_column int, column_name string",
     )
-    repeated = value_counts(df, columns).groupBy("_column").agg(
+    repeated = value_counts(df, columns).filter(F.col("_key").isNotNull()).groupBy("_column").agg(
         F.count_if(F.col("_rows") > 1).alias("n")
     )
     failures = F.coalesce("n", F.lit(0).cast("bigint"))
@@ -279,13 +280,56 @@ def _fingerprint(df: DataFrame) -> Column:
     return row_hash(df).cast("decimal(38,0)")
 
 
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which values of both can be compared; text gives way to anything else."""
+    if a == b:
+        return a
+    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        return b if isinstance(a, T.StringType) else a
+    both = (a, b)
+    if all(isinstance(t, T.NumericType) for t in both):
+        if all(isinstance(t, T.IntegralType) for t in both):
+            return T.LongType()
+        if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in both):
+            return T.DoubleType()
+        return T.DecimalType(38, max(getattr(t, "scale", 0) for t in both))
+    if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in both):
+        return T.TimestampType() if T.TimestampType() in both else T.TimestampNTZType()
+    return T.StringType()
+
+
+def same_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with columns of equal names (case-blind) brought to a common type.
+
+    Text that does not convert becomes null there. ``schema_diff`` tells which types differ.
+    """
+    others = {f.name.lower(): f for f in b.schema.fields}
+    left, right = [], {}
+    for f in a.schema.fields:
+        other = others.get(f.name.lower())
+        kind = _common_type(f.dataType, other.dataType) if other else f.dataType
+        same = kind == f.dataType
+        left.append((F.col(f"`{f.name}`") if same else F.col(f"`{f.name}`").try_cast(kind)).alias(f.name))
+        if other:
+            right[other.name] = (kind, f.name)
+    out = [
+        F.col(f"`{f.name}`").try_cast(right[f.name][0]).alias(right[f.name][1])
+        if f.name in right and right[f.name] != (f.dataType, f.name)
+        else F.col(f"`{f.name}`")
+        for f in b.schema.fields
+    ]
+    return a.select(*left), b.select(*out)
+
+
 def reconcile(src: DataFrame, tgt: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Compare two tables on one row.
 
     Always: row counts and whether the contents agree in any order (equal counts and equal
     sums of row hashes). With ``keys`` also how many keys are missing in the target, extra
-    in it, or hold different rows; rows are folded per key before the join.
+    in it, or hold different rows; rows are folded per key before the join. Values are compared in
+    a common type per column, so text or a narrower number equals the same number.
     """
+    src, tgt = same_types(src, tgt)
     if not keys:
         sides = []
         for name, df in (("source", src), ("target", tgt)):

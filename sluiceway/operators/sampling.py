@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.functions.keys import row_hash
+
 
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` random rows (all rows if there are fewer).
+    """Exactly ``n`` random rows (all rows if there are fewer), the same however the input is split.
 
-    Each task keeps its own ``n`` best draws, so only those reach the final step, which is
-    one task: meant for samples that one task can hold. For a share of a huge table use
-    ``sample_fraction``.
+    Rows are ranked by a seeded hash of their values, so every use of the result sees one sample.
+    Each task keeps its own ``n`` best, and only those reach the final step, which is one task:
+    meant for samples that one task can hold. For a share of a huge table use ``sample_fraction``.
     """
     if n < 1:
         raise ValueError("the sample size must be at least 1")
-    drawn = df.withColumn("_draw", F.rand(seed))
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), row_hash(df)))
     return drawn.orderBy("_draw").limit(n).drop("_draw")
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """A sample of about ``fraction`` of the rows, without any shuffle."""
-    return df.sample(fraction, seed)
+    """A sample of about ``fraction`` of the rows, without any shuffle; equal rows go together."""
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(seed), row_hash(df)), 11) / float(2**53)
+    return df.filter(share < fraction)
 
 
 def preview(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +58,9 @@ def elt_job(
 ) -> DataFrame:
     """Synchronise every source, stage it, build the model, test it, publish it if it passes.
 
-    The model is written once, tested where it lies, and moved into place only then.
+    The model is written once under a name of its own, tested where it lies, and moved into place
+    only then. The old result is kept as ``<out_path>_bkp``; between the two moves there is no
+    table at ``out_path``, as with any pair of renames.
     """
     spark = next(iter(sources.values())).sparkSession
     staged = {}
@@ -65,10 +68,11 @@ def elt_job(
         how = (syncs or {}).get(name, {"mode": "full_refresh_overwrite"})
         landed = sync(df, f"{landing}/{name}", **how)
         staged[name] = stage.get(name, lambda d: d)(landed)
-    candidate = f"{out_path.rstrip('/')}__candidate"
-    model(staged).write.mode("overwrite").parquet(candidate)
+    candidate = f"{out_path.rstrip('/')}__candidate_{uuid.uuid4().hex}"
+    model(staged).write.parquet(candidate)
     result = verdict(tests(spark.read.parquet(candidate))).first()
     if not result["valid"]:
+        storage.remove(spark, candidate)
         raise TestsFailed(f"{result['failed']} of {result['tests']} tests failed")
     if storage.exists(spark, out_path):
         storage.remove(spark, f"{out_path}_bkp")

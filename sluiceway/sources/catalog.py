@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from sluiceway.functions.text import humanize_name
 from sluiceway.operators.profiling import column_statistics
 from sluiceway.runtime import metadata_frame
+from sluiceway.sources.tables import table_size
 
 # Kinds of real tables (with and without a primary index).
 TABLE_KINDS = ("T", "O")
@@ -76,10 +77,21 @@ def catalog_snapshot(
 
 
 def describe_table(
-    df: DataFrame, table: str, database: str = "", keys: list[str] = (), include_stats: bool = False
+    df: DataFrame,
+    table: str,
+    database: str = "",
+    keys: list[str] = (),
+    include_stats: bool = False,
+    location: str | None = None,
 ) -> DataFrame:
-    """One row per column; with ``include_stats`` joined to exact column statistics."""
+    """One row per column; with ``include_stats`` joined to exact column statistics, with the
+    ``location`` of the table's files also to its rows and size."""
     out = catalog_snapshot(df.sparkSession, {table: df.schema}, database, {table: list(keys)})
+    if location:
+        size = table_size(df.sparkSession, location)
+        out = out.withColumns(
+            {c: size.select(c).scalar() for c in ("row_count", "bytes", "size_mb", "size_gb")}
+        )
     if not include_stats:
         return out
     return out.join(column_statistics(df).drop("position"), "column_name")

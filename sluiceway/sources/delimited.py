@@ -1,8 +1,9 @@
-"""Delimited text: sniffing, reading, type inference, typed casting, export."""
+"""Delimited text: finding its shape, reading, type inference, typed casting, export."""
 
 from __future__ import annotations
 
 import csv
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from pyspark.sql import types as T
 from sluiceway.functions.text import strip
 from sluiceway.operators.profiling import distinct_counts, per_column
 
-# The separators looked for and how much of a file is looked at.
+# The separators looked for.
 SEPARATORS = ",|\t;"
-HEAD_LINES = 21
-HEAD_CHARS = 8192
-SAMPLE_HEAD_ROWS = 1000
+# Text whose files start with more different lines than this has no header.
+MAX_HEADERS = 1000
+SAMPLES = 5
 
 # Accepted date spellings and what they look like.
 DATE_FORMATS = {
@@ -31,56 +32,168 @@ _INTEGER = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def head_lines(spark: SparkSession, path: str) -> list[str]:
-    """The first lines of the text at ``path`` (bounded, by design read on the driver)."""
-    return [r.value for r in spark.read.text(path).limit(HEAD_LINES).collect()]
+@dataclass
+class Shape:
+    """What a scan over all lines of a text found.
+
+    ``headers``: the first lines of files, each with its files; ``broken``: whether cells hold
+    line breaks.
+    """
+
+    sep: str = ","
+    broken: bool = False
+    lines: int = 0
+    headers: dict[str, list[str]] = field(default_factory=dict)
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """(value, file, start, id) of every line; ids rise within a stretch of a file."""
+    if encoding.upper().replace("-", "") == "UTF8":
+        text = spark.read.text(path)
+    else:
+        raw = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "")
+        text = raw.option("escape", "\u0000").schema("value string").csv(path)
+    return text.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    ).filter(F.col("value").isNotNull())
 
 
-def sniff_separator(lines: list[str]) -> str:
-    """One of the known separators; comma when the text gives no evidence."""
-    sample = "\n".join(lines)[:HEAD_CHARS]
-    if not sample.strip():
-        return ","
-    try:
-        return csv.Sniffer().sniff(sample, delimiters=SEPARATORS).delimiter
-    except csv.Error:
-        return ","
+def shape_of(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "UTF-8") -> Shape:
+    """Separator, first lines and line breaks, from one aggregate over all lines of all files.
 
+    The separator is the one that every line has, equally often if possible, else the one that most
+    lines have; a comma when there is no evidence. Separators within quotes don't count.
+    """
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    times = {c: F.length(bare) - F.length(F.translate(bare, c, "")) for c in SEPARATORS}
+    filled, odd = F.length(F.trim("value")) > 0, F.pmod(F.regexp_count("value", F.lit('"')), F.lit(2)) == 1
+    per_file = _lines(spark, path, encoding).groupBy("file").agg(
+        F.min_by("value", F.when(F.col("start") == 0, F.col("id"))).alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        F.bool_or(odd).alias("odd"),
+        *[F.min(F.when(filled, t)).alias(f"low_{i}") for i, t in enumerate(times.values())],
+        *[F.max(F.when(filled, t)).alias(f"high_{i}") for i, t in enumerate(times.values())],
+        *[F.count_if(filled & (t > 0)).alias(f"has_{i}") for i, t in enumerate(times.values())],
+    )
+    grouped = per_file.groupBy("first").agg(
+        F.sum("n").alias("n"),
+        F.bool_or("odd").alias("odd"),
+        F.slice(F.collect_list("file"), 1, 100_000).alias("files"),
+        *[F.min(f"low_{i}").alias(f"low_{i}") for i in range(len(times))],
+        *[F.max(f"high_{i}").alias(f"high_{i}") for i in range(len(times))],
+        *[F.sum(f"has_{i}").alias(f"has_{i}") for i in range(len(times))],
+    )
+    rows = grouped.limit(MAX_HEADERS + 1).collect()
+    if not rows:
+        return Shape(sep or ",")
+    found = []
+    for i, c in enumerate(SEPARATORS):
+        low = min(r[f"low_{i}"] or 0 for r in rows)
+        high = max(r[f"high_{i}"] or 0 for r in rows)
+        found.append(((low > 0, low > 0 and low == high, sum(r[f"has_{i}"] for r in rows), low), -i, c))
+    best = max(found)
+    chosen = sep or (best[2] if best[0][2] else ",")
+    headers = {r["first"]: r["files"] for r in rows if r["first"] is not None}
+    return Shape(chosen, any(r["odd"] for r in rows), sum(r["n"] for r in rows), headers)
 
-def _kind(cell: str) -> str:
-    for name, parse in (("int", int), ("float", float), ("complex", complex)):
-        try:
-            parse(cell)
-            return name
-        except (ValueError, OverflowError):
-            pass
-    return f"text of {len(cell)}"
 
+def cells_of(line: str, sep: str) -> list[str]:
+    """The cells of one line."""
+    return next(csv.reader([line], delimiter=sep), [])
 
-def _is_like(title: str, kind: str) -> bool:
-    order = ("int", "float", "complex")
-    own = _kind(title)
-    if kind in order:
-        return own in order[: order.index(kind) + 1]
-    return f"text of {len(title)}" == kind
 
+_KINDS = ("number", "date", "flag")
 
-def sniff_header(lines: list[str], sep: str) -> bool:
-    """True when the first row differs in kind from the columns below it.
 
-    A column counts only if all its cells are of one kind. A lone row is a header when any
-    of its cells has content.
+def _kinds(cell: Column) -> dict[str, Column]:
+    dates = F.lit(False)
+    for pattern in DATE_FORMATS.values():
+        dates = dates | F.rlike(strip(cell), F.lit(pattern))
+    return {
+        "number": F.rlike(cell, F.lit(_NUMBER)),
+        "date": dates,
+        "flag": F.lower(strip(cell)).isin("true", "false"),
+    }
+
+
+def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UTF-8") -> bool:
+    """True when first lines differ from what the lines below them hold.
+
+    A first line is a header if one of its cells fails the kind (number, date, flag) that all other
+    filled cells of its column are of. If no column has a kind, it is one if its cells are filled,
+    differ, and none occurs again in its column. A lone line is one if it has content. Counted over
+    all lines of the files that share a first line; files whose first lines say different
+    things are refused.
     """
-    rows = list(csv.reader(lines, delimiter=sep))
-    if not rows or not rows[0]:
+    if not shape.headers or len(shape.headers) > MAX_HEADERS:
+        return False
+    heads = {h: cells_of(h, shape.sep) for h in shape.headers}
+    width = max(map(len, heads.values()))
+    if shape.lines == sum(map(len, shape.headers.values())):
+        return any(c.strip() for cells in heads.values() for c in cells)
+    names = [f"c{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = _reader(spark, shape.sep, shape.broken, encoding).schema(schema).csv(path)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
+    pairs = rows.select(
+        "file",
+        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), _filled(n).alias("v")) for i, n in enumerate(names)])),
+    ).filter(F.col("v").isNotNull())
+    counted = pairs.groupBy("file", "i").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(n) for n, k in _kinds(F.col("v")).items()]
+    )
+    again = pairs.groupBy("file", "i", "v").agg(F.count(F.lit(1)).alias("same"))
+    # A handful of titles and the files that they head: bounded by MAX_HEADERS lines.
+    titles = [(f, h, i, c) for h, files in shape.headers.items() for f in files for i, c in enumerate(heads[h]) if c.strip()]
+    if not titles:
         return False
-    titles, body = rows[0], rows[1:HEAD_LINES]
-    if not body:
-        return any(t.strip() for t in titles)
-    body = [r for r in body if len(r) == len(titles)]
-    kinds = [{_kind(r[i]) for r in body} for i in range(len(titles))]
-    settled = [(t, k.pop()) for t, k in zip(titles, kinds) if len(k) == 1]
-    return sum(-1 if _is_like(t, k) else 1 for t, k in settled) > 0
+    first = spark.createDataFrame(titles, "file string, head string, i int, title string")
+    judged = (
+        first.join(counted, ["file", "i"])
+        .join(again.withColumnRenamed("v", "title"), ["file", "i", "title"], "left")
+        .groupBy("head", "i", "title")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("files"),
+            F.sum(F.coalesce("same", F.lit(0))).alias("same"),
+            *[F.sum(k).alias(k) for k in _KINDS],
+        )
+    )
+    own = {k: v for k, v in _kinds(F.col("title")).items()}
+    votes: dict[str, list] = {}
+    for r in judged.select("*", *[v.alias(f"own_{k}") for k, v in own.items()]).collect():
+        votes.setdefault(r.head, []).append(r)
+    verdicts = {h: _is_header(votes.get(h, []), heads[h]) for h in heads}
+    said = {v for v in verdicts.values() if v is not None}
+    if len(said) > 1 and len(heads) > 1:
+        raise ValueError(f"some files at {path} seem to have a header and some not; give header=")
+    return said == {True} if said else any(c.strip() for cells in heads.values() for c in cells)
+
+
+def _is_header(columns: list, cells: list[str]) -> bool | None:
+    """None without lines below."""
+    body = [(r, r.n - r.files) for r in columns]
+    if not any(n > 0 for _, n in body):
+        return None
+    fails = conforms = False
+    for r, n in body:
+        for kind in _KINDS:
+            mine = r.files if r[f"own_{kind}"] else 0
+            if n > 0 and r[kind] - mine == n:
+                fails, conforms = fails or not mine, conforms or bool(mine)
+    if fails or conforms:
+        return fails
+    filled = [c for c in cells if c.strip()]
+    recurs = any(r.same > r.files for r, _ in body)
+    return len(filled) == len(cells) == len(set(cells)) and not recurs
+
+
+def _reader(spark: SparkSession, sep: str, multiline: bool, encoding: str):
+    reader = spark.read.option("sep", sep).option("escape", '"').option("encoding", encoding)
+    return reader.option("multiLine", multiline)
 
 
 def read_delimited(
@@ -89,34 +202,56 @@ def read_delimited(
     sep: str | None = None,
     header: bool | None = None,
     schema: T.StructType | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     malformed_column: str | None = None,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Read delimited text, all columns as strings unless ``schema`` is given.
+    """Read delimited text, one file or a folder of parts; all columns as strings unless ``schema``.
 
-    Separator and header are sniffed when not given; columns of headerless text are named
-    ``col_1 .. col_n``. ``multiline`` admits line breaks inside quotes but stops Spark from
-    splitting files. ``malformed_column`` names a column that receives lines with too many
-    or too few cells.
+    What is not given is found by scans over the whole text: separator, header and whether cells hold
+    line breaks (only then are files read unsplit). With headers, columns are mapped by name file
+    by file; files whose headers name other columns are refused. Columns of headerless text are
+    named ``col_1 .. col_n``. Lines with too many or too few cells go to ``malformed_column``;
+    without one they stop the read.
     """
     if sep is not None and len(sep) != 1:
         raise ValueError("the separator must be one character")
-    if sep is None or header is None or (schema is None):
-        lines = head_lines(spark, path)
-        sep = sniff_separator(lines) if sep is None else sep
-        header = sniff_header(lines, sep) if header is None else header
-        if schema is None:
-            first = next(csv.reader(lines, delimiter=sep), []) if lines else []
-            names = first if header else [f"col_{i}" for i in range(1, len(first) + 1)]
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    shape = Shape(sep or ",", bool(multiline))
+    if sep is None or header is None or header or schema is None or multiline is None:
+        shape = shape_of(spark, path, sep, encoding)
+        if header is None:
+            header = has_header(spark, path, shape, encoding)
+    multiline = shape.broken if multiline is None else multiline
+    heads = {h: cells_of(h, shape.sep) for h in shape.headers}
+    named = list(heads.values())
+    if schema is None:
+        width = max(map(len, named), default=0)
+        names = named[0] if header and named else [f"col_{i}" for i in range(1, width + 1)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if not schema.fields:
         return spark.createDataFrame([], schema)
-    reader = spark.read.option("sep", sep).option("header", header).option("escape", '"')
-    reader = reader.option("enforceSchema", True).option("multiLine", multiline)
+    reader = _reader(spark, shape.sep, multiline, encoding).option("enforceSchema", True)
+    reader = reader.option("header", bool(header))
+    extra = [T.StructField(malformed_column, T.StringType())] if malformed_column else []
     if malformed_column:
-        schema = T.StructType([*schema.fields, T.StructField(malformed_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", malformed_column)
-    return reader.schema(schema).csv(path)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    wanted = schema.fieldNames()
+    if not header or all(n == wanted for n in named) or any(sorted(n) != sorted(wanted) for n in named):
+        if header and len(heads) > 1 and any(sorted(n) != sorted(named[0]) for n in named):
+            raise ValueError(f"the files at {path} have headers of different columns: {named[:3]}")
+        return reader.schema(T.StructType([*schema.fields, *extra])).csv(path)
+    parts = []
+    for head, names in heads.items():
+        own = T.StructType([*[schema[n] for n in names], *extra])
+        parts.append(reader.schema(own).csv(shape.headers[head]).select(*own.fieldNames() and [
+            F.col(f"`{n}`") for n in [*wanted, *[e.name for e in extra]]
+        ]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
@@ -129,7 +264,9 @@ def export_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tr
             for f, c in ((f, F.col(f"`{f.name}`")) for f in df.schema.fields)
         ]
     )
-    out.write.option("sep", sep).option("header", header).option("escape", '"').csv(path)
+    writer = out.write.option("sep", sep).option("header", header).option("escape", '"')
+    # Blanks at the ends of cells are part of them.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _filled(column: str) -> Column:
@@ -146,15 +283,17 @@ def parse_date(text: Column) -> Column:
     return F.coalesce(*[_date_as(text, f) for f in DATE_FORMATS])
 
 
-def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
+def infer_schema(df: DataFrame, fraction: float | None = None, seed: int = 0) -> DataFrame:
     """One row per column of an all-text frame: type, null and distinct counts, width, samples.
 
-    Blank text counts as null. A type is given only when every value parses. Looks at the
-    whole table unless ``sample_rows`` limits it to a head of the file: one pass over (column, text) pairs folds all parse counts into a row per column before
-    any shuffle, a second pass counts distinct values.
+    Blank text counts as null. A type is given only when every value parses; a type of a limited
+    width names the width that the data needs. Looks at the whole table unless ``fraction`` draws a
+    sample of it. One pass over (column, text) pairs folds all parse counts into a row per column
+    before any shuffle, a second pass counts distinct values, a third takes the samples: of
+    every fifth row (by five remainders) the first filled value.
     """
     names = df.columns
-    df = df.limit(sample_rows) if sample_rows else df
+    df = df.sample(fraction, seed) if fraction else df
     filled = df.select(*[_filled(c).alias(c) for c in names])
     pairs = filled.select(
         F.inline(
@@ -189,18 +328,35 @@ def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
         .otherwise("BIGINT")
     )
     width = F.least(F.floor(F.col("width") * WIDTH_MARGIN), F.lit(MAX_WIDTH))
-    text = F.concat(
-        F.lit("VARCHAR("), F.greatest(width, F.lit(MIN_WIDTH)).cast("string"), F.lit(")")
+    text = F.when(F.col("width") > MAX_WIDTH, "CLOB").otherwise(
+        F.concat(F.lit("VARCHAR("), F.greatest(width, F.lit(MIN_WIDTH)).cast("string"), F.lit(")"))
     )
     verdict = F.when(n == 0, F.lit(f"VARCHAR({DEFAULT_WIDTH})")).when(F.col("ints") == n, integer)
     number = F.when(F.col("decimals") == n, "DECIMAL(15,2)").otherwise("FLOAT")
     verdict = verdict.when(F.col("numbers") == n, number).when(F.col("flags") == n, "BYTEINT")
     for i, _ in formats:
         verdict = verdict.when(F.col(f"dates_{i}") == n, "DATE")
-    # The samples are the first values of a bounded head.
-    head = filled.limit(SAMPLE_HEAD_ROWS).agg(
-        *[F.slice(F.collect_list(f"`{c}`"), 1, 5).alias(f"s_{i}") for i, c in enumerate(names, 1)]
+    turn = F.monotonically_increasing_id()
+    numbered = filled.select("*", turn.alias("_turn"))
+    picked = numbered.agg(
+        *[
+            F.array_sort(
+                F.array_compact(
+                    F.array(*[
+                        F.min(
+                            F.when(
+                                F.col(f"`{c}`").isNotNull() & (F.col("_turn") % SAMPLES == k),
+                                F.struct("_turn", F.col(f"`{c}`").alias("v")),
+                            )
+                        )
+                        for k in range(SAMPLES)
+                    ])
+                )
+            ).alias(f"s_{i}")
+            for i, c in enumerate(names, 1)
+        ]
     )
+    head = picked.select(*[F.col(f"s_{i}").v.alias(f"s_{i}") for i in range(1, len(names) + 1)])
     listed = head.select(
         F.inline(
             F.array(
@@ -227,7 +383,9 @@ def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
             F.coalesce("inferred_type", F.lit(f"VARCHAR({DEFAULT_WIDTH})")).alias("inferred_type"),
             F.coalesce(F.col("rows") - n, none).alias("null_count"),
             F.coalesce("distinct_count", none).alias("unique_count"),
-            F.when(F.col("inferred_type").startswith("VARCHAR"), F.col("width")).alias("max_length"),
+            F.when(
+                F.col("inferred_type").rlike("^(VARCHAR|CLOB)"), F.col("width")
+            ).alias("max_length"),
             "samples",
         )
     )
@@ -250,7 +408,7 @@ def typed_schema(inferred: DataFrame) -> dict[str, str]:
     rows = inferred.orderBy("position").select("column_name", "inferred_type").collect()
     return {
         r.column_name: "string"
-        if r.inferred_type.startswith("VARCHAR")
+        if r.inferred_type.startswith(("VARCHAR", "CLOB"))
         else SPARK_TYPES.get(r.inferred_type, r.inferred_type.lower())
         for r in rows
     }

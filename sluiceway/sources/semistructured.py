@@ -25,7 +25,7 @@ def unpack_open(df: DataFrame, paths: dict[str, tuple[str, str]], column: str =
 
 
 def json_safe(df: DataFrame) -> DataFrame:
-    """Same rows with JSON-safe values: ISO dates, decimals as floats, bytes as text, NaN as null."""
+    """Same rows with JSON-safe values: ISO dates, decimals as floats, bytes as their readable text, NaN as null."""
     return df.select(*[_safe(f.dataType, F.col(f"`{f.name}`")).alias(f.name) for f in df.schema.fields])
 
 
@@ -39,7 +39,10 @@ def _safe(kind: T.DataType, value: Column) -> Column:
     if isinstance(kind, T.DecimalType):
         return value.cast("double")
     if isinstance(kind, T.BinaryType):
-        return F.try_validate_utf8(value.cast("string"))
+        # Bytes that are no text are left out; readable ones stay.
+        text = value.cast("string")
+        readable = F.regexp_replace(F.make_valid_utf8(text), "\ufffd", "")
+        return F.when(F.is_valid_utf8(text), text).otherwise(readable)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(value), value)
     if isinstance(kind, T.ArrayType):

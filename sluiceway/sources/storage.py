@@ -35,6 +35,14 @@ def data_files(spark: SparkSession, location: str) -> list[str]:
     return [f for f in files if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
+def folders(spark: SparkSession, location: str) -> list[str]:
+    """Names of the folders in a folder."""
+    if not exists(spark, location):
+        return []
+    listed = _fs(spark, location).listStatus(_path(spark, location))
+    return sorted(s.getPath().getName() for s in listed if s.isDirectory())
+
+
 def publish_files(spark: SparkSession, staged: str, target: str) -> None:
     """Move finished data files into a table folder; their names never clash."""
     if not exists(spark, target):

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.operators.conflict import mark_unique_violations
+from sluiceway.operators.conflict import first_rows
+from sluiceway.operators.joins import join_same, key_side
+from sluiceway.runtime import settle
 from sluiceway.sources import storage
 
 
@@ -29,21 +31,30 @@ def load_append(
 ) -> dict[str, int]:
     """Append the good rows of a checked load; bad rows go to ``_et`` and ``_uv`` beside it.
 
-    ``checked`` comes from ``cast_to_schema``. Rows that did not convert land in
-    ``<path>_et``; rows repeating a key (all but the first by ``order``) in ``<path>_uv``.
-    The good rows are written beside the table while all outcomes are counted, and moved in
-    only if no more than ``error_limit`` rows failed. A load without failures reads its
-    input once.
+    ``checked`` comes from ``cast_to_schema``. Rows that did not convert land in ``<path>_et``;
+    rows that repeat a key (all but the first by ``order``), or whose key the table already holds, in
+    ``<path>_uv``. With keys the casts are made once: numbered rows are settled, and the winners'
+    numbers join them. Good rows are written beside the table while all outcomes are counted, failed
+    ones in a second pass if there are any; good rows are moved in only if no more than
+    ``error_limit`` rows failed.
     """
-    spark = checked.sparkSession
+    spark, table = checked.sparkSession, path.rstrip("/")
     bad = F.size("_errors") > 0
-    outcome, rows = F.when(bad, "et"), checked
+    rows = checked
+    outcome = F.when(bad, "et").otherwise("good")
     if keys:
-        rows = mark_unique_violations(checked, keys, order or keys, among=~bad)
-        outcome = outcome.when(F.col("_repeat"), "uv")
-    rows = rows.withColumn("_outcome", outcome.otherwise("good")).drop("_repeat")
+        data = [c for c in checked.columns if c not in ("_errors", "_raw")]
+        rows = settle(checked.withColumn("_row", F.monotonically_increasing_id()), "load")
+        first = first_rows(rows.filter(~bad), checked.select(*data), keys, order or keys)
+        if storage.exists(spark, table):
+            known = spark.read.parquet(table)
+            first = join_same(first, key_side(known, keys), keys, "left_anti")
+        winners = first.select(F.col("_row").alias("_winner"))
+        rows = rows.join(winners, F.col("_row") == F.col("_winner"), "left")
+        outcome = F.when(bad, "et").when(F.col("_winner").isNull(), "uv").otherwise("good")
+    rows = rows.withColumn("_outcome", outcome).drop("_row", "_winner")
     outcomes, counted = ("good", "et", "uv"), Observation()
-    staged = f"{path.rstrip('/')}__load_{uuid.uuid4().hex}"
+    staged = f"{table}__load_{uuid.uuid4().hex}"
     (
         rows.observe(counted, *[F.count_if(F.col("_outcome") == o).alias(o) for o in outcomes])
         .filter("_outcome = 'good'")
@@ -51,14 +62,18 @@ def load_append(
         .write.parquet(staged)
     )
     result = {o: int(counted.get[o]) for o in outcomes}
-    failed = {"et": checked.filter(bad), "uv": rows.filter("_outcome = 'uv'").drop("_outcome")}
-    for part, df in failed.items():
-        if result[part]:
-            df.write.mode("append").parquet(f"{path.rstrip('/')}_{part}")
-    if result["et"] + result["uv"] > error_limit:
+    failed = result["et"] + result["uv"]
+    if failed:
+        apart = f"{staged}_failed"
+        rows.filter("_outcome <> 'good'").write.partitionBy("_outcome").parquet(apart)
+        for part in ("et", "uv"):
+            if result[part]:
+                storage.publish_files(spark, f"{apart}/_outcome={part}", f"{table}_{part}")
+        storage.remove(spark, apart)
+    if failed > error_limit:
         storage.remove(spark, staged)
-        raise TooManyRejects(f"{result['et'] + result['uv']} rows failed, limit {error_limit}")
-    storage.publish_files(spark, staged, path)
+        raise TooManyRejects(f"{failed} rows failed, limit {error_limit}")
+    storage.publish_files(spark, staged, table)
     return result
 
 
@@ -96,16 +111,18 @@ def create_like(df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_distributed(df: DataFrame, table: str, buckets: int, key: str | None = None) -> None:
-    """Save as a table bucketed by its first column, so joins on it need no shuffle."""
+def write_distributed(
+    df: DataFrame, table: str, buckets: int, key: str | None = None, path: str | None = None
+) -> None:
+    """Save as a table bucketed by its first column, so joins on it need no shuffle.
+
+    Rows are dealt to tasks by bucket and share of the input, so a hot key is many files of one
+    bucket rather than one task's work.
+    """
     key = key or df.columns[0]
-    (
-        df.repartition(buckets, F.col(key))
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(table)
-    )
+    dealt = df.repartition(F.pmod(F.hash(key), F.lit(buckets)), F.spark_partition_id())
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     df.sparkSession.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +47,8 @@ def stream_upsert(
 
     A repeated batch overwrites its own folder, so nothing is applied twice, and the cost of
     a batch does not depend on the size of the table. ``latest_rows`` reads the current
-    state; ``compact`` folds the history when it has grown.
+    state; ``compact`` folds the history when it has grown. A null key is a key like any other
+    here, so that a repeated batch changes nothing.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -73,37 +73,36 @@ def latest_rows(
 def compact(
     spark: SparkSession, path: str, keys: list[str], cursor: str, tiebreak: list[str] = ()
 ) -> None:
-    """Fold all batches so far into one, filed under batch -1.
+    """Fold the batches that are there now into one, filed under a negative number of its own.
 
-    A batch that is repeated after the fold lands in its own folder again and changes no
-    result, since the newest row per key wins.
+    Just these are folded and then removed, so a batch that arrives meanwhile stays. Until they are
+    gone both are read, which changes no result, since the newest row per key wins; nor does a
+    batch that is repeated after the fold. One fold at a time.
     """
-    state = latest_rows(spark, path, keys, cursor, tiebreak).withColumn(_BATCH, F.lit(-1))
-    staged = f"{path.rstrip('/')}__compact"
-    state.write.mode("overwrite").partitionBy(_BATCH).parquet(staged)
-    storage.remove(spark, f"{path.rstrip('/')}_bkp")
-    storage.move(spark, path, f"{path.rstrip('/')}_bkp")
-    storage.move(spark, staged, path)
+    path, mark = path.rstrip("/"), f"{_BATCH}="
+    found = [f for f in storage.folders(spark, path) if f.startswith(mark)]
+    if len(found) < 2:
+        return
+    folded = min(0, *(int(f.removeprefix(mark)) for f in found)) - 1
+    state = spark.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in found])
+    staged = f"{path}__compact_{uuid.uuid4().hex}"
+    keep_latest(state, keys, cursor, tiebreak).drop(_BATCH).write.parquet(staged)
+    storage.move(spark, staged, f"{path}/{mark}{folded}")
+    for f in found:
+        storage.remove(spark, f"{path}/{f}")
 
 
 def stream_dedup(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of the first; state stays bounded.
 
-    Within a micro-batch any one row per key may stand for the rest, so each Arrow batch is
-    reduced to one row per key before the shuffle: a hot key sends few rows to its task.
+    Rows older than the newest seen by more than ``delay`` when their batch begins are too late:
+    they are dropped. A null key is a key like any other.
     """
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated = batch.select(keys).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated))
-
-    thinned = stream.mapInArrow(thin, stream.schema)
     event_time = F.col(ts)
     if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
         event_time = F.to_utc_timestamp(ts, "UTC")
     return (
-        thinned.withColumn("_event_time", event_time)
+        stream.withColumn("_event_time", event_time)
         .withWatermark("_event_time", delay)
         .dropDuplicatesWithinWatermark(keys)
         .drop("_event_time")

@@ -250,17 +250,35 @@ def reconcile_counts(t: Tables):
 )
 def reconcile_keyed(t: Tables):
     """The target lost status P, changed the price of status F, and gained foreign rows."""
-    cols = ["o_orderkey", "o_orderstatus", "o_totalprice"]
     changed = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") + 1).otherwise(
         F.col("o_totalprice")
     )
-    target = t.orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", changed).select(*cols)
+    target = t.orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", changed)
     foreign = t.supplier.select(
         (-F.col("s_suppkey") - 1).alias("o_orderkey"),
         F.lit("X").alias("o_orderstatus"),
         F.col("s_acctbal").alias("o_totalprice"),
     )
-    return q.reconcile(t.orders.select(*cols), target.unionByName(foreign), ["o_orderkey"])
+    return q.reconcile(t.orders, target.unionByName(foreign, allowMissingColumns=True), ["o_orderkey"])
+
+
+@query(
+    """SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys,
+       count(*) FILTER (planted AND o_custkey % 10 = 0) AS different_keys,
+       count(*) FILTER (planted AND o_custkey % 10 = 0) = 0 AS matched, planted
+       FROM orders, (VALUES (false), (true)) p(planted) GROUP BY planted"""
+)
+def reconcile_text_with_numbers(t: Tables):
+    """A source of texts, as a text load delivers it, agrees with the typed table by value."""
+    typed = t.orders
+    text = typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns])
+    raised = F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    changed = typed.withColumn("o_custkey", raised)
+    parts = [
+        q.reconcile(text, tgt, ["o_orderkey"]).withColumn("planted", F.lit(planted))
+        for planted, tgt in ((False, typed), (True, changed))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -367,47 +385,44 @@ def coalesced_customers(t: Tables):
 
 
 @query(
-    f"""SELECT c_custkey, arg_max(name, changed_at) AS name, max(balance) AS balance,
-        arg_min(source, changed_at) AS source FROM {_TWO_SOURCES_SQL} WHERE changed_at <> TIMESTAMP '2024-01-13'
-        OR source = 'billing' GROUP BY 1"""
+    f"""SELECT c_custkey, (array_agg(name ORDER BY changed_at DESC, source DESC))[1] AS name, max(balance) AS balance,
+        (array_agg(source ORDER BY changed_at, source))[1] AS source FROM {_TWO_SOURCES_SQL} GROUP BY 1"""
 )
 def customers_by_rules(t: Tables):
-    rows = two_sources(t).filter((F.col("changed_at") != ts("2024-01-13 00:00:00")) | (F.col("source") == "billing"))
+    """Records that changed at the same moment are told apart by their source."""
     return k.resolve_rules(
-        rows,
+        two_sources(t),
         ["c_custkey"],
         [
-            {"field": "name", "strategy": "max_by", "order_by": "changed_at"},
+            {"field": "name", "strategy": "max_by", "order_by": ["changed_at", "source"]},
             {"field": "balance", "strategy": "max"},
-            {"field": "source", "strategy": "min_by", "order_by": ["changed_at"]},
+            {"field": "source", "strategy": "min_by", "order_by": ["changed_at", "source"]},
         ],
     )
 
 
+_LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
 @query(
-    """SELECT l_orderkey, l_linenumber, count(*) AS row_count, min(l_partkey) AS kept_part
-       FROM lineitem GROUP BY 1, 2"""
+    """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+       ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax) = 1"""
 )
 def lines_without_repeats(t: Tables):
-    """Kept and repeated rows together give the table back."""
-    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    keys = ["l_orderkey", "l_linenumber"]
-    marked = k.mark_unique_violations(t.lineitem.select(*cols), keys, ["l_partkey"])
-    return marked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.max(F.when(~F.col("_repeat"), F.col("l_partkey"))).alias("kept_part"),
-    )
+    """Whole rows: the first per key by a full order."""
+    order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax"]
+    marked = k.mark_unique_violations(t.lineitem, _LINE_KEYS, order)
+    return marked.filter("NOT _repeat").drop("_repeat")
 
 
 @query(
-    """SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS violations FROM lineitem"""
+    """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+       ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax) > 1"""
 )
 def unique_violations(t: Tables):
-    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    _, repeats = k.split_unique_violations(
-        t.lineitem.select(*cols), ["l_orderkey", "l_linenumber"], ["l_partkey"]
-    )
-    return repeats.agg(F.count(F.lit(1)).alias("violations"))
+    order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax"]
+    _, repeats = k.split_unique_violations(t.lineitem, _LINE_KEYS, order)
+    return repeats
 
 
 @query(

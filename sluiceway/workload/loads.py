@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sluiceway.functions.masking import redact_json, redact_json_known
@@ -30,15 +32,43 @@ def orders_through_pipe_text(t: Tables):
     return d.accepted(d.cast_to_schema(d.read_delimited(t.spark, path), ORDER_TYPES))
 
 
+@query("SELECT * FROM orders")
+def orders_through_text_parts(t: Tables):
+    """Eight parts, half of them with their columns in another order, each with its header."""
+    root, columns = new_dir(t.spark, "orders-parts"), t.orders.columns
+    halves = {"a": ("o_orderkey % 2 = 0", columns), "b": ("o_orderkey % 2 = 1", columns[::-1])}
+    for name, (half, order) in halves.items():
+        d.export_delimited(t.orders.filter(half).select(*order).repartition(4), f"{root}/{name}", sep=";")
+    text = d.read_delimited(t.spark, f"{root}/*")
+    return d.accepted(d.cast_to_schema(text, ORDER_TYPES))
+
+
+DOCUMENT_TYPES = {
+    "doc_id": "bigint",
+    "text": "string",
+    "lang": "string",
+    "source": "string",
+    "n_chars": "bigint",
+}
+
+
+@query("SELECT * FROM documents")
+def documents_through_text(t: Tables):
+    """Texts with line breaks, quotes and separators come back as they were."""
+    path = new_dir(t.spark, "documents-text")
+    d.export_delimited(t.documents.repartition(4), path)
+    return d.accepted(d.cast_to_schema(d.read_delimited(t.spark, path), DOCUMENT_TYPES))
+
+
 @query(
-    """SELECT c_custkey::VARCHAR AS col_1, c_name AS col_2, c_mktsegment AS col_3 FROM customer"""
+    """SELECT c_custkey::VARCHAR AS col_1, c_name AS col_2, c_nationkey::VARCHAR AS col_3,
+       c_acctbal AS col_4, c_mktsegment AS col_5 FROM customer"""
 )
 def headerless_semicolon_text(t: Tables):
     path = new_dir(t.spark, "customer-text")
-    d.export_delimited(
-        t.customer.select("c_custkey", "c_name", "c_mktsegment"), path, sep=";", header=False
-    )
-    return d.read_delimited(t.spark, path, header=False)
+    d.export_delimited(t.customer, path, sep=";", header=False)
+    text = d.read_delimited(t.spark, path, header=False)
+    return text.withColumn("col_4", F.col("col_4").cast("double"))
 
 
 _TEXT_SQL = """(SELECT p_partkey::VARCHAR AS partkey, CASE WHEN p_size > 5 THEN (p_size - 25)::VARCHAR ELSE '' END AS size,
@@ -84,23 +114,27 @@ def _inferred_sql() -> str:
     return " UNION ALL ".join(
         f"""SELECT {i + 1} AS position, '{c}' AS column_name, {kind} AS inferred_type,
             count(*) - count(nullif({c}, '')) AS null_count, count(DISTINCT nullif({c}, '')) AS unique_count,
-            {"max(length(name))::INTEGER" if c == "name" else "NULL::INTEGER"} AS max_length FROM {_TEXT_SQL}"""
+            {"max(length(name))::INTEGER" if c == "name" else "NULL::INTEGER"} AS max_length,
+            (SELECT coalesce(string_agg(v, '|' ORDER BY turn), '') FROM
+              (SELECT min_by({c}, turn) AS v, min(turn) AS turn FROM
+                (SELECT *, row_number() OVER () - 1 AS turn FROM {_TEXT_SQL}) WHERE {c} <> '' GROUP BY turn % 5)) AS samples
+            FROM {_TEXT_SQL}"""
         for i, (c, kind) in enumerate(rows.items())
     )
 
 
 @query(_inferred_sql())
 def inferred_part_types(t: Tables):
-    return d.infer_schema(part_text(t)).drop("samples")
+    return d.infer_schema(part_text(t)).withColumn("samples", F.array_join("samples", "|"))
 
 
 @query(
     """SELECT p_partkey AS partkey, CASE WHEN p_size > 5 THEN p_size - 25 END AS size, p_retailprice AS price,
-       p_name AS name, CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS large, (DATE '2020-02-01' + p_size)::DATE AS made
-       FROM part"""
+       p_name AS name, CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS large, (DATE '2020-02-01' + p_size)::DATE AS made,
+       NULL::VARCHAR AS empty, p_partkey * 10000000 AS wide FROM part"""
 )
 def part_loaded_with_inferred_types(t: Tables):
-    text = part_text(t).drop("empty", "wide")
+    text = part_text(t)
     loaded = d.accepted(d.cast_to_schema(text, d.typed_schema(d.infer_schema(text))))
     return loaded.select(
         F.col("partkey").cast("bigint").alias("partkey"),
@@ -109,13 +143,22 @@ def part_loaded_with_inferred_types(t: Tables):
         "name",
         F.col("large").cast("int").alias("large"),
         "made",
+        "empty",
+        F.col("wide").cast("bigint").alias("wide"),
     )
 
 
 # Event text with faults where the data says so: cheap events lost their value, errors carry
 # a date nobody can read.
 _BAD_VALUE, _BAD_TIME = "value < 5", "event_type = 'error'"
-EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "value": "double"}
+EVENT_TYPES = {
+    "event_id": "bigint",
+    "ts": "timestamp_ntz",
+    "user_id": "bigint",
+    "event_type": "string",
+    "value": "double",
+    "props": "string",
+}
 
 
 def event_text(t: Tables):
@@ -123,12 +166,14 @@ def event_text(t: Tables):
         F.col("event_id").cast("string").alias("event_id"),
         F.when(F.expr(_BAD_TIME), "soon").otherwise(F.col("ts").cast("string")).alias("ts"),
         F.col("user_id").cast("string").alias("user_id"),
+        "event_type",
         F.when(F.expr(_BAD_VALUE), "n/a").otherwise(F.col("value").cast("string")).alias("value"),
+        "props",
     )
 
 
 @query(
-    f"SELECT event_id, ts, user_id, value FROM events WHERE NOT ({_BAD_VALUE}) AND NOT ({_BAD_TIME})"
+    f"SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE NOT ({_BAD_VALUE}) AND NOT ({_BAD_TIME})"
 )
 def events_accepted_by_types(t: Tables):
     return d.accepted(d.cast_to_schema(event_text(t), EVENT_TYPES))
@@ -164,6 +209,68 @@ def append_with_error_tables(t: Tables):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+_SECOND = """WITH good AS (SELECT * FROM events WHERE NOT (value < 5) AND event_type <> 'error'),
+    one AS (SELECT user_id FROM good WHERE event_id % 2 = 0 GROUP BY 1),
+    two AS (SELECT user_id, count(*) AS n FROM good WHERE event_id % 2 = 1 GROUP BY 1)"""
+
+
+@query(
+    f"""{_SECOND} SELECT 'first' AS load, (SELECT count(*) FROM one) AS good,
+          (SELECT count(*) FROM events WHERE event_id % 2 = 0 AND ({_BAD_VALUE} OR {_BAD_TIME})) AS et,
+          (SELECT count(*) FROM good WHERE event_id % 2 = 0) - (SELECT count(*) FROM one) AS uv
+        UNION ALL SELECT 'second', (SELECT count(*) FROM two WHERE user_id NOT IN (SELECT user_id FROM one)),
+          (SELECT count(*) FROM events WHERE event_id % 2 = 1 AND ({_BAD_VALUE} OR {_BAD_TIME})),
+          (SELECT coalesce(sum(n), 0)::BIGINT FROM two) - (SELECT count(*) FROM two WHERE user_id NOT IN (SELECT user_id FROM one))
+        UNION ALL SELECT 'table', (SELECT count(DISTINCT user_id) FROM good), 0, 0"""
+)
+def append_twice_with_error_tables(t: Tables):
+    """Keys that the first load has put into the table are violations of the second."""
+    path, parts = new_dir(t.spark, "twice"), []
+    for name, half in (("first", 0), ("second", 1)):
+        text = event_text(t).filter(F.col("event_id").cast("bigint") % 2 == half)
+        got = tb.load_append(
+            d.cast_to_schema(text, EVENT_TYPES), path, ["user_id"], ["ts", "event_id"], error_limit=10**15
+        )
+        parts.append((name, got["good"], got["et"], got["uv"]))
+    parts.append(("table", t.spark.read.parquet(path).select("user_id").distinct().count(), 0, 0))
+    return t.spark.createDataFrame(parts, "load string, good long, et long, uv long")
+
+
+@query(
+    f"""SELECT true AS refused, 0::BIGINT AS loaded, count(*) AS kept_errors FROM events
+        WHERE {_BAD_VALUE} OR {_BAD_TIME}"""
+)
+def append_refused_over_the_limit(t: Tables):
+    """More failures than allowed: nothing is loaded, the failed rows are kept for inspection."""
+    path, refused = new_dir(t.spark, "refused"), False
+    checked = d.cast_to_schema(event_text(t), EVENT_TYPES)
+    tb.create_like(checked.drop("_errors", "_raw"), path)
+    try:
+        tb.load_append(checked, path, error_limit=0)
+    except tb.TooManyRejects:
+        refused = True
+    loaded = t.spark.read.parquet(path).agg(F.count(F.lit(1)))
+    errors = t.spark.read.parquet(f"{path}_et").agg(F.count(F.lit(1)).alias("kept_errors"))
+    return errors.select(F.lit(refused).alias("refused"), loaded.scalar().alias("loaded"), "kept_errors")
+
+
+@query(
+    """SELECT o_custkey, count(*) AS orders, sum(o_orderkey)::BIGINT AS keys FROM orders
+       JOIN customer ON o_custkey = c_custkey GROUP BY 1"""
+)
+def join_of_distributed_tables(t: Tables):
+    """Both tables are saved by the hash of their key and meet without a shuffle."""
+    names = {}
+    for name, df in (("orders", t.orders.select("o_custkey", "o_orderkey")), ("customer", t.customer)):
+        names[name] = f"distributed_{name}_{uuid.uuid4().hex}"
+        tb.write_distributed(df, names[name], 8, path=new_dir(t.spark, "distributed"))
+    orders, customer = t.spark.table(names["orders"]), t.spark.table(names["customer"])
+    met = orders.join(customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    return met.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys")
+    )
+
+
 @query(
     """SELECT 'now' AS copy, count(*) AS row_count, max(o_orderkey) AS last FROM orders
        UNION ALL SELECT 'backup', count(*), max(o_orderkey) FROM orders WHERE o_orderstatus = 'F'"""
@@ -192,7 +299,8 @@ def transfer_customers(t: Tables):
     """Create, append on equal columns, back up and recreate on other columns."""
     path = new_dir(t.spark, "transfer")
     parts = []
-    for step, columns in enumerate((["c_custkey", "c_name"], ["c_custkey", "c_name"], ["c_custkey"]), 1):
+    names = t.customer.columns
+    for step, columns in enumerate((None, None, names[::-1]), 1):
         outcome = tb.transfer_table(t.customer, path, columns)
         count = t.spark.read.parquet(path).count()
         parts.append(F.struct(F.lit(step).alias("step"), F.lit(outcome).alias("outcome"), F.lit(count).cast("bigint").alias("row_count")))
@@ -207,11 +315,11 @@ def transfer_query_result(t: Tables):
     return t.spark.read.parquet(path)
 
 
-@query("SELECT * FROM lineitem WHERE l_quantity > 40")
+@query("SELECT * FROM lineitem")
 def create_like_then_append(t: Tables):
     path = new_dir(t.spark, "like")
     tb.create_like(t.lineitem, path)
-    tb.transfer(t.lineitem.filter("l_quantity > 40"), path)
+    tb.transfer(t.lineitem, path)
     return t.spark.read.parquet(path)
 
 
@@ -337,9 +445,9 @@ def redacted_conversations(t: Tables):
 
 
 @query(
-    """SELECT event_id, '{"db_password": "***REDACTED***", "user": {"apiKey": "***REDACTED***", "id": ' || user_id
-       || ', "primary_key": ' || event_id || '}, "logins": [{"accessToken": "***REDACTED***", "kind": "' || event_type
-       || '"}], "token_url": "x", "extra": "***REDACTED***"}' AS doc FROM events"""
+    """SELECT event_id, '{"db_password":"***REDACTED***","user":{"apiKey":"***REDACTED***","id":' || user_id
+       || ',"primary_key":' || event_id || '},"logins":[{"accessToken":"***REDACTED***","kind":"' || event_type
+       || '"}],"token_url":"x","extra":"***REDACTED***","note":"{\\"k\\": 1, \\"userToken\\": \\"***REDACTED***\\"}"}' AS doc FROM events"""
 )
 def redacted_open_json(t: Tables):
     doc = F.to_json(
@@ -355,14 +463,21 @@ def redacted_open_json(t: Tables):
             ).alias("logins"),
             F.lit("x").alias("token_url"),
             F.lit("user:pass").alias("extra"),
+            F.concat(F.lit('{"k": 1, "userToken": "'), F.col("event_type"), F.lit('"}')).alias("note"),
         )
     )
     return t.events.select("event_id", redact_json(doc).alias("doc"))
 
 
+@query("SELECT event_id, props FROM events")
+def redacted_event_props(t: Tables):
+    """Documents without secrets come back as they were, character by character."""
+    return t.events.select("event_id", redact_json(F.col("props")).alias("props"))
+
+
 @query(
     """SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || ',"login":{"userToken":"***REDACTED***","id":'
-       || user_id || '}}' AS doc FROM events"""
+       || user_id || '},"note":"{\\"dbPassword\\": \\"***REDACTED***\\", \\"at\\": 1}","gone":null}' AS doc FROM events"""
 )
 def redacted_known_json(t: Tables):
     doc = F.to_json(
@@ -371,9 +486,12 @@ def redacted_known_json(t: Tables):
             F.struct(F.col("event_type").alias("userToken"), F.col("user_id").alias("id")).alias(
                 "login"
             ),
+            F.concat(F.lit('{"dbPassword": "'), F.col("event_type"), F.lit('", "at": 1}')).alias("note"),
         )
     )
     from pyspark.sql import types as T
 
-    schema = T.StructType.fromDDL("k int, login struct<userToken: string, id: bigint>")
+    schema = T.StructType.fromDDL(
+        "k int, login struct<userToken: string, id: bigint>, note string, gone string"
+    )
     return redact_json_known(t.events.select("event_id", doc.alias("doc")), "doc", schema)

@@ -276,8 +276,7 @@ _TYPE_SQL = """CASE p_type WHEN 'SMALL' THEN 'integer' WHEN 'ECONOMY' THEN 'VARC
     ELSE 'DATE' END"""
 
 
-@query(
-    f"""SELECT coalesce(f.p_brand, t.p_brand) AS brand, coalesce(f.c, t.c) AS column_name, upper(file_type) AS file_type,
+_MATCHED_SQL = f"""SELECT coalesce(f.p_brand, t.p_brand) AS brand, coalesce(f.c, t.c) AS column_name, upper(file_type) AS file_type,
         upper(table_type) AS table_type, CASE WHEN f.c IS NULL THEN 'missing' WHEN t.c IS NULL THEN 'extra'
         WHEN p_type IN ('SMALL', 'LARGE') OR (p_type = 'ECONOMY' AND p_size <= 30) OR
              (p_type NOT IN ('SMALL', 'LARGE', 'ECONOMY') AND p_size <= 30) THEN 'ok' ELSE 'type_mismatch' END AS status
@@ -286,7 +285,9 @@ _TYPE_SQL = """CASE p_type WHEN 'SMALL' THEN 'integer' WHEN 'ECONOMY' THEN 'VARC
         FULL JOIN (SELECT p_brand, 'col' || p_partkey AS c,
               CASE WHEN p_size > 30 THEN 'BIGINT' ELSE {_TYPE_SQL} END AS table_type FROM part WHERE p_size < 45) t
         ON f.p_brand = t.p_brand AND f.c = t.c"""
-)
+
+
+@query(_MATCHED_SQL)
 def file_columns_matched(t: Tables):
     kind = F.expr(_TYPE_SQL)
     brand = F.col("p_brand").alias("brand")
@@ -301,6 +302,16 @@ def file_columns_matched(t: Tables):
     return sc.match_schema(file, table, ["brand"])
 
 
+@query(
+    f"""SELECT brand, count(*) FILTER (status IN ('missing', 'type_mismatch')) = 0 AS compatible,
+        count(*) FILTER (status = 'missing') AS missing, count(*) FILTER (status = 'extra') AS extra,
+        count(*) FILTER (status = 'type_mismatch') AS type_mismatch FROM ({_MATCHED_SQL}) GROUP BY 1"""
+)
+def loadable_files(t: Tables):
+    """The verdict per file, from the columns matched above."""
+    return sc.is_loadable(file_columns_matched(t), ["brand"])
+
+
 _TABLES_SQL = """(SELECT p_brand AS database_name, p_name AS table_name,
     CASE WHEN max(p_size) > 30 THEN 'T' WHEN max(p_size) > 15 THEN 'V' ELSE 'O' END AS table_kind,
     max(p_type) AS description FROM part GROUP BY 1, 2)"""

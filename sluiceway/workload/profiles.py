@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluiceway.operators.profiling import column_statistics, profile_table
-from sluiceway.operators.sampling import preview, sample_rows
+from sluiceway.operators.sampling import preview, sample_fraction, sample_rows
 from sluiceway.sources.catalog import describe_table
 from sluiceway.sources.tables import table_size
 from sluiceway.workload.registry import Tables, query
@@ -35,10 +35,10 @@ def lineitem_statistics(t: Tables):
 
 
 _GAPPY = """(SELECT doc_id, CASE WHEN n_chars > 500 THEN text END AS text,
-             CASE WHEN lang <> 'en' THEN lang END AS lang, source FROM documents)"""
+             CASE WHEN lang <> 'en' THEN lang END AS lang, source, n_chars FROM documents)"""
 
 
-@query(_stats_sql(_GAPPY, ["doc_id", "text", "lang", "source"]))
+@query(_stats_sql(_GAPPY, ["doc_id", "text", "lang", "source", "n_chars"]))
 def gappy_document_statistics(t: Tables):
     """Long texts and columns with many nulls."""
     gappy = t.documents.select(
@@ -46,6 +46,7 @@ def gappy_document_statistics(t: Tables):
         F.when(F.col("n_chars") > 500, F.col("text")).alias("text"),
         F.when(F.col("lang") != "en", F.col("lang")).alias("lang"),
         "source",
+        "n_chars",
     )
     return column_statistics(gappy)
 
@@ -122,14 +123,47 @@ def embeddings_profile_counts(t: Tables):
     return profile_table(t.embeddings).select("column_name", "non_null_count")
 
 
-@query()
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS non_null_count, true AS near FROM orders"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    )
+)
 def orders_profile_approximate(t: Tables):
-    return profile_table(t.orders, approximate=True)
+    """Sketched distinct counts lie within 15% of the exact ones, all else is equal."""
+    exact = profile_table(t.orders).withColumnRenamed("distinct_count", "exact")
+    rough = profile_table(t.orders, approximate=True)
+    both = rough.join(exact.select("column_name", "exact"), "column_name")
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.15)
+    return both.select("column_name", "non_null_count", near.alias("near"))
 
 
-@query()
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, least(count(*), 1000) AS total_rows,
+            least(count({c}), 1000) AS non_null_count, true AS possible FROM lineitem"""
+        for c in LINEITEM
+    )
+)
 def sampled_statistics(t: Tables):
-    return column_statistics(t.lineitem, sample=1000, seed=7)
+    """Statistics of an exact sample of 1000 rows: no column has more values than rows."""
+    found = column_statistics(t.lineitem, sample=1000, seed=7)
+    possible = F.col("distinct_count").between(F.lit(1), F.col("total_rows"))
+    return found.select("column_name", "total_rows", "non_null_count", possible.alias("possible"))
+
+
+@query("SELECT true AS agrees, true AS near, true AS inside FROM (SELECT count(*) FROM orders)")
+def sample_of_a_tenth(t: Tables):
+    """Drawn by value: two draws agree, a tenth comes near a tenth, all of it is in the table."""
+    parts = [sample_fraction(df, 0.1, seed=3) for df in (t.orders, t.orders.repartition(7))]
+    sums = [p.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("s")) for p in parts]
+    all_rows = t.orders.agg(F.count(F.lit(1))).scalar()
+    known = parts[0].join(t.orders.select("o_orderkey"), "o_orderkey", "left_anti").agg(F.count(F.lit(1)))
+    return sums[0].select(
+        (F.struct("n", "s") == sums[1].select(F.struct("n", "s")).scalar()).alias("agrees"),
+        (F.abs(F.col("n") - all_rows * 0.1) <= 5 * F.sqrt(all_rows * 0.09)).alias("near"),
+        (known.scalar() == 0).alias("inside"),
+    )
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
@@ -152,36 +186,58 @@ def lineitem_row_count_on_disk(t: Tables):
     return table_size(t.spark, f"{t.folder}/lineitem.parquet").select("row_count")
 
 
-@query()
+@query("SELECT count(*) AS row_count, true AS filled, true AS in_mb, true AS in_gb FROM lineitem")
 def lineitem_size_on_disk(t: Tables):
-    return table_size(t.spark, f"{t.folder}/lineitem.parquet")
+    """Bytes are there, and the larger units are theirs to two decimals."""
+    found = table_size(t.spark, f"{t.folder}/lineitem.parquet")
+    return found.select(
+        "row_count",
+        (F.col("bytes") > F.col("row_count")).alias("filled"),
+        (F.col("size_mb") == F.round(F.col("bytes") / 1048576, 2)).alias("in_mb"),
+        (F.col("size_gb") == F.round(F.col("bytes") / 1073741824, 2)).alias("in_gb"),
+    )
 
 
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, '{k}' AS data_type, {i + 1} AS position, {str(c == 'c_custkey').lower()}
-            AS is_primary_key, '{d}' AS description, count({c}) AS non_null_count,
+        f"""SELECT '{c}' AS column_name, '{k}' AS data_type, '{code}' AS type_code, {i + 1} AS position,
+            {str(c == 'c_custkey').lower()} AS is_primary_key, '{d}' AS description, NULL::INTEGER AS length,
+            {"12" if c == "c_acctbal" else "NULL::INTEGER"} AS precision,
+            {"2" if c == "c_acctbal" else "NULL::INTEGER"} AS scale, true AS nullable, NULL::VARCHAR AS default_value,
+            count(*) AS row_count, true AS has_size, count({c}) AS non_null_count, count(*) - count({c}) AS null_count,
             count(DISTINCT {c}) AS distinct_count FROM customer"""
-        for i, (c, k, d) in enumerate(
+        for i, (c, k, code, d) in enumerate(
             [
-                ("c_custkey", "bigint", "C Custkey (BIGINT)"),
-                ("c_name", "string", "C Name (VARCHAR)"),
-                ("c_nationkey", "int", "C Nationkey (INTEGER)"),
-                ("c_acctbal", "double", "C Acctbal (FLOAT)"),
-                ("c_mktsegment", "string", "C Mktsegment (VARCHAR)"),
+                ("c_custkey", "bigint", "I8", "C Custkey (BIGINT)"),
+                ("c_name", "string", "CV", "C Name (VARCHAR)"),
+                ("c_nationkey", "int", "I", "C Nationkey (INTEGER)"),
+                ("c_acctbal", "decimal(12,2)", "D", "C Acctbal (DECIMAL)"),
+                ("c_mktsegment", "string", "CV", "C Mktsegment (VARCHAR)"),
             ]
         )
     )
 )
 def describe_customer(t: Tables):
-    return describe_table(
-        t.customer, "customer", "sales", ["c_custkey"], include_stats=True
-    ).select(
+    """With a decimal, whose precision and scale are told, and with the table's rows and size."""
+    priced = t.customer.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    described = describe_table(
+        priced, "customer", "sales", ["c_custkey"], True, f"{t.folder}/customer.parquet"
+    )
+    return described.select(
         "column_name",
         "data_type",
+        "type_code",
         "position",
         "is_primary_key",
         "description",
+        "length",
+        "precision",
+        "scale",
+        "nullable",
+        "default_value",
+        "row_count",
+        (F.col("bytes") > 0).alias("has_size"),
         "non_null_count",
+        "null_count",
         "distinct_count",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from sluiceway.runtime import new_dir
@@ -50,6 +52,43 @@ def streamed_upsert_compacted(t: Tables):
     return g.latest_rows(t.spark, path, *args)
 
 
+@query(
+    """SELECT * FROM events QUALIFY row_number() OVER
+       (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+)
+def streamed_upsert_compacted_between(t: Tables):
+    """Folded between two runs of the stream, and once more after them."""
+    source, path = new_dir(t.spark, "arrivals"), new_dir(t.spark, "upserted")
+    args, checkpoint = (["user_id"], "ts", ["event_id"]), new_dir(t.spark, "checkpoint")
+    for half in (0, 1):
+        t.events.filter(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(source)
+        stream = g.file_stream(t.spark, source, t.events.schema, max_files=1)
+        _finish(g.stream_upsert(stream, path, checkpoint, *args))
+        g.compact(t.spark, path, *args)
+    return g.latest_rows(t.spark, path, *args)
+
+
+@query(
+    """SELECT * FROM events WHERE ts > (SELECT date_trunc('milliseconds', max(ts)) FROM events)
+       - INTERVAL 12 DAY"""
+)
+def streamed_late_rows_dropped(t: Tables):
+    """The newest ten days arrive twice; of what comes then, rows older than twelve days are too late.
+
+    A batch drops late rows by the watermark that the batch before it had, hence the second arrival.
+    """
+    path, newest = new_dir(t.spark, "late"), t.events.agg(F.max("ts")).scalar()
+    recent = F.col("ts") > newest - F.expr("INTERVAL 10 DAYS")
+    for part in (recent, recent, ~recent):
+        t.events.filter(part).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)  # files are taken in the order of their times
+    stream = g.file_stream(t.spark, path, t.events.schema, max_files=1)
+    once = g.stream_dedup(stream, ["event_id"], "ts", "12 days")
+    out = new_dir(t.spark, "in-time")
+    _finish(g.stream_append(once, out, new_dir(t.spark, "checkpoint")))
+    return t.spark.read.schema(t.events.schema).parquet(out)
+
+
 @query("SELECT * FROM events")
 def streamed_dedup(t: Tables):
     """Every event arrives twice; one of each stays."""

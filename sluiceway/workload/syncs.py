@@ -12,7 +12,7 @@ from sluiceway.operators.history import snapshot
 from sluiceway.operators.latest import keep_latest, newest_n
 from sluiceway.plans.elt import elt_job, sync
 from sluiceway.operators import quality as q
-from sluiceway.runtime import new_dir
+from sluiceway.runtime import new_dir, settle
 from sluiceway.workload.registry import Tables, query, ts
 
 CUT = "2024-01-15 00:00:00"
@@ -220,7 +220,10 @@ def order_history_by_timestamp(t: Tables):
     one, two, three = order_states(t)
     history = None
     for state in (one, two, three, three):
-        history = snapshot(state, history, ["o_orderkey"], "timestamp", updated_at="updated_at")
+        # As in production, each run reads the history that the last one wrote.
+        history = settle(
+            snapshot(state, history, ["o_orderkey"], "timestamp", updated_at="updated_at"), "history"
+        )
     return history
 
 
@@ -236,7 +239,7 @@ def order_history_by_timestamp(t: Tables):
 def order_history_by_check(t: Tables):
     history = None
     for month, state in enumerate(order_states(t), 1):
-        history = snapshot(
+        made = snapshot(
             state.drop("updated_at"),
             history,
             ["o_orderkey"],
@@ -244,6 +247,7 @@ def order_history_by_check(t: Tables):
             check_cols=["status", "price"],
             as_of=dt.datetime(2024, month, 5),
         )
+        history = settle(made, "history")
     return history
 
 

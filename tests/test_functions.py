@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,10 +162,83 @@ def test_redact_json_of_known_schema(spark):
     assert first == {
         "id": 1,
         "db_password": m,
-        "logins": [{"apiKey": m, "n": 2}, {"n": 3}],
+        "logins": [{"apiKey": m, "n": 2}, {"apiKey": None, "n": 3}],
         "m": {"my_token": m, "o": "k"},
     }
-    assert second == {}
+    # Every field of the schema is written.
+    assert second == {"id": None, "db_password": None, "logins": None, "m": None}
+
+
+def test_known_schema_keeps_text_and_masks_embedded_documents(spark):
+    schema = T.StructType.fromDDL("payload string, s struct<a: int, b: struct<c: int>>, l array<struct<x: int>>")
+    m = text.MASK
+    cases = {
+        '{"payload":"{\\"password\\":\\"hunter2\\",\\"n\\":1}"}': '{"password":"' + m + '","n":1}',
+        '{"payload":"{\\"userToken\\": 17, \\"mytoken\\": 2}"}': '{"userToken": "' + m + '", "mytoken": 2}',
+        '{"payload":"{\\"extra\\": \\"a:b\\"}"}': '{"extra": "' + m + '"}',
+        '{"payload":"{\\"secret\\": {\\"deep\\": \\"x\\"}}"}': m,
+        '{"payload":"plain password: x"}': "plain password: x",
+    }
+    df = masking.redact_json_known(column(spark, [*cases, "{broken", None]), "v", schema)
+    got = [r[0] for r in df.collect()]
+    assert [json.loads(g)["payload"] for g in got[: len(cases)]] == list(cases.values())
+    assert got[len(cases) :] == ["{broken", None]
+    for unknown in ('{"zzz":1}', '{"s":{"b":{"d":2}}}', '{"l":[{"x":1},{"y":2}]}'):
+        with pytest.raises(Exception, match="outside the given schema"):
+            masking.redact_json_known(column(spark, [unknown]), "v", schema).collect()
+
+
+def test_only_masked_values_change():
+    m = json.dumps(text.MASK)
+    cases = {
+        ' {"a" : 1e999, "url":2,"é":"ü","a":1.50,"password" : [1, {"x":2}] , "z":-0} ': ' {"a" : 1e999, "url":2,"é":"ü","a":1.50,"password" : ' + m + ' , "z":-0} ',
+        '[{"token":null},{"token":{"token":1}},[],{}]': '[{"token":' + m + '},{"token":' + m + '},[],{}]',
+        '{"note":"{\\"k\\":1}","key":"v"}': '{"note":"{\\"k\\":1}","key":"v"}',
+    }
+    for before, after in cases.items():
+        assert masking.mask_document(before) == after
+    for bad in ('{"password":1', '{"password" 1}', "{'password':1}", '["token",]', '{"token":1}x', "[1 2]", '{,"token":1}', "]", '{"a":1]', '"token"'):
+        assert masking.mask_document(bad) is None
+
+
+def test_masking_agrees_with_a_parser_on_random_documents():
+    rng = random.Random(4)
+    keys = ["a", "password", "user_token", "extra", "key", "api-key"]
+
+    def made(depth):
+        kind = rng.randint(0, 6 if depth else 3)
+        if kind < 4:
+            return rng.choice([1, 2.5, None, True, "x", "", "{", '{"token": 1}', "é"])
+        if kind == 4:
+            return [made(depth - 1) for _ in range(rng.randint(0, 3))]
+        return {rng.choice(keys): made(depth - 1) for _ in range(rng.randint(0, 4))}
+
+    def masked(node, key=None):
+        if key is not None and masking.is_secret_key(key):
+            return text.MASK
+        if isinstance(node, dict):
+            return {k: masked(v, k) for k, v in node.items()}
+        if isinstance(node, list):
+            return [masked(v) for v in node]
+        if node == '{"token": 1}':
+            return '{"token": "' + text.MASK + '"}'
+        if key == "extra" and isinstance(node, str) and node.strip():
+            return text.MASK
+        return node
+
+    for _ in range(2000):
+        doc = rng.choice([{}, []]) or {"top": made(4)}
+        assert json.loads(masking.mask_document(json.dumps(doc))) == masked(doc)
+
+
+def test_deep_documents_survive(spark):
+    deep = '{"a":' * 100_000 + '{"password":"x"}' + "}" * 100_000
+    inner = '{"password":"x"}'
+    for _ in range(6):
+        inner = json.dumps({"d": inner})
+    got = [r[0] for r in column(spark, [deep, inner]).select(masking.redact_json("v")).collect()]
+    assert got[0] == deep.replace('"x"', json.dumps(text.MASK))
+    assert "hunter" not in got[1] and text.MASK in got[1]
 
 
 def distance(a, b):

@@ -87,7 +87,7 @@ def test_cursors_of_other_types(spark):
 
 
 def test_repeated_keys_without_a_cursor_are_refused(target, batch):
-    with pytest.raises(Exception, match="no cursor tells"):
+    with pytest.raises(Exception, match="is repeated"):
         m.merge_rows(target, batch, ["k"]).collect()
     once = batch.filter("t IN (30, 40, 50)")
     assert m.merge_rows(target, once, ["k"]).count() == 6
@@ -500,3 +500,42 @@ def test_stream_quality_and_dedup(spark, rows):
     wait(g.stream_quality(g.file_stream(spark, source, df.schema), rules, judged, new_dir(spark, "ckp")))
     found = spark.read.parquet(judged).groupBy("outcome").count()
     assert rows(found) == [("good", 20), ("rejected", 180)]
+
+
+def test_compact_leaves_a_batch_that_arrives_meanwhile(spark, rows, monkeypatch):
+    path = new_dir(spark, "folded")
+    ddl = "k int, t int, v string"
+
+    def batch(number, *content):
+        spark.createDataFrame(list(content), ddl).write.parquet(f"{path}/_batch_id={number}")
+
+    batch(0, (1, 1, "a"), (2, 1, "b"))
+    batch(1, (1, 2, "c"))
+    move = g.storage.move
+
+    def move_late(*args):
+        batch(2, (3, 3, "d"))
+        move(*args)
+
+    monkeypatch.setattr(g.storage, "move", move_late)
+    g.compact(spark, path, ["k"], "t")
+    monkeypatch.undo()
+    want = [(1, 2, "c"), (2, 1, "b"), (3, 3, "d")]
+    assert rows(g.latest_rows(spark, path, ["k"], "t"), "k", "t", "v") == want
+    assert g.storage.folders(spark, path) == ["_batch_id=-1", "_batch_id=2"]
+    g.compact(spark, path, ["k"], "t")
+    assert g.storage.folders(spark, path) == ["_batch_id=-2"]
+    assert rows(g.latest_rows(spark, path, ["k"], "t"), "k", "t", "v") == want
+
+
+def test_history_refuses_repeated_keys(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="is repeated"):
+        h.snapshot(twice, None, ["k"], "check", as_of=dt.datetime(2024, 1, 1)).collect()
+
+
+def test_version_ids_tell_keys_apart(spark):
+    df = spark.createDataFrame(
+        [("a|b", "c"), ("a", "b|c"), ("a", None), ("a", "")], "x string, y string"
+    ).withColumn("valid_from", F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert df.select(h.version_id(["x", "y"])).distinct().count() == 4
