@@ -55,6 +55,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+# Where the words of a column name part.
+CAMEL_EDGE = r"([a-z])([A-Z])"
+WORD_GAP = r"[_\s]+"
+
+
 def normalize_name(name: Column) -> Column:
     """Lower-case identifier: runs of other characters become one underscore, none at the ends."""
     collapsed = F.regexp_replace(F.lower(name), r"[^a-z0-9]+", "_")
@@ -63,8 +68,8 @@ def normalize_name(name: Column) -> Column:
 
 def humanize_name(name: Column, type_code: Column) -> Column:
     """``cust_id`` / ``custId`` with code ``I`` becomes ``Cust Id (INTEGER)``."""
-    spaced = F.regexp_replace(name, r"([a-z])([A-Z])", "$1 $2")
-    words = F.trim(F.regexp_replace(spaced, r"[_\s]+", " "))
+    spaced = F.regexp_replace(name, CAMEL_EDGE, "$1 $2")
+    words = F.trim(F.regexp_replace(spaced, WORD_GAP, " "))
     lookup = F.create_map(*[F.lit(x) for pair in TYPE_NAMES.items() for x in pair])
     friendly = F.coalesce(F.try_element_at(lookup, type_code), type_code)
     return F.concat(F.initcap(words), F.lit(" ("), friendly, F.lit(")"))

@@ -23,6 +23,10 @@ STOP_WORDS = (
     "last", "year", "month", "week",
 )
 
+# What parts the words of a request, and what a word of a name is.
+REQUEST_GAP = "[^a-zA-Z0-9_]+"
+NAME_WORD = "([a-z0-9]+)"
+
 # Words added to a request that names the first word.
 SYNONYMS = {
     "customer": ["customers", "client", "clients", "account", "accounts", "user", "users"],
@@ -117,7 +121,7 @@ def keywords_of(text: Column, extra: dict[str, list[str]] | None = None) -> Colu
         *[x for k, v in synonyms.items() for x in (F.lit(k), F.array(*[F.lit(s) for s in v]))]
     )
     words = F.filter(
-        F.split(F.lower(text), "[^a-zA-Z0-9_]+"),
+        F.split(F.lower(text), REQUEST_GAP),
         lambda w: (F.length(w) > 2) & ~w.isin(list(STOP_WORDS)),
     )
     found = F.array_distinct(words)
@@ -220,7 +224,7 @@ def best_match(
     def scored(key: Column, score: int) -> Column:
         return F.struct(key.alias("key"), F.lit(score).alias("score"))
 
-    words = F.regexp_extract_all("low", F.lit("([a-z0-9]+)"), F.lit(1))
+    words = F.regexp_extract_all("low", F.lit(NAME_WORD), F.lit(1))
     later = F.transform(F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda w: scored(w, _ANY_WORD))
     first = F.when(F.size("words") > 0, F.array(scored(F.get("words", F.lit(0)), _FIRST_WORD)))
     none = F.slice(F.array(scored(F.lit(""), 0)), 1, 0)

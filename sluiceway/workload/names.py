@@ -332,7 +332,7 @@ def table_catalog(t: Tables):
         WHERE table_name ILIKE '%Ring%' AND table_kind IN ('T', 'O') ORDER BY 1, 2 LIMIT 100"""
 )
 def tables_found_by_name(t: Tables):
-    return catalog_search(table_catalog(t), "Ring")
+    return catalog_search(table_catalog(t), "Ring", limit=100)
 
 
 @query(
@@ -356,7 +356,7 @@ def columns_found_by_name(t: Tables):
         F.col("p_type").alias("data_type"),
         F.col("p_type").alias("description"),
     )
-    return catalog_search(catalog, "BOLT_1", "columns")
+    return catalog_search(catalog, "BOLT_1", "columns", limit=100)
 
 
 @query(

@@ -37,7 +37,7 @@ def run_log(t: Tables):
 )
 def filtered_runs(t: Tables):
     return r.filter_runs(
-        run_log(t), "load_3", "failed", dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 25)
+        run_log(t), "load_3", "failed", dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 25), limit=100
     )
 
 
