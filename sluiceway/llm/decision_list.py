@@ -56,13 +56,13 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.select(
         "doc_id",
         n.cast("long").alias("n_words"),
-        F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s + F.length(w)).alias("word_chars"),
+        (F.length("body") - _count_of("body", " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
         _count_of("body", "#*$%&|<>").alias("n_symbols"),
         _count_of("body", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
         _count_of("body", "0123456789").alias("n_digits"),
-        F.size(F.filter("words", lambda w: F.substring(w, -1, 1).isin(".", "!", "?"))).cast("long").alias("n_ended"),
+        F.regexp_count("body", F.lit(r"[.!?](?=[\x20\x09-\x0D]|\z)")).cast("long").alias("n_ended"),
         filled.alias("lines"),
-        F.array_sort(window).alias("sorted"),
+        F.sort_array(window).alias("sorted"),
     )
     # Neighbours of equal hash are repeats; each place may stand twice, array_distinct settles it.
     return rows.select(
