@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sluiceway.llm.common import by_value, map_batches, whole_text
+from sluiceway.llm.common import by_value, map_batches, per_worker, whole_text
 
 # Remembered pieces and pairs; a full memory is emptied, results don't depend on it.
 MEMORY = 400_000
@@ -137,10 +137,6 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, array("I", ids.tobytes())))
 
 
-# One coder per Python worker and vocabulary.
-_CODERS: dict[str, Bpe] = {}
-
-
 def tokenized(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids.
 
@@ -153,9 +149,9 @@ def tokenized(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def encode_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if name not in _CODERS:
-            _CODERS[name] = Bpe(sent.value, pattern)
-        bpe, counts, ids_digest, text_digest, kept = _CODERS[name], [], [], [], []
+        # With what it remembers of earlier tasks; memories are bounded by MEMORY entries.
+        bpe = per_worker(f"bpe-{name}", lambda: Bpe(sent.value, pattern))
+        counts, ids_digest, text_digest, kept = [], [], [], []
         for text in batch.column(1).to_pylist():
             ids = bpe.encode(text)
             counts.append(len(ids))

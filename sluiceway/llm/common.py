@@ -36,6 +36,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def per_worker(name: str, make: Callable[[], object]):
+    """One object per Python worker process and name, whichever tasks it runs.
+
+    Functions that travel by value get their globals anew with every task; what is dear to build and
+    doesn't depend on the rows is kept here instead.
+    """
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_kept_per_worker", types.ModuleType("_kept_per_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def by_value(module: str) -> None:
     """Let functions of ``module`` travel with their UDFs, so executors need not have the package."""
     import sys
