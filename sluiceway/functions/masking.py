@@ -165,11 +165,62 @@ def _said(token: str) -> str:
     return json.loads(token) if "\\" in token else token[1:-1]
 
 
+_TEXT = re.compile(r'"(?:[^"\\]|\\.)*+"')
+_TEXT_OR_KEY = re.compile(r'("(?:[^"\\]|\\.)*+")([ \t\n\r]*+:[ \t\n\r]*+)?')
+_BRACKET = re.compile(r'"(?:[^"\\]|\\.)*+"|([{\[])|([}\]])')
+_WORD = re.compile(r"[^\s,}\]]+")
+
+
 def mask_document(text: str, depth: int = 0) -> str | None:
     """The document with its secret values replaced, all else as it stood; None if it is no JSON.
 
-    One pass over the tokens with a stack of its own, so no depth of nesting is too deep.
+    The parser tells whether it is JSON; then only its texts need a look, since nothing but a key
+    stands before a colon. Documents nested too deep for the parser take ``_mask_deep``.
     """
+    if text.lstrip(" \t\n\r")[:1] not in ("{", "["):
+        return None
+    try:
+        json.loads(text, parse_int=len, parse_float=len)
+    except RecursionError:
+        return _mask_deep(text, depth)
+    except ValueError:
+        return None
+    pieces, done, at, mask = [], 0, 0, json.dumps(MASK)
+    while m := _TEXT_OR_KEY.search(text, at):
+        start, at, key = m.start(), m.end(), None
+        by = end = None
+        if m[2]:
+            key, start = _said(m[1]), at
+            if is_secret_key(key):
+                by, end = mask, _value_end(text, at)
+            elif text[at] == '"':
+                end = _TEXT.match(text, at).end()
+                by = _masked_text(key, text[at:end], depth)
+        else:
+            by, end = _masked_text(None, m[1], depth), at
+        if by is not None:
+            pieces += (text[done:start], by)
+            done = end
+        at = end or at
+    return "".join([*pieces, text[done:]])
+
+
+def _value_end(text: str, start: int) -> int:
+    """Where the value that starts at ``start`` ends, in valid JSON."""
+    if text[start] == '"':
+        return _TEXT.match(text, start).end()
+    if text[start] not in "{[":
+        return _WORD.match(text, start).end()
+    open_ = 0
+    for m in _BRACKET.finditer(text, start):
+        open_ += bool(m[1]) - bool(m[2])
+        if not open_:
+            return m.end()
+    raise ValueError("unbalanced")
+
+
+def _mask_deep(text: str, depth: int = 0) -> str | None:
+    """The same in one pass over all tokens with a stack of its own, so no nesting is too deep."""
     pieces, done, at = [], 0, 0
     stack: list[str] = []  # what is open: "{" or "["
     keys: list[str | None] = []  # the key that each open container stands under

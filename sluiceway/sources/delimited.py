@@ -145,36 +145,39 @@ def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UT
     counted = pairs.groupBy("file", "i").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(n) for n, k in _kinds(F.col("v")).items()]
     )
-    again = pairs.groupBy("file", "i", "v").agg(F.count(F.lit(1)).alias("same"))
     # A handful of titles and the files that they head: bounded by MAX_HEADERS lines.
     titles = [(f, h, i, c) for h, files in shape.headers.items() for f in files for i, c in enumerate(heads[h]) if c.strip()]
     if not titles:
         return False
     first = spark.createDataFrame(titles, "file string, head string, i int, title string")
-    judged = (
-        first.join(counted, ["file", "i"])
-        .join(again.withColumnRenamed("v", "title"), ["file", "i", "title"], "left")
-        .groupBy("head", "i", "title")
-        .agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("files"),
-            F.sum(F.coalesce("same", F.lit(0))).alias("same"),
-            *[F.sum(k).alias(k) for k in _KINDS],
-        )
+    judged = first.join(counted, ["file", "i"]).groupBy("head", "i", "title").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"), *[F.sum(k).alias(k) for k in _KINDS]
     )
-    own = {k: v for k, v in _kinds(F.col("title")).items()}
+    own = [v.alias(f"own_{k}") for k, v in _kinds(F.col("title")).items()]
     votes: dict[str, list] = {}
-    for r in judged.select("*", *[v.alias(f"own_{k}") for k, v in own.items()]).collect():
+    for r in judged.select("*", *own).collect():
         votes.setdefault(r.head, []).append(r)
-    verdicts = {h: _is_header(votes.get(h, []), heads[h]) for h in heads}
+    verdicts = {h: _by_kinds(votes.get(h, [])) for h in heads}
+    if _UNDECIDED in verdicts.values():
+        # Only now is it worth looking for titles among the values.
+        met = pairs.join(first, ["file", "i"]).filter(F.col("v") == F.col("title"))
+        again = met.groupBy("head", "i").agg((F.count(F.lit(1)) > F.count_distinct("file")).alias("recurs"))
+        recurring = {r["head"] for r in again.filter("recurs").select("head").distinct().collect()}
+        for h, cells in heads.items():
+            if verdicts[h] == _UNDECIDED:
+                filled = [c for c in cells if c.strip()]
+                verdicts[h] = len(filled) == len(cells) == len(set(cells)) and h not in recurring
     said = {v for v in verdicts.values() if v is not None}
     if len(said) > 1 and len(heads) > 1:
         raise ValueError(f"some files at {path} seem to have a header and some not; give header=")
     return said == {True} if said else any(c.strip() for cells in heads.values() for c in cells)
 
 
-def _is_header(columns: list, cells: list[str]) -> bool | None:
-    """None without lines below."""
+_UNDECIDED = "undecided"
+
+
+def _by_kinds(columns: list) -> bool | str | None:
+    """What the kinds of the cells below say of the titles; None without lines below."""
     body = [(r, r.n - r.files) for r in columns]
     if not any(n > 0 for _, n in body):
         return None
@@ -184,11 +187,7 @@ def _is_header(columns: list, cells: list[str]) -> bool | None:
             mine = r.files if r[f"own_{kind}"] else 0
             if n > 0 and r[kind] - mine == n:
                 fails, conforms = fails or not mine, conforms or bool(mine)
-    if fails or conforms:
-        return fails
-    filled = [c for c in cells if c.strip()]
-    recurs = any(r.same > r.files for r, _ in body)
-    return len(filled) == len(cells) == len(set(cells)) and not recurs
+    return fails if fails or conforms else _UNDECIDED
 
 
 def _reader(spark: SparkSession, sep: str, multiline: bool, encoding: str):
