@@ -67,16 +67,29 @@ def shape_of(spark: SparkSession, path: str, sep: str | None = None, encoding: s
     The separator is the one that every line has, equally often if possible, else the one that most
     lines have; a comma when there is no evidence. Separators within quotes don't count.
     """
-    bare = F.regexp_replace("value", '"[^"]*"', "")
-    times = {c: F.length(bare) - F.length(F.translate(bare, c, "")) for c in SEPARATORS}
-    filled, odd = F.length(F.trim("value")) > 0, F.pmod(F.regexp_count("value", F.lit('"')), F.lit(2)) == 1
-    per_file = _lines(spark, path, encoding).groupBy("file").agg(
+    lines = _lines(spark, path, encoding).withColumns(
+        {
+            "filled": F.length(F.trim("value")) > 0,
+            "odd": F.pmod(F.regexp_count("value", F.lit('"')), F.lit(2)) == 1,
+            "bare": F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", '"[^"]*"', "")).otherwise(
+                F.col("value")
+            ),
+        }
+    )
+    # Counted once per line, then folded several ways.
+    counts = {
+        f"n_{i}": F.length("bare") - F.length(F.replace("bare", F.lit(c), F.lit("")))
+        for i, c in enumerate(SEPARATORS)
+    }
+    lines = lines.select("file", "start", "id", "value", "filled", "odd", *[n.alias(k) for k, n in counts.items()])
+    times = [F.when(F.col("filled"), F.col(k)) for k in counts]
+    per_file = lines.groupBy("file").agg(
         F.min_by("value", F.when(F.col("start") == 0, F.col("id"))).alias("first"),
         F.count(F.lit(1)).alias("n"),
-        F.bool_or(odd).alias("odd"),
-        *[F.min(F.when(filled, t)).alias(f"low_{i}") for i, t in enumerate(times.values())],
-        *[F.max(F.when(filled, t)).alias(f"high_{i}") for i, t in enumerate(times.values())],
-        *[F.count_if(filled & (t > 0)).alias(f"has_{i}") for i, t in enumerate(times.values())],
+        F.bool_or("odd").alias("odd"),
+        *[F.min(t).alias(f"low_{i}") for i, t in enumerate(times)],
+        *[F.max(t).alias(f"high_{i}") for i, t in enumerate(times)],
+        *[F.count_if(t > 0).alias(f"has_{i}") for i, t in enumerate(times)],
     )
     grouped = per_file.groupBy("first").agg(
         F.sum("n").alias("n"),
@@ -109,13 +122,11 @@ _KINDS = ("number", "date", "flag")
 
 
 def _kinds(cell: Column) -> dict[str, Column]:
-    dates = F.lit(False)
-    for pattern in DATE_FORMATS.values():
-        dates = dates | F.rlike(strip(cell), F.lit(pattern))
+    dates = "|".join(f"(?:{pattern})" for pattern in DATE_FORMATS.values())
     return {
         "number": F.rlike(cell, F.lit(_NUMBER)),
-        "date": dates,
-        "flag": F.lower(strip(cell)).isin("true", "false"),
+        "date": F.rlike(cell, F.lit(dates)),
+        "flag": F.lower(cell).isin("true", "false"),
     }
 
 
@@ -140,13 +151,13 @@ def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UT
     rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
     pairs = rows.select(
         "file",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), _filled(n).alias("v")) for i, n in enumerate(names)])),
-    ).filter(F.col("v").isNotNull())
+        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), strip(F.col(n)).alias("v")) for i, n in enumerate(names)])),
+    ).filter("v <> ''")
     counted = pairs.groupBy("file", "i").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(n) for n, k in _kinds(F.col("v")).items()]
     )
     # A handful of titles and the files that they head: bounded by MAX_HEADERS lines.
-    titles = [(f, h, i, c) for h, files in shape.headers.items() for f in files for i, c in enumerate(heads[h]) if c.strip()]
+    titles = [(f, h, i, c.strip()) for h, files in shape.headers.items() for f in files for i, c in enumerate(heads[h]) if c.strip()]
     if not titles:
         return False
     first = spark.createDataFrame(titles, "file string, head string, i int, title string")
