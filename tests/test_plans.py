@@ -110,3 +110,12 @@ def test_co_access_does_not_shuffle_the_log(spark):
 def test_orders_are_folded_before_the_join(spark):
     text = plan(spark, "customer_orders_fact")
     assert re.search(r"partial_(count|sum)\(o_", text) or re.search(r"partial_sum\(o_totalprice", text)
+
+
+@pytest.mark.parametrize(
+    "name, scans",
+    [("lineitem_statistics", 1), ("gappy_document_statistics", 1), ("customer_orders_fact", 2), ("merge_customers", 5)],
+)
+def test_each_input_is_scanned_once_per_use(spark, name, scans):
+    """Statistics take one scan; a merge reads its target once, its batch (of two parts) for keys and rows."""
+    assert plan(spark, name).count("FileScan") == scans
