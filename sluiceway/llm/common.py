@@ -1,4 +1,8 @@
-"""What the operators of this subpackage share: whole texts, Arrow batches, settled tables."""
+"""What the operators of this subpackage share: whole texts, Arrow batches, settled tables.
+
+Operators settle what they read more than once in the shared folder (see ``sluiceway.runtime``), which
+cuts lineage and survives lost executors.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.runtime import new_dir
+from sluiceway.runtime import settle  # noqa: F401  for the operators
 
 
 def whole_text(name: str = "text") -> Column:
@@ -16,13 +20,6 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_batches(
     df: DataFrame, change: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:

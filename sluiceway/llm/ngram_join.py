@@ -363,11 +363,16 @@ def _verified(docs: DataFrame, members: DataFrame, threshold: float, tolerance:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of every group of near-duplicates the smallest id."""
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    """The rows of ``docs`` that stay: of every group of near-duplicates the smallest id.
+
+    Rows without an id can't be named, so they stay; an id that stands for several texts stays with
+    all of them if it stays with one.
+    """
+    found = near_duplicates(docs).where(F.col("doc_id") == F.col("class_id"))
     stay = found.select(F.col("doc_id").alias("stays")).distinct()
     own = docs.select(F.struct("*").alias("row"), "doc_id")
-    return own.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi").select("row.*")
+    met = own.join(stay, F.col("doc_id") == F.col("stays"), "left")
+    return met.where("doc_id IS NULL OR stays IS NOT NULL").select("row.*")
 
 
 by_value(__name__)
