@@ -186,9 +186,14 @@ def derive_tests(catalog: DataFrame, default_severity: str = "error") -> DataFra
 
 
 def run_derived_tests(tests: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Run derived tests: per table one pass for nulls, one for uniqueness, one per reference."""
+    """Run derived tests: per table one pass for nulls, one for uniqueness, one per reference.
+
+    Only tests of the given ``tables`` are brought to the driver, which plans one branch per table:
+    their number is the caller's choice, however large the catalog of tests is.
+    """
     plan: dict[str, list] = {}
-    for r in tests.orderBy("table_name", "column_name", "test").collect():
+    own = tests.filter(F.col("table_name").isin(list(tables)))
+    for r in own.orderBy("table_name", "column_name", "test").collect():
         plan.setdefault(r.table_name, []).append(r)
     parts = []
     for name, wanted in plan.items():
