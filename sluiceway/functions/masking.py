@@ -186,25 +186,47 @@ def mask_document(text: str, depth: int = 0) -> str | None:
     except ValueError:
         return None
     pieces, done, at, mask = [], 0, 0, json.dumps(MASK)
-    while m := _TEXT_OR_KEY.search(text, at):
-        start, at, key = m.start(), m.end(), None
-        by = end = None
+    look, kinds = _TEXT_OR_KEY.search, _KINDS.get
+    while m := look(text, at):
+        start, at = m.span()
+        key = by = None
         if m[2]:
-            key, start = _said(m[1]), at
-            if is_secret_key(key):
-                by, end = mask, _value_end(text, at)
-            elif text[at] == '"':
-                end = _TEXT.match(text, at).end()
-                by = _masked_text(key, text[at:end], depth)
+            kind = kinds(m[1])
+            if kind is None:
+                kind = _kind_of(m[1])
+            start = at
+            if kind == _SECRET:
+                by, at = mask, _value_end(text, at)
+            elif text[at] != '"':
+                continue
+            else:
+                at = _TEXT.match(text, start).end()
+                key = _said(m[1]) if kind == _EMBEDS else None
         else:
-            by, end = _masked_text(None, m[1], depth), at
+            kind = _OTHER
+        # Only a text that may hold a document, or stands under a key known for it, needs reading.
+        if by is None and (kind == _EMBEDS or text[start + 1] in _MAY_START):
+            by = _masked_text(key, text[start:at], depth)
         if by is not None:
             pieces += (text[done:start], by)
-            done = end
-        at = end or at
+            done = at
     return "".join([*pieces, text[done:]])
 
 
+_OTHER, _SECRET, _EMBEDS = 0, 1, 2
+_MAY_START = frozenset("{[ \\")
+# Keys as they stand in documents, and what each worker decided of them.
+_KINDS: dict[str, int] = {}
+
+
+def _kind_of(token: str) -> int:
+    key = _said(token)
+    kind = _SECRET if is_secret_key(key) else _EMBEDS if key.lower() in EMBEDDED_KEYS else _OTHER
+    if len(_KINDS) < _DECIDED_MAX:
+        _KINDS[token] = kind
+    return kind
+
+
 def _value_end(text: str, start: int) -> int:
     """Where the value that starts at ``start`` ends, in valid JSON."""
     if text[start] == '"':
