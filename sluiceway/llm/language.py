@@ -158,7 +158,7 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def predict_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = Model(*sent.value)
-        texts = batch.column(1).to_pylist()
+        texts = batch.column(0).field(text).to_pylist()
         readable = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
         names: list[str] = [UNKNOWN] * len(texts)
         sure = np.zeros(len(texts))
@@ -173,7 +173,8 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
             names=["row", "lang_pred", "score"],
         )
 
-    packed = rows.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    # The text travels once, within its row.
+    packed = rows.select(F.struct("*").alias("row"))
     return map_batches(packed, predict_batch, f"row {shape}, lang_pred string, score double")
 
 
