@@ -4,6 +4,8 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from sluiceway.llm import bpe
 
@@ -33,6 +35,14 @@ def test_random_texts(ours, theirs):
         assert ours.decode(ids) == text.encode()
 
 
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(text=st.text(max_size=80))
+def test_any_text(ours, theirs, text):
+    ids = ours.encode(text)
+    assert ids.tolist() == theirs.encode_ordinary(text)
+    assert ours.decode(ids) == text.encode()
+
+
 def test_a_long_piece_without_a_break(ours, theirs):
     rng = random.Random(1)
     for letters in ("a", "abc", "日a"):
