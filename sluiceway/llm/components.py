@@ -15,8 +15,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: neighbours move to the smallest node near them until every
     node hangs on its root, which takes a number of rounds that grows with the logarithm of the
-    longest chain. Minima are combined before they are shuffled, joins may be split at hot nodes,
-    and each round is written to the shared folder. Edges from a node to itself are allowed.
+    longest chain. Minima are combined before they are shuffled and settled, so that both sides of
+    the joins have an exchange of their own and Spark may split a node with very many edges. Each round
+    is written to the shared folder. Edges from a node to itself are allowed.
     """
     now = settle(_ordered(edges), "component-edges")
     seen = None
@@ -46,7 +47,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("low"))
-    low = low.select(F.col("a").alias("at"), F.least("a", "low").alias("low"))
+    low = settle(low.select(F.col("a").alias("at"), F.least("a", "low").alias("low")), "component-lows")
     # Edges run from large to small, so the larger neighbours of b are its a.
     return edges.join(low, F.col("b") == F.col("at")).select("a", F.col("low").alias("b")).distinct()
 
@@ -54,7 +55,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node's smaller neighbours, and it itself, move to the smallest of them."""
     low = edges.groupBy("a").agg(F.min("b").alias("low"))
-    low = low.select(F.col("a").alias("at"), "low")
+    low = settle(low.select(F.col("a").alias("at"), "low"), "component-lows")
     moved = edges.join(low, F.col("a") == F.col("at"))
     own = low.select(F.col("at").alias("a"), F.col("low").alias("b"))
     return moved.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").unionByName(own).distinct()
