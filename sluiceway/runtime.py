@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import cache
 
 import pyarrow as pa
@@ -42,10 +43,36 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Spark's setting by which a finished execution's shuffle files go at once.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Executions that begin in here leave no shuffle files: for writes that nothing runs again.
+
+    Otherwise the files of all rounds of a job stay on the executors' disks until the driver happens
+    to collect its garbage.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: its size is known, and it outlives any executor."""
+    """``df`` as a table in the shared folder: its size is known, and it outlives any executor.
+
+    The table stands for the shuffles that made it, so their files are dropped.
+    """
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
