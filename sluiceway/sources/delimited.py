@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,12 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.text import strip
 from sluiceway.operators.profiling import distinct_counts, per_column
+from sluiceway.runtime import settle
 
 # The separators looked for.
 SEPARATORS = ",|\t;"
-# Text whose files start with more different lines than this has no header.
+# Text whose files start with more different lines than this has no header, unless one is asked for;
+# files whose headers have more orders of columns than this are refused.
 MAX_HEADERS = 1000
 SAMPLES = 5
 
@@ -36,14 +39,16 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 class Shape:
     """What a scan over all lines of a text found.
 
-    ``headers``: the first lines of files, each with its files; ``broken``: whether cells hold
-    line breaks.
+    ``broken``: whether cells hold line breaks; ``headers``: the first lines of files, each with its
+    number of files, in the order of the files and not more than ``MAX_HEADERS + 1`` of them;
+    ``files``: (file, first) of all files that have lines.
     """
 
     sep: str = ","
     broken: bool = False
     lines: int = 0
-    headers: dict[str, list[str]] = field(default_factory=dict)
+    headers: dict[str, int] = field(default_factory=dict)
+    files: DataFrame | None = None
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
@@ -64,7 +69,7 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
 def shape_of(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "UTF-8") -> Shape:
     """Separator, first lines and line breaks, from one aggregate over all lines of all files.
 
-    The separator is the one that every line has, equally often if possible, else the one that most
+    The aggregate is settled with a row per file, and every file counts in what is said of them. The separator is the one that every line has, equally often if possible, else the one that most
     lines have; a comma when there is no evidence. Separators within quotes don't count.
     """
     lines = _lines(spark, path, encoding).withColumns(
@@ -91,26 +96,37 @@ def shape_of(spark: SparkSession, path: str, sep: str | None = None, encoding: s
         *[F.max(t).alias(f"high_{i}") for i, t in enumerate(times)],
         *[F.count_if(t > 0).alias(f"has_{i}") for i, t in enumerate(times)],
     )
-    grouped = per_file.groupBy("first").agg(
+    per_file = settle(per_file, "text-shape")
+    total = per_file.agg(
         F.sum("n").alias("n"),
         F.bool_or("odd").alias("odd"),
-        F.slice(F.collect_list("file"), 1, 100_000).alias("files"),
         *[F.min(f"low_{i}").alias(f"low_{i}") for i in range(len(times))],
         *[F.max(f"high_{i}").alias(f"high_{i}") for i in range(len(times))],
         *[F.sum(f"has_{i}").alias(f"has_{i}") for i in range(len(times))],
-    )
-    rows = grouped.limit(MAX_HEADERS + 1).collect()
-    if not rows:
+    ).first()
+    if total["n"] is None:
         return Shape(sep or ",")
     found = []
     for i, c in enumerate(SEPARATORS):
-        low = min(r[f"low_{i}"] or 0 for r in rows)
-        high = max(r[f"high_{i}"] or 0 for r in rows)
-        found.append(((low > 0, low > 0 and low == high, sum(r[f"has_{i}"] for r in rows), low), -i, c))
+        low, high = total[f"low_{i}"] or 0, total[f"high_{i}"] or 0
+        found.append(((low > 0, low > 0 and low == high, total[f"has_{i}"], low), -i, c))
     best = max(found)
     chosen = sep or (best[2] if best[0][2] else ",")
-    headers = {r["first"]: r["files"] for r in rows if r["first"] is not None}
-    return Shape(chosen, any(r["odd"] for r in rows), sum(r["n"] for r in rows), headers)
+    files = per_file.where("first IS NOT NULL").select("file", "first")
+    headers = {r["first"]: r["files"] for r in _by_first_line(files).limit(MAX_HEADERS + 1).collect()}
+    return Shape(chosen, total["odd"], total["n"], headers, files)
+
+
+def _by_first_line(files: DataFrame) -> DataFrame:
+    """(first, files, at) in the order of the files."""
+    return files.groupBy("first").agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("at")).orderBy("at")
+
+
+def _first_lines(shape: Shape) -> Iterator[str]:
+    """All first lines in the order of their files; many of them are streamed, never held."""
+    if len(shape.headers) <= MAX_HEADERS:
+        return iter(shape.headers)
+    return (r["first"] for r in _by_first_line(shape.files).toLocalIterator())
 
 
 def cells_of(line: str, sep: str) -> list[str]:
@@ -143,7 +159,7 @@ def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UT
         return False
     heads = {h: cells_of(h, shape.sep) for h in shape.headers}
     width = max(map(len, heads.values()))
-    if shape.lines == sum(map(len, shape.headers.values())):
+    if shape.lines == sum(shape.headers.values()):
         return any(c.strip() for cells in heads.values() for c in cells)
     names = [f"c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -156,11 +172,12 @@ def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UT
     counted = pairs.groupBy("file", "i").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(n) for n, k in _kinds(F.col("v")).items()]
     )
-    # A handful of titles and the files that they head: bounded by MAX_HEADERS lines.
-    titles = [(f, h, i, c.strip()) for h, files in shape.headers.items() for f in files for i, c in enumerate(heads[h]) if c.strip()]
+    # The titles of at most MAX_HEADERS lines; the files that they head join them.
+    titles = [(h, i, c.strip()) for h, cells in heads.items() for i, c in enumerate(cells) if c.strip()]
     if not titles:
         return False
-    first = spark.createDataFrame(titles, "file string, head string, i int, title string")
+    titled = spark.createDataFrame(titles, "head string, i int, title string")
+    first = titled.join(shape.files, F.col("head") == F.col("first")).drop("first")
     judged = first.join(counted, ["file", "i"]).groupBy("head", "i", "title").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"), *[F.sum(k).alias(k) for k in _KINDS]
     )
@@ -220,7 +237,8 @@ def read_delimited(
 
     What is not given is found by scans over the whole text: separator, header and whether cells hold
     line breaks (only then are files read unsplit). With headers, columns are mapped by name file
-    by file; files whose headers name other columns are refused. Columns of headerless text are
+    by file, in the order of the first file's header; files whose headers name other columns are
+    refused, and so are more than ``MAX_HEADERS`` orders of columns. Columns of headerless text are
     named ``col_1 .. col_n``. Lines with too many or too few cells go to ``malformed_column``;
     without one they stop the read.
     """
@@ -232,11 +250,11 @@ def read_delimited(
         if header is None:
             header = has_header(spark, path, shape, encoding)
     multiline = shape.broken if multiline is None else multiline
-    heads = {h: cells_of(h, shape.sep) for h in shape.headers}
-    named = list(heads.values())
+    # The different orders of columns that headers have.
+    named = list(map(list, dict.fromkeys(tuple(cells_of(h, shape.sep)) for h in _first_lines(shape)))) if header else []
     if schema is None:
-        width = max(map(len, named), default=0)
-        names = named[0] if header and named else [f"col_{i}" for i in range(1, width + 1)]
+        width = 0 if header else max((len(cells_of(h, shape.sep)) for h in _first_lines(shape)), default=0)
+        names = named[0] if named else [f"col_{i}" for i in range(1, width + 1)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if not schema.fields:
         return spark.createDataFrame([], schema)
@@ -249,13 +267,19 @@ def read_delimited(
         reader = reader.option("mode", "FAILFAST")
     wanted = schema.fieldNames()
     if not header or all(n == wanted for n in named) or any(sorted(n) != sorted(wanted) for n in named):
-        if header and len(heads) > 1 and any(sorted(n) != sorted(named[0]) for n in named):
+        if any(sorted(n) != sorted(named[0]) for n in named):
             raise ValueError(f"the files at {path} have headers of different columns: {named[:3]}")
         return reader.schema(T.StructType([*schema.fields, *extra])).csv(path)
+    if len(named) > MAX_HEADERS:
+        raise ValueError(f"the files at {path} have more than {MAX_HEADERS} orders of columns")
+    # The names of all files, which Spark's own index of a read holds too.
+    headed: dict[tuple[str, ...], list[str]] = {tuple(n): [] for n in named}
+    for r in shape.files.toLocalIterator():
+        headed[tuple(cells_of(r["first"], shape.sep))].append(r["file"])
     parts = []
-    for head, names in heads.items():
+    for names, files in headed.items():
         own = T.StructType([*[schema[n] for n in names], *extra])
-        parts.append(reader.schema(own).csv(shape.headers[head]).select(*own.fieldNames() and [
+        parts.append(reader.schema(own).csv(files).select(*own.fieldNames() and [
             F.col(f"`{n}`") for n in [*wanted, *[e.name for e in extra]]
         ]))
     out = parts[0]

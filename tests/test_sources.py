@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from sluiceway.runtime import new_dir
 from sluiceway.sources import delimited as d
@@ -80,6 +81,35 @@ def test_parts_with_headers_are_mapped_by_name(spark, parts, rows):
     assert rows(df, "k", "v") == [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")]
 
 
+def test_many_first_lines_lose_no_file(spark, parts, rows, monkeypatch):
+    monkeypatch.setattr(d, "MAX_HEADERS", 2)
+    heads = ["k,v", '"k",v', 'k,"v"', '"k","v"', "v,k", '"v",k', 'v,"k"']
+    path = parts(*(f"{h}\n{i},{i}\n" for i, h in enumerate(heads)))
+    df = d.read_delimited(spark, path, header=True)
+    assert df.columns == ["k", "v"]
+    assert rows(df) == [(str(i), str(i)) for i in range(len(heads))]
+    typed = d.read_delimited(spark, path, header=True, schema=T.StructType.fromDDL("v int, k int"))
+    assert rows(typed, "v") == [(i,) for i in range(len(heads))]
+
+
+def test_too_many_orders_of_columns_are_refused(spark, parts, monkeypatch):
+    monkeypatch.setattr(d, "MAX_HEADERS", 2)
+    path = parts("a,b,c\n1,2,3\n", "b,a,c\n1,2,3\n", "c,a,b\n1,2,3\n", "c,b,a\n1,2,3\n")
+    with pytest.raises(ValueError, match="orders of columns"):
+        d.read_delimited(spark, path, header=True)
+
+
+def test_every_headerless_part_tells_the_shape(spark, parts, rows, monkeypatch):
+    monkeypatch.setattr(d, "MAX_HEADERS", 2)
+    # Each separator but ";" is missing somewhere; one part is wider and has a cell of two lines.
+    path = parts(*(f"{i};a,b|c\n" for i in range(9)), "9;x\n", '10;"two\nlines"\n')
+    shape = d.shape_of(spark, path)
+    assert (shape.sep, shape.broken, shape.lines) == (";", True, 12)
+    df = d.read_delimited(spark, path)
+    assert df.columns == ["col_1", "col_2"] and df.count() == 11
+    assert ("10", "two\nlines") in rows(df)
+
+
 def test_parts_that_disagree_are_refused(spark, parts):
     path = parts("k,v\n1,a\n", "k,w\n2,b\n", "3,c\n4,d\n")
     with pytest.raises(ValueError, match="different columns"):
