@@ -6,8 +6,10 @@ Aho-Corasick pass finds the keywords that a text holds, and only their rules run
 detections are resolved by priority and containment: a detection within the interval of one that
 ranks before it is dropped. The few base phrases are reported always.
 
-Rules are built from a table of license families (fixed values) and a table of wordings; each
-family's names and versions go through each wording, which makes some hundreds.
+Rules come from two lists of fixed values that are ranked together. :func:`build_rules` takes a table
+of license families through a table of wordings, which makes some hundreds. :func:`signatures` has
+what follows no template: SPDX ids, also as parts of expressions, names fused with versions (GPLv2),
+bare ids after "released under", addresses of licenses, and sentences of the licenses' own texts.
 
 Defined results: a null text is empty; a text without words has no detections and score 0; repeated
 rows are scanned alike; a map without shuffle, so any distribution of rows will do.
@@ -114,9 +116,138 @@ WORDINGS = (
 )
 
 
+# Hand-written signatures. SPDX ids whose words are not a family's name: label, id as words. Whatever
+# the families name ("gpl 2 0", "bsd 3 clause") their wordings find.
+SPDX_IDS = (
+    ("0bsd", "0bsd"),
+    ("afl-1.1", "afl 1 1"), ("afl-1.2", "afl 1 2"), ("afl-2.0", "afl 2 0"), ("afl-2.1", "afl 2 1"), ("afl-3.0", "afl 3 0"),
+    ("artistic-1.0", "artistic 1 0(?: perl| cl8)?"), ("artistic-2.0", "artistic 2 0"),
+    ("beerware", "beerware"),
+    ("blueoak-1.0.0", "blueoak 1 0 0"),
+    ("bsd-1-clause", "bsd 1 clause"),
+    ("bsl-1.0", "bsl 1 0"),
+    ("busl-1.1", "busl 1 1"),
+    ("bzip2-1.0.6", "bzip2 1 0 6"),
+    ("cecill-2.1", "cecill 2 1"), ("cecill-b", "cecill b"), ("cecill-c", "cecill c"),
+    ("cpl-1.0", "cpl 1 0"),
+    ("curl", "curl"),
+    ("ecl-2.0", "ecl 2 0"),
+    ("elastic-2.0", "elastic 2 0"),
+    ("fsfap", "fsfap"),
+    ("gfdl-1.1", "gfdl 1 1(?: only)?"), ("gfdl-1.2", "gfdl 1 2(?: only)?"), ("gfdl-1.3", "gfdl 1 3(?: only)?"),
+    ("gfdl-1.1-or-later", "gfdl 1 1 or later"), ("gfdl-1.2-or-later", "gfdl 1 2 or later"), ("gfdl-1.3-or-later", "gfdl 1 3 or later"),
+    ("hpnd", "hpnd"),
+    ("icu", "icu"),
+    ("ipl-1.0", "ipl 1 0"),
+    ("isc", "isc"),
+    ("json", "json"),
+    ("libpng", "libpng"), ("libpng-2.0", "libpng 2 0"),
+    ("mit", "mit"), ("mit-0", "mit 0"),
+    ("ms-pl", "ms pl"), ("ms-rl", "ms rl"),
+    ("mulanpsl-2.0", "mulanpsl 2 0"),
+    ("ncsa", "ncsa"),
+    ("ntp", "ntp"),
+    ("odbl-1.0", "odbl 1 0"),
+    ("odc-by-1.0", "odc by 1 0"),
+    ("ofl-1.0", "ofl 1 0(?: rfn| no rfn)?"), ("ofl-1.1", "ofl 1 1(?: rfn| no rfn)?"),
+    ("openssl", "openssl"),
+    ("osl-1.0", "osl 1 0"), ("osl-2.0", "osl 2 0"), ("osl-2.1", "osl 2 1"), ("osl-3.0", "osl 3 0"),
+    ("pddl-1.0", "pddl 1 0"),
+    ("php-3.0", "php 3 0"), ("php-3.01", "php 3 01"),
+    ("postgresql", "postgresql"),
+    ("python-2.0", "python 2 0(?: 1)?|psf 2 0"),
+    ("ruby", "ruby"),
+    ("sspl-1.0", "sspl 1 0"),
+    ("tcl", "tcl"),
+    ("unicode-3.0", "unicode 3 0"), ("unicode-dfs-2016", "unicode dfs 2016"),
+    ("unlicense", "unlicense"),
+    ("upl-1.0", "upl 1 0"),
+    ("vim", "vim"),
+    ("w3c", "w3c"),
+    ("wtfpl", "wtfpl"),
+    ("x11", "x11"),
+    ("zlib", "zlib"),
+    ("zpl-2.0", "zpl 2 0"), ("zpl-2.1", "zpl 2 1"),
+)
+
+# Label, name that is written together with the version, versions.
+FUSED = (
+    ("gpl", "gpl", ("1.0", "2.0", "3.0")),
+    ("lgpl", "lgpl", ("2.0", "2.1", "3.0")),
+    ("agpl", "agpl", ("1.0", "3.0")),
+    ("gfdl", "gfdl", ("1.1", "1.2", "1.3")),
+    ("mpl", "mpl", ("1.0", "1.1", "2.0")),
+    ("epl", "epl", ("1.0", "2.0")),
+    ("cddl", "cddl", ("1.0", "1.1")),
+    ("eupl", "eupl", ("1.0", "1.1", "1.2")),
+    ("osl", "osl", ("2.0", "2.1", "3.0")),
+    ("apache", "apache", ("1.1", "2.0")),
+)
+
+# Ids that stand for a license by themselves after "released under" and the like.
+BARE_IDS = (("mit", "mit"), ("mit-0", "mit 0"), ("isc", "isc"), ("zlib", "zlib"), ("bsd", "bsd"), ("0bsd", "0bsd"))
+
+# Label, keywords, pattern: addresses of licenses, and sentences of licenses and their notices.
+_PERSON = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+_FSF = " as published by the free software foundation "
+TEXTS = (
+    ("mit", "obtaining a copy of this software", f"{_PERSON} (?:the [^ ]+ )?to deal in the"),
+    ("mit-0", "to do so the software is provided", f"{_PERSON} (?:[^ ]+ ){{10,60}}?to do so the software is provided"),
+    ("ncsa", "deal with the software", "to deal with the software without restriction"),
+    ("json", "for good not evil", "the software shall be used for good not evil"),
+    ("isc", "with or without fee is hereby granted", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("0bsd", "with or without fee is hereby granted", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted the software is provided"),
+    ("bsd", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", "with the distribution this software is provided by", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by"),
+    ("bsd-3-clause", "to endorse or promote products", "neither the names? of (?:[^ ]+ ){1,16}?(?:may|can) be used to endorse or promote products derived from this software"),
+    ("bsd-3-clause", "to endorse or promote products", "the names? of (?:the )?(?:author|authors|copyright holder|copyright holders|contributors) may not be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "all advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("zlib", "be held liable for any damages", "this software is provided as is without any express or implied warranty in no event will the authors? be held liable for any damages arising from the use of this software"),
+    ("zlib", "altered source versions", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("bsl-1.0", "person or organization obtaining a copy", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "you want to public license", "do what the [^ ]+ you want to public license"),
+    ("postgresql", "without a written agreement is hereby granted", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("hpnd", "this software and its documentation for any purpose", "permission to use copy modify (?:and )?distribute (?:and sell )?this software and its documentation for any purpose (?:and without fee )?is hereby granted"),
+    ("apache-2.0", "each contributor hereby grants to you", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-1.1", "developed by the apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("openssl", "developed by the openssl project", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", "this product includes php", "redistributions of any form whatsoever must retain the following acknowledge?ment this product includes php"),
+    ("python-2.0", "between the python software foundation", "this license agreement is between the python software foundation"),
+    ("artistic-1.0", "some semblance of artistic control", "the copyright holder maintains some semblance of artistic control"),
+    ("artistic-2.0", "this license establishes the terms", "this license establishes the terms under which a given free software package may be copied"),
+    ("ofl-1.1", "collaborative font projects", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("cc0-1.0", "with this deed has dedicated the work", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("beerware", "buy me a beer", "if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    *(
+        (f"{label}-{v}{ending}", f"gnu {name} public license{_FSF}".strip(), f"gnu {name} public license{_FSF}(?:either )?version {words}(?: of the licen[cs]e)?{more}")
+        for label, name, versions in (
+            ("gpl", "general", (("1.0", "1"), ("2.0", "2(?: 0)?"), ("3.0", "3(?: 0)?"))),
+            ("lgpl", "lesser general", (("2.1", "2 1"), ("3.0", "3(?: 0)?"))),
+            ("lgpl", "library general", (("2.0", "2(?: 0)?"),)),
+            ("agpl", "affero general", (("3.0", "3(?: 0)?"),)),
+        )
+        for v, words in versions
+        for ending, more in (("-or-later", " or at your option any later version"), ("", ""))
+    ),
+    *(
+        (f"cc-{kind.replace(' ', '-')}-{v}", "creativecommons org licenses", f"creativecommons org licenses {kind} {v.replace('.', ' ')}")
+        for kind in ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0")
+    ),
+    ("cc0-1.0", "creativecommons org publicdomain", "creativecommons org publicdomain zero 1 0"),
+    ("mit", "opensource org licenses mit", "opensource org licenses mit(?: license php)?"),
+    ("isc", "opensource org licenses isc", "opensource org licenses isc(?: license)?"),
+    ("zlib", "opensource org licenses zlib", "opensource org licenses zlib(?: license(?: php)?)?"),
+    ("apache-2.0", "apache org licenses", "apache org licenses license 2 0"),
+    ("bsl-1.0", "boost org license 1 0", "boost org license 1 0(?: txt)?"),
+    *((f"{n}-{v}", f"gnu org licenses {n}", f"gnu org licenses {n} {v.replace('.', ' ')}") for n, vs in (("gpl", ("2.0", "3.0")), ("lgpl", ("2.1", "3.0")), ("agpl", ("3.0",))) for v in vs),
+)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` over words between blanks; a smaller ``rank`` goes before."""
+    """``pattern`` over words between blanks, or its group if it has one; a smaller ``rank`` goes before."""
 
     rank: int
     label: str
@@ -146,6 +277,36 @@ def build_rules(families=FAMILIES, wordings=WORDINGS) -> list[Rule]:
     return made
 
 
+def signatures() -> list[Rule]:
+    """The hand-written rules, in the ranks of ``WORDINGS``."""
+    tag, made = "spdx licen[cs]e identifier ", []
+    # The words that expressions of SPDX ids are made of.
+    own = {w for _, spelled in SPDX_IDS for w in re.findall("[a-z0-9]+", spelled)} | {k for _, k, _, _ in FAMILIES}
+    own |= set("bsd clause by sa nc nd only later or and with exception classpath gcc runtime llvm linking clear".split())
+    word = f"(?:{'|'.join(sorted(own))}|[0-9]+)"
+    for label, spelled in SPDX_IDS:
+        made.append(Rule(1, label, "spdx", 1.0, f"{tag}(?:{spelled})"))
+        made.append(Rule(1, label, "spdx", 1.0, f"{tag}(?:{word} ){{1,24}}?(?:or|and) ({spelled})"))
+    for label, name, versions in FUSED:
+        for v in versions:
+            whole, _, part = v.partition(".")
+            for keyword in (f"{name}v{whole}", f"{name}{whole}"):
+                spelled = f"{keyword}(?: 0)?" if part == "0" else f"{keyword} {part}"
+                made.append(Rule(3, f"{label}-{v}-or-later", keyword, 1.0, _UNDER + spelled + _LIC + _LATER))
+                made.append(Rule(4, f"{label}-{v}", keyword, 0.95, _UNDER + spelled + _LIC))
+                made.append(Rule(5, f"{label}-{v}-or-later", keyword, 0.9, spelled + _LIC + _LATER))
+                made.append(Rule(6, f"{label}-{v}", keyword, 0.85, spelled + _LIC))
+    for label, spelled in BARE_IDS:
+        for keyword in (f"under {spelled}", f"under the {spelled}", f"of {spelled}", f"of the {spelled}"):
+            made.append(Rule(7, label, keyword, 0.7, _UNDER + spelled))
+    return made + [Rule(0, label, keyword, 0.9, pattern) for label, keyword, pattern in TEXTS]
+
+
+def all_rules() -> list[Rule]:
+    """What a scan looks for unless it is given rules."""
+    return build_rules() + signatures()
+
+
 @dataclass(frozen=True)
 class Detection:
     """Words ``start`` to ``end`` (exclusive)."""
@@ -173,7 +334,7 @@ class Scanner:
         """Detections that no earlier-ranking one contains, by start; ``words`` as of normalised()."""
         held = {id(own): own for _, own in self.keywords.iter(words.decode("latin-1"))}
         found = [
-            (m.start(), m.end(), rule)
+            (*m.span(pattern.groups), rule)
             for own in held.values()
             for rule, pattern in own
             for m in pattern.finditer(words)
@@ -232,7 +393,7 @@ SCHEMA = (
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Per document: doc_id, counts and places of base phrases, labels, score and detections."""
-    rules = rules or build_rules()
+    rules = rules or all_rules()
     kind = docs.schema["doc_id"].dataType.simpleString()
     found_type = pa.list_(
         pa.struct(

@@ -61,6 +61,78 @@ def test_wordings():
     assert found("wir gehen mit dem Hund, cc an alle") == []
 
 
+def labels_of(frame, *texts):
+    rows = licenses.scan(frame([(i, t, None, None, None) for i, t in enumerate(texts)])).collect()
+    return [(r.labels, r.score) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_spdx_ids(frame):
+    ids = "MIT ISC Zlib BSL-1.0 OFL-1.1 Artistic-2.0 PostgreSQL MIT-0 Unlicense BSD-3-Clause MS-PL".split()
+    made = labels_of(frame, *(f"// SPDX-License-Identifier: {i}\nint main() {{}}" for i in ids))
+    assert made == [(i.lower(), 1.0) for i in ids]
+
+
+def test_spdx_expressions(frame):
+    texts = ["Apache-2.0 OR MIT", "(MIT OR ISC) AND Zlib", "GPL-2.0-or-later", "MIT and see the notes or curl"]
+    made = labels_of(frame, *(f"# SPDX-License-Identifier: {t}" for t in texts))
+    assert [x for x, _ in made] == ["apache-2.0,mit", "isc,mit,zlib", "gpl-2.0-or-later", "mit"]
+
+
+def test_fused_names(frame):
+    texts = {
+        "code is GPLv2 or any later version": "gpl-2.0-or-later",
+        "GPLv3": "gpl-3.0",
+        "licensed under the LGPLv2.1": "lgpl-2.1",
+        "MPLv2 and AGPL3": "agpl-3.0,mpl-2.0",
+        "gplv4": "",
+    }
+    assert [x for x, _ in labels_of(frame, *texts)] == list(texts.values())
+
+
+def test_bare_ids(frame):
+    texts = {"Released under MIT.": "mit", "licensed under the terms of the ISC": "isc", "wir gehen mit dem Hund": ""}
+    assert [x for x, _ in labels_of(frame, *texts)] == list(texts.values())
+
+
+def test_bodies_without_a_name(frame):
+    bsd = """Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: 1. Redistributions of source code must retain the
+        above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary
+        form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. """
+    third = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+        or promote products derived from this software without specific prior written permission. """
+    end = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+    texts = {
+        """Permission is hereby granted, free of charge, to any person obtaining a copy
+        of this software and associated documentation files (the "Software"), to deal
+        in the Software without restriction""": "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        associated documentation files (the "Software"), to deal with the Software without restriction""": "ncsa",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        associated documentation files (the "Software"), to deal in the Software without restriction, including
+        the rights to use copies, and to permit persons to whom the Software is furnished to do so.
+        THE SOFTWARE IS PROVIDED "AS IS\"""": "mit-0",
+        """ * Permission to use, copy, modify, and/or distribute this software for any
+         * purpose with or without fee is hereby granted, provided that the above""": "isc",
+        bsd + end: "bsd,bsd-2-clause",
+        bsd + third + end: "bsd,bsd-3-clause",
+        """This software is provided 'as-is', without any express or implied warranty. In no
+        event will the authors be held liable for any damages arising from the use of this software.""": "zlib",
+        """it under the terms of the GNU General Public License as published by the Free Software Foundation;
+        either version 2 of the License, or (at your option) any later version.""": "gpl,gpl-2.0-or-later",
+    }
+    made = labels_of(frame, *texts)
+    assert [x for x, _ in made] == list(texts.values())
+    assert all(score >= 0.9 for _, score in made)
+
+
+def test_every_rule_holds_its_keyword():
+    """Apart from alternatives, a pattern spells its keyword out."""
+    for r in licenses.signatures():
+        assert f" {r.keyword} ".strip() in r.pattern or r.rank == 7, r
+
+
 def test_containment_follows_rank():
     r = [licenses.Rule(k, f"l{k}", "x", 1.0, "x") for k in range(3)]
     kept = licenses._uncontained([(0, 10, r[1]), (2, 5, r[0]), (2, 5, r[2]), (8, 12, r[2]), (0, 10, r[2])])
