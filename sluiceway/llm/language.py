@@ -12,7 +12,9 @@ the rows given: the documented bound of the sample. It holds at most 2**18 bucke
 whatever the text's length. Everything else is a map over all rows without shuffle.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without labelled
-rows every text is ``und``; ties go to the first language by code point; other columns pass through.
+rows every text is ``und`` to :func:`identify`, but :func:`recognised` keeps whatever has a letter,
+since nothing can be said against it; ties go to the first language by code point; other columns pass
+through.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ LONGEST = 4
 BITS = 18
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
+# What recognised() calls the language of a text when there was nothing to learn from.
+SOME = "mis"
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -151,8 +155,11 @@ def _presence(held: list[np.ndarray], used: np.ndarray) -> np.ndarray:
     return made
 
 
-def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """(row, lang_pred, score) for every row; ``row`` is the whole row as it came."""
+def predict(rows: DataFrame, model: Model, text: str = "text", unlearned: str = UNKNOWN) -> DataFrame:
+    """(row, lang_pred, score) for every row; ``row`` is the whole row as it came.
+
+    A text with a letter is ``unlearned`` if the model knows no language.
+    """
     sent = rows.sparkSession.sparkContext.broadcast((model.languages, model.table))
     shape = rows.schema.simpleString()
 
@@ -162,6 +169,8 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
         readable = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)]
         names: list[str] = [UNKNOWN] * len(texts)
         sure = np.zeros(len(texts))
+        for i in readable:
+            names[i] = unlearned
         if known.languages and readable:
             scores = known.scores([texts[i] for i in readable])
             best = scores.argmax(axis=1)
@@ -186,9 +195,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is in some language; those that are ``und`` go."""
+    """The rows of ``docs`` whose text is in some language; those that are ``und`` go.
+
+    Without a labelled row outside the held-out fold these are the texts that are null or have no letter.
+    """
     model = learn(docs.where(~is_held_out()).select("doc_id", "text", "lang"))
-    return predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    return predict(docs, model, unlearned=SOME).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 by_value(__name__)

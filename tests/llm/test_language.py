@@ -84,6 +84,15 @@ def test_odd_rows(odd):
     assert kept.count() == sum(r.lang_pred != "und" for r in rows)
 
 
+def test_without_labels_to_learn_from_texts_stay(frame):
+    texts = ["some text", "ein Text", "日本", None, "", "12 _ 3", "x"]
+    for told in (lambda i: None, lambda i: "en" if zlib.crc32(str(i).encode()) % 4 == 2 else None):
+        docs = [(i, texts[i % 7], told(i), None, None) for i in range(70)]
+        kept = language.recognised(frame(docs)).collect()
+        assert sorted(r.doc_id for r in kept) == [i for i in range(70) if i % 7 in (0, 1, 2, 6)]
+        assert {r.lang_pred for r in language.identify(frame(docs)).collect()} == {"und"}
+
+
 def test_nothing_to_learn(frame, empty):
     docs = [(i, "some text", None, None, None) for i in range(5)]
     assert {r.lang_pred for r in language.identify(frame(docs)).collect()} == {"und"}

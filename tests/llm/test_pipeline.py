@@ -72,6 +72,13 @@ def test_odd_rows_go_through(spark, odd):
     assert docs.count() > 0
 
 
+def test_a_table_without_labels_goes_through(spark, frame):
+    docs = frame([(i, f"a clean text about the number {i} " * 20, None, "a", None) for i in range(9)])
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = settle(stage(spark, docs, SF), name)
+    assert docs.count() == 9
+
+
 def test_empty(spark, empty):
     docs = empty
     for name, stage in corpus_pipeline.STAGES:
