@@ -9,7 +9,9 @@ region as a whole, so no span is cut or counted twice where windows meet.
 No span of the four kinds is valid without a digit or an at sign, so regions lie around those
 characters; the rest of a text can't hold a span and isn't tagged. Spans of the tagger are added
 where they overlap no base span and hold what their kind asks for (Luhn's check, parts up to 255,
-numbers of digits); base spans always stay.
+numbers of digits); base spans always stay. As all its labels are base spans, and regions that no
+pattern matches are taught as empty, the tagger learns the patterns' own idea of a span: spellings
+that they lack (phones without a plus sign) are not what it is taught to find.
 
 Bounded sample: of documents, ``TRAIN_DOCS`` expected, chosen by a hash of the id, and of those
 ``TRAIN_WINDOWS`` windows per kind. Everything else covers all documents in a map without shuffle.
