@@ -5,7 +5,11 @@ one row per digest (with map-side combine, so a group of copies of any size is o
 the digests that the index has are taken away by a sort-merge anti-join in which the index is
 neither shuffled nor sorted anew, and the rest is appended. All of it is DataFrame operations.
 
-Defined results: a null text counts as empty; of equal texts the row with the largest id stays,
+Across batches the first seen stays: a later copy is dropped whatever its id, and the entry of its
+digest keeps the id and the count of the batch that brought it. :func:`decide` and :func:`survivors`
+put the whole table into a new index as one batch, so their ids and counts are of all rows.
+
+Defined results: a null text counts as empty; of equal texts in a batch the row with the largest id stays,
 a null id is smaller than any other; rows that repeat both id and text are one document (marked
 alike by :func:`decide`, returned once by :func:`survivors`); an empty table adds nothing; further
 columns pass through, whatever their names.
@@ -32,8 +36,8 @@ def text_digest(text: str = "text") -> Column:
 class DigestIndex:
     """A table of (digest, keep_id, copies) under ``path``, bucketed and sorted by digest.
 
-    ``keep_id`` is the id of the row that stays, ``copies`` the rows with this text in the batch
-    that brought it. ``buckets`` is fixed when the index is made (the session's shuffle partitions
+    ``keep_id`` is the id of the row that stays, the largest of the batch that brought the text;
+    ``copies`` the rows with this text in that batch. Later batches change neither. ``buckets`` is fixed when the index is made (the session's shuffle partitions
     by default) and read back later. One writer at a time.
     """
 
