@@ -2,8 +2,8 @@
 
 The kernel of two texts is the share of character n-grams that both hold (blended spectrum: n from
 1 to 4, presence only, whole lower-cased texts, n-grams hashed to 2**18 buckets), that is
-|G(x) & G(y)| / sqrt(|G(x)| |G(y)|). Nystroem's method maps a text to its kernel values with a fixed
-number of landmark texts; kernel ridge regression, one language against the rest, is solved in
+|G(x) & G(y)| / sqrt(|G(x)| |G(y)|). Nystroem's method maps a text to its kernel values with
+landmark texts, whose number grows with the languages only; kernel ridge regression, one language against the rest, is solved in
 closed form on that map. Scores of a batch are the product of its presence matrix, the landmarks'
 presence matrix and the solution; the last two are multiplied once, ahead.
 
@@ -30,7 +30,11 @@ from pyspark.sql import functions as F
 from sluiceway.llm.common import by_value, map_batches
 
 PER_LANGUAGE = 256
+# Landmarks: so many at least, and so many per language; flagged LANDMARKS at a time.
 LANDMARKS = 192
+LANDMARKS_EACH = 4
+# Texts whose kernel values are held at once.
+ROWS = 4096
 RIDGE = 0.1
 LONGEST = 4
 BITS = 18
@@ -102,7 +106,7 @@ def sample(rows: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     )
 
 
-def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model:
+def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int | None = None) -> Model:
     """Fit on rows (doc_id, text, lang)."""
 
     def presence(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -125,23 +129,34 @@ def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LA
     if not held:
         return Model(languages, np.zeros((1 << BITS, len(languages)), np.float32))
     # In order of rank, so every language has its share of the landmarks.
-    marks = held[:landmarks]
+    marks = held[: landmarks or max(LANDMARKS, LANDMARKS_EACH * len(languages))]
     used = np.unique(np.concatenate(marks))
-    base = _presence(marks, used)
     own = np.sqrt([len(h) for h in marks])
-    kernel = np.empty((len(held), len(marks)))
-    for start in range(0, len(held), 128):
-        part = held[start : start + 128]
-        common = (_presence(part, used) @ base.T).astype(np.float64)
-        kernel[start : start + len(part)] = common / np.outer(np.sqrt([len(h) for h in part]), own)
-    values, vectors = np.linalg.eigh(kernel[: len(marks)])
+    stretches = [slice(at, at + LANDMARKS) for at in range(0, len(marks), LANDMARKS)]
+
+    def kernel(some: list[np.ndarray]) -> np.ndarray:
+        made = np.empty((len(some), len(marks)))
+        for few in stretches:
+            base = _presence(marks[few], used)
+            for start in range(0, len(some), 128):
+                part = some[start : start + 128]
+                common = (_presence(part, used) @ base.T).astype(np.float64)
+                made[start : start + len(part), few] = common / np.outer(np.sqrt([len(h) for h in part]), own[few])
+        return made
+
+    values, vectors = np.linalg.eigh(kernel(marks))
     whole = values > 1e-6 * values[-1]
     root = vectors[:, whole] / np.sqrt(values[whole])
-    mapped = kernel @ root
-    wanted = np.where(np.array(names)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    weight = np.linalg.solve(mapped.T @ mapped + RIDGE * np.eye(mapped.shape[1]), mapped.T @ wanted)
+    gram, aims = np.zeros((root.shape[1],) * 2), np.zeros((root.shape[1], len(languages)))
+    for start in range(0, len(held), ROWS):
+        mapped = kernel(held[start : start + ROWS]) @ root
+        wanted = np.where(np.array(names[start : start + ROWS])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
+        gram += mapped.T @ mapped
+        aims += mapped.T @ wanted
+    weight = (root @ np.linalg.solve(gram + RIDGE * np.eye(len(gram)), aims)) / own[:, None]
     table = np.zeros((1 << BITS, len(languages)), np.float32)
-    table[used] = base.T @ ((root @ weight) / own[:, None])
+    for few in stretches:
+        table[used] += _presence(marks[few], used).T @ weight[few]
     return Model(languages, table)
 
 

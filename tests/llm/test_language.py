@@ -41,6 +41,16 @@ def test_held_out_labels_are_not_used(frame):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_every_language_has_landmarks(frame):
+    """With more languages than LANDMARKS, each of its own letters, the last ones are told right too."""
+    rng, n = random.Random(7), language.LANDMARKS + 8
+    text = lambda k: "".join(chr(0x4E00 + 20 * k + rng.randrange(20)) for _ in range(40))
+    model = language.learn(frame([(3 * k + i, text(k), f"l{k:03}", None, None) for k in range(n) for i in range(3)]))
+    assert model.languages == [f"l{k:03}" for k in range(n)]
+    last = list(range(language.LANDMARKS - 2, n))
+    assert model.scores([text(k) for k in last]).argmax(axis=1).tolist() == last
+
+
 def test_scores_are_the_kernel_machine(frame):
     """The folded table gives what kernel values with the landmarks give."""
     docs = documents(120, seed=4)
