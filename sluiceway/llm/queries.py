@@ -16,6 +16,7 @@ from sluiceway.llm import (
     licenses,
     mixing,
     ngram_join,
+    periodic_runs,
     pii,
     substring_dedup,
     warc,
@@ -113,6 +114,11 @@ def op10_prefix_doubling(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.summarised(table(spark, folder, "documents"), periodic_runs.tail_repeated)
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
