@@ -7,17 +7,20 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluiceway.llm import (
     bpe,
     decision_list,
     exact_dedup,
+    hard_negatives,
     language,
     licenses,
     mixing,
     ngram_join,
     periodic_runs,
     pii,
+    simhash_tree,
     substring_dedup,
     warc,
 )
@@ -114,6 +117,41 @@ def op10_prefix_doubling(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+        CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ), positives AS (
+      SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score
+      FROM scored WHERE label = own
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+      CAST(row_number() OVER same AS INTEGER) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+      AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+    WINDOW same AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+    QUALIFY row_number() OVER same <= 3
+    """
+)
+def op11_hilbert_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op12_simhash_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_tree.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.summarised(table(spark, folder, "documents"), periodic_runs.tail_repeated)
