@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,3 +32,13 @@ def flat(field: T.StructField) -> Column:
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     """Hash of a row's values, the same for any order of its columns."""
     return hash_key(*[flat(df.schema[c]) for c in sorted(columns or df.columns)])
+
+
+def bucket_of(df: DataFrame, keys: list[str], buckets: int) -> Column:
+    """Number of the bucket of a row's key; rows with a null in their key are dealt out by all values.
+
+    Such rows match nothing in a merge, so they need not meet, and no bucket has to hold them all.
+    """
+    incomplete = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    keyed = hash_key(*[flat(df.schema[k]) for k in keys])
+    return F.pmod(F.when(incomplete, row_hash(df)).otherwise(keyed), F.lit(buckets)).cast("int")

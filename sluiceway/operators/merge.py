@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from sluiceway.functions.text import request_id
 from sluiceway.operators.joins import key_side
 from sluiceway.operators.latest import keep_latest, one_per_key
+from sluiceway.operators.schema import least_common_type
 
 STRATEGIES = ("append", "merge", "delete+insert")
 SYNC_MODES = (
@@ -101,7 +102,12 @@ def rows_after(
 
 
 def evolve(tgt: DataFrame, new: DataFrame, on_schema_change: str = "fail") -> tuple[DataFrame, DataFrame]:
-    """Align target and batch: ``fail``, ``ignore``, ``append_new_columns`` or ``sync_all_columns``."""
+    """Align target and batch: ``fail``, ``ignore``, ``append_new_columns`` or ``sync_all_columns``.
+
+    Types never get narrower. ``append_new_columns`` widens a retyped column to the least type that holds
+    the values of both sides; ``ignore`` keeps the target's types and ``sync_all_columns`` takes the
+    batch's, if these hold the values of both. Where values could be lost, the change is refused.
+    """
     known = {f.name.lower(): f for f in tgt.schema.fields}
     came = {f.name.lower(): f for f in new.schema.fields}
     added = [came[n] for n in came if n not in known]
@@ -116,24 +122,36 @@ def evolve(tgt: DataFrame, new: DataFrame, on_schema_change: str = "fail") -> tu
         return tgt, new.select(*tgt.columns)
     if on_schema_change not in ("ignore", "append_new_columns", "sync_all_columns"):
         raise ValueError(f"unknown on_schema_change {on_schema_change}")
+    if on_schema_change == "ignore":
+        fields = list(known.values())
+    elif on_schema_change == "append_new_columns":
+        fields = [*known.values(), *added]
+    else:
+        fields = list(came.values())
+    kinds, lost = {}, []
+    for n in changed:
+        common = least_common_type(known[n].dataType, came[n].dataType)
+        fixed = {"ignore": known, "sync_all_columns": came}.get(on_schema_change)
+        kinds[n] = fixed[n].dataType if fixed else common.type
+        if not common.lossless or kinds[n] != common.type:
+            lost.append(
+                f"{known[n].name}: {known[n].dataType.simpleString()} and {came[n].dataType.simpleString()} "
+                f"as {kinds[n].simpleString()}"
+            )
+    if lost:
+        raise ValueError(f"values could be lost: {', '.join(lost)}")
 
-    def shaped(df: DataFrame, fields: list[T.StructField], has: dict) -> DataFrame:
+    def shaped(df: DataFrame, has: dict) -> DataFrame:
         return df.select(
             *[
                 (F.col(f"`{f.name}`") if f.name.lower() in has else F.lit(None))
-                .cast(f.dataType)
+                .cast(kinds.get(f.name.lower(), f.dataType))
                 .alias(f.name)
                 for f in fields
             ]
         )
 
-    if on_schema_change == "ignore":
-        fields = list(known.values())
-    elif on_schema_change == "append_new_columns":
-        fields = [*known.values(), *added]
-    else:
-        fields = list(came.values())
-    return shaped(tgt, fields, known), shaped(new, fields, came)
+    return shaped(tgt, known), shaped(new, came)
 
 
 def newest_per_key(

@@ -7,16 +7,18 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.keys import row_hash
+from sluiceway.functions.keys import bucket_of, flat, hash_key, row_hash
 from sluiceway.functions.text import seconds_between
 from sluiceway.operators.joins import orphan_keys
 from sluiceway.operators.profiling import per_column, value_counts
-from sluiceway.runtime import metadata_frame
+from sluiceway.runtime import metadata_frame, settle
 
 # Fixed value: a plausible mail address.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
@@ -285,6 +287,10 @@ def _fingerprint(df: DataFrame) -> Column:
     return row_hash(df).cast("decimal(38,0)")
 
 
+# What is left of a cell that its column's common type can't hold; null where the type holds it.
+_REST = "{} as text"
+
+
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     """The type in which values of both can be compared; text gives way to anything else."""
     if a == b:
@@ -293,88 +299,219 @@ def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
         return b if isinstance(a, T.StringType) else a
     both = (a, b)
     if all(isinstance(t, T.NumericType) for t in both):
-        if all(isinstance(t, T.IntegralType) for t in both):
+        whole = [t for t in both if isinstance(t, T.IntegralType)]
+        scaled = [t for t in both if isinstance(t, T.DecimalType)]
+        if len(whole) == 2:
             return T.LongType()
-        if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in both):
-            return T.DoubleType()
-        return T.DecimalType(38, max(getattr(t, "scale", 0) for t in both))
+        if whole and not scaled:
+            return T.LongType()  # a double that is no whole number is told apart as text
+        if scaled:
+            return T.DecimalType(38, max(t.scale for t in scaled))
+        return T.DoubleType()
     if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in both):
         return T.TimestampType() if T.TimestampType() in both else T.TimestampNTZType()
     return T.StringType()
 
 
+def _held(value: Column, own: T.DataType, kind: T.DataType) -> Column:
+    """``value`` as ``kind`` if nothing of it is lost, else null."""
+    made = value.try_cast(kind)
+    if isinstance(own, T.StringType):
+        if isinstance(kind, T.DecimalType):
+            return F.when(made == value.try_cast(T.DecimalType(38, 18)), made)
+        if isinstance(kind, T.DateType):
+            return F.when(made.cast("timestamp_ntz") == value.try_cast("timestamp_ntz"), made)
+    if isinstance(own, (T.FloatType, T.DoubleType)) and isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.when(made.cast("double") == value.cast("double"), made)
+    return made
+
+
 def same_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both frames with columns of equal names (case-blind) brought to a common type.
 
-    Text that does not convert becomes null there. ``schema_diff`` tells which types differ.
+    A column whose types differ becomes two: the value in the common type, and the text of cells that this
+    type can't hold without loss (text that does not convert, a fraction among integers). So no
+    two values meet that differ, and a lost value never meets a null as its equal. ``schema_diff``
+    tells which types differ.
     """
+    mine = {f.name.lower(): f for f in a.schema.fields}
     others = {f.name.lower(): f for f in b.schema.fields}
-    left, right = [], {}
-    for f in a.schema.fields:
-        other = others.get(f.name.lower())
-        kind = _common_type(f.dataType, other.dataType) if other else f.dataType
-        same = kind == f.dataType
-        left.append((F.col(f"`{f.name}`") if same else F.col(f"`{f.name}`").try_cast(kind)).alias(f.name))
-        if other:
-            right[other.name] = (kind, f.name)
-    out = [
-        F.col(f"`{f.name}`").try_cast(right[f.name][0]).alias(right[f.name][1])
-        if f.name in right and right[f.name] != (f.dataType, f.name)
-        else F.col(f"`{f.name}`")
-        for f in b.schema.fields
+
+    def shaped(df: DataFrame, partners: dict[str, T.StructField]) -> DataFrame:
+        out = []
+        for f in df.schema.fields:
+            value, other = F.col(f"`{f.name}`"), partners.get(f.name.lower())
+            name = mine[f.name.lower()].name if f.name.lower() in mine else f.name
+            if other is None or other.dataType == f.dataType:
+                out.append(value.alias(name))
+                continue
+            kind = _common_type(f.dataType, other.dataType)
+            held = value if kind == f.dataType else _held(value, f.dataType, kind)
+            rest = F.when(held.isNull(), value.cast("string"))
+            out += [held.alias(name), rest.alias(_REST.format(name))]
+        return df.select(*out)
+
+    return shaped(a, others), shaped(b, mine)
+
+
+def _rests(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.endswith(_REST.format(""))]
+
+
+def _match_keys(df: DataFrame, keys: list[str]) -> list[str]:
+    """The keys and, where their types differ, what their type can't hold."""
+    names = {c.lower(): c for c in df.columns}
+    found = [names[k.lower()] for k in keys]
+    return found + [_REST.format(k) for k in found if _REST.format(k) in df.columns]
+
+
+def _digest(df: DataFrame, prefix: str, counted: bool = True) -> list[Column]:
+    """Rows, sum of row hashes and, if wanted, cells that did not convert."""
+    rest = [F.count(F.col(f"`{c}`")) for c in _rests(df)]
+    unconverted = reduce(add, rest, F.lit(0)).cast("bigint")
+    return [
+        F.count(F.lit(1)).alias(f"{prefix}n"),
+        F.sum(_fingerprint(df)).alias(f"{prefix}h"),
+        *([unconverted.alias(f"{prefix}u")] if counted else []),
     ]
-    return a.select(*left), b.select(*out)
 
 
-def reconcile(src: DataFrame, tgt: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def reconcile(
+    src: DataFrame, tgt: DataFrame, keys: list[str] | None = None, unconverted: bool = False
+) -> DataFrame:
     """Compare two tables on one row.
 
     Always: row counts and whether the contents agree in any order (equal counts and equal
     sums of row hashes). With ``keys`` also how many keys are missing in the target, extra
     in it, or hold different rows; rows are folded per key before the join. Values are compared in
-    a common type per column, so text or a narrower number equals the same number.
+    a common type per column, so text or a narrower number equals the same number; what this type
+    can't hold is compared as text, and ``unconverted`` asks for the number of such cells.
     """
     src, tgt = same_types(src, tgt)
+    cells = [(F.col("su") + F.col("tu")).alias("unconverted_cells")] if unconverted else []
     if not keys:
-        sides = []
-        for name, df in (("source", src), ("target", tgt)):
-            sides.append(
-                df.agg(
-                    F.count(F.lit(1)).alias("n"), F.sum(_fingerprint(df)).alias("h")
-                ).select(F.struct("n", "h").alias(name))
-            )
-        both = src.sparkSession.range(1).select(
-            sides[0].scalar().alias("source"), sides[1].scalar().alias("target")
-        )
-        return both.select(
-            F.col("source.n").alias("source_rows"),
-            F.col("target.n").alias("target_rows"),
-            F.col("source").eqNullSafe(F.col("target")).alias("matched"),
+        sides = [
+            df.agg(*_digest(df, p)).select(F.struct(f"{p}n", f"{p}h", f"{p}u").alias(p))
+            for p, df in (("s", src), ("t", tgt))
+        ]
+        both = src.sparkSession.range(1).select(sides[0].scalar().alias("s"), sides[1].scalar().alias("t"))
+        return both.select("s.*", "t.*").select(
+            F.col("sn").alias("source_rows"),
+            F.col("tn").alias("target_rows"),
+            (F.col("sn").eqNullSafe(F.col("tn")) & F.col("sh").eqNullSafe(F.col("th"))).alias("matched"),
+            *cells,
         )
     folded = [
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{p}n"), F.sum(_fingerprint(df)).alias(f"{p}h"))
+        df.groupBy(*[f"`{k}`" for k in _match_keys(df, keys)]).agg(*_digest(df, p))
         for p, df in (("s", src), ("t", tgt))
     ]
-    same = [folded[0][k].eqNullSafe(folded[1][k]) for k in keys]
-    cond = same[0]
-    for s in same[1:]:
-        cond = cond & s
-    both = folded[0].join(folded[1], cond, "full")
+    both = _full_join(*folded, _match_keys(src, keys))
     in_src, in_tgt = F.col("sn").isNotNull(), F.col("tn").isNotNull()
-    equal = (F.col("sn") == F.col("tn")) & (F.col("sh") == F.col("th"))
     zero = F.lit(0)
     return both.agg(
         F.coalesce(F.sum("sn"), zero).cast("bigint").alias("source_rows"),
         F.coalesce(F.sum("tn"), zero).cast("bigint").alias("target_rows"),
         F.count_if(in_src & ~in_tgt).alias("missing_keys"),
         F.count_if(in_tgt & ~in_src).alias("extra_keys"),
-        F.count_if(in_src & in_tgt & ~equal).alias("different_keys"),
-    ).withColumn(
-        "matched",
-        (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0) & (F.col("different_keys") == 0),
+        F.count_if(in_src & in_tgt & ~_agree()).alias("different_keys"),
+        F.coalesce(F.sum("su"), zero).alias("su"),
+        F.coalesce(F.sum("tu"), zero).alias("tu"),
+    ).select(
+        "source_rows",
+        "target_rows",
+        "missing_keys",
+        "extra_keys",
+        "different_keys",
+        ((F.col("missing_keys") == 0) & (F.col("extra_keys") == 0) & (F.col("different_keys") == 0)).alias("matched"),
+        *cells,
+    )
+
+
+def _agree() -> Column:
+    return (F.col("sn") == F.col("tn")) & (F.col("sh") == F.col("th"))
+
+
+def _full_join(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """Full outer join on equal names, null equal to null; the keys once, then the other columns."""
+    right = b.withColumnsRenamed({k: f"other {k}" for k in on})
+    pairs = [(F.col(f"`{k}`"), F.col(f"`other {k}`")) for k in on]
+    both = a.join(right, reduce(and_, [x.eqNullSafe(y) for x, y in pairs]), "full")
+    rest = [c for c in (*a.columns, *b.columns) if c not in on]
+    return both.select(*[F.coalesce(x, y).alias(k) for k, (x, y) in zip(on, pairs)], *rest)
+
+
+def bucket_digests(
+    df: DataFrame, keys: list[str], buckets: int = 256, leaves: int = 64, bucket: Column | None = None
+) -> DataFrame:
+    """(bucket, leaf, n, h): rows and sum of row hashes per bucket of keys and share of a bucket.
+
+    Two levels of a hash tree in one scan: sums of a bucket's leaves are the bucket's own digest.
+    At most ``buckets`` times ``leaves`` rows, however large the table; kept beside a table, they
+    spare the next comparison its scan. ``bucket`` says where a row lies if the table
+    is kept in buckets already.
+    """
+    place = bucket if bucket is not None else bucket_of(df, keys, buckets)
+    return df.groupBy(place.alias("bucket"), _leaf(df, keys, leaves).alias("leaf")).agg(*_digest(df, "", False))
+
+
+def _leaf(df: DataFrame, keys: list[str], leaves: int) -> Column:
+    hashed = F.xxhash64(F.lit("leaf"), hash_key(*[flat(df.schema[k]) for k in _match_keys(df, keys)]))
+    return F.pmod(hashed, F.lit(leaves)).cast("int")
+
+
+def differing_keys(
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: list[str],
+    buckets: int = 256,
+    leaves: int = 64,
+    bucket_column: str | None = None,
+) -> DataFrame:
+    """(keys, state, source_rows, target_rows) of the keys on which two tables differ, by a hash tree.
+
+    Digests of buckets are compared first, then those of the differing buckets' leaves; only rows in
+    differing leaves are folded per key and joined. Equal tables cost a scan and a join of the
+    digests. ``state`` is ``missing`` (in the target), ``extra`` or ``different``. If both tables
+    are partitioned by ``bucket_column`` (see ``bucketed``), only partitions of differing buckets are read again.
+    The driver holds the numbers of differing buckets, ``buckets`` of them at most. Rows with a null key
+    are told apart by all their values; their counts are those of differing leaves.
+    """
+    carried = [bucket_column] if bucket_column else []
+    src, tgt = same_types(src, tgt)
+    on = _match_keys(src, keys)
+    sides = []
+    for prefix, df in (("s", src), ("t", tgt)):
+        data = df.drop(*carried)
+        place = F.col(bucket_column) if bucket_column else bucket_of(data, keys, buckets)
+        sides.append((prefix, df, data, place, _leaf(data, keys, leaves)))
+    digests = [
+        df.groupBy(place.alias("bucket"), leaf.alias("leaf")).agg(*_digest(data, prefix, False))
+        for prefix, df, data, place, leaf in sides
+    ]
+    odd = settle(_differing(_full_join(*digests, ["bucket", "leaf"])).select("bucket", "leaf"), "differing-leaves")
+    numbers = [r[0] for r in odd.select("bucket").distinct().collect()]
+    # At most buckets times leaves rows.
+    odd = F.broadcast(odd.select(F.col("bucket").alias("in bucket"), F.col("leaf").alias("in leaf")))
+    folded = [
+        df.where(place.isin(numbers))
+        .join(odd, (place == F.col("in bucket")) & (leaf == F.col("in leaf")), "left_semi")
+        .groupBy(*[f"`{k}`" for k in on])
+        .agg(*_digest(data, prefix, False))
+        for prefix, df, data, place, leaf in sides
+    ]
+    state = F.when(F.col("tn").isNull(), "missing").when(F.col("sn").isNull(), "extra").otherwise("different")
+    return _differing(_full_join(*folded, on)).select(
+        *[f"`{k}`" for k in on],
+        state.alias("state"),
+        F.coalesce("sn", F.lit(0)).cast("bigint").alias("source_rows"),
+        F.coalesce("tn", F.lit(0)).cast("bigint").alias("target_rows"),
     )
 
 
+def _differing(both: DataFrame) -> DataFrame:
+    return both.where(~F.coalesce(_agree(), F.lit(False)))
+
+
 def load_validation(loaded: DataFrame, expected_rows: int, key: str) -> DataFrame:
     """After a load: row count as expected, no null in the key column, table not empty."""
     counted = loaded.agg(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Type families whose members can take each other's values.
 NUMBER_FAMILY = (
@@ -21,6 +23,80 @@ NUMBER_FAMILY = (
 TEXT_FAMILY = ("CHAR", "VARCHAR", "NCHAR", "NVARCHAR")
 
 
+# Whole numbers from narrow to wide, with the decimal digits that each may need.
+_WHOLE = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+# Digits of whole numbers that a floating type holds exactly.
+_EXACT_DIGITS = {T.FloatType(): 7, T.DoubleType(): 15}
+
+
+@dataclass(frozen=True)
+class Common:
+    """The least type that values of two types fit into, and whether both do without loss."""
+
+    type: T.DataType
+    lossless: bool
+
+
+def least_common_type(a: T.DataType, b: T.DataType) -> Common:
+    """Where two types meet in the lattice of types.
+
+    Whole numbers widen to the wider one, decimals keep the digits of both before and after the point, floats
+    become doubles, dates become timestamps, anything becomes text; structs, arrays and maps meet part
+    by part. Whole numbers and decimals meet floating types at a double, with loss if they may have more
+    digits than it holds; so do decimals that together need more than 38 digits, and clock times
+    with instants, which only a time zone could turn into each other.
+    """
+    if a == b:
+        return Common(a, True)
+    for x, y in ((a, b), (b, a)):
+        if isinstance(x, T.NullType):
+            return Common(y, True)
+        if isinstance(x, T.StringType):
+            return Common(T.StringType(), not isinstance(y, (T.BinaryType, T.StructType, T.ArrayType, T.MapType)))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return _common_number(a, b)
+    times = (T.DateType, T.TimestampNTZType, T.TimestampType)
+    if isinstance(a, times) and isinstance(b, times):
+        if T.TimestampType() in (a, b):
+            return Common(T.TimestampType(), False)
+        return Common(T.TimestampNTZType(), True)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        met = least_common_type(a.elementType, b.elementType)
+        return Common(T.ArrayType(met.type, a.containsNull or b.containsNull), met.lossless)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        keys, values = least_common_type(a.keyType, b.keyType), least_common_type(a.valueType, b.valueType)
+        kind = T.MapType(keys.type, values.type, a.valueContainsNull or b.valueContainsNull)
+        return Common(kind, keys.lossless and values.lossless)
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType) and a.names == b.names:
+        met = [least_common_type(f.dataType, g.dataType) for f, g in zip(a.fields, b.fields)]
+        fields = [
+            T.StructField(f.name, m.type, f.nullable or g.nullable) for f, g, m in zip(a.fields, b.fields, met)
+        ]
+        return Common(T.StructType(fields), all(m.lossless for m in met))
+    plain = not isinstance(a, _NESTED) and not isinstance(b, _NESTED)
+    return Common(T.StringType(), plain)
+
+
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
+
+
+def _common_number(a: T.DataType, b: T.DataType) -> Common:
+    if a in _WHOLE and b in _WHOLE:
+        return Common(max(a, b, key=_WHOLE.get), True)
+    if a in _EXACT_DIGITS and b in _EXACT_DIGITS:
+        return Common(T.DoubleType(), True)
+    if a in _EXACT_DIGITS or b in _EXACT_DIGITS:
+        floating, other = (a, b) if a in _EXACT_DIGITS else (b, a)
+        digits = _WHOLE[other] if other in _WHOLE else other.precision
+        # A decimal fraction has no exact double, but one of few digits comes back as it was.
+        return Common(T.DoubleType(), digits <= _EXACT_DIGITS[T.DoubleType()])
+    before = max(_WHOLE[t] if t in _WHOLE else t.precision - t.scale for t in (a, b))
+    after = max(0 if t in _WHOLE else t.scale for t in (a, b))
+    if before + after > 38:
+        return Common(T.DecimalType(38, max(0, 38 - before)), False)
+    return Common(T.DecimalType(before + after, after), True)
+
+
 def schema_diff(
     before: DataFrame,
     after: DataFrame,

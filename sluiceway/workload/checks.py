@@ -435,3 +435,36 @@ def conflict_log_of_customers(t: Tables):
     return k.conflict_log(
         two_sources(t), "customers", ["c_custkey"], "latest", dt.datetime(2024, 6, 1)
     )
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'missing' ELSE 'different' END AS state,
+         1::BIGINT AS source_rows, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END::BIGINT AS target_rows
+       FROM orders WHERE (o_orderstatus = 'P' AND o_custkey % 7 = 0) OR (o_orderstatus = 'F' AND o_custkey % 50 = 1)
+       UNION ALL SELECT -s_suppkey - 1, 'extra', 0, 1 FROM supplier WHERE s_suppkey % 5 = 0"""
+)
+def keys_that_differ(t: Tables):
+    """The same faults, found through digests of buckets: only differing buckets are folded per key."""
+    raised = F.when(
+        (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 50 == 1), F.col("o_totalprice") + 1
+    ).otherwise(F.col("o_totalprice"))
+    target = t.orders.filter("o_orderstatus <> 'P' OR o_custkey % 7 <> 0").withColumn("o_totalprice", raised)
+    foreign = t.supplier.filter("s_suppkey % 5 = 0").select((-F.col("s_suppkey") - 1).alias("o_orderkey"))
+    return q.differing_keys(t.orders, target.unionByName(foreign, allowMissingColumns=True), ["o_orderkey"])
+
+
+@query(
+    """SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys,
+         count(*) FILTER (o_custkey % 10 = 0 OR o_orderkey % 9 = 0) AS different_keys,
+         count(*) FILTER (o_custkey % 10 = 0 OR o_orderkey % 9 = 0) = 0 AS matched,
+         count(*) FILTER (o_custkey % 10 = 0) AS unconverted_cells FROM orders"""
+)
+def reconcile_after_a_lossy_load(t: Tables):
+    """Prices that are no numbers became null, and great whole numbers went through a double."""
+    garbled = F.when(F.col("o_custkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    great = F.lit(2**53) + F.when(F.col("o_orderkey") % 9 == 0, 1).otherwise(2)
+    source = t.orders.withColumns({"o_totalprice": garbled, "great": great})
+    target = source.withColumns(
+        {"o_totalprice": F.col("o_totalprice").try_cast("double"), "great": F.col("great").cast("double")}
+    )
+    return q.reconcile(source, target, ["o_orderkey"], unconverted=True)
