@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluiceway.operators.latest import one_per_key
+from sluiceway.operators.joins import key_side
+from sluiceway.operators.latest import first_per_key, newest_first, one_per_key
 
 OPEN = ("valid_from", "valid_to")
 
@@ -88,3 +90,32 @@ def as_of_time(history: DataFrame, moment: Column) -> DataFrame:
     return history.filter(
         (F.col("valid_from") <= moment) & (F.col("valid_to").isNull() | (F.col("valid_to") > moment))
     )
+
+
+def apply_changes(
+    changes: DataFrame, history: DataFrame | None, key: list[str], updated_at: str
+) -> DataFrame:
+    """History after changes that may come in any order, several per key, older ones included.
+
+    Every distinct (key, ``updated_at``) is a version, valid until the key's next one: a change older than
+    the newest version splits the closed interval it falls into. So batches of changes give the same
+    history in whatever order they are applied, and a replay changes nothing. Of rows with equal key and
+    time the one with the largest values stays. Keys without a change pass through unranked. A
+    key's versions are read in order, never held together.
+    """
+    data = changes.columns
+    start = F.col(updated_at).cast("timestamp_ntz").alias("valid_from")
+    rows = changes.select(*data, start)
+    untouched = None
+    if history is not None:
+        renamed = {k: f"_k{i}" for i, k in enumerate(key)}
+        came = key_side(changes, key).withColumnsRenamed(renamed)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in renamed.items()])
+        untouched = history.select(*data, *OPEN).join(came, same, "left_anti")
+        rows = rows.unionByName(history.join(came, same, "left_semi").select(*data, "valid_from"))
+    rest = [c for c in data if c not in key and not isinstance(changes.schema[c].dataType, (T.MapType, T.VariantType))]
+    once = first_per_key(rows, [*key, "valid_from"], newest_first(updated_at, rest))
+    following = F.lead("valid_from").over(Window.partitionBy(*key).orderBy("valid_from"))
+    # A row without a time says nothing about when it held.
+    versions = once.where(F.col("valid_from").isNotNull()).withColumn("valid_to", following).select(*data, *OPEN)
+    return versions if untouched is None else untouched.unionByName(versions)

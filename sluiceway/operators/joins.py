@@ -8,15 +8,24 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluiceway.runtime import settle
+
 
 @dataclass(frozen=True)
 class Join:
-    """One step of a chain: a named frame, its condition and the join type."""
+    """One step of a chain: a named frame, its condition and the join type.
+
+    ``within`` names (point, start, end): the point of the rows so far lies in the step's interval, start
+    included, end not, nulls open. Such a join is planned through bins instead of a nested loop; ``on`` may then be empty.
+    """
 
     df: DataFrame
     name: str
-    on: str | Column
+    on: str | Column = ""
     how: str = "left"
+    within: tuple[str, str, str] | None = None
 
 
 def join_chain(
@@ -31,19 +40,116 @@ def join_chain(
 
     Conditions and columns are SQL text over the given names (equi or theta). With
     ``group_by`` the remaining columns are aggregates. Spark chooses every join strategy;
-    a join without a condition is refused.
+    a join without a condition is refused. A step with ``within`` is an interval join (see
+    ``interval_join``).
     """
-    out = base.alias(name)
+    out, names = base.alias(name), [name]
     for j in joins:
         if j.how == "cross":
             raise ValueError("a chain joins on a condition; use one_row to attach scalars")
-        out = out.join(j.df.alias(j.name), F.expr(j.on) if isinstance(j.on, str) else j.on, j.how)
+        on = F.expr(j.on) if isinstance(j.on, str) and j.on else j.on
+        if j.within:
+            # Each frame as one struct of its name, which the same texts reach into.
+            packed = out.select(*[F.struct(f"{n}.*").alias(n) for n in names])
+            out = interval_join(packed, j.df.select(F.struct("*").alias(j.name)), *j.within, on=on, how=j.how)
+        else:
+            out = out.join(j.df.alias(j.name), on, j.how)
+        names.append(j.name)
     if where is not None:
         out = out.filter(where)
     if group_by:
         measures = [F.expr(c) for c in columns or [] if c not in group_by]
         return out.groupBy(*[F.expr(g) for g in group_by]).agg(*measures)
-    return out.select(*[F.expr(c) for c in columns]) if columns else out
+    if columns:
+        return out.select(*[F.expr(c) for c in columns])
+    return out.select(*[f"{n}.*" for n in names]) if any(j.within for j in joins) else out
+
+
+# Bins get 8 times narrower from level to level; intervals shorter than 8**-LEVELS of all share the last.
+_FAN, _LEVELS = 8, 12
+
+
+def _position(df: DataFrame, value: str) -> Column:
+    """A number that never falls as ``value`` rises: numbers, dates and timestamps."""
+    kind, c = df.select(F.expr(value)).schema[0].dataType, F.expr(value)
+    if isinstance(kind, T.TimestampNTZType):
+        # Clock time, without a detour through a zone where it may jump back.
+        day = F.unix_date(c.cast("date")) * F.lit(86400)
+        return (day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    raise ValueError(f"no order of numbers for {kind.simpleString()}")
+
+
+def interval_join(
+    points: DataFrame,
+    intervals: DataFrame,
+    point: str,
+    start: str,
+    end: str,
+    on: Column | str | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Rows of ``points`` with the rows of ``intervals`` whose [start, end) holds their point.
+
+    An interval goes to the few bins it touches at the level whose bins are 1 to 8 times shorter than
+    itself; a point goes to its bin at every level that occurs. They meet on equal bins, each pair once,
+    and the exact test follows: candidates are at most a small multiple of the result, whatever the lengths, and a
+    long interval costs no more rows than a short one. Null bounds are open, a null point lies in
+    nothing. ``on`` may hold further conditions. ``how``: inner or left (then columns of both frames differ in name). The
+    driver holds the range of the bounds and the numbers of the levels.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("an interval join is inner or left")
+    low, high = _position(intervals, start), _position(intervals, end)
+    bounds = intervals.agg(
+        F.min(F.least(low, high)).alias("low"), F.max(F.greatest(low, high)).alias("high")
+    ).first()
+    first = bounds["low"] if bounds["low"] is not None else 0.0
+    span = max((bounds["high"] if bounds["high"] is not None else 0.0) - first, 1e-9)
+
+    def share(position: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (position - F.lit(first)) / F.lit(span)))
+
+    def bin_of(part: Column, level: Column) -> Column:
+        return F.floor(part * F.pow(F.lit(float(_FAN)), level)).cast("long")
+
+    begins, ends = F.when(low.isNull(), 0.0).otherwise(share(low)), F.when(high.isNull(), 1.0).otherwise(share(high))
+    length = F.greatest(ends - begins, F.lit(1e-18))
+    level = F.least(F.lit(_LEVELS), F.ceil(-F.log(float(_FAN), length))).cast("int")
+    fits = low.isNull() | high.isNull() | (low <= high)
+    levelled = intervals.where(fits).withColumns({"_begins": begins, "_ends": ends, "_interval_level": level})
+    levels = sorted(r[0] for r in levelled.select("_interval_level").distinct().collect())
+    wide = levelled.withColumn(
+        "_interval_bin",
+        F.explode(
+            F.sequence(
+                bin_of(F.col("_begins"), F.col("_interval_level")), bin_of(F.col("_ends"), F.col("_interval_level"))
+            )
+        ),
+    )
+    if how == "left":
+        # Numbered once, so that the rows without a match can be told.
+        points = settle(points.withColumn("_point_row", F.monotonically_increasing_id()), "interval-points")
+    at = share(_position(points, point))
+    bins = F.array(*[F.struct(F.lit(n).alias("level"), bin_of(at, F.lit(n)).alias("bin")) for n in levels or [0]])
+    placed = points.where(F.expr(point).isNotNull()).select("*", F.explode(bins).alias("_point_bin"))
+    exact = (F.expr(start).isNull() | (F.expr(point) >= F.expr(start))) & (
+        F.expr(end).isNull() | (F.expr(point) < F.expr(end))
+    )
+    meet = (F.col("_point_bin.level") == F.col("_interval_level")) & (F.col("_point_bin.bin") == F.col("_interval_bin"))
+    if isinstance(on, Column) or on:
+        meet = (F.expr(on) if isinstance(on, str) else on) & meet
+    met = placed.join(wide, meet & exact).drop("_point_bin", "_begins", "_ends", "_interval_level", "_interval_bin")
+    if how == "inner":
+        return met
+    met = settle(met, "interval-join")
+    alone = points.join(key_side(met, ["_point_row"]), "_point_row", "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True).drop("_point_row")
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluiceway.runtime import new_dir, settle
@@ -70,3 +70,40 @@ def lineage_closure(
         if found(depth).isEmpty():
             break
     return found().filter("depth > 0")
+
+
+def closure_of_all(edges: DataFrame, direction: str = "downstream", sources: DataFrame | None = None) -> DataFrame:
+    """(source, node, depth): everything reachable from every node, with the length of the shortest way.
+
+    Path doubling: after k rounds all ways of up to 2**k steps are known, so a chain of a thousand nodes
+    takes ten rounds. A longer shortest way begins with exactly 2**k steps, so only pairs at that
+    distance are carried on, joined with all that is known, and what is new joins the table as one more
+    folder. Cycles end by themselves, as a node that is known already is not found again; a node on a cycle reaches itself.
+    ``sources`` (a column ``source``) keeps the pairs that begin there. The result has a row per pair,
+    which is what grows; nothing of it reaches the driver.
+    """
+    start, reach = ("child", "parent") if direction == "upstream" else ("parent", "child")
+    spark = edges.sparkSession
+    path = new_dir(spark, "pairs")
+    steps = edges.select(F.col(start).alias("source"), F.col(reach).alias("node"))
+    steps = steps.where("source IS NOT NULL AND node IS NOT NULL").distinct().withColumn("depth", F.lit(1).cast("long"))
+    steps.write.parquet(f"{path}/round=0")
+    reader = spark.read.schema(f"{steps.schema.simpleString()[7:-1].replace(':', ' ')}, round int").option("basePath", path)
+    k = 0
+    while True:
+        known, counted = reader.parquet(path), Observation()
+        half = 2**k
+        far = reader.parquet(f"{path}/round={k}").where(F.col("depth") == half).select("source", F.col("node").alias("over"))
+        onward = known.select(F.col("source").alias("over"), "node", (F.col("depth") + half).alias("depth"))
+        longer = (
+            far.join(onward, "over")
+            .groupBy("source", "node")
+            .agg(F.min("depth").alias("depth"))
+            .join(known.select("source", "node"), ["source", "node"], "left_anti")
+        )
+        k += 1
+        longer.observe(counted, F.count_if(F.col("depth") == 2 * half).alias("far")).write.parquet(f"{path}/round={k}")
+        if not counted.get["far"]:
+            break
+    pairs = reader.parquet(path).select("source", "node", "depth")
+    return pairs if sources is None else pairs.join(sources.select("source").distinct(), "source", "left_semi")

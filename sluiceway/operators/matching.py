@@ -9,11 +9,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluiceway.functions.fuzzy import clean, name_similarity, score_clean, words_of
+from sluiceway.functions.fuzzy import (
+    EXACT,
+    PREFIX_MIN_LEN,
+    SIMILAR_BASE,
+    SIMILAR_FROM,
+    SIMILAR_SPAN,
+    TOKEN,
+    TOKEN_PREFIX,
+    clean,
+    name_similarity,
+    score_clean,
+    words_of,
+)
 from sluiceway.functions.text import strip
+from sluiceway.operators.joins import key_side
+from sluiceway.operators.latest import first_per_key
 from sluiceway.runtime import settle
 
 # Words that carry no intent.
@@ -151,6 +165,96 @@ def suggest(names: DataFrame, target: str, k: int = 5, column: str = "name") ->
     return scored.orderBy(F.desc("score"), F.asc("name")).limit(k)
 
 
+def suggest_all(
+    names: DataFrame, targets: DataFrame, k: int = 5, at_least: float = 0.7, column: str = "name", target: str = "target"
+) -> DataFrame:
+    """(target, name, score): for every target the ``k`` names closest to it, of those that score ``at_least``.
+
+    Equal to ``suggest`` for each target, without comparing all pairs. Names become a dictionary of their
+    distinct texts and words; each entry keeps its first ``k`` names, as a later one can't be
+    among the best through this entry. Targets meet entries they equal or begin through equal keys, and entries spelled like them
+    through a prefix filter: texts within the edit distance that ``at_least`` allows share one of their
+    rarest two-letter pieces. Every way to a name gives a score, the best counts. ``at_least`` is 0.7 or more, where
+    spelling begins to count.
+    """
+    if at_least < SIMILAR_FROM:
+        raise ValueError(f"at_least is {SIMILAR_FROM} or more")
+    shown = names.select(F.col(column).cast("string").alias("name")).where("name IS NOT NULL").distinct()
+    low, own = F.lower("name"), clean(F.col("name"))
+
+    def entry(text: Column, kind: str) -> Column:
+        return F.struct(text.alias("entry"), F.lit(kind).alias("kind"))
+
+    parts = F.concat(
+        F.array(entry(low, "spelled"), entry(own, "whole")), F.transform(words_of(own), lambda w: entry(w, "word"))
+    )
+    entries = shown.select("name", F.inline(F.array_distinct(parts))).where("entry <> ''")
+    postings = settle(first_per_key(entries, ["entry", "kind"], [F.asc("name")], k), "postings")
+    wanted = targets.select(F.col(target).cast("string").alias("target")).where("target IS NOT NULL").distinct()
+    raw, keyword = F.lower("target"), clean(F.col("target"))
+    forms = F.array(
+        F.struct(raw.alias("form"), F.lit(True).alias("raw")), F.struct(keyword.alias("form"), F.lit(False).alias("raw"))
+    )
+    forms = settle(wanted.select("target", F.inline(forms)).where("form <> ''"), "forms")
+    near = _spelled_alike(forms.select("form").distinct(), postings.select("entry").distinct(), at_least)
+    met = near.join(forms, "form").join(postings, "entry").where(F.col("raw") == (F.col("kind") == "spelled"))
+    ratio, same = F.col("ratio"), F.col("form") == F.col("entry")
+    graded = F.lit(SIMILAR_BASE) + F.lit(SIMILAR_SPAN) * ((ratio - F.lit(SIMILAR_FROM)) / F.lit(SIMILAR_SPAN))
+    score = (
+        F.when(F.col("raw"), ratio)
+        .when(same, F.when(F.col("kind") == "whole", F.lit(EXACT)).otherwise(F.lit(TOKEN)))
+        .otherwise(graded)
+    )
+    scored = met.select("target", "name", score.alias("score"))
+    if at_least <= TOKEN_PREFIX:
+        # Words that a target begins.
+        word = F.col("entry")
+        heads = F.transform(F.sequence(F.lit(PREFIX_MIN_LEN), F.length(word)), lambda n: F.substring(word, F.lit(1), n))
+        long = postings.where((F.col("kind") == "word") & (F.length("entry") >= PREFIX_MIN_LEN))
+        begun = first_per_key(long.select("name", F.explode(heads).alias("form")), ["form"], [F.asc("name")], k)
+        starts = begun.join(forms.where("NOT raw"), "form")
+        scored = scored.unionByName(starts.select("target", "name", F.lit(TOKEN_PREFIX).alias("score")))
+    best = scored.groupBy("target", "name").agg(F.max("score").alias("score")).where(F.col("score") >= at_least)
+    return first_per_key(best, ["target"], [F.desc("score"), F.asc("name")], k)
+
+
+def _spelled_alike(forms: DataFrame, dictionary: DataFrame, at_least: float) -> DataFrame:
+    """(form, entry, ratio) of texts whose edit distance is at most 1 - ``at_least`` of the longer one's length.
+
+    One edit changes at most two pieces of two letters, so texts of d edits lack at most 2d of each other's pieces;
+    of the 2d + 1 rarest pieces of either, one is shared, at places that differ by at most d. Pieces that repeat in a
+    text are numbered.
+    """
+    allowed = 1.0 - at_least
+
+    def pieces(df: DataFrame, name: str) -> DataFrame:
+        padded = F.concat(F.lit("\x01"), F.col(name), F.lit("\x02"))
+        starts = F.sequence(F.lit(1), F.length(name) + 1)
+        cut = df.where(F.length(name) > 0).withColumn("_padded", padded)
+        placed = cut.select(name, F.posexplode(F.transform(starts, lambda at: F.substring("_padded", at, F.lit(2)))))
+        same = Window.partitionBy(name, "col").orderBy("pos")
+        return placed.select(name, F.col("col").alias("gram"), F.row_number().over(same).alias("nth"), "pos")
+
+    own, theirs = settle(pieces(forms, "form"), "form-grams"), settle(pieces(dictionary, "entry"), "entry-grams")
+    counts = theirs.groupBy("gram", "nth").agg(F.count(F.lit(1)).alias("texts"))
+
+    def rarest(grams: DataFrame, name: str) -> DataFrame:
+        # The longer of two texts has at most length / at_least letters.
+        edits = F.floor(F.length(name) * (allowed / at_least) + 1e-9)
+        ranked = grams.join(counts, ["gram", "nth"], "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+        listed = ranked.groupBy(name).agg(F.array_sort(F.collect_list(F.struct("texts", "gram", "nth", "pos"))).alias("all"))
+        some = listed.select(name, F.inline(F.slice("all", F.lit(1), (2 * edits + 1).cast("int"))))
+        return some.select(name, "gram", "nth", F.col("pos").alias(f"{name}_at"))
+
+    longer, shorter = F.greatest(F.length("form"), F.length("entry")), F.least(F.length("form"), F.length("entry"))
+    edits = longer * allowed + 1e-9
+    able = (shorter >= longer * at_least - 1e-9) & (F.abs(F.col("form_at") - F.col("entry_at")) <= edits)
+    pairs = rarest(own, "form").join(rarest(theirs, "entry"), ["gram", "nth"]).where(able)
+    pairs = pairs.select("form", "entry").distinct()
+    ratio = F.lit(1.0) - F.levenshtein("form", "entry") / longer.cast("double")
+    return pairs.withColumn("ratio", ratio).where(F.col("ratio") >= at_least - 1e-9)
+
+
 def flag_sensitive(catalog: DataFrame, extra_markers: list[str] = ()) -> DataFrame:
     """Mark items with a column whose name contains a sensitive marker."""
     markers = [m.lower() for m in (*SENSITIVE_MARKERS, *extra_markers)]
@@ -210,10 +314,9 @@ def best_match(
     """Best item per needle: whole name, first word, any word, then substring.
 
     Ties go to the shorter name, then to the smaller id. Whole names and words are looked up by
-    equality. Only for needles that these leave over are names expanded into their substrings
-    of the lengths that those needles have, and only substrings that are such a needle go on. Each key
-    keeps its best item before the shuffle, so joins are one-to-one however many names share a
-    word, and no pairs are formed.
+    equality; each key keeps its best item before the shuffle, so those joins are one-to-one however
+    many names share a word. Needles that these leave over are looked for inside the names through an
+    inverted index of three-letter pieces (see ``_held_inside``).
     """
     wanted = settle(needles.select(F.lower(strip(F.col(needle))).alias("key")).distinct(), "needles")
     wanted = wanted.filter(F.col("key") != "")
@@ -232,21 +335,50 @@ def best_match(
     by_word = named.withColumn("words", words).select("id", "long", F.inline(keys))
     found = settle(_best_items(by_word, wanted), "found-by-word")
     left = settle(wanted.join(found, "key", "left_anti"), "needles-left")
-    # Bounded by the longest name: a longer needle lies inside none.
-    longest = named.agg(F.max(F.length("low"))).first()[0] or 0
-    sizes = [r.n for r in left.select(F.length("key").alias("n")).filter(F.col("n") <= longest).distinct().collect()]
-    if sizes:
-        lengths = F.array(*[F.lit(n) for n in sorted(sizes)])
-        spans = named.select("*", F.explode(F.filter(lengths, lambda n: n <= F.length("low"))).alias("n"))
-        starts = spans.select("*", F.explode(F.sequence(F.lit(1), F.length("low") - F.col("n") + 1)).alias("at"))
-        pieces = starts.select("id", "long", F.substring("low", F.col("at"), F.col("n")).alias("key"))
-        found = found.unionByName(_best_items(pieces.withColumn("score", F.lit(_INSIDE)), left))
+    if not left.isEmpty():
+        found = found.unionByName(_best_items(_held_inside(named, left), left))
     names = shown.select(F.col("id").alias("_id"), "name")
     return found.join(names, F.col("p.i") == F.col("_id")).select(
         F.col("key").alias("needle"), F.col("_id").alias("id"), "name", (-F.col("p.s")).alias("score")
     )
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The distinct pieces of ``size`` letters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    pieces = F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
+
+
+def _held_inside(named: DataFrame, needles: DataFrame) -> DataFrame:
+    """(id, long, key, score) of names that hold a needle, by an inverted index of the names' pieces.
+
+    Names of equal text are one first. A name gives its pieces of up to three letters, each once, so rows are linear
+    in its length. Needles of up to three letters are such pieces. A longer one meets the names
+    through the rarest of its pieces of three, and what they share beyond that is verified.
+    """
+    texts = named.groupBy("low").agg(F.min("id").alias("id"), F.first("long").alias("long"))
+    by_size = needles.withColumn("size", F.length("key"))
+    sizes = [r.size for r in by_size.select(F.least("size", F.lit(4)).alias("size")).distinct().collect()]
+    found = []
+    for size in (n for n in sizes if n <= 3):
+        pieces = texts.select("id", "long", F.explode(_grams(F.col("low"), size)).alias("key"))
+        found.append(pieces)
+    if 4 in sizes:
+        wide = by_size.where("size > 3").select("key", F.explode(_grams(F.col("key"), 3)).alias("gram"))
+        wide = settle(wide, "needle-grams")
+        indexed = texts.select("low", "id", "long", F.explode(_grams(F.col("low"), 3)).alias("gram"))
+        indexed = settle(indexed.join(key_side(wide, ["gram"]), "gram", "left_semi"), "gram-index")
+        counts = indexed.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+        # A piece that no name has rules its needle out.
+        ranked = wide.join(counts, "gram", "left").withColumn("names", F.coalesce("names", F.lit(0)))
+        rarest = ranked.groupBy("key").agg(F.min(F.struct("names", "gram")).alias("r"))
+        rarest = rarest.where("r.names > 0").select("key", F.col("r.gram").alias("gram"))
+        met = indexed.join(rarest, "gram").where(F.contains("low", "key"))
+        found.append(met.select("id", "long", "key"))
+    return reduce(DataFrame.unionByName, found).withColumn("score", F.lit(_INSIDE))
+
+
 def _best_items(keys: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, p): the best place among ``keys`` (id, long, key, score) for every wanted key."""
     place = F.struct((-F.col("score")).alias("s"), F.col("long").alias("l"), F.col("id").alias("i"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.keys import row_hash
+from sluiceway.operators.joins import join_same
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
@@ -13,7 +14,8 @@ def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
 
     Rows are ranked by a seeded hash of their values, so every use of the result sees one sample.
     Each task keeps its own ``n`` best, and only those reach the final step, which is one task:
-    meant for samples that one task can hold. For a share of a huge table use ``sample_fraction``.
+    meant for samples that one task can hold. ``sample_large`` takes the same rows without that step;
+    for a share of a huge table there is ``sample_fraction``.
     """
     if n < 1:
         raise ValueError("the sample size must be at least 1")
@@ -21,6 +23,80 @@ def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     return drawn.orderBy("_draw").limit(n).drop("_draw")
 
 
+# Draws are 64 bits; a histogram is of the next _BITS of them, so it has at most 2**_BITS rows.
+_BITS = 16
+_CHUNK = 10_000
+
+
+def sample_large(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """The rows of ``sample_rows``, for samples of any size: no step gathers them.
+
+    A histogram of the draws' first bits says which stretch of draws the n-th falls into, a second one
+    which part of the stretch. Rows below are taken where they lie; only those of that part, a
+    2**-32 of all and copies of one row, are ranked, and copies are counted rather than moved.
+    """
+    if n < 1:
+        raise ValueError("the sample size must be at least 1")
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), row_hash(df)))
+    below, within, left = F.lit(False), F.lit(True), n
+    for step in (1, 2):
+        width = 64 - _BITS * step
+        piece = F.shiftright("_draw", width)
+        counts = sorted(drawn.where(within).groupBy(piece.alias("piece")).agg(F.count(F.lit(1))).collect())
+        at = None
+        for value, rows in counts:
+            if rows >= left:
+                at = value
+                break
+            left -= rows
+        if at is None:
+            return df  # fewer rows than asked for
+        below, within = below | (within & (piece < at)), within & (piece == at)
+    taken = drawn.where(below).drop("_draw")
+    rest = drawn.where(within).withColumn("_piece", F.shiftright("_draw", 64 - 2 * _BITS))
+    return taken.unionByName(_ranked_copies(rest, ["_piece"], F.lit(left), df.columns))
+
+
+def _ranked_copies(rows: DataFrame, strata: list[str], left: Column, columns: list[str]) -> DataFrame:
+    """Of ``rows`` the first ``left`` by draw (in each stratum); equal draws are copies, made from one row."""
+    row = F.struct(*[f"`{c}`" for c in columns])
+    counted = rows.groupBy(*strata, "_draw").agg(
+        F.count(F.lit(1)).alias("_copies"), F.first(row).alias("_row"), F.first(left).alias("_left")
+    )
+    order = Window.partitionBy(*strata).orderBy("_draw").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_copies").over(order), F.lit(0))
+    take = F.least(F.col("_copies"), F.col("_left") - before)
+    some = counted.withColumn("_take", take).where("_take > 0")
+    # In two steps, so that no row holds a list of all copies.
+    chunks = some.select("_row", "_take", F.explode(F.expr(f"sequence(1L, _take, {_CHUNK}L)")).alias("_from"))
+    last = F.least(F.col("_from") + _CHUNK - 1, F.col("_take"))
+    return chunks.select("_row", F.explode(F.sequence("_from", last))).select("_row.*")
+
+
+def sample_per_stratum(df: DataFrame, n: int, strata: list[str], seed: int = 0) -> DataFrame:
+    """Exactly ``n`` random rows of every stratum (all of it if there are fewer), however large strata are.
+
+    As ``sample_large``, with a histogram per stratum: 4096 pieces of draws, of which one is ranked.
+    """
+    if n < 1:
+        raise ValueError("the sample size must be at least 1")
+    piece = F.shiftright("_draw", 52)
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), row_hash(df))).withColumn("_piece", piece)
+    counted = drawn.groupBy(*strata, "_piece").agg(F.count(F.lit(1)).alias("_rows"))
+    order = Window.partitionBy(*strata).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(order), F.lit(0))
+    # The piece in which the n-th row lies; a smaller stratum has none and is taken whole.
+    last = (
+        counted.withColumn("_before", before)
+        .where((F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n))
+        .select(*strata, F.col("_piece").alias("_last"), (F.lit(n) - F.col("_before")).alias("_left"))
+    )
+    placed = join_same(drawn, last, strata, "left")
+    taken = placed.where("_last IS NULL OR _piece < _last").select(*[f"`{c}`" for c in df.columns])
+    ranked = _ranked_copies(placed.where("_piece = _last"), strata, F.col("_left"), df.columns)
+    return taken.unionByName(ranked)
+
+
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
     """A sample of about ``fraction`` of the rows, without any shuffle; equal rows go together."""
     share = F.shiftrightunsigned(F.xxhash64(F.lit(seed), row_hash(df)), 11) / float(2**53)

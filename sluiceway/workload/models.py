@@ -11,7 +11,9 @@ from sluiceway.functions.text import normalize_name, safe_cast_ts
 from sluiceway.operators import joins as j
 from sluiceway.operators import marts
 from sluiceway.operators import staging as st
+from sluiceway.operators.history import snapshot
 from sluiceway.plans.elt import transformation
+from sluiceway.runtime import settle
 from sluiceway.sources.tables import run_sql
 from sluiceway.workload.registry import Tables, query
 
@@ -411,3 +413,63 @@ def parameterized_sql(t: Tables):
     sql = """SELECT o_orderpriority, count(*) AS order_count FROM {orders}
              WHERE o_totalprice > ? AND o_orderstatus <> ? GROUP BY 1"""
     return run_sql(t.spark, sql, [100000, "P"], orders=t.orders)
+
+
+_BANDS = "(SELECT s_suppkey, s_acctbal AS low, CASE WHEN s_suppkey % 11 <> 0 THEN s_acctbal + s_suppkey % 40 * 10 END AS high FROM supplier)"
+
+
+@query(
+    f"""SELECT s_suppkey, count(c_custkey) AS customers, count(DISTINCT c_nationkey) AS nations
+        FROM customer JOIN {_BANDS} ON c_acctbal >= low AND (high IS NULL OR c_acctbal < high) GROUP BY 1"""
+)
+def customers_within_bands(t: Tables):
+    """Bands of balances, some open at the top, some empty: a join without any equality."""
+    high = F.when(F.col("s_suppkey") % 11 != 0, F.col("s_acctbal") + F.col("s_suppkey") % 40 * 10)
+    bands = t.supplier.select("s_suppkey", F.col("s_acctbal").alias("low"), high.alias("high"))
+    return j.join_chain(
+        t.customer,
+        "c",
+        [j.Join(bands, "b", how="inner", within=("c.c_acctbal", "b.low", "b.high"))],
+        ["b.s_suppkey", "count(c.c_custkey) AS customers", "count(DISTINCT c.c_nationkey) AS nations"],
+        group_by=["b.s_suppkey"],
+    )
+
+
+_ORDER_VERSIONS = """(SELECT o_orderkey, o_orderstatus AS status, valid_from,
+    lead(valid_from) OVER (PARTITION BY o_orderkey ORDER BY valid_from) AS valid_to FROM (
+      SELECT o_orderkey, o_orderstatus, TIMESTAMP '2024-01-02 00:00:00' + to_hours(CAST(o_custkey % 200 AS INTEGER)) AS valid_from
+      FROM orders WHERE o_orderkey % 50 = 0
+      UNION ALL SELECT o_orderkey, 'D', TIMESTAMP '2024-01-12 00:00:00' + to_minutes(CAST(o_custkey % 3000 AS INTEGER))
+      FROM orders WHERE o_orderkey % 50 = 0 AND o_orderstatus = 'F'))"""
+
+
+def order_versions(t: Tables):
+    """A history of orders: a second version for those of status F."""
+    some = t.orders.filter("o_orderkey % 50 = 0")
+    hours = F.make_dt_interval(hours=(F.col("o_custkey") % 200).cast("int"))
+    minutes = F.make_dt_interval(mins=(F.col("o_custkey") % 3000).cast("int"))
+    started = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + hours
+    closed = F.lit("2024-01-12 00:00:00").cast("timestamp_ntz") + minutes
+    first = some.select("o_orderkey", F.col("o_orderstatus").alias("status"), started.alias("updated_at"))
+    second = some.filter("o_orderstatus = 'F'").select("o_orderkey", F.lit("D").alias("status"), closed.alias("updated_at"))
+    history = None
+    for state in (first, second):
+        history = settle(snapshot(state, history, ["o_orderkey"], "timestamp", updated_at="updated_at"), "history")
+    return history.drop("updated_at")
+
+
+@query(
+    f"""SELECT e.event_type, h.status, count(*) AS n, count(DISTINCT e.event_id) AS events
+        FROM events e LEFT JOIN {_ORDER_VERSIONS} h
+          ON e.value < 2 AND e.ts >= h.valid_from AND (h.valid_to IS NULL OR e.ts < h.valid_to)
+        GROUP BY 1, 2"""
+)
+def events_with_valid_versions(t: Tables):
+    """Events with the versions valid when they happened; events without one stay."""
+    return j.join_chain(
+        t.events,
+        "e",
+        [j.Join(order_versions(t), "h", "e.value < 2", within=("e.ts", "h.valid_from", "h.valid_to"))],
+        ["e.event_type", "h.status", "count(*) AS n", "count(DISTINCT e.event_id) AS events"],
+        group_by=["e.event_type", "h.status"],
+    )

@@ -121,6 +121,38 @@ def suggested_names(t: Tables):
     return m.suggest(names, "Blue blt", 5).withColumn("score", F.round("score", 9))
 
 
+_SPOKEN = "(SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS name FROM conversations)"
+_MISSPELLED = """(SELECT DISTINCT substr(w, 1, 1) || substr(w, 3) || CASE WHEN length(w) % 2 = 0 THEN upper(substr(w, 1, 1)) ELSE ' ' END
+    AS target FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark))"""
+
+
+@query(
+    f"""WITH names AS (SELECT name, lower(trim(name)) AS low FROM {_SPOKEN}),
+        targets AS (SELECT target, lower(trim(target)) AS kw FROM {_MISSPELLED}),
+        pairs AS (
+          SELECT target, name, low, kw, 1 - levenshtein(lower(target), low)::DOUBLE / greatest(length(target), length(name)) AS spelled,
+            1 - levenshtein(kw, low)::DOUBLE / greatest(length(kw), length(low)) AS ratio FROM targets, names WHERE kw <> '' AND low <> ''),
+        scored AS (
+          SELECT target, name, greatest(spelled,
+            CASE WHEN low = kw THEN 1 WHEN length(kw) >= 3 AND starts_with(low, kw) THEN 0.85
+              WHEN ratio >= 0.7::DOUBLE THEN 0.5::DOUBLE + 0.3::DOUBLE * ((ratio - 0.7::DOUBLE) / 0.3::DOUBLE) ELSE 0 END::DOUBLE) AS score
+          FROM pairs)
+        SELECT target, name, round(score, 9) AS score FROM scored WHERE score >= 0.7::DOUBLE
+        QUALIFY row_number() OVER (PARTITION BY target ORDER BY score DESC, name) <= 5"""
+)
+def suggestions_for_misspelled_words(t: Tables):
+    """For every word of the benchmark, misspelled, the five closest words of the conversations."""
+
+    def words(df):
+        return df.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w"))
+
+    last = F.when(F.length("w") % 2 == 0, F.upper(F.substring("w", 1, 1))).otherwise(F.lit(" "))
+    misspelled = F.concat(F.substring("w", 1, 1), F.expr("substr(w, 3)"), last)
+    targets = words(t.benchmark).select(misspelled.alias("target"))
+    names = words(t.conversations).select(F.col("w").alias("name"))
+    return m.suggest_all(names, targets).withColumn("score", F.round("score", 9))
+
+
 _MARKERS = "|".join([*m.SENSITIVE_MARKERS, "bolt"])
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluiceway.operators.profiling import column_statistics, profile_table
-from sluiceway.operators.sampling import preview, sample_fraction, sample_rows
+from sluiceway.operators.sampling import preview, sample_fraction, sample_large, sample_per_stratum, sample_rows
+from sluiceway.operators.sketches import refresh_profile
+from sluiceway.runtime import new_dir
 from sluiceway.sources.catalog import describe_table
 from sluiceway.sources.tables import table_size
 from sluiceway.workload.registry import Tables, query
@@ -241,3 +243,87 @@ def describe_customer(t: Tables):
         "null_count",
         "distinct_count",
     )
+
+
+@query(
+    """SELECT count(*) // 2 AS sampled, count(*) // 2 AS same_as_ranked, 0::BIGINT AS outside FROM lineitem"""
+)
+def sample_of_half(t: Tables):
+    """Half of the rows exactly, without gathering them: the same rows that ranking all draws takes."""
+    rows = t.lineitem.withColumn("copy", F.lit(0))
+    n = t.lineitem.count() // 2
+    drawn, ranked = sample_large(rows, n, seed=5), sample_rows(rows, n, seed=5)
+    counted = [
+        df.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(i))
+        for i, df in enumerate((drawn, ranked, t.lineitem.withColumn("copy", F.lit(0))))
+    ]
+    both = counted[0].unionByName(counted[1]).unionByName(counted[2]).groupBy(*rows.columns).pivot("side", [0, 1, 2])
+    met = both.agg(F.sum("n"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return met.agg(
+        F.sum(zero("0")).alias("sampled"),
+        F.sum(F.least(zero("0"), zero("1"))).alias("same_as_ranked"),
+        F.sum(F.greatest(zero("0") - zero("2"), F.lit(0))).alias("outside"),
+    )
+
+
+@query(
+    """SELECT o_orderstatus, o_orderpriority, least(count(*), 200) AS sampled, least(count(*), 200) AS known
+       FROM orders GROUP BY 1, 2"""
+)
+def samples_of_strata(t: Tables):
+    """200 orders of every status and priority, all different and all from the table."""
+    drawn = sample_per_stratum(t.orders, 200, ["o_orderstatus", "o_orderpriority"], seed=2)
+    known = t.orders.select(F.col("o_orderkey").alias("known"))
+    return (
+        drawn.join(known, F.col("o_orderkey") == F.col("known"), "left")
+        .groupBy("o_orderstatus", "o_orderpriority")
+        .agg(F.count_distinct("o_orderkey").alias("sampled"), F.count("known").alias("known"))
+    )
+
+
+_SKETCHED = {
+    "o_orderkey": "number", "o_custkey": "number", "o_orderstatus": "text", "o_totalprice": "number",
+    "o_orderdate": "time", "o_orderpriority": "text",
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS total_rows, count({c}) AS non_null_count,
+            {f'min({c})::DOUBLE' if kind == 'number' else 'NULL::DOUBLE'} AS min_value,
+            {f'max({c})::DOUBLE' if kind == 'number' else 'NULL::DOUBLE'} AS max_value,
+            {f'round(avg({c}), 4)' if kind == 'number' else 'NULL::DOUBLE'} AS avg_value,
+            {f'round(stddev_pop({c}), 4)' if kind == 'number' else 'NULL::DOUBLE'} AS std_dev,
+            {f'max(length({c}))::INTEGER' if kind == 'text' else 'NULL::INTEGER'} AS max_length,
+            true AS distinct_is_near, true AS median_is_near FROM orders"""
+        for c, kind in _SKETCHED.items()
+    )
+)
+def orders_profile_of_sketches(t: Tables):
+    """The profile after two loads, folded from the sketches of each year's orders: the second run reads new years only."""
+    orders = t.orders.withColumn("year", F.year("o_orderdate"))
+    kept = new_dir(t.spark, "sketches")
+    refresh_profile(orders.where("year < 1996"), "year", kept)
+    profile = refresh_profile(orders, "year", kept).where("column_name <> 'year'")
+    names = list(_SKETCHED)
+    exact = t.orders.agg(
+        *[F.count_distinct(c).alias(f"d_{c}") for c in names],
+        *[F.percentile(c, F.array(F.lit(0.47), F.lit(0.53))).alias(f"m_{c}") for c in names if _SKETCHED[c] == "number"],
+    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("name"),
+            F.col(f"d_{c}").alias("exact"),
+            (F.col(f"m_{c}") if _SKETCHED[c] == "number" else F.lit(None).cast("array<double>")).alias("middle"),
+        )
+        for c in names
+    ]
+    met = profile.join(exact.select(F.inline(F.array(*rows))), F.col("name") == F.col("column_name"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05
+    middle = F.col("median").between(F.col("middle")[0], F.col("middle")[1])
+    return met.select(
+        "column_name", "total_rows", "non_null_count", "min_value", "max_value",
+        F.round("avg_value", 4).alias("avg_value"), F.round("std_dev", 4).alias("std_dev"), "max_length",
+        near.alias("distinct_is_near"), F.coalesce(middle, F.lit(True)).alias("median_is_near"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluiceway.operators import lineage as li
@@ -175,3 +176,30 @@ def lineage_downstream(t: Tables):
 )
 def lineage_upstream(t: Tables):
     return li.lineage_closure(table_graph(t), "p42", "upstream")
+
+
+@query(
+    f"""WITH RECURSIVE walk(source, node, depth) AS (SELECT parent, child, 1 FROM {_EDGES} UNION
+          SELECT w.source, e.child, w.depth + 1 FROM walk w JOIN {_EDGES} e ON e.parent = w.node)
+        SELECT source, count(DISTINCT node) AS nodes, max(depth)::BIGINT AS deepest FROM walk GROUP BY 1"""
+)
+def lineage_of_every_node(t: Tables):
+    """How much hangs on every node of the graph, all of them at once."""
+    pairs = li.closure_of_all(table_graph(t), "downstream")
+    return pairs.groupBy("source").agg(F.count("node").alias("nodes"), F.max("depth").alias("deepest"))
+
+
+@query(
+    """SELECT event_id AS source, count(*) OVER later - 1 AS nodes, count(*) OVER later - 1 AS deepest
+       FROM events WHERE user_id % 3 = 0 WINDOW later AS
+         (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+       QUALIFY count(*) OVER later > 1"""
+)
+def events_that_follow(t: Tables):
+    """Long chains: an event leads to the user's next one; every event's followers by doubling."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    steps = t.events.filter("user_id % 3 = 0").select(
+        F.col("event_id").alias("parent"), F.lead("event_id").over(order).alias("child")
+    )
+    pairs = li.closure_of_all(steps, "downstream")
+    return pairs.groupBy("source").agg(F.count("node").alias("nodes"), F.max("depth").alias("deepest"))

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.text import request_id
 from sluiceway.operators import merge as m
-from sluiceway.operators.history import snapshot
+from sluiceway.operators.history import apply_changes, snapshot
 from sluiceway.operators.latest import keep_latest, newest_n
 from sluiceway.plans.elt import elt_job, sync
 from sluiceway.operators import quality as q
 from sluiceway.runtime import new_dir, settle
+from sluiceway.sources import bucketed
 from sluiceway.workload.registry import Tables, query, ts
 
 CUT = "2024-01-15 00:00:00"
@@ -345,3 +346,80 @@ def segment_revenue_job(t: Tables):
         ),
         f"{home}/segment_revenue",
     )
+
+
+_FEW = "(SELECT * FROM %s WHERE c_custkey %% 100 = 3)" % _BATCH
+
+
+def bucketed_target(t: Tables):
+    """(path of the target in 64 buckets, a batch of a hundredth of the keys)."""
+    target, batch = target_and_batch(t)
+    path = new_dir(t.spark, "bucketed")
+    bucketed.write_bucketed(target, path, ["c_custkey"], 64)
+    return path, batch.filter("c_custkey % 100 = 3")
+
+
+@query(
+    f"""SELECT * FROM {_TARGET} WHERE c_custkey NOT IN (SELECT c_custkey FROM {_FEW})
+        UNION ALL SELECT * FROM {_FEW} QUALIFY row_number() OVER
+        (PARTITION BY c_custkey ORDER BY version DESC) = 1"""
+)
+def merge_into_touched_buckets(t: Tables):
+    """Only buckets with a key of the batch are read and rewritten; a replay changes nothing."""
+    path, batch = bucketed_target(t)
+    for _ in range(2):
+        bucketed.merge_into(batch, path, ["c_custkey"], "merge", "version")
+    return bucketed.read_bucketed(t.spark, path)
+
+
+@query(
+    f"""SELECT * FROM {_TARGET} WHERE c_custkey NOT IN (SELECT c_custkey FROM {_FEW})
+        UNION ALL SELECT * FROM {_FEW}"""
+)
+def delete_insert_touched_buckets(t: Tables):
+    path, batch = bucketed_target(t)
+    bucketed.merge_into(batch, path, ["c_custkey"], "delete+insert")
+    return bucketed.read_bucketed(t.spark, path)
+
+
+@query(
+    """SELECT * FROM events QUALIFY row_number() OVER
+       (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+)
+def sync_into_buckets(t: Tables):
+    """Two deduplicating syncs; the second reads and writes only buckets of users with new events."""
+    path = new_dir(t.spark, "bucketed")
+    for src in (loaded_events(t), t.events):
+        bucketed.sync_bucketed(src, path, ["user_id"], "ts", ["event_id"], buckets=32)
+    return bucketed.read_bucketed(t.spark, path)
+
+
+@query(
+    f"""SELECT *, updated_at AS valid_from,
+        lead(updated_at) OVER (PARTITION BY o_orderkey ORDER BY updated_at) AS valid_to FROM ({_VERSIONS})"""
+)
+def order_history_from_late_changes(t: Tables):
+    """The states in the wrong order, one of them twice: older changes split the intervals they fall into."""
+    one, two, three = order_states(t)
+    history = None
+    for state in (three, one, two, one):
+        history = settle(apply_changes(state, history, ["o_orderkey"], "updated_at"), "history")
+    return history
+
+
+@query(
+    """SELECT c_custkey::BIGINT AS c_custkey, c_nationkey::BIGINT AS c_nationkey, c_acctbal FROM customer WHERE c_acctbal <= 3000
+       UNION ALL SELECT c_custkey + 5000000000, c_nationkey + 5000000000, c_acctbal FROM customer WHERE c_acctbal > 3000"""
+)
+def append_with_wider_types(t: Tables):
+    """A batch of great keys widens the target's columns; nothing is cut off."""
+    shape = ("c_custkey", "c_nationkey", "c_acctbal")
+    old = t.customer.filter("c_acctbal <= 3000").select(
+        F.col("c_custkey").cast("int"), F.col("c_nationkey").cast("smallint"), "c_acctbal"
+    )
+    great = F.lit(5000000000)
+    new = t.customer.filter("c_acctbal > 3000").select(
+        (F.col("c_custkey") + great).alias("c_custkey"), (F.col("c_nationkey") + great).alias("c_nationkey"),
+        "c_acctbal",
+    )
+    return m.incremental(new, old, "append", on_schema_change="append_new_columns").select(*shape)
