@@ -8,10 +8,10 @@ closed form on that map. Scores of a batch are the product of its presence matri
 presence matrix and the solution; the last two are multiplied once, ahead.
 
 Learning takes ``PER_LANGUAGE`` documents per language, the smallest by a hash of their ids among
-the rows given: the documented bound of the sample. It holds at most 2**18 bucket numbers a document,
-whatever the text's length. Everything else is a map over all rows without shuffle.
+the rows given: the documented bound of the sample. The driver holds the landmarks, at most 2**18 bucket numbers
+each, whatever the text's length. Everything else is a map over all rows without shuffle.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0; without labelled
+Defined results: texts of any length are taken whole; a text that is null or has no letter is ``und`` with score 0; without labelled
 rows every text is ``und`` to :func:`identify`, but :func:`recognised` keeps whatever has a letter,
 since nothing can be said against it; ties go to the first language by code point; other columns pass
 through.
@@ -19,22 +19,23 @@ through.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import by_value, map_batches
+from sluiceway.llm.common import by_value, map_batches, settle
 
 PER_LANGUAGE = 256
 # Landmarks: so many at least, and so many per language; flagged LANDMARKS at a time.
 LANDMARKS = 192
 LANDMARKS_EACH = 4
-# Texts whose kernel values are held at once.
-ROWS = 4096
+# Tasks that sum the sample's products; each hands over one matrix of landmarks squared.
+SUMS = 8
 RIDGE = 0.1
 LONGEST = 4
 BITS = 18
@@ -42,7 +43,8 @@ MAX_LANGUAGES = 500
 UNKNOWN = "und"
 # What recognised() calls the language of a text when there was nothing to learn from.
 SOME = "mis"
-LETTER = re.compile(r"[^\W\d_]")
+# Letters of any script; numerals, marks and symbols are none.
+LETTER = regex.compile(r"\p{L}")
 
 
 def buckets_of(text: str, mark: np.ndarray) -> np.ndarray:
@@ -107,52 +109,56 @@ def sample(rows: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int | None = None) -> Model:
-    """Fit on rows (doc_id, text, lang)."""
+    """Fit on rows (doc_id, text, lang).
+
+    Only the landmarks reach the driver; the products of all other texts of the sample are summed in tasks.
+    """
+    chosen = settle(sample(rows, per_language).select("lang", "nth", "text"), "language-sample")
+    languages = sorted(r.lang for r in chosen.select("lang").distinct().collect())
 
     def presence(batch: pa.RecordBatch) -> pa.RecordBatch:
         mark = np.zeros(1 << BITS, bool)
-        held = [buckets_of(t, mark).astype(np.int32) for t in batch.column(2).to_pylist()]
-        lists = pa.array(held, pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), lists], names=["lang", "nth", "held"]
-        )
+        held = [buckets_of(t, mark).astype(np.int32) for t in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32())), batch.column(1)], names=["held", "at"])
 
-    chosen = sample(rows, per_language).select("lang", "nth", "text")
-    taught = map_batches(chosen, presence, "lang string, nth int, held array<int>")
-    found = taught.toArrow().to_pydict()
-    order = sorted(range(len(found["lang"])), key=lambda i: (found["nth"][i], found["lang"][i]))
-    languages = sorted(set(found["lang"]))
-    held = [np.array(found["held"][i], np.int64) for i in order]
-    names = [found["lang"][i] for i in order]
-    keep = [i for i, h in enumerate(held) if len(h)]
-    held, names = [held[i] for i in keep], [names[i] for i in keep]
-    if not held:
-        return Model(languages, np.zeros((1 << BITS, len(languages)), np.float32))
+    filled = chosen.where("text <> ''")
     # In order of rank, so every language has its share of the landmarks.
-    marks = held[: landmarks or max(LANDMARKS, LANDMARKS_EACH * len(languages))]
+    first = filled.orderBy("nth", "lang").limit(landmarks or max(LANDMARKS, LANDMARKS_EACH * len(languages)))
+    at = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("nth", "lang"))
+    found = map_batches(first.select("text", at.alias("at")), presence, "held array<int>, at int").toArrow()
+    order = np.argsort(found.column("at").to_numpy())
+    lists = found.column("held").combine_chunks()
+    marks = [lists[int(i)].values.to_numpy().astype(np.int64) for i in order]
+    if not marks:
+        return Model(languages, np.zeros((1 << BITS, len(languages)), np.float32))
     used = np.unique(np.concatenate(marks))
     own = np.sqrt([len(h) for h in marks])
     stretches = [slice(at, at + LANDMARKS) for at in range(0, len(marks), LANDMARKS)]
 
-    def kernel(some: list[np.ndarray]) -> np.ndarray:
-        made = np.empty((len(some), len(marks)))
-        for few in stretches:
-            base = _presence(marks[few], used)
-            for start in range(0, len(some), 128):
-                part = some[start : start + 128]
-                common = (_presence(part, used) @ base.T).astype(np.float64)
-                made[start : start + len(part), few] = common / np.outer(np.sqrt([len(h) for h in part]), own[few])
-        return made
-
-    values, vectors = np.linalg.eigh(kernel(marks))
+    values, vectors = np.linalg.eigh(_kernel(marks, marks, used, own, stretches))
     whole = values > 1e-6 * values[-1]
     root = vectors[:, whole] / np.sqrt(values[whole])
-    gram, aims = np.zeros((root.shape[1],) * 2), np.zeros((root.shape[1], len(languages)))
-    for start in range(0, len(held), ROWS):
-        mapped = kernel(held[start : start + ROWS]) @ root
-        wanted = np.where(np.array(names[start : start + ROWS])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-        gram += mapped.T @ mapped
-        aims += mapped.T @ wanted
+    sent = chosen.sparkSession.sparkContext.broadcast((marks, root))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, root = sent.value
+        mark = np.zeros(1 << BITS, bool)
+        gram, aims = np.zeros((root.shape[1],) * 2), np.zeros((root.shape[1], len(languages)))
+        for batch in batches:
+            texts, names = batch.column(1).to_pylist(), np.array(batch.column(0).to_pylist())
+            for start in range(0, len(texts), 128):
+                held = [buckets_of(t, mark) for t in texts[start : start + 128]]
+                mapped = _kernel(held, marks, used, own, stretches) @ root
+                wanted = np.where(names[start : start + 128, None] == np.array(languages)[None, :], 1.0, -1.0)
+                gram += mapped.T @ mapped
+                aims += mapped.T @ wanted
+        yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()]), pa.array([aims.tobytes()])], names=["gram", "aims"])
+
+    dealt = filled.select("lang", "text").repartition(SUMS, "lang", "text")
+    parts = dealt.mapInArrow(summed, "gram binary, aims binary").toArrow()
+    gram, aims = (
+        sum(np.frombuffer(part.as_py()).reshape(root.shape[1], -1) for part in parts.column(c)) for c in ("gram", "aims")
+    )
     weight = (root @ np.linalg.solve(gram + RIDGE * np.eye(len(gram)), aims)) / own[:, None]
     table = np.zeros((1 << BITS, len(languages)), np.float32)
     for few in stretches:
@@ -160,6 +166,18 @@ def learn(rows: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int | No
     return Model(languages, table)
 
 
+def _kernel(some: list[np.ndarray], marks: list[np.ndarray], used: np.ndarray, own: np.ndarray, stretches) -> np.ndarray:
+    """Kernel values of texts with the landmarks, flags of LANDMARKS landmarks made at a time."""
+    made = np.empty((len(some), len(marks)))
+    for few in stretches:
+        base = _presence(marks[few], used)
+        for start in range(0, len(some), 128):
+            part = some[start : start + 128]
+            common = (_presence(part, used) @ base.T).astype(np.float64)
+            made[start : start + len(part), few] = common / np.outer(np.sqrt([len(h) for h in part]), own[few])
+    return made
+
+
 def _presence(held: list[np.ndarray], used: np.ndarray) -> np.ndarray:
     """Rows of flags, as floats, over the buckets ``used``."""
     made = np.zeros((len(held), len(used)), np.float32)

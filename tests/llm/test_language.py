@@ -107,3 +107,28 @@ def test_nothing_to_learn(frame, empty):
     docs = [(i, "some text", None, None, None) for i in range(5)]
     assert {r.lang_pred for r in language.identify(frame(docs)).collect()} == {"und"}
     assert language.identify(empty).count() == 0
+
+
+def test_every_general_category():
+    """One character of each: only letters make a text readable."""
+    import sys
+    import unicodedata
+
+    from sluiceway.llm import language
+
+    one = {}
+    for at in range(sys.maxunicode + 1):
+        if not 0xD800 <= at < 0xE000:
+            one.setdefault(unicodedata.category(chr(at)), chr(at))
+    assert len(one) >= 28
+    for category, character in one.items():
+        assert bool(language.LETTER.search(character)) == category.startswith("L"), category
+
+
+def test_numerals_are_no_language(frame):
+    from sluiceway.llm import language
+
+    docs = [(i, "the words of one language here", "en", "a", 1) for i in range(9)]
+    docs += [(100, "½ ² ③", None, "a", 1), (101, "Ⅷ", None, "a", 1), (102, "१२", None, "a", 1), (103, "ⅷ the", None, "a", 1)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(frame(docs)).collect()}
+    assert [got[i] for i in (100, 101, 102)] == [("und", 0.0)] * 3 and got[103][0] == "en"
