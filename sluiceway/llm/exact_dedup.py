@@ -11,8 +11,8 @@ put the whole table into a new index as one batch, so their ids and counts are o
 
 Defined results: a null text counts as empty; of equal texts in a batch the row with the largest id stays,
 a null id is smaller than any other; rows that repeat both id and text are one document (marked
-alike by :func:`decide`, returned once by :func:`survivors`); an empty table adds nothing; further
-columns pass through, whatever their names.
+alike by :func:`decide`, returned once by :func:`survivors`); texts of any length are hashed whole; an empty
+table adds nothing; further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,12 +47,20 @@ class DigestIndex:
         self.spark, self.path = spark, path.rstrip("/")
         self.buckets = self._known_buckets() or self._make(buckets)
         self.name = f"digest_index_{hashlib.md5(self.path.encode()).hexdigest()}"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type.simpleString()},"
-            f" copies BIGINT) USING parquet CLUSTERED BY (digest) SORTED BY (digest)"
+        self.columns = f"digest BINARY, keep_id {id_type.simpleString()}, copies BIGINT"
+
+    def open(self) -> None:
+        """Name the table in the session's catalog, which tells Spark of its buckets."""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns})"
+            f" USING parquet CLUSTERED BY (digest) SORTED BY (digest)"
             f" INTO {self.buckets} BUCKETS LOCATION '{self.path}/entries'"
         )
 
+    def close(self) -> None:
+        """Take the table out of the session's catalog; its files stay, and a new index at its path has them."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def _known_buckets(self) -> int | None:
         try:
             return self.spark.read.schema("buckets INT").parquet(f"{self.path}/layout").first()[0]
@@ -68,14 +76,14 @@ class DigestIndex:
         return n
 
     def bucketed(self) -> DataFrame:
-        """The entries with their bucketing, for joins on the digest without a shuffle."""
+        """The entries with their bucketing, for joins on the digest without a shuffle; ``close`` when done."""
+        self.open()
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
     def entries(self) -> DataFrame:
         """The entries as plain files: a join shuffles them, so Spark may split a hot digest."""
-        schema = self.spark.table(self.name).schema
-        return self.spark.read.schema(schema).parquet(f"{self.path}/entries")
+        return self.spark.read.schema(self.columns).parquet(f"{self.path}/entries")
 
     def add(self, batch: DataFrame) -> None:
         """Append the digests of ``batch`` (digest, doc_id) that the index does not have."""
@@ -99,11 +107,14 @@ class DigestIndex:
 
 
 def index_of(docs: DataFrame, label: str = "digest-index") -> tuple[DigestIndex, DataFrame]:
-    """A new index with all of ``docs``, and the settled (doc_id, digest) rows."""
+    """A new index with all of ``docs``, out of the catalog again, and the settled (doc_id, digest) rows."""
     spark = docs.sparkSession
     batch = settle(docs.select("doc_id", text_digest().alias("digest")), "digests")
     index = DigestIndex(spark, new_dir(spark, label), docs.schema["doc_id"].dataType)
-    index.add(batch)
+    try:
+        index.add(batch)
+    finally:
+        index.close()
     return index, batch
 
 

@@ -70,3 +70,13 @@ def test_the_index_is_neither_shuffled_nor_sorted_anew(spark, frame):
 def test_no_python_in_the_plan(odd, path):
     plan = path(odd)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_no_table_is_left_in_the_catalog(odd):
+    from sluiceway.llm import exact_dedup
+
+    spark = odd.sparkSession
+    before = {t.name for t in spark.catalog.listTables()}
+    exact_dedup.decide(odd).collect()
+    exact_dedup.survivors(odd).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
