@@ -18,14 +18,14 @@ goes to as many tasks as there are tiles), so no task holds more than two tiles.
 Defined results: words are what stands between white space (space, tab to carriage return); a text of
 one to four words is one n-gram; texts without words (null among them) equal one another and nothing
 else; rows that repeat an id or a text are in one class; a null id is reported as it is and never
-names a group, unless no other id does; an empty table gives no rows.
+names a group, unless no other id does; rows without an id are told apart by a hash of their text, and cost what rows with ids do;
+texts of any length are taken whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import by_value, map_batches, settle, whole_text
+from sluiceway.llm.common import by_value, map_batches, per_worker, settle, whole_text
 from sluiceway.llm.components import components
 
 WORDS = 5
@@ -54,12 +54,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, _BACK, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """Powers of the base and of its inverse modulo 2**64, at least n of them; the longest so far are kept."""
+    kept = per_worker("ngram-powers", dict)
+    if kept.get("n", 0) < n:
+        up, down = np.full(n, _BASE, np.uint64), np.full(n, _BACK, np.uint64)
+        up[0] = down[0] = 1
+        kept.update(n=n, powers=(np.multiply.accumulate(up), np.multiply.accumulate(down)))
+    return kept["powers"]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -198,24 +200,36 @@ def links_of(grams: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: f
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, set_hash, keys (of the bands) and values (two bytes each) of every document."""
+    """doc_id, mark (of the text), set_hash, keys (of the bands) and values (two bytes each) of every row."""
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets, keys, values = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             grams = ngrams(text)
             v = minhash(grams)
             sets.append(set_hash(grams))
             keys.append(band_keys(v) if len(grams) else [])
             values.append((v & np.uint64(0xFFFF)).astype("<u2").tobytes())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sets), pa.array(keys, pa.list_(pa.int64())), pa.array(values)],
-            names=["doc_id", "set_hash", "keys", "values"],
+            [*batch.columns[:2], pa.array(sets), pa.array(keys, pa.list_(pa.int64())), pa.array(values)],
+            names=["doc_id", "mark", "set_hash", "keys", "values"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", whole_text().cast("binary").alias("text"))
-    return map_batches(texts, sign, f"doc_id {kind}, set_hash binary, keys array<long>, values binary")
+    texts = docs.select("doc_id", _mark(), whole_text().cast("binary").alias("text"))
+    return map_batches(texts, sign, f"doc_id {kind}, mark long, set_hash binary, keys array<long>, values binary")
+
+
+def _mark() -> Column:
+    """A hash of the text, by which rows without an id or with one id are told apart."""
+    return F.xxhash64(whole_text()).alias("mark")
+
+
+def _texts_of(docs: DataFrame) -> DataFrame:
+    """(text_id, text_mark, text): the rows with an id, and every text of rows without one once."""
+    own = docs.select(F.col("doc_id").alias("text_id"), _mark().alias("text_mark"), whole_text().cast("binary").alias("text"))
+    alone = own.where("text_id IS NULL").groupBy("text_mark").agg(F.first("text").alias("text"))
+    return own.where("text_id IS NOT NULL").unionByName(alone, allowMissingColumns=True)
 
 
 def _tiles(size: Column, node: Column, tile: int) -> Column:
@@ -239,18 +253,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     classes = (
         signed.groupBy("set_hash")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark")).alias("first"),
             F.count(F.lit(1)).alias("copies"),
             F.first("keys").alias("keys"),
             F.first("values").alias("values"),
         )
+        .select("set_hash", F.col("first.doc_id").alias("first_id"), "first.mark", "copies", "keys", "values")
         # Unique, and stable once it is written.
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = settle(classes, "classes")
     blocks = components(_candidate_edges(classes, threshold, tolerance))
     members = settle(
-        blocks.join(classes.select("node", "set_hash", "first_id", "copies", "values"), "node"),
+        blocks.join(classes.select("node", "set_hash", "first_id", "mark", "copies", "values"), "node"),
         "block-members",
     )
     checked = settle(_verified(docs, members, threshold, tolerance), "verified")
@@ -331,8 +346,8 @@ def _verified(docs: DataFrame, members: DataFrame, threshold: float, tolerance:
     """(node, low, links): per tile, exactly verified links and the smallest node they reach."""
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     placed = members.join(sizes, "root")
-    texts = docs.select(F.col("doc_id").alias("text_id"), whole_text().cast("binary").alias("text"))
-    own = placed.join(texts, F.col("first_id").eqNullSafe(F.col("text_id")))
+    here = F.col("first_id").eqNullSafe(F.col("text_id")) & (F.col("mark") == F.col("text_mark"))
+    own = placed.join(_texts_of(docs), here)
     tiled = own.select(
         "root", "node", "set_hash", "copies", "values", "text",
         F.explode(_tiles(F.col("n"), F.col("node"), BLOCK_TILE)).alias("t"),
@@ -342,7 +357,7 @@ def _verified(docs: DataFrame, members: DataFrame, threshold: float, tolerance:
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["node", "text"])
         grams = [ngrams(bytes(t)) for t in rows["text"]]
-        # An id may stand for several texts; the class's own is the one with its set.
+        # Texts of one id and mark are equal but for a clash of hashes; the class's own has its set.
         fits = [set_hash(g) == bytes(h) for g, h in zip(grams, rows["set_hash"])]
         rows, grams = rows[fits], [g for g, ok in zip(grams, fits) if ok]
         once = ~rows["node"].duplicated().to_numpy()

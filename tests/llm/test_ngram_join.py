@@ -152,3 +152,27 @@ def test_components_match_union_find(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_without_ids_keep_their_texts_apart(frame):
+    """Near copies without ids: groups as with ids, and each class meets its own text alone."""
+    import random
+
+    from sluiceway.llm import ngram_join
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    texts = []
+    for g in range(12):
+        base = rng.sample(words, 120)
+        texts += [" ".join(base[: 120 - k % 3]) for k in range(8)]
+    texts += [" ".join(rng.sample(words, 100)) for _ in range(30)]
+    named = frame([(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    nameless = frame([(None, t, "en", "a", 1) for t in texts])
+    want = sorted(r.n_links for r in ngram_join.near_duplicates(named).collect())
+    got = ngram_join.near_duplicates(nameless).collect()
+    assert sorted(r.n_links for r in got) == want and {r.class_id for r in got} == {None}
+    texts_of = ngram_join._texts_of(nameless.unionByName(nameless))
+    assert texts_of.count() == len(set(texts))
+    one = frame([(7, t, "en", "a", 1) for t in texts])
+    assert sorted(r.n_links for r in ngram_join.near_duplicates(one).collect()) == want
