@@ -82,3 +82,108 @@ def test_odd_rows(odd):
 def test_empty(empty):
     assert mixing.mix(empty, mixing.five_two_one, 1.5).count() == 0
     assert mixing.repeated(empty).count() == 0
+
+
+def xx(value, seed, width=8):
+    """Spark's xxhash64 of a whole number, chained by its seed."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest((value % 2**64).to_bytes(8, "little")[:width], seed)
+
+
+def brute(docs, share, most=2.0, seed=17):
+    """(id, text, source) to words taken, by sorting every source's documents by random odds over inclusion odds."""
+    import math
+
+    import xxhash
+
+    by_source, seen = defaultdict(list), defaultdict(int)
+    for doc_id, text, _, source, _ in docs:
+        seen[doc_id, text, source] += 1
+        mark = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        h = xx(doc_id, 42) if doc_id is not None else 42
+        h = xx(seed, xx(seen[doc_id, text, source], xx(mark, h)), 4)
+        signed = mark - 2**64 if mark >= 2**63 else mark
+        row = (doc_id is not None, doc_id or 0, signed, seen[doc_id, text, source])
+        by_source[source].append(((doc_id, text), len(WORDS.findall(text or "")), ((h >> 12) + 0.5) / 2**52, row))
+    order = sorted(by_source, key=lambda s: (s is None, str(s)))
+    sizes = [sum(n for _, n, _, _ in by_source[s]) for s in order]
+    targets = mixing.water_fill(sizes, [mixing.five_two_one(i) for i in range(len(order))], share * sum(sizes), most)
+    out = []
+    for source, size, target in zip(order, sizes, targets):
+        base = min(math.floor(target / size), math.floor(most)) if size else 0
+        rest = target - base * size
+        words = defaultdict(int)
+        for _, n, _, _ in by_source[source]:
+            words[math.floor(math.log2(max(n, 1)) * 16)] += n
+        scale = min(mixing.chance_scale(list(words.items()), rest), 1e300) if rest > 0 else 0.0
+        keyed = []
+        for name, n, u, row in by_source[source]:
+            chance = min(1.0, scale * 2.0 ** (-math.floor(math.log2(max(n, 1)) * 16) / 32))
+            key = 0.0 if chance >= 1 else u / (1 - u) * (1 - chance) / chance if chance > 0 else None
+            keyed.append((key, row, n, name))
+        drawn = sorted(k for k in keyed if k[0] is not None)
+        taken, filled = set(), 0
+        if rest > 0:
+            for key, row, n, _ in drawn:
+                if filled + n > rest:
+                    break
+                filled += n
+                taken.add(row)
+            gap = rest - filled
+            near = [(abs(gap - n), key, row) for key, row, n, _ in drawn if row not in taken and n and abs(gap - n) < abs(gap)]
+            if near:
+                taken.add(min(near)[2])
+        out += [(*name, source, (base + (row in taken)) * n) for _, row, n, name in keyed]
+    return sorted(out, key=str)
+
+
+def mixed_rows(docs, got):
+    texts = {}
+    for doc_id, text, _, source, _ in docs:
+        import xxhash
+
+        mark = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        texts[mark - 2**64 if mark >= 2**63 else mark] = text
+    return sorted(((r.doc_id, texts[r.mark], r.source, r.taken) for r in got), key=str)
+
+
+def test_the_sample_against_sorting_all(frame):
+    rng = random.Random(3)
+    docs = documents(800, ["a", "b", "c", None], seed=8)
+    docs = [(i if i % 9 else None, f"{t} {rng.randint(0, 300)}", *rest) for i, t, *rest in docs] + docs[:40] + docs[:40]
+    for share in (0.4, 1.5):
+        got = mixing.mix(frame(docs), mixing.five_two_one, share).collect()
+        assert mixed_rows(docs, got) == brute(docs, share)
+
+
+def off_target(rows):
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    return max(abs(taken[s] - t) / t for s, t in target.items())
+
+
+def test_rows_without_ids_are_drawn_one_by_one(frame):
+    docs = [(None, f"{t} x{i}", *rest) for i, t, *rest in documents(3000, ["a", "b", "c", None])]
+    assert off_target(mixing.mix(frame(docs), mixing.five_two_one, 1.5).collect()) < 0.01
+    same = [(7, "one text of five words", None, s, None) for s in ("a", "b") for _ in range(900)]
+    rows = mixing.mix(frame(same), mixing.five_two_one, 0.7).collect()
+    assert off_target(rows) < 0.01 and len(rows) == 1800
+
+
+def test_copies_of_equal_rows_are_shared_out(frame, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 50)
+    docs = frame([(7, "one text of five words", "l", "a", i) for i in range(300)] + [(8, "two words", "l", "b", 0)])
+    copies = sum(r.copies for r in mixing.mix(docs, mixing.five_two_one, 0.6).collect())
+    mixed = mixing.repeated(docs, share=0.6)
+    assert mixed.count() == copies and mixed.schema == docs.schema
+    counts = [r["count"] for r in mixed.where("doc_id = 7").groupBy("n_chars").count().collect()]
+    assert max(counts) == 1 and 100 < len(counts) < 300
+
+
+def test_a_very_long_text(frame):
+    docs = [(1, "w " * 400_000, "en", "a", 0), (2, "a few words", "en", "a", 0), (3, None, "en", None, 0)]
+    rows = {r.doc_id: r.size for r in mixing.mix(frame(docs), mixing.five_two_one, 1.5).collect()}
+    assert rows == {1: 400_000, 2: 3, 3: 0}
