@@ -2,17 +2,18 @@
 
 Sequential covering: a rule is a conjunction of thresholds on numeric statistics. It is grown on
 two thirds of the labelled rows (each step adds the threshold with the best FOIL gain), pruned from
-its end on the other third, and kept if it is precise there; the rows that it covers leave, and the
-next rule is learned. The list is emitted as one ordered Spark conditional expression.
+its end on the other third, and kept if it is precise on all of them and not refuted by the pruning third; the rows that it covers leave, and the
+next rule is learned, until none is precise enough. The list is emitted as one ordered Spark conditional expression.
 
 Every step is one aggregation over the labelled statistics: rows are counted per (statistic, bin of
 its quantiles), a few hundred numbers whatever the number of rows, and every threshold is judged
-from those counts. Text statistics are array expressions within the row; no word leaves its row, so
+from those counts. Quantiles come from a histogram with 64 steps an octave, whose counts don't depend on the order
+of rows, so reruns learn the same list. Text statistics are array expressions within the row; no word leaves its row, so
 nothing is shuffled but labels.
 
 Defined results: a null text has no words; a null statistic meets no threshold; rows without a label
 don't teach; without labelled rows of both kinds the list is empty and keeps everything; repeated
-rows count as often as they stand.
+rows count as often as they stand; texts of any length are counted whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ class Threshold:
 
 @dataclass(frozen=True)
 class Rule:
-    """A conjunction of thresholds; ``precision`` on the pruning rows."""
+    """A conjunction of thresholds; ``precision`` on the labelled rows that earlier rules left."""
 
     conditions: tuple[Threshold, ...]
     precision: float
@@ -152,16 +153,15 @@ def learn(
     bad: str = "bad",
     key: str = "doc_id",
     bins: int = 32,
-    max_rules: int = 8,
-    max_conditions: int = 3,
     min_precision: float = 0.9,
     min_covered: int = 10,
 ) -> DecisionList:
     """Learn a list that rejects rows with ``bad``.
 
-    ``labelled`` holds the statistics and the boolean ``bad``. A rule stays if its precision among
-    the pruning rows (with Laplace's correction) reaches ``min_precision`` and it covers
-    ``min_covered`` rows in all; the list ends at the first that doesn't.
+    ``labelled`` holds the statistics and the boolean ``bad``. A rule stays if its precision among all
+    rows that are left (with Laplace's correction) reaches ``min_precision``, its plain precision among the pruning ones does too, and it
+    covers ``min_covered`` rows in all; the list ends at the first that doesn't. A rule has as many
+    conditions as gain something.
     """
     third = F.pmod(F.xxhash64(key, F.lit("prune")), F.lit(3)) == 0
     rows = settle(
@@ -172,29 +172,51 @@ def learn(
         ),
         "labelled-statistics",
     )
-    shares = [i / bins for i in range(1, bins)]
-    # One row of at most bins values per statistic.
-    found = rows.agg(
-        F.sum("bad").alias("positive"),
-        F.count(F.lit(1)).alias("all"),
-        *[F.percentile_approx(s, shares, 2000).alias(f"q_{s}") for s in statistics],
-        *[
-            F.percentile_approx(F.when(F.col("bad") == 1, F.col(s)), shares, 2000).alias(f"b_{s}")
-            for s in statistics
-        ],
-    ).first()
-    if not found["positive"] or found["positive"] == found["all"]:
+    cuts = _quantiles(rows, statistics, bins)
+    seen = rows.agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("all")).first()
+    if not seen["bad"] or seen["bad"] == seen["all"]:
         return DecisionList()
-    cuts = {s: sorted({*(found[f"q_{s}"] or []), *(found[f"b_{s}"] or [])}) for s in statistics}
     rules: list[Rule] = []
-    while len(rules) < max_rules:
+    while True:
         left = rows.where(~DecisionList(tuple(rules)).rejects())
-        grown = _grow(left.where("NOT prunes"), cuts, max_conditions)
-        rule = grown and _prune(left, grown, min_covered)
+        grown = _grow(left.where("NOT prunes"), cuts)
+        rule = grown and _prune(left, grown, min_covered, min_precision)
         if not rule or rule.precision < min_precision:
-            break
+            return DecisionList(tuple(rules))
+        # It covers rows, and they leave: the list comes to an end.
         rules.append(rule)
-    return DecisionList(tuple(rules))
+
+
+def _quantiles(rows: DataFrame, statistics: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Per statistic the values at ``bins`` equal shares of all rows and of the bad ones.
+
+    From a histogram: values of one 64th of an octave share a step, whose largest value stands for it. Steps are
+    few whatever the rows, and neither their counts nor their largest values depend on the order of rows.
+    """
+    value = F.col("value")
+    octave = F.floor(F.log2(F.abs(value)) * 64)
+    step = F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * (octave + F.lit(100_000)))
+    entries = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).alias("value")) for s in statistics])
+    # Other than finite values set no threshold.
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    steps = (
+        rows.select("bad", F.inline(entries))
+        .where(finite)
+        .groupBy("statistic", step.cast("long").alias("step"))
+        .agg(F.max("value").alias("top"), F.count(F.lit(1)).alias("all"), F.sum("bad").alias("bad"))
+        .collect()
+    )
+    cuts: dict[str, set[float]] = {s: set() for s in statistics}
+    for s in statistics:
+        own = sorted((r.top, r["all"], r.bad) for r in steps if r.statistic == s)
+        for counts in ([n for _, n, _ in own], [n for _, _, n in own]):
+            total, before, share = sum(counts), 0, 1
+            for (top, _, _), n in zip(own, counts):
+                before += n
+                if share < bins and before * bins >= share * total and n:
+                    cuts[s].add(top)
+                    share = before * bins // total + 1
+    return {s: sorted(c) for s, c in cuts.items()}
 
 
 def _counts(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, dict[int, tuple[int, int]]]:
@@ -220,10 +242,10 @@ def _counts(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, dict[int
     return made
 
 
-def _grow(rows: DataFrame, cuts, max_conditions: int) -> list[Threshold]:
-    """Thresholds in the order of their adding, each the one of largest FOIL gain."""
+def _grow(rows: DataFrame, cuts) -> list[Threshold]:
+    """Thresholds in the order of their adding, each the one of largest FOIL gain, while there is a gain."""
     grown: list[Threshold] = []
-    while len(grown) < max_conditions:
+    while True:
         counts = _counts(rows.where(_all(grown)), cuts)
         totals = [(sum(b for b, _ in c.values()), sum(g for _, g in c.values())) for c in counts.values()]
         bad, good = max(totals, default=(0, 0))
@@ -246,21 +268,25 @@ def _grow(rows: DataFrame, cuts, max_conditions: int) -> list[Threshold]:
     return grown
 
 
-def _prune(rows: DataFrame, grown: list[Threshold], min_covered: int) -> Rule | None:
-    """The prefix of ``grown`` that is best on the pruning rows, by (p - n) / (p + n)."""
+def _prune(rows: DataFrame, grown: list[Threshold], min_covered: int, min_precision: float) -> Rule | None:
+    """The prefix of ``grown`` that is best on the pruning rows, by (p - n) / (p + n), with its precision on all rows.
+
+    Prefixes that cover too few rows, or that the pruning rows refute, don't count.
+    """
     tests = []
     for k in range(1, len(grown) + 1):
         holds = _all(grown[:k])
         for name, part in (("p", F.col("bad")), ("n", 1 - F.col("bad"))):
             tests.append(F.sum(F.when(holds & F.col("prunes"), part).otherwise(0)).alias(f"{name}{k}"))
-        tests.append(F.sum(holds.cast("int")).alias(f"all{k}"))
+            tests.append(F.sum(F.when(holds, part).otherwise(0)).alias(f"all_{name}{k}"))
     seen, best = rows.agg(*tests).first(), None
     for k in range(1, len(grown) + 1):
         p, n = seen[f"p{k}"] or 0, seen[f"n{k}"] or 0
-        if p and (seen[f"all{k}"] or 0) >= min_covered:
+        all_p, all_n = seen[f"all_p{k}"] or 0, seen[f"all_n{k}"] or 0
+        if p and all_p + all_n >= min_covered and p >= min_precision * (p + n):
             worth = (p - n) / (p + n)
             if best is None or worth > best[0]:
-                best = (worth, Rule(tuple(grown[:k]), (p + 1) / (p + n + 2)))
+                best = (worth, Rule(tuple(grown[:k]), (all_p + 1) / (all_p + all_n + 2)))
     return best and best[1]
 
 

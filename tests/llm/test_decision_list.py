@@ -72,3 +72,92 @@ def test_no_python_in_the_plan(odd):
 def test_empty(empty, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert dl.judge(empty, labels).count() == 0
+
+
+def plain_list(rows, statistics, bins=32, min_precision=0.9, min_covered=10):
+    """The list learned in plain Python from collected rows, step by step."""
+    import math
+
+    def step(v):
+        return 0 if v == 0 else math.copysign(1, v) * (math.floor(math.log2(abs(v)) * 64) + 100_000)
+
+    cuts = {}
+    for s in statistics:
+        values = sorted((r[s], r["bad"]) for r in rows if r[s] is not None)
+        tops = {}
+        for v, _ in values:
+            tops[step(v)] = max(v, tops.get(step(v), v))
+        found = set()
+        for some in (values, [x for x in values if x[1]]):
+            total, share = len(some), 1
+            for at in sorted({tops[step(v)] for v, _ in some}):
+                before = sum(v <= at for v, _ in some)
+                if share < bins and before * bins >= share * total:
+                    found.add(at)
+                    share = before * bins // total + 1
+        cuts[s] = sorted(found)
+
+    def holds(r, rule):
+        return all(r[s] is not None and (r[s] > at) == above for s, above, at in rule)
+
+    made, left = [], rows
+    while True:
+        grown, part = [], [r for r in left if not r["prunes"]]
+        while True:
+            here = [r for r in part if holds(r, grown)]
+            per = {s: [r for r in here if r[s] is not None] for s in statistics}
+            bad, good = max(((sum(r["bad"] for r in x), sum(not r["bad"] for r in x)) for x in per.values()), default=(0, 0))
+            if not bad or not good:
+                break
+            start, best = math.log2(bad / (bad + good)), (0.0, None)
+            for s in sorted(statistics):
+                for at in cuts[s]:
+                    for above in (False, True):
+                        side = [r["bad"] for r in per[s] if (r[s] > at) == above]
+                        p = sum(side)
+                        if p:
+                            gain = p * (math.log2(p / len(side)) - start)
+                            if gain > best[0] + 1e-9:
+                                best = (gain, (s, above, at))
+            if best[1] is None:
+                break
+            grown.append(best[1])
+        best = None
+        for k in range(1, len(grown) + 1):
+            every = [r for r in left if holds(r, grown[:k])]
+            pruning = [r["bad"] for r in every if r["prunes"]]
+            p, n = sum(pruning), len(pruning) - sum(pruning)
+            if p and len(every) >= min_covered and p >= min_precision * (p + n):
+                worth = (p - n) / (p + n)
+                if best is None or worth > best[0]:
+                    best = (worth, grown[:k], (sum(r["bad"] for r in every) + 1) / (len(every) + 2))
+        if best is None or best[2] < min_precision:
+            return made
+        made.append(best[1])
+        left = [r for r in left if not holds(r, best[1])]
+
+
+def test_the_list_against_plain_python(spark):
+    from pyspark.sql import functions as F
+
+    rows = labelled(spark, 400)
+    third = F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0
+    plain = [r.asDict() for r in rows.withColumn("prunes", third).collect()]
+    made = dl.learn(rows.repartition(5), ["x", "y", "z"])
+    assert [[(c.statistic, c.above, c.at) for c in r.conditions] for r in made.rules] == plain_list(plain, ["x", "y", "z"])
+    assert made.rules
+
+
+def test_rules_are_learned_from_the_small_table(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = dl.judge(docs, labels).join(labels, "doc_id")
+    caught = judged.where("quality = 0 AND rule IS NOT NULL").count()
+    assert caught >= 0.7 * judged.where("quality = 0").count()
+    assert judged.where("quality = 1 AND rule IS NOT NULL").count() <= 0.01 * judged.where("quality = 1").count()
+
+
+def test_a_very_long_text(frame):
+    text = "\n".join(f"line {i % 1000} of many # lines" for i in range(30_000))
+    got = dl.text_statistics(frame([(1, text, None, None, None)])).select(*NAMES).first()
+    assert tuple(got) == brute(text)
