@@ -4,19 +4,22 @@ The tagger is a character-level bidirectional LSTM whose scores feed a linear-ch
 here in numpy on windows around labelled spans (the base patterns' findings in a bounded sample of
 documents). A text is tagged in overlapping windows; their scores are blended, the middle of
 a window counting more than its edges, and one Viterbi pass over the blended scores decodes each
-region as a whole, so no span is cut or counted twice where windows meet.
+region as a whole, so no span is cut or counted twice where windows meet. Regions beyond ``STRETCH`` characters
+are decoded in stretches that overlap by more than a span; a span belongs to the stretch whose own part it begins in.
 
 No span of the four kinds is valid without a digit or an at sign, so regions lie around those
 characters; the rest of a text can't hold a span and isn't tagged. Spans of the tagger are added
 where they overlap no base span and hold what their kind asks for (Luhn's check, parts up to 255,
-numbers of digits); base spans always stay. As all its labels are base spans, and regions that no
-pattern matches are taught as empty, the tagger learns the patterns' own idea of a span: spellings
-that they lack (phones without a plus sign) are not what it is taught to find.
+numbers of digits); base spans always stay. Its labels are base spans and variants of them that the patterns
+miss (``variants``): phones without a plus sign, with a leading 00, with dots or slashes between the groups or brackets
+around the first, cards with dots between the groups, and two spans side by side, which a pattern reads as one.
+Regions that no pattern matches even loosely are taught as empty.
 
 Bounded sample: of documents, ``TRAIN_DOCS`` expected, chosen by a hash of the id, and of those
-``TRAIN_WINDOWS`` windows per kind. Everything else covers all documents in a map without shuffle.
+``TRAIN_WINDOWS`` windows per kind, from which ``VARIED`` further ones are made. Everything else covers all documents in a map without shuffle.
 
-Defined results: null and empty texts have no spans; without any labelled span the tagger is left
+Defined results: texts of any length are searched whole, in bounded memory beyond the text; extra columns are ignored; an empty
+table gives no rows; null and empty texts have no spans; without any labelled span the tagger is left
 out and the base spans remain; repeated rows are treated alike; places are code points.
 """
 
@@ -36,13 +39,15 @@ from sluiceway.llm.common import by_value, map_batches, whole_text
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 40_000
 TRAIN_WINDOWS = 400
+VARIED = 1600
 WINDOW = 64
 AROUND = 40
 HIDDEN = 20
 EMBEDDED = 10
-STEPS = 600
+STEPS = 900
 BATCH = 32
-SURE = 0.9
+STRETCH = 2048
+SURE = 0.8
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -110,7 +115,7 @@ def valid(kind: str, found: str) -> bool:
     if kind == "ip":
         return bool(IP.fullmatch(found)) and _ip_ok(found)
     if kind == "card":
-        return bool(re.fullmatch(r"[0-9](?:[\x20.-]{0,2}[0-9])+", found)) and _card_ok(found)
+        return bool(re.fullmatch(r"[0-9](?:[\x20.-]{0,3}[0-9])+", found)) and _card_ok(found)
     return bool(re.fullmatch(r"[+(]?[0-9][\x20().0-9/-]+[0-9]", found)) and _phone_ok(found)
 
 
@@ -251,9 +256,9 @@ def crf_gradients(s: np.ndarray, move: np.ndarray, tags: np.ndarray):
     return float(whole.sum() - gold), ds, dmove
 
 
-def train(windows: list[str], tags: list[list[int]], steps: int = STEPS, seed: int = 5) -> Tagger:
+def train(windows: list[str], tags: list[list[int]], steps: int | None = None, seed: int = 5) -> Tagger:
     """Fit on windows of at most WINDOW characters and their tags, by Adam."""
-    rng = np.random.default_rng(seed)
+    rng, steps = np.random.default_rng(seed), steps or STEPS
     x, y = np.zeros((len(windows), WINDOW), np.int64), np.zeros((len(windows), WINDOW), np.int64)
     for i, (w, t) in enumerate(zip(windows, tags)):
         x[i, : len(w)], y[i, : len(t)] = numbers_of(w), t
@@ -286,6 +291,12 @@ def regions(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in made]
 
 
+def stretches(start: int, end: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, own start, own end) of the parts in which a region is decoded."""
+    firsts = range(start, end, STRETCH)
+    return [(max(start, f - WINDOW), min(end, f + STRETCH + 2 * WINDOW), f, min(end, f + STRETCH)) for f in firsts]
+
+
 def _looks_like(part: str) -> bool:
     """True if a pattern matches before its check."""
     cards = (len(digits_of(m.group())) >= 9 for m in CARD.finditer(part))
@@ -315,8 +326,70 @@ def labelled_windows(text: str, spans: list[tuple[str, int, int]]) -> list[tuple
     return made
 
 
+def variants(kind: str, found: str) -> list[str]:
+    """Spellings of a base span that the patterns miss or read otherwise; empty for mails and addresses."""
+    groups = re.findall(r"[0-9]+", found)
+    if kind == "phone":
+        bare = found[1:]
+        return [
+            bare,
+            "00" + bare,
+            ".".join(groups),
+            "/".join((groups[0], "".join(groups[1:]))) if len(groups) > 1 else bare,
+            f"({groups[0]}) " + "-".join(groups[1:]) if len(groups) > 1 else bare,
+            " ".join(groups),
+        ]
+    if kind == "card":
+        digits = digits_of(found)
+        fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(fours), ". ".join(fours), " - ".join(fours)[: WINDOW // 2 + 8]] if len(fours[-1]) == 4 else []
+    return []
+
+
+def varied_windows(rows: list[tuple[str, str, list[int]]], seed: int = 6) -> list[tuple[str, list[int]]]:
+    """VARIED windows (text, tags) made from ``rows`` (kind, window, tags).
+
+    In place of a window's base span stands a variant, the span itself, or two spans side by side. Digits are drawn
+    anew (but for addresses, whose parts have a bound), so that what is learned is the spelling, not the numbers of the sample.
+    """
+    rng = np.random.default_rng(seed)
+    spans = [(kind, cut, *own[1:]) for kind, cut, tags in rows for own in _runs(np.array(tags)) if own[0] == kind]
+    spans = [s for s in spans if s[3] - s[2] < WINDOW - 4]
+
+    def drawn(kind: str, found: str) -> str:
+        return found if kind in ("email", "ip") else re.sub("[0-9]", lambda _: str(rng.integers(10)), found)
+
+    made = []
+    while spans and len(made) < VARIED:
+        kind, cut, start, end = spans[int(rng.integers(len(spans)))]
+        found = drawn(kind, cut[start:end])
+        others = variants(kind, found) or [found]
+        pair = [(kind, others[int(rng.integers(len(others)))])]
+        if rng.random() < 0.3:
+            other_kind, other_cut, s, e = spans[int(rng.integers(len(spans)))]
+            pair = [(kind, found), (other_kind, drawn(other_kind, other_cut[s:e]))]
+            if rng.random() < 0.5:
+                pair[1] = (kind, drawn(kind, found))
+        if sum(len(x) for _, x in pair) < WINDOW - 4:
+            made.append(_rewritten(cut, start, end, pair, int(rng.integers(WINDOW))))
+    return made
+
+
+def _rewritten(cut: str, start: int, end: int, spans: list[tuple[str, str]], shift: int) -> tuple[str, list[int]]:
+    """The window with its span replaced, of WINDOW characters around what is new, and its tags."""
+    text, tags = cut[:start], [0] * start
+    for nth, (kind, own) in enumerate(spans):
+        text, tags = text + " " * (nth > 0), tags + [0] * (nth > 0)
+        k = KINDS.index(kind)
+        text, tags = text + own, tags + [1 + 2 * k] + [2 + 2 * k] * (len(own) - 1)
+    width = len(text) - start
+    text, tags = text + cut[end:], tags + [0] * (len(cut) - end)
+    at = max(0, min(start, start + width - WINDOW + shift % max(1, WINDOW - width)))
+    return text[at : at + WINDOW], tags[at : at + WINDOW]
+
+
 def learn(docs: DataFrame) -> Tagger | None:
-    """A tagger from the base spans in a sample of ``docs`` (doc_id, text); None without any."""
+    """A tagger from the base spans in a sample of ``docs`` (doc_id, text) and their variants; None without any."""
     share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("tagger")), 11) / float(2**53)
     n = docs.count()
 
@@ -342,12 +415,13 @@ def learn(docs: DataFrame) -> Tagger | None:
     rows = few.orderBy("kind", "rank").select("kind", "cut", "tags").collect()
     if not any(r.kind != "none" for r in rows):
         return None
-    return train([r.cut for r in rows], [r.tags for r in rows])
+    varied = varied_windows([(r.kind, r.cut, r.tags) for r in rows])
+    return train([*(r.cut for r in rows), *(w for w, _ in varied)], [*(r.tags for r in rows), *(t for _, t in varied)])
 
 
 def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Spans of the tagger in every text, before they meet the base spans."""
-    places = [(i, s, e) for i, text in enumerate(texts) for s, e in regions(text)]
+    places = [(i, *stretch) for i, text in enumerate(texts) for s, e in regions(text) for stretch in stretches(s, e)]
     made: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     # Regions of like length are padded together, a bounded number of characters at once.
     places.sort(key=lambda p: p[2] - p[1])
@@ -358,13 +432,13 @@ def tagged_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[str, int,
             end += 1
         part = places[at : max(end, at + 1)]
         at += len(part)
-        blended, lengths = _blended(tagger, [texts[i][s:e] for i, s, e in part])
+        blended, lengths = _blended(tagger, [texts[i][s:e] for i, s, e, _, _ in part])
         tags = tagger.decode(blended)
         odds = np.exp(blended - blended.max(axis=2, keepdims=True))
         sure = odds.max(axis=2) / odds.sum(axis=2)
-        for (i, start, _), row, sureness, n in zip(part, tags, sure, lengths):
+        for (i, start, _, first, last), row, sureness, n in zip(part, tags, sure, lengths):
             for kind, s, e in _runs(row[:n]):
-                if sureness[s:e].mean() >= SURE:
+                if first <= start + s < last and sureness[s:e].mean() >= SURE:
                     made[i].append((kind, start + s, start + e))
     return made
 

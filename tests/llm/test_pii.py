@@ -125,3 +125,80 @@ def test_added_spans_are_valid_and_apart():
 
 def test_empty(empty):
     assert pii.find(empty).count() == 0
+
+
+def planted(n, seed):
+    """(text, spans) with variants of phones and cards, and spans side by side, that no pattern reads as they are."""
+    rng = random.Random(seed)
+    words = "the of and ination erth ouble thand".split()
+
+    def card():
+        digits = [rng.randint(0, 9) for _ in range(15)]
+        return next(d for d in ("".join(map(str, [*digits, x])) for x in range(10)) if pii.luhn(d))
+
+    made = []
+    for _ in range(n):
+        kind = rng.choice(["phone", "phone", "card", "pair"])
+        phone = f"+{rng.randint(1, 99)} ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+        if kind == "pair":
+            spans = [("card", card()), ("card", card())]
+        else:
+            base = phone if kind == "phone" else card()
+            spans = [(kind, rng.choice(pii.variants(kind, base)))]
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(3, 20))) + " "
+        places = []
+        for k, own in spans:
+            places.append((k, len(text), len(text) + len(own)))
+            text += own + " "
+        made.append((text + " ".join(rng.choice(words) for _ in range(rng.randint(3, 20))), places))
+    return made
+
+
+def test_held_out_variants_are_found_and_numbers_are_left_alone(spark):
+    """Learned from the given table; the planted texts are none of it."""
+    tagger = pii.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    held = planted(300, 21)
+    found = pii.tagged_spans(tagger, [t for t, _ in held])
+    caught = total = 0
+    for (text, places), tagged in zip(held, found):
+        base = pii.base_spans(text)
+        spans = pii.all_spans(text, base, tagged)
+        total += len(places)
+        caught += sum(any(k == kind and s < end and e > start and e - s <= end - start + 2 for k, s, e in spans) for kind, start, end in places)
+    assert caught >= 0.9 * total, caught / total
+    rng = random.Random(2)
+    plain = [f"the of {rng.choice(['version', 'page', 'in', 'about'])} {rng.choice([rng.randint(1, 9999), '2.0', '4.0.'])} and ouble" for _ in range(300)]
+    spans = [pii.all_spans(t, pii.base_spans(t), found) for t, found in zip(plain, pii.tagged_spans(tagger, plain))]
+    assert not any(spans)
+
+
+def test_stretches_cover_a_region_once():
+    for start, end in ((0, 5), (3, pii.STRETCH + 3), (7, 5 * pii.STRETCH)):
+        own = [(f, e) for _, _, f, e in pii.stretches(start, end)]
+        assert own[0][0] == start and own[-1][1] == end
+        assert all(a[1] == b[0] for a, b in zip(own, own[1:]))
+        assert all(s <= f and f - s <= pii.WINDOW and last <= end for s, last, f, _ in pii.stretches(start, end))
+
+
+def test_a_very_long_text_of_numbers(frame, monkeypatch):
+    monkeypatch.setattr(pii, "STEPS", 20)
+    tagger = pii.learn(frame([(i, t, None, None, None) for i, t in enumerate(texts(60))]))
+    text = ("7 " * 40_000) + "a@b.example.com " + "1" * 40_000
+    row = pii.find(frame([(1, text, None, None, None)]), tagger).first()
+    assert (row.n_email, row.n_ip, row.n_phone) == (1, 0, 0)
+
+
+def test_windows_of_variants_are_tagged_where_they_stand():
+    cut = "the of and 4845168114407329 ination erth ouble thand the of and inat"[: pii.WINDOW]
+    tags = [0] * len(cut)
+    tags[11:27] = [5] + [6] * 15
+    phone = "and ouble +1 (017) 555-7713 rethsh onnatr the of and ination"
+    ptags = [0] * len(phone)
+    ptags[10:27] = [7] + [8] * 16
+    made = pii.varied_windows([("card", cut, tags), ("phone", phone, ptags)] * 20)
+    assert len(made) >= 60
+    for text, own in made:
+        assert len(text) == len(own) <= pii.WINDOW
+        for kind, s, e in pii._runs(np.array(own)):
+            if e < len(text) and s > 0:
+                assert sum(c.isdigit() for c in text[s:e]) in (11, 13, 16)
