@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.keys import row_hash
+from sluiceway.operators.joins import join_same
 from sluiceway.operators.latest import first_per_key, keep_latest
 from sluiceway.runtime import settle
 
@@ -69,17 +70,24 @@ def mark_unique_violations(
 ) -> DataFrame:
     """Add ``_repeat``: true for all but the first row of each key (nulls count as equal).
 
-    The rows are settled with a number each. The first row per key is a minimum over the order, a
+    Keys are counted first, with map-side combine. Rows of keys that occur once pass through; only those of
+    repeated keys are settled, with a number each. The first row per key is a minimum over the order, a
     hash of the row and its number, combined before the shuffle; what comes back to the rows is
     the set of winning numbers, joined by number, so no key's size matters. Ties are broken by all
-    columns, so any row chosen among the rest is an equal copy.
+    columns, so any row chosen among the rest is an equal copy. ``df`` is read three times.
     """
-    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    chosen = rows.filter(among) if among is not None else rows
-    winners = first_rows(chosen, df, keys, order).select(F.col("_row").alias("_winner"))
+    chosen = df.filter(among) if among is not None else df
+    counts = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
+    repeated = settle(counts, "repeated-keys")
+    once = join_same(df, repeated, keys, "left_anti").withColumn("_repeat", F.lit(False))
+    several = join_same(df, repeated, keys, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+    rows = settle(several, "numbered")
+    picked = rows.filter(among) if among is not None else rows
+    winners = first_rows(picked, df, keys, order).select(F.col("_row").alias("_winner"))
     marked = rows.join(winners, F.col("_row") == F.col("_winner"), "left")
     considered = F.coalesce(among, F.lit(False)) if among is not None else F.lit(True)
-    return marked.withColumn("_repeat", considered & F.col("_winner").isNull()).drop("_row", "_winner")
+    marked = marked.withColumn("_repeat", considered & F.col("_winner").isNull()).drop("_row", "_winner")
+    return once.unionByName(marked)
 
 
 def first_rows(rows: DataFrame, df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -99,12 +107,14 @@ def _total_order(df: DataFrame, order: list[str]) -> list[Column]:
 def split_unique_violations(
     df: DataFrame, keys: list[str], order: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """(first row per key, the repeats).
+    """(first row per key, the repeats)."""
+    repeats = mark_unique_violations(df, keys, order).filter("_repeat").drop("_repeat")
+    return without_violations(df, keys, order), repeats
 
-    The kept side needs no ranking of the losers, so it takes the cheaper path.
-    """
-    kept = first_per_key(df, keys, _total_order(df, order))
-    return kept, mark_unique_violations(df, keys, order).filter("_repeat").drop("_repeat")
+
+def without_violations(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row per key; it needs no ranking of the losers, so keys are cut down in the map tasks."""
+    return first_per_key(df, keys, _total_order(df, order))
 
 
 def conflict_log(

@@ -29,24 +29,23 @@ def snapshot(
     ``timestamp`` makes a version when ``updated_at`` is newer, ``check`` when any of
     ``check_cols`` (default all) differs, null-safe, dated ``as_of``. Unchanged keys keep
     their version and keys missing from ``current`` stay open, so a replay changes nothing.
-    Versions already closed pass through without a shuffle.
+    Versions already closed pass through without a shuffle; open ones meet the current rows in one exchange.
     """
     start = _start(strategy, updated_at, as_of)
-    first = one_per_key(current, key).select(
-        "*", start.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to")
-    )
     if history is None:
-        return first
+        return _dated(one_per_key(current, key), start)
     data = current.columns
     closed = history.filter(F.col("valid_to").isNotNull())
-    alive = history.filter(F.col("valid_to").isNull()).select(
-        F.struct(*data, *OPEN).alias("old"), *[F.col(k).alias(f"_old_{k}") for k in key]
-    )
-    came = first.select(
-        F.struct(*data, *OPEN).alias("new"), *[F.col(k).alias(f"_new_{k}") for k in key]
-    )
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in key]
+    row = F.struct(*data, *OPEN)
+    names = [f"_key{i}" for i in range(len(key))]
+    own = [F.col(k).alias(n) for k, n in zip(key, names)]
+    alive = history.filter(F.col("valid_to").isNull()).select(*own, row.alias("old"), F.lit(None).alias("new"))
+    came = _dated(current, start).select(*own, F.lit(None).alias("old"), row.alias("new"))
+    # Both sides of a key in one exchange; nulls group as equal keys.
+    both = alive.union(came).groupBy(*names).agg(
+        F.first("old", ignorenulls=True).alias("old"),
+        F.first("new", ignorenulls=True).alias("new"),
+        F.count("new").alias("n"),
     )
     if strategy == "timestamp":
         newer = F.col(f"new.{updated_at}") > F.col(f"old.{updated_at}")
@@ -58,13 +57,17 @@ def snapshot(
     old, new = F.col("old"), F.col("new")
     ended = old.withField("valid_to", F.col("new.valid_from"))
     versions = (
-        F.when(new.isNull(), F.array(old))
+        F.when(F.col("n") > 1, F.raise_error(F.lit(f"a key of {key} is repeated")))
+        .when(new.isNull(), F.array(old))
         .when(old.isNull(), F.array(new))
         .when(changed, F.array(ended, new))
         .otherwise(F.array(old))
     )
-    moved = alive.join(came, same_key, "full").select(F.inline(versions))
-    return closed.select(*data, *OPEN).unionByName(moved)
+    return closed.select(*data, *OPEN).unionByName(both.select(F.inline(versions)))
+
+
+def _dated(current: DataFrame, start: Column) -> DataFrame:
+    return current.select("*", start.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
 
 
 def _start(strategy: str, updated_at: str | None, as_of: dt.datetime | None) -> Column:

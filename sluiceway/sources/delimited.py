@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,7 @@ from sluiceway.runtime import settle
 
 # The separators looked for.
 SEPARATORS = ",|\t;"
-# Text whose files start with more different lines than this has no header, unless one is asked for;
-# files whose headers have more orders of columns than this are refused.
+# Files whose headers have more orders of columns than this are refused.
 MAX_HEADERS = 1000
 SAMPLES = 5
 
@@ -39,15 +38,15 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 class Shape:
     """What a scan over all lines of a text found.
 
-    ``broken``: whether cells hold line breaks; ``headers``: the first lines of files, each with its
-    number of files, in the order of the files and not more than ``MAX_HEADERS + 1`` of them;
-    ``files``: (file, first) of all files that have lines.
+    ``broken``: whether cells hold line breaks; ``width``: the cells of the longest first line; ``files``: (file, first, cells)
+    of all files that have lines, with the number of the first line's cells.
     """
 
     sep: str = ","
     broken: bool = False
     lines: int = 0
-    headers: dict[str, int] = field(default_factory=dict)
+    width: int = 0
+    n_files: int = 0
     files: DataFrame | None = None
 
 
@@ -112,21 +111,19 @@ def shape_of(spark: SparkSession, path: str, sep: str | None = None, encoding: s
         found.append(((low > 0, low > 0 and low == high, total[f"has_{i}"], low), -i, c))
     best = max(found)
     chosen = sep or (best[2] if best[0][2] else ",")
-    files = per_file.where("first IS NOT NULL").select("file", "first")
-    headers = {r["first"]: r["files"] for r in _by_first_line(files).limit(MAX_HEADERS + 1).collect()}
-    return Shape(chosen, total["odd"], total["n"], headers, files)
-
-
-def _by_first_line(files: DataFrame) -> DataFrame:
-    """(first, files, at) in the order of the files."""
-    return files.groupBy("first").agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("at")).orderBy("at")
+    bare = F.regexp_replace("first", '"[^"]*"', "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(chosen), F.lit(""))) + 1
+    files = per_file.where("first IS NOT NULL").select("file", "first", cells.alias("cells"))
+    heads = files.agg(F.max("cells").alias("width"), F.count(F.lit(1)).alias("n")).first()
+    return Shape(chosen, total["odd"], total["n"], heads["width"] or 0, heads["n"], files)
 
 
 def _first_lines(shape: Shape) -> Iterator[str]:
-    """All first lines in the order of their files; many of them are streamed, never held."""
-    if len(shape.headers) <= MAX_HEADERS:
-        return iter(shape.headers)
-    return (r["first"] for r in _by_first_line(shape.files).toLocalIterator())
+    """The different first lines in the order of their files; streamed, never held."""
+    if shape.files is None:
+        return iter(())
+    by_line = shape.files.groupBy("first").agg(F.min("file").alias("at")).orderBy("at")
+    return (r["first"] for r in by_line.toLocalIterator())
 
 
 def cells_of(line: str, sep: str) -> list[str]:
@@ -141,8 +138,9 @@ def _kinds(cell: Column) -> dict[str, Column]:
     dates = "|".join(f"(?:{pattern})" for pattern in DATE_FORMATS.values())
     return {
         "number": F.rlike(cell, F.lit(_NUMBER)),
-        "date": F.rlike(cell, F.lit(dates)),
-        "flag": F.lower(cell).isin("true", "false"),
+        # A look for the strokes spares most cells three patterns.
+        "date": (F.contains(cell, F.lit("-")) | F.contains(cell, F.lit("/"))) & F.rlike(cell, F.lit(dates)),
+        "flag": F.length(cell).between(4, 5) & F.lower(cell).isin("true", "false"),
     }
 
 
@@ -151,71 +149,70 @@ def has_header(spark: SparkSession, path: str, shape: Shape, encoding: str = "UT
 
     A first line is a header if one of its cells fails the kind (number, date, flag) that all other
     filled cells of its column are of. If no column has a kind, it is one if its cells are filled,
-    differ, and none occurs again in its column. A lone line is one if it has content. Counted over
-    all lines of the files that share a first line; files whose first lines say different
-    things are refused.
+    differ, and none occurs again in its column. Where no file has lines below its first, these are headers if
+    they have content and name the same columns. Counted over
+    all lines of the files that share a first line, with a row per file and nothing per cell; files whose first
+    lines say different things are refused. However many files and first lines there are, only the votes' outcome
+    reaches the driver.
     """
-    if not shape.headers or len(shape.headers) > MAX_HEADERS:
+    if not shape.n_files:
         return False
-    heads = {h: cells_of(h, shape.sep) for h in shape.headers}
-    width = max(map(len, heads.values()))
-    if shape.lines == sum(shape.headers.values()):
-        return any(c.strip() for cells in heads.values() for c in cells)
-    names = [f"c{i}" for i in range(width)]
+    names = [f"c{i}" for i in range(shape.width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    options = {"sep": shape.sep, "escape": '"', "mode": "PERMISSIVE"}
+    cut = F.from_csv("first", F.lit(", ".join(f"{n} string" for n in names)), options)
+    heads = shape.files.select("file", "first", "cells", cut.alias("cut"))
+    titles = F.array(*[F.struct(F.lit(i).alias("i"), strip(F.col(f"cut.{n}")).alias("title")) for i, n in enumerate(names)])
+    heads = heads.select("file", "first", "cells", titles.alias("titles"))
+    filled = F.filter("titles", lambda t: F.coalesce(t.title, F.lit("")) != "")
+    named = F.array_sort(F.transform("titles", lambda t: F.coalesce(t.title, F.lit(""))))
+    lone = heads.agg(F.bool_or(F.size(filled) > 0), F.min(named) == F.max(named)).first()
+    if shape.lines == shape.n_files or not lone[0]:
+        return bool(lone[0] and lone[1])
     rows = _reader(spark, shape.sep, shape.broken, encoding).schema(schema).csv(path)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
-    pairs = rows.select(
-        "file",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), strip(F.col(n)).alias("v")) for i, n in enumerate(names)])),
-    ).filter("v <> ''")
-    counted = pairs.groupBy("file", "i").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(n) for n, k in _kinds(F.col("v")).items()]
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), *[strip(F.col(n)).alias(n) for n in names])
+    measures = []
+    for n in names:
+        own = F.when(F.col(n) != "", F.col(n))
+        measures.append(F.count(own).alias(f"n_{n}"))
+        measures += [F.count_if(test).alias(f"{kind}_{n}") for kind, test in _kinds(own).items()]
+    per_file = rows.groupBy("file").agg(*measures)
+    entries = [
+        F.struct(F.lit(i).alias("i"), F.col(f"n_{n}").alias("n"), *[F.col(f"{kind}_{n}").alias(kind) for kind in _KINDS])
+        for i, n in enumerate(names)
+    ]
+    counted = per_file.select("file", F.inline(F.array(*entries))).where("n > 0")
+    first = heads.select("file", "first", F.inline(filled))
+    judged = first.join(counted, ["file", "i"]).groupBy("first", "i", "title").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"), *[F.sum(kind).alias(kind) for kind in _KINDS]
     )
-    # The titles of at most MAX_HEADERS lines; the files that they head join them.
-    titles = [(h, i, c.strip()) for h, cells in heads.items() for i, c in enumerate(cells) if c.strip()]
-    if not titles:
-        return False
-    titled = spark.createDataFrame(titles, "head string, i int, title string")
-    first = titled.join(shape.files, F.col("head") == F.col("first")).drop("first")
-    judged = first.join(counted, ["file", "i"]).groupBy("head", "i", "title").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("files"), *[F.sum(k).alias(k) for k in _KINDS]
+    # Per column: the cells below, and whether all of them are of a kind that the title is or isn't of.
+    below = F.col("n") - F.col("files")
+    fails, conforms = F.lit(False), F.lit(False)
+    for kind, own in _kinds(F.col("title")).items():
+        all_of_kind = (below > 0) & (F.col(kind) - F.when(own, F.col("files")).otherwise(0) == below)
+        fails, conforms = fails | (all_of_kind & ~own), conforms | (all_of_kind & own)
+    votes = judged.groupBy("first").agg(
+        F.bool_or(below > 0).alias("has_body"), F.bool_or(fails).alias("fails"), F.bool_or(conforms).alias("conforms")
     )
-    own = [v.alias(f"own_{k}") for k, v in _kinds(F.col("title")).items()]
-    votes: dict[str, list] = {}
-    for r in judged.select("*", *own).collect():
-        votes.setdefault(r.head, []).append(r)
-    verdicts = {h: _by_kinds(votes.get(h, [])) for h in heads}
-    if _UNDECIDED in verdicts.values():
+    said = F.when(F.col("has_body"), F.when(F.col("fails") | F.col("conforms"), F.col("fails")))
+    votes = settle(votes.withColumn("said", said), "header-votes")
+    undecided = votes.where("has_body AND said IS NULL").select("first")
+    outcomes = {r[0] for r in votes.select("said").distinct().collect() if r[0] is not None}
+    if not undecided.isEmpty():
         # Only now is it worth looking for titles among the values.
-        met = pairs.join(first, ["file", "i"]).filter(F.col("v") == F.col("title"))
-        again = met.groupBy("head", "i").agg((F.count(F.lit(1)) > F.count_distinct("file")).alias("recurs"))
-        recurring = {r["head"] for r in again.filter("recurs").select("head").distinct().collect()}
-        for h, cells in heads.items():
-            if verdicts[h] == _UNDECIDED:
-                filled = [c for c in cells if c.strip()]
-                verdicts[h] = len(filled) == len(cells) == len(set(cells)) and h not in recurring
-    said = {v for v in verdicts.values() if v is not None}
-    if len(said) > 1 and len(heads) > 1:
+        pairs = [F.struct(F.lit(i).alias("i"), F.col(n).alias("title")) for i, n in enumerate(names)]
+        open_ = heads.join(undecided, "first")
+        met = rows.select("file", F.inline(F.array(*pairs))).join(open_.select("file", "first", F.inline(filled)), ["file", "i", "title"])
+        again = met.groupBy("first", "i").agg((F.count(F.lit(1)) > F.count_distinct("file")).alias("recurs"))
+        recurring = again.where("recurs").select("first").distinct().withColumn("recurs", F.lit(True))
+        whole = (F.size(filled) == F.col("cells")) & (F.size(F.array_distinct(F.transform("titles", lambda t: t.title))) == F.size("titles"))
+        looks = open_.dropDuplicates(["first"]).withColumn("titles", F.slice("titles", F.lit(1), F.col("cells").cast("int")))
+        looks = looks.join(recurring, "first", "left").select((whole & F.col("recurs").isNull()).alias("said"))
+        outcomes |= {r[0] for r in looks.distinct().collect()}
+    if len(outcomes) > 1:
         raise ValueError(f"some files at {path} seem to have a header and some not; give header=")
-    return said == {True} if said else any(c.strip() for cells in heads.values() for c in cells)
-
-
-_UNDECIDED = "undecided"
-
-
-def _by_kinds(columns: list) -> bool | str | None:
-    """What the kinds of the cells below say of the titles; None without lines below."""
-    body = [(r, r.n - r.files) for r in columns]
-    if not any(n > 0 for _, n in body):
-        return None
-    fails = conforms = False
-    for r, n in body:
-        for kind in _KINDS:
-            mine = r.files if r[f"own_{kind}"] else 0
-            if n > 0 and r[kind] - mine == n:
-                fails, conforms = fails or not mine, conforms or bool(mine)
-    return fails if fails or conforms else _UNDECIDED
+    return outcomes == {True} if outcomes else bool(lone[1])
 
 
 def _reader(spark: SparkSession, sep: str, multiline: bool, encoding: str):
@@ -253,7 +250,7 @@ def read_delimited(
     # The different orders of columns that headers have.
     named = list(map(list, dict.fromkeys(tuple(cells_of(h, shape.sep)) for h in _first_lines(shape)))) if header else []
     if schema is None:
-        width = 0 if header else max((len(cells_of(h, shape.sep)) for h in _first_lines(shape)), default=0)
+        width = 0 if header else shape.width
         names = named[0] if named else [f"col_{i}" for i in range(1, width + 1)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if not schema.fields:

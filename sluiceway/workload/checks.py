@@ -411,8 +411,7 @@ _LINE_KEYS = ["l_orderkey", "l_linenumber"]
 def lines_without_repeats(t: Tables):
     """Whole rows: the first per key by a full order."""
     order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax"]
-    marked = k.mark_unique_violations(t.lineitem, _LINE_KEYS, order)
-    return marked.filter("NOT _repeat").drop("_repeat")
+    return k.without_violations(t.lineitem, _LINE_KEYS, order)
 
 
 @query(

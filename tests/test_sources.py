@@ -99,6 +99,28 @@ def test_too_many_orders_of_columns_are_refused(spark, parts, monkeypatch):
         d.read_delimited(spark, path, header=True)
 
 
+def test_a_header_in_every_one_of_many_parts(spark, parts, rows):
+    """More first lines than orders of columns that are mapped: read right or refused, never taken for rows."""
+    import itertools
+
+    names = [f"name{i}" for i in range(7)]
+    orders = list(itertools.islice(itertools.permutations(names), 1100))
+    path = parts(*(",".join(o) + "\n" + ",".join(str(o.index(n)) for n in o) + "\n" for o in orders))
+    with pytest.raises(ValueError, match="orders of columns"):
+        d.read_delimited(spark, path)
+
+
+def test_many_parts_without_a_header(spark, parts):
+    path = parts(*(f"{i},x{i}\n{i + 1},y{i}\n" for i in range(1050)))
+    df = d.read_delimited(spark, path)
+    assert df.columns == ["col_1", "col_2"] and df.count() == 2100
+
+
+def test_lone_lines_that_differ_are_no_headers(spark, parts, rows):
+    df = d.read_delimited(spark, parts("a,b\n", "c,d\n"))
+    assert rows(df) == [("a", "b"), ("c", "d")]
+
+
 def test_every_headerless_part_tells_the_shape(spark, parts, rows, monkeypatch):
     monkeypatch.setattr(d, "MAX_HEADERS", 2)
     # Each separator but ";" is missing somewhere; one part is wider and has a cell of two lines.
