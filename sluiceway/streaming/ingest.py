@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from sluiceway.operators.latest import keep_latest
 from sluiceway.sources import storage
@@ -134,3 +135,106 @@ def stream_quality(
         .trigger(availableNow=True)
         .start()
     )
+
+
+_GONE, _TIME, _EXPIRES = "_gone", "_event_time", "_expires"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class NewestUntilExpired(StatefulProcessor):
+    """Passes on rows newer than what their key has had, and forgets a key when its newest row expires.
+
+    The state of a key is the place of its newest row in the order. An expired key leaves a row
+    marked as gone, which holds the key and the place alone, and no state.
+    """
+
+    def __init__(self, keys: list[str], order: list[str], columns: list[str], place: T.StructType):
+        self.keys, self.order, self.columns, self.place = keys, order, columns, place
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", self.place)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = max(rows, key=lambda row: _nulls_first(row[c] for c in self.order), default=None)
+        if best is None:
+            return
+        place = [best[c] for c in self.order]
+        if self.newest.exists() and _nulls_first(self.newest.get()) >= _nulls_first(place):
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if best[_EXPIRES] is not None:
+            self.handle.registerTimer(best[_EXPIRES])
+        self.newest.update(tuple(place))
+        yield Row(**{c: best[c] for c in self.columns}, **{_GONE: False})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.newest.exists():
+            known = dict(zip([*self.order, *self.keys], [*self.newest.get(), *key]))
+            self.newest.clear()
+            yield Row(**{c: known.get(c) for c in self.columns}, **{_GONE: True})
+
+
+def _nulls_first(values) -> list[tuple]:
+    return [(v is not None, v) for v in values]
+
+
+def stream_upsert_expiring(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: list[str],
+    cursor: str,
+    ttl: str,
+    delay: str,
+    tiebreak: list[str] = (),
+) -> StreamingQuery:
+    """Upserts whose rows expire ``ttl`` seconds (a column; null or 0: never) after their ``cursor``, a time.
+
+    Keyed state in RocksDB holds one place per living key: a batch adds only rows newer than what their
+    key has had, and when event time (the newest cursor less ``delay``) passes a row's end, its key is marked as
+    gone and forgotten. So state and additions are bounded by living keys and by changes, whatever the history.
+    Rows more than ``delay`` late when their batch begins are dropped. A repeated batch overwrites its own
+    folder. ``living_rows`` reads the table.
+    """
+    spark = stream.sparkSession
+    columns, order = stream.columns, [cursor, *tiebreak]
+    event_time = F.col(cursor)
+    if isinstance(stream.schema[cursor].dataType, T.TimestampNTZType):
+        event_time = F.to_utc_timestamp(cursor, "UTC")
+    ends = F.when(F.col(ttl) > 0, F.unix_millis(_TIME) + F.ceil(F.col(ttl) * 1000).cast("long"))
+    timed = stream.withColumn(_TIME, event_time).withWatermark(_TIME, delay).withColumn(_EXPIRES, ends)
+    place = T.StructType([T.StructField(c, stream.schema[c].dataType) for c in order])
+    out = T.StructType([*[T.StructField(f.name, f.dataType) for f in stream.schema], T.StructField(_GONE, T.BooleanType())])
+    changes = timed.groupBy(*keys).transformWithState(
+        NewestUntilExpired(keys, order, columns, place), out, "Update", "EventTime"
+    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        return (
+            changes.writeStream.foreachBatch(add)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(_STORE)
+        else:
+            spark.conf.set(_STORE, before)
+
+
+def living_rows(
+    spark: SparkSession, path: str, keys: list[str], cursor: str, tiebreak: list[str] = ()
+) -> DataFrame:
+    """Current state of an expiring upsert table: the newest row per key, unless it is gone."""
+    newest = keep_latest(spark.read.parquet(path), keys, cursor, [*tiebreak, _GONE])
+    return newest.where(f"NOT {_GONE}").drop(_BATCH, _GONE)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
 from pyspark.sql import functions as F
 
+from sluiceway.operators.merge import drop_expired
 from sluiceway.runtime import new_dir
 from sluiceway.streaming import ingest as g
 from sluiceway.workload.registry import Tables, query
@@ -116,3 +118,26 @@ def streamed_quality(t: Tables):
     return judged.groupBy("outcome", F.array_join("broken_rules", ",").alias("broken_rules")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
+
+
+_TTL = "(user_id % 5) * 86400 * 4"
+
+
+@query(
+    f"""SELECT *, CAST({_TTL} AS BIGINT) AS ttl_seconds FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+          AND (user_id % 5 = 0 OR TIMESTAMP '2024-02-05 00:00:00' - ts <= to_seconds(({_TTL})::BIGINT))"""
+)
+def streamed_upsert_with_time_to_live(t: Tables):
+    """Two runs and one without anything new: equal to dropping expired rows from the newest per key."""
+    path, state = new_dir(t.spark, "expiring"), new_dir(t.spark, "checkpoint")
+    arrivals = new_dir(t.spark, "arrivals")
+    rows = t.events.withColumn("ttl_seconds", F.expr(_TTL).cast("long"))
+    half = rows.where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'")
+    for part in (half, rows.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:00:00'"), None):
+        if part is not None:
+            part.repartitionByRange(2, "ts").write.mode("append").parquet(arrivals)
+        stream = g.file_stream(t.spark, arrivals, rows.schema)
+        _finish(g.stream_upsert_expiring(stream, path, state, ["user_id"], "ts", "ttl_seconds", "1 day", ["event_id"]))
+    living = g.living_rows(t.spark, path, ["user_id"], "ts", ["event_id"])
+    return drop_expired(living, dt.datetime(2024, 2, 5), "ts", "ttl_seconds")
