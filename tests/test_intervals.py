@@ -109,3 +109,35 @@ def test_long_intervals_take_few_rows(spark):
     met = j.interval_join(points, wide, "x", "lo", "hi")
     assert met.count() == 1000
     assert "BroadcastNestedLoopJoin" not in plan_of(met)
+
+
+def counted_by_pairs(points, intervals, how):
+    """(t, status) -> (rows, rows with a v, different ids, different tags) over all pairs."""
+    found = {}
+    for t, x, v, n, ident in points:
+        held = [(s, tag) for s, lo, hi, tag in intervals if n < 2 and x is not None and (lo is None or x >= lo) and (hi is None or x < hi)]
+        for s, tag in held or ([(None, None)] if how == "left" else []):
+            found.setdefault((t, s), []).append((v, ident, tag))
+    return {
+        k: (len(r), sum(v is not None for v, _, _ in r), len({i for _, i, _ in r} - {None}), len({t for _, _, t in r} - {None}))
+        for k, r in found.items()
+    }
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("scale", [5, 1000, 10**12])
+def test_grouped_counts_equal_those_over_pairs(spark, scale, how):
+    rng = random.Random(scale)
+    points = [
+        (rng.choice("ab"), None if i % 17 == 0 else rng.randint(-2 * scale, 2 * scale), rng.choice([None, 1]), rng.randint(0, 2), rng.choice([None, i // 2]))
+        for i in range(200)
+    ]
+    intervals = [(rng.choice(["s", "t", None]), lo, hi, rng.choice([None, 1, 2])) for _, lo, hi in some(rng, 80, scale)]
+    p = spark.createDataFrame(points, "t string, x long, v int, n int, id int")
+    i = spark.createDataFrame(intervals, "status string, lo long, hi long, tag int")
+    columns = ["p.t", "i.status", "count(*) AS n", "count(p.v) AS v", "count(DISTINCT p.id) AS ids", "count(DISTINCT i.tag) AS tags"]
+    step = j.Join(i, "i", "p.n < 2", how, within=("p.x", "i.lo", "i.hi"))
+    got = j.join_chain(p, "p", [step], columns, group_by=["p.t", "i.status"])
+    assert got.columns == ["t", "status", "n", "v", "ids", "tags"]
+    found = {(r.t, r.status): (r.n, r.v, r.ids, r.tags) for r in got.collect()}
+    assert found == counted_by_pairs(points, intervals, how)
