@@ -141,3 +141,31 @@ def test_grouped_counts_equal_those_over_pairs(spark, scale, how):
     assert got.columns == ["t", "status", "n", "v", "ids", "tags"]
     found = {(r.t, r.status): (r.n, r.v, r.ids, r.tags) for r in got.collect()}
     assert found == counted_by_pairs(points, intervals, how)
+
+
+def test_grouped_counts_form_no_pairs(spark):
+    """Every point lies in every interval: 9 million pairs, of which no operator sees a hundredth."""
+    p = spark.range(3000).selectExpr("id", "CAST(id % 7 AS DOUBLE) + id / 1e6 AS x")
+    i = spark.range(3000).selectExpr("id AS i", "-1.0 - id AS lo", "CASE WHEN id % 2 = 0 THEN 100.0 + id END AS hi")
+    step = j.Join(i, "i", how="inner", within=("p.x", "i.lo", "i.hi"))
+    out = j.join_chain(p, "p", [step], ["count(*) AS n"], group_by=["i.i"])
+    assert {(r.n) for r in out.collect()} == {3000} and out.count() == 3000
+    assert max(rows_put_out(out)) < 90_000
+
+
+def rows_put_out(df):
+    """The rows that every operator of a finished plan put out."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined():
+            found.append(metric.get().value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
