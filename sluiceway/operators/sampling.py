@@ -7,20 +7,60 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.keys import row_hash
 from sluiceway.operators.joins import join_same
+from sluiceway.runtime import settle
+
+
+# Up to so many rows each task keeps its best; larger samples are cut off by rank.
+_HELD = 10_000
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` random rows (all rows if there are fewer), the same however the input is split.
 
     Rows are ranked by a seeded hash of their values, so every use of the result sees one sample.
-    Each task keeps its own ``n`` best, and only those reach the final step, which is one task:
-    meant for samples that one task can hold. ``sample_large`` takes the same rows without that step;
-    for a share of a huge table there is ``sample_fraction``.
+    A sample of up to ``_HELD`` rows is what is left of the best of each task. For a larger one the draws of all
+    rows are sorted, without the rows, to find the n-th; rows below it are taken where they lie. ``sample_large`` takes
+    the same rows without sorting; for a share of a huge table there is ``sample_fraction``.
     """
     if n < 1:
         raise ValueError("the sample size must be at least 1")
     drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), row_hash(df)))
-    return drawn.orderBy("_draw").limit(n).drop("_draw")
+    if n <= _HELD:
+        return drawn.orderBy("_draw").limit(n).drop("_draw")
+    cut = _draw_at(drawn, n)
+    if cut is None:
+        return df  # fewer rows than asked for
+    last, left = cut
+    taken = drawn.where(F.col("_draw") < last).drop("_draw")
+    same = drawn.where(F.col("_draw") == last).withColumn("_piece", F.shiftright("_draw", 1))
+    return taken.unionByName(_ranked_copies(same, ["_piece"], F.lit(left), df.columns))
+
+
+def _draw_at(drawn: DataFrame, n: int) -> tuple[int, int] | None:
+    """The draw of rank ``n`` and how many of its rows are within ``n``; None if there are fewer rows.
+
+    Draws, counted if equal, are sorted by range; of the range that holds the rank again, until it is small.
+    The driver gets a row per range.
+    """
+    rest, left = drawn.groupBy("_draw").agg(F.count(F.lit(1)).alias("_copies")), n
+    while True:
+        ranked = settle(rest.orderBy("_draw").withColumn("_range", F.spark_partition_id()), "draws")
+        sizes = ranked.groupBy("_range").agg(F.sum("_copies").alias("rows"), F.count(F.lit(1)).alias("draws"))
+        ranges = sorted(sizes.collect(), key=lambda r: r["_range"])
+        at = None
+        for r in ranges:
+            if r["rows"] >= left:
+                at = r
+                break
+            left -= r["rows"]
+        if at is None:
+            return None
+        rest = ranked.where(F.col("_range") == at["_range"]).drop("_range")
+        if len(ranges) == 1 or at["draws"] <= _HELD:
+            break
+    upto = F.sum("_copies").over(Window.orderBy("_draw"))
+    found = rest.withColumn("_upto", upto).where(F.col("_upto") >= left).orderBy("_draw").first()
+    return found["_draw"], left - (found["_upto"] - found["_copies"])
 
 
 # Draws are 64 bits; a histogram is of the next _BITS of them, so it has at most 2**_BITS rows.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.profiling import column_statistics, profile_table
@@ -253,17 +256,14 @@ def sample_of_half(t: Tables):
     rows = t.lineitem.withColumn("copy", F.lit(0))
     n = t.lineitem.count() // 2
     drawn, ranked = sample_large(rows, n, seed=5), sample_rows(rows, n, seed=5)
-    counted = [
-        df.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(i))
-        for i, df in enumerate((drawn, ranked, t.lineitem.withColumn("copy", F.lit(0))))
-    ]
-    both = counted[0].unionByName(counted[1]).unionByName(counted[2]).groupBy(*rows.columns).pivot("side", [0, 1, 2])
-    met = both.agg(F.sum("n"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    sides = [df.withColumn("side", F.lit(i)) for i, df in enumerate((drawn, ranked, rows))]
+    # Copies of a row on each side, all sides in one exchange.
+    met = reduce(DataFrame.unionByName, sides).groupBy(*rows.columns)
+    met = met.agg(*[F.count_if(F.col("side") == i).alias(f"n_{i}") for i in range(len(sides))])
     return met.agg(
-        F.sum(zero("0")).alias("sampled"),
-        F.sum(F.least(zero("0"), zero("1"))).alias("same_as_ranked"),
-        F.sum(F.greatest(zero("0") - zero("2"), F.lit(0))).alias("outside"),
+        F.sum("n_0").alias("sampled"),
+        F.sum(F.least("n_0", "n_1")).alias("same_as_ranked"),
+        F.sum(F.greatest(F.col("n_0") - F.col("n_2"), F.lit(0))).alias("outside"),
     )
 
 

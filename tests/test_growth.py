@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import row_hash
 from sluiceway.operators import history as h
 from sluiceway.operators import lineage as li
 from sluiceway.operators import merge as m
@@ -120,6 +121,16 @@ def test_no_step_gathers_a_large_sample(spark):
     assert s.sample_large(hot_rows(spark).limit(0), 5).count() == 0
 
 
+@pytest.mark.parametrize("n", [11_000, 30_000, 59_999, 60_000, 70_000])
+def test_ranked_samples_are_whole_and_not_gathered(spark, n):
+    df = hot_rows(spark, 60_000)
+    drawn = s.sample_rows(df, n, 3)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("SinglePartition", "TakeOrdered", "GlobalLimit", "CollectLimit"))
+    order = sorted(df.select(F.xxhash64(F.lit(3), row_hash(df)), "a", "b").collect())
+    assert sorted(map(tuple, drawn.collect())) == sorted((a, b) for _, a, b in order[:n])
+
+
 @pytest.mark.parametrize("n", [1, 7, 400, 5000])
 def test_samples_of_strata(spark, n):
     df = hot_rows(spark).unionByName(spark.sql("SELECT 5000 + id AS a, NULL AS b FROM range(20)"))
