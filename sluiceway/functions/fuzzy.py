@@ -28,10 +28,10 @@ def edit_ratio(a: Column, b: Column) -> Column:
     )
 
 
-def _near(a: Column, b: Column) -> Column:
-    """Similarity of two texts, or 0 where their lengths alone rule out ``SIMILAR_FROM``."""
-    shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    return F.when(shorter < longer * (SIMILAR_FROM - 0.01), F.lit(0.0)).otherwise(edit_ratio(a, b))
+def _alike(a: Column, b: Column) -> Column:
+    """Whether the lengths of two texts allow a similarity of ``SIMILAR_FROM``."""
+    share = F.lit(SIMILAR_FROM - 0.01)
+    return (F.length(b) >= F.length(a) * share) & (F.length(a) >= F.length(b) * share)
 
 
 def clean(text: Column) -> Column:
@@ -42,20 +42,26 @@ def words_of(name: Column) -> Column:
     return F.split(name, TOKEN_SEPARATORS)
 
 
-def score_clean(kw: Column, name: Column, words: Column) -> Column:
-    """The token score of texts that are already ``clean``, with the words of the name."""
-    ratios = F.transform(F.array_append(words, name), lambda w: _near(kw, w))
+def score_clean(kw: Column, name: Column, words: Column, tokens: Column | None = None) -> Column:
+    """The token score of texts that are already ``clean``, with the words of the name.
+
+    ``tokens`` are the words and the name, where a caller has them at hand. Most texts are told apart by their lengths and
+    by one look for the keyword in the name, before any word is compared.
+    """
+    tokens = F.array_append(words, name) if tokens is None else tokens
+    ratios = F.transform(F.filter(tokens, lambda w: _alike(kw, w)), lambda w: edit_ratio(kw, w))
     graded = F.transform(
         F.filter(ratios, lambda r: r >= SIMILAR_FROM),
         lambda r: F.lit(SIMILAR_BASE)
         + F.lit(SIMILAR_SPAN) * ((r - F.lit(SIMILAR_FROM)) / F.lit(SIMILAR_SPAN)),
     )
+    held = F.contains(name, kw)
     return (
         F.when((kw == "") | (name == ""), F.lit(0.0))
         .when(kw == name, F.lit(EXACT))
-        .when(F.array_contains(words, kw), F.lit(TOKEN))
+        .when(held & F.array_contains(words, kw), F.lit(TOKEN))
         .when(
-            (F.length(kw) >= PREFIX_MIN_LEN) & F.exists(words, lambda w: F.startswith(w, kw)),
+            held & (F.length(kw) >= PREFIX_MIN_LEN) & F.exists(words, lambda w: F.startswith(w, kw)),
             F.lit(TOKEN_PREFIX),
         )
         .otherwise(F.coalesce(F.array_max(graded), F.lit(0.0)))
