@@ -65,6 +65,22 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     assert len([d for d in os.listdir(rounds[0]) if d.startswith("round=")]) <= 12
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_ends_are_not_carried_on(spark, monkeypatch, few):
+    """Three layers end after the round that finds the last pairs, with known pairs of few sources or all compared."""
+    monkeypatch.setattr(li, "_FEW", few)
+    rounds = []
+    new_dir = li.new_dir
+    monkeypatch.setattr(li, "new_dir", lambda *a: rounds.append(new_dir(*a)) or rounds[-1])
+    edges = [(0, i) for i in range(1, 5)] + [(i, 10 * i + k) for i in range(1, 5) for k in range(5)] + [(0, 11), (11, 11)]
+    pairs = li.closure_of_all(spark.createDataFrame(edges, "parent int, child int"))
+    assert {tuple(r) for r in pairs.collect()} == breadth_first(edges)
+    rounds.clear()
+    pairs = li.closure_of_all(spark.createDataFrame(edges[:-2], "parent int, child int"))
+    assert {tuple(r) for r in pairs.collect()} == breadth_first(edges[:-2])
+    assert sorted(d for d in os.listdir(rounds[0]) if d.startswith("round=")) == ["round=0", "round=1"]
+
+
 DAY = [dt.datetime(2024, 1, d) for d in range(1, 10)]
 
 
