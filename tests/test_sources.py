@@ -430,3 +430,29 @@ def test_json_safe_rows(spark):
 def test_bytes_keep_what_can_be_read(spark):
     df = spark.createDataFrame([(bytearray(b"A\xffB"),), (bytearray("é�".encode()),), (None,)], "b binary")
     assert [r.b for r in s.json_safe(df).collect()] == ["AB", "é�", None]
+
+
+def test_parts_grow_with_the_text(spark, monkeypatch):
+    """Four parts of little text, then as many as its bytes ask for; none holds much more than its share."""
+    import os
+
+    from sluiceway.workload import loads
+
+    rows = [(i, "é\n" * (i % 300) + "x", "xx", None, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    size = sum(len(str(i)) * 2 + 3 * (i % 300) + 1 + 2 + 5 for i in range(2000))
+    monkeypatch.setattr(d, "PART_BYTES", size // 20)
+    assert d.parts_for(df) == -(-size // (size // 20)) and d.parts_for(df, 100) == 100
+    assert d.parts_for(df.limit(0), 4) == 4
+    written = []
+    new_dir = loads.new_dir
+    monkeypatch.setattr(loads, "new_dir", lambda *a: written.append(new_dir(*a)) or written[-1])
+
+    class Given:
+        documents = df
+
+    Given.spark = spark
+    got = loads.documents_through_text(Given)
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+    sizes = [os.path.getsize(f"{written[0]}/{f}") for f in os.listdir(written[0]) if f.endswith(".csv")]
+    assert len(sizes) >= 20 and max(sizes) < size // 10
