@@ -169,3 +169,44 @@ def rows_put_out(df):
         children = node.children()
         todo += [children.apply(k) for k in range(children.size())]
     return found
+
+
+def grouped_by_interval(points, intervals, how):
+    """tag -> (different values, different values of t, rows) over all pairs."""
+    found = {}
+    for t, x, v in points:
+        held = [tag for tag, lo, hi in intervals if x is not None and (lo is None or x >= lo) and (hi is None or x < hi)]
+        for tag in held or ([None] if how == "left" else []):
+            found.setdefault(tag, []).append((v, t))
+    return {k: (len({v for v, _ in r} - {None}), len({t for _, t in r} - {None}), len(r)) for k, r in found.items()}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("scale", [5, 1000, 10**12])
+def test_distinct_values_per_interval_equal_those_over_pairs(spark, scale, how):
+    """Groups of one interval, of repeated, nested, overlapping and separate ones; null groups, values and places."""
+    rng = random.Random(scale)
+    points = [(rng.choice(["a", "b", None]), None if i % 17 == 0 else rng.randint(-2 * scale, 2 * scale), rng.choice([None, *range(12)])) for i in range(200)]
+    once = some(rng, 60, scale)
+    intervals = [*once, *once[:20], *[(rng.choice([None, *range(100, 110)]), lo, hi) for _, lo, hi in some(rng, 40, scale)]]
+    intervals += [(200, -scale, scale), (200, -scale, 0), (200, 0, scale), (201, None, None), (202, 5, 5)]
+    p = spark.createDataFrame(points, "t string, x long, v int")
+    i = spark.createDataFrame(intervals, "tag int, lo long, hi long")
+    step = j.Join(i, "i", how=how, within=("p.x", "i.lo", "i.hi"))
+    columns = ["i.tag", "count(DISTINCT p.v) AS vs", "count(DISTINCT p.t) AS ts", "count(*) AS n"]
+    want = grouped_by_interval(points, intervals, how)
+    got = j.join_chain(p, "p", [step], columns, group_by=["i.tag"])
+    assert got.columns == ["tag", "vs", "ts", "n"]
+    assert {r.tag: (r.vs, r.ts, r.n) for r in got.collect()} == want
+    alone = j.join_chain(p, "p", [step], columns[1:2], group_by=["i.tag"])
+    assert {r.tag: r.vs for r in alone.collect()} == {k: w[0] for k, w in want.items()}
+
+
+def test_distinct_values_per_interval_meet_no_groups(spark):
+    """3000 values within each of 3000 groups: no operator of the plan sees a thirtieth of the 9 million."""
+    p = spark.range(3000).selectExpr("id", "CAST(id % 7 AS DOUBLE) + id / 1e6 AS x")
+    i = spark.range(3000).selectExpr("id AS i", "-1.0 - id AS lo", "CASE WHEN id % 2 = 0 THEN 100.0 + id END AS hi")
+    step = j.Join(i, "i", how="inner", within=("p.x", "i.lo", "i.hi"))
+    out = j.join_chain(p, "p", [step], ["count(DISTINCT p.id) AS n"], group_by=["i.i"])
+    assert {r.n for r in out.collect()} == {3000} and out.count() == 3000
+    assert max(rows_put_out(out)) < 300_000
